@@ -1,0 +1,99 @@
+"""Registered queries: ``name -> f(spark, sf_dir) -> DataFrame`` over the supplied tables.
+
+Each entry drives one operator family of the survey inventory through the
+adapters in :mod:`.adapters`; :mod:`.oracle` holds the equivalent SQL.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from . import adapters as ad
+from .gold import focus_vs_top_k, median_gap, monthly_counts
+from .silver import silver_pull_requests, silver_releases
+from ..operators.aggregates import top_k_groups
+from ..operators.filters import equals_folded
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+
+_PR_GOLD = dict(focus=ad.ADAPTER_FOCUS, focus_label=ad.ADAPTER_FOCUS_LABEL, k=10, member_label="top_10")
+
+
+def _silver_prs(spark, sf_dir):
+    return silver_pull_requests(ad.pull_requests_raw(spark, sf_dir))
+
+
+def _silver_rel(spark, sf_dir):
+    return silver_releases(ad.releases_raw(spark, sf_dir))
+
+
+def q_classify_titles(spark, sf_dir):
+    """F1-F3 + M1 (classification column only)."""
+    return _silver_prs(spark, sf_dir).select("id", "repository", "title", "feat_classifier")
+
+
+def q_silver_pull_requests(spark, sf_dir):
+    """The full silver PR model."""
+    return _silver_prs(spark, sf_dir)
+
+
+def q_dedup_latest_release(spark, sf_dir):
+    """Silver releases, one per (repository, tag)."""
+    return _silver_rel(spark, sf_dir)
+
+
+def q_monthly_counts(spark, sf_dir):
+    """M3, A1, F5, F6, P6."""
+    return monthly_counts(_silver_prs(spark, sf_dir), order=["repository", "month"])
+
+
+def q_monthly_releases(spark, sf_dir):
+    """M6."""
+    return monthly_counts(_silver_rel(spark, sf_dir), ts_col="published_at", month_col="release_month",
+                          count_col="feature_release_count", class_col=None,
+                          order=["release_month", "repository"])
+
+
+def q_topk_groups(spark, sf_dir):
+    """A3, O2: the ten repositories with most feature PRs."""
+    base = equals_folded(_silver_prs(spark, sf_dir), "feat_classifier", "feature")
+    return top_k_groups(base, "repository", 10, out="feature_pr_count")
+
+
+def q_focus_vs_topk_prs(spark, sf_dir):
+    """M4, J5, A2, P10, F4."""
+    return focus_vs_top_k(_silver_prs(spark, sf_dir), order=["pr_month", "repository"], **_PR_GOLD)
+
+
+def q_focus_vs_topk_releases(spark, sf_dir):
+    """M7."""
+    return focus_vs_top_k(_silver_rel(spark, sf_dir), ts_col="published_at", month_col="release_month",
+                          count_col="feature_release_count", class_col=None,
+                          order=["repo_group", "repository"], **_PR_GOLD)
+
+
+def q_median_gap_prs(spark, sf_dir):
+    """M5, W2, F7, F8, A4, J2."""
+    return median_gap(_silver_prs(spark, sf_dir), order=True, **_PR_GOLD)
+
+
+def q_median_gap_releases(spark, sf_dir):
+    """M8."""
+    return median_gap(_silver_rel(spark, sf_dir), ts_col="published_at",
+                      out_col="median_days_between_releases", class_col=None, order=True, **_PR_GOLD)
+
+
+QUERIES: dict[str, QueryFn] = {
+    "classify_titles": q_classify_titles,
+    "silver_pull_requests": q_silver_pull_requests,
+    "dedup_latest_release": q_dedup_latest_release,
+    "monthly_counts": q_monthly_counts,
+    "monthly_releases": q_monthly_releases,
+    "topk_groups": q_topk_groups,
+    "focus_vs_topk_prs": q_focus_vs_topk_prs,
+    "focus_vs_topk_releases": q_focus_vs_topk_releases,
+    "median_gap_prs": q_median_gap_prs,
+    "median_gap_releases": q_median_gap_releases,
+}

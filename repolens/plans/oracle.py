@@ -1,0 +1,144 @@
+"""SQL twins of the registered queries, runnable by DuckDB on the supplied tables.
+
+The CTEs mirror the adapters in :mod:`.adapters` expression for expression;
+the model SQL follows the reference's models, with the two deterministic
+tie-breaks this engine documents (``repository`` for the top-k rank, ``id
+DESC`` for the release dedup).
+"""
+
+from __future__ import annotations
+
+PR_RAW = """
+pr_raw AS (
+  SELECT event_id AS id, event_id AS number,
+    CASE WHEN event_id % 19 = 0 THEN NULL
+         WHEN event_id % 13 = 0 THEN 'Test harness'
+         WHEN event_id % 17 = 0 THEN 'Update docs'
+         ELSE CASE event_type WHEN 'error' THEN 'Fix bug in module' WHEN 'click' THEN 'Add feature'
+                              WHEN 'purchase' THEN 'Refactor module' WHEN 'signup' THEN 'Implement staking'
+                              ELSE 'Misc' END END AS title,
+    props AS body,
+    CASE WHEN event_id % 7 = 0 THEN 'open' ELSE 'closed' END AS state,
+    {'login': 'user_' || CAST(user_id AS VARCHAR)} AS "user",
+    {'ref': 'main'} AS base,
+    {'ref': 'feature/' || event_type} AS head,
+    CASE WHEN event_id % 11 = 0 THEN NULL
+         ELSE [{'name': event_type}, {'name': CASE WHEN value > 25 THEN 'large' ELSE NULL END}] END AS labels,
+    'https://example.invalid/pull/' || CAST(event_id AS VARCHAR) AS html_url,
+    CAST(floor(value) AS BIGINT) AS additions,
+    user_id AS deletions,
+    CAST(NULL AS BIGINT) AS changed_files,
+    CAST(1 AS BIGINT) AS commits,
+    ts AS created_at,
+    CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS closed_at,
+    CASE WHEN event_type <> 'view' THEN (CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END) END AS merged_at,
+    'org/repo_' || CAST(user_id % 25 AS VARCHAR) AS repository_full_name,
+    ts AS fetched_at
+  FROM events)"""
+
+STG_PULL_REQUESTS = PR_RAW + """,
+stg_pull_requests AS (
+  SELECT repository_full_name AS repository, id, number, title, body AS description, state,
+    additions, deletions, changed_files, commits,
+    "user".login AS author, base.ref AS base_branch, head.ref AS head_branch,
+    CASE WHEN labels IS NOT NULL THEN CAST(array_to_json(labels) AS VARCHAR) ELSE '[]' END AS labels_json,
+    CASE WHEN labels IS NOT NULL THEN list_transform(labels, lambda x: x.name) ELSE [] END AS labels_list,
+    html_url AS url, created_at, closed_at, merged_at, fetched_at,
+    CASE
+      WHEN lower(title) LIKE '%fix%' OR lower(title) LIKE '%bug%' THEN 'bug fix'
+      WHEN lower(title) LIKE '%feat%' OR lower(title) LIKE '%add%' OR lower(title) LIKE '%implement%' THEN 'feature'
+      WHEN lower(title) LIKE '%refactor%' OR lower(title) LIKE '%clean%' THEN 'refactor'
+      WHEN lower(title) LIKE '%test%' THEN 'test'
+      WHEN lower(title) LIKE '%doc%' THEN 'documentation'
+      ELSE 'not clear'
+    END AS feat_classifier
+  FROM pr_raw)"""
+
+REL_RAW = """
+rel_raw AS (
+  SELECT o_orderkey AS id,
+    'v' || CAST(o_orderkey % 400 AS VARCHAR) AS tag_name,
+    'Release ' || CAST(o_orderkey AS VARCHAR) AS name,
+    o_orderpriority AS body,
+    o_orderstatus = 'P' AS draft,
+    o_orderstatus = 'O' AS prerelease,
+    {'login': 'cust_' || CAST(o_custkey AS VARCHAR)} AS author,
+    'https://example.invalid/release/' || CAST(o_orderkey AS VARCHAR) AS html_url,
+    CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS published_at,
+    o_orderdate AS created_at, o_orderdate AS updated_at,
+    'org/repo_' || CAST(o_custkey % 25 AS VARCHAR) AS repository_full_name,
+    o_orderdate AS fetched_at
+  FROM orders)"""
+
+STG_RELEASES = REL_RAW + """,
+stg_releases AS (
+  SELECT * FROM (
+    SELECT repository_full_name AS repository, id, name AS release_name, tag_name AS tag,
+      author.login AS release_author, published_at, created_at, updated_at, html_url AS release_url,
+      body, draft AS is_draft, prerelease AS is_prerelease, fetched_at,
+      ROW_NUMBER() OVER (PARTITION BY repository_full_name, tag_name ORDER BY published_at DESC, id DESC) AS row_num
+    FROM rel_raw WHERE published_at IS NOT NULL)
+  WHERE row_num = 1)"""
+
+FOCUS = "'org/repo_3'"
+FOCUS_LABEL = "'repo_3'"
+
+
+def _with(ctes: str, body: str) -> str:
+    return f"WITH {ctes.strip()}\n{body}"
+
+
+def _focus_vs_topk(stg: str, ts: str, month: str, cnt: str, feature: bool, order: str) -> str:
+    where = "WHERE lower(feat_classifier) = 'feature'" if feature else ""
+    return f""",
+base AS (SELECT repository, CAST({ts} AS TIMESTAMP) AS {ts} FROM {stg} {where}),
+top_10 AS (SELECT repository FROM base GROUP BY 1 ORDER BY count(*) DESC, repository LIMIT 10),
+filtered AS (
+  SELECT repository,
+    CASE WHEN repository = {FOCUS} THEN {FOCUS_LABEL}
+         WHEN repository IN (SELECT repository FROM top_10) THEN 'top_10' ELSE NULL END AS repo_group,
+    date_trunc('month', {ts}) AS {month}
+  FROM base WHERE repository = {FOCUS} OR repository IN (SELECT repository FROM top_10))
+SELECT repository, repo_group, {month}, count(*) AS {cnt} FROM filtered GROUP BY 1, 2, 3 ORDER BY {order}"""
+
+
+def _median_gap(stg: str, ts: str, out: str, feature: bool) -> str:
+    where = "WHERE lower(feat_classifier) = 'feature'" if feature else ""
+    return f""",
+base AS (SELECT repository, CAST({ts} AS TIMESTAMP) AS {ts} FROM {stg} {where}),
+top_10 AS (SELECT repository FROM base GROUP BY 1 ORDER BY count(*) DESC, repository LIMIT 10),
+ranked AS (
+  SELECT repository, {ts}, lag({ts}) OVER (PARTITION BY repository ORDER BY {ts}) AS prev_date
+  FROM base WHERE repository = {FOCUS} OR repository IN (SELECT repository FROM top_10)),
+intervals AS (
+  SELECT repository, (extract('epoch' FROM {ts}) - extract('epoch' FROM prev_date)) / 86400.0 AS days_diff
+  FROM ranked WHERE prev_date IS NOT NULL)
+SELECT repository, round(quantile_cont(days_diff, 0.5), 2) AS {out}
+FROM intervals GROUP BY repository ORDER BY {out}"""
+
+
+SQL: dict[str, str] = {
+    "classify_titles": _with(STG_PULL_REQUESTS, "SELECT id, repository, title, feat_classifier FROM stg_pull_requests"),
+    "silver_pull_requests": _with(STG_PULL_REQUESTS, "SELECT * FROM stg_pull_requests"),
+    "dedup_latest_release": _with(STG_RELEASES, "SELECT * FROM stg_releases"),
+    "monthly_counts": _with(STG_PULL_REQUESTS, """,
+feature_prs AS (SELECT repository, date_trunc('month', closed_at::timestamp) AS month
+                FROM stg_pull_requests WHERE lower(feat_classifier) = 'feature')
+SELECT repository, month, count(*) AS feature_pr_count FROM feature_prs
+GROUP BY repository, month ORDER BY repository, month"""),
+    "monthly_releases": _with(STG_RELEASES, """,
+filtered AS (SELECT repository, CAST(published_at AS TIMESTAMP) AS published_at FROM stg_releases)
+SELECT repository, date_trunc('month', published_at) AS release_month, count(*) AS feature_release_count
+FROM filtered GROUP BY 1, 2 ORDER BY 2, 1"""),
+    "topk_groups": _with(STG_PULL_REQUESTS, """
+SELECT repository, count(*) AS feature_pr_count FROM stg_pull_requests
+WHERE lower(feat_classifier) = 'feature' GROUP BY 1 ORDER BY count(*) DESC, repository LIMIT 10"""),
+    "focus_vs_topk_prs": _with(STG_PULL_REQUESTS + _focus_vs_topk(
+        "stg_pull_requests", "closed_at", "pr_month", "feature_pr_count", True, "3, 1"), ""),
+    "focus_vs_topk_releases": _with(STG_RELEASES + _focus_vs_topk(
+        "stg_releases", "published_at", "release_month", "feature_release_count", False, "2, 1"), ""),
+    "median_gap_prs": _with(STG_PULL_REQUESTS + _median_gap(
+        "stg_pull_requests", "closed_at", "median_days_between_feature_prs", True), ""),
+    "median_gap_releases": _with(STG_RELEASES + _median_gap(
+        "stg_releases", "published_at", "median_days_between_releases", False), ""),
+}
