@@ -54,7 +54,7 @@ def search_terms(df: DataFrame, query: str, text_cols: list[str]) -> DataFrame:
     here; apply them with :func:`repository_filter`.
     """
     terms = [t.lower() for t in query.split() if ":" not in t]
-    hay = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in text_cols]))
+    hay = F.lower(F.concat_ws(" ", *[F.col(c).cast("string") for c in text_cols]))  # NULLs skipped
     cond: Column = F.lit(True)
     for t in terms:
         cond = cond & hay.contains(t)

@@ -49,17 +49,22 @@ def lag_within(df: DataFrame, keys: list[str], order: str, out: str = "prev",
 
 
 def recent_n_per_key(df: DataFrame, keys: list[str], newest_first: list[Column], n: int | None,
-                     rank_col: str = "rn") -> DataFrame:
+                     rank_col: str | None = "rn") -> DataFrame:
     """Keep the ``n`` most recent rows per key (``n`` falsy = unlimited, ``n < 0`` = none).
 
     ``row_number() <= n`` with a literal ``n``: the optimizer inserts a
     per-partition group limit before the shuffle, so a hot key ships at most
-    ``n`` rows per input partition.
+    ``n`` rows per input partition. Unlimited with no ``rank_col`` needs no window.
     """
     if n is not None and n < 0:
-        return df.withColumn(rank_col, F.lit(None).cast("long")).limit(0)
+        out = df.limit(0)
+        return out.withColumn(rank_col, F.lit(None).cast("long")) if rank_col else out
+    if not n and rank_col is None:
+        return df
+    rc = rank_col or "_rn"
     w = Window.partitionBy(*keys).orderBy(*newest_first)
-    ranked = df.withColumn(rank_col, F.row_number().over(w))
+    ranked = df.withColumn(rc, F.row_number().over(w))
     if n:
-        ranked = ranked.where(F.col(rank_col) <= F.lit(n))
-    return ranked.withColumn(rank_col, F.col(rank_col).cast("long"))
+        ranked = ranked.where(F.col(rc) <= F.lit(n))
+    ranked = ranked.withColumn(rc, F.col(rc).cast("long"))
+    return ranked if rank_col else ranked.drop(rc)

@@ -133,3 +133,101 @@ def nested_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
                     edge(F.col("l_tax") * 100, "tax", F.lit(None).cast("string")),
                     edge(F.col("l_discount") * 100, "discount", F.col("l_returnflag")))
     return li.select("l_orderkey", "l_linenumber", labels.alias("labels"), edges.alias("edges"))
+
+
+def _cust_repo(col: str) -> F.Column:
+    """``cust/Customer#000000042`` - the repository name the ``customer`` adapter gives key 42."""
+    return F.concat(F.lit("cust/Customer#"), F.lpad(F.col(col).cast("string"), 9, "0"))
+
+
+def gql_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GraphQL-shaped repositories from ``customer`` with topic nodes."""
+    c = table(spark, sf_dir, "customer")
+    topics = F.struct(F.array(
+        F.struct(F.struct(F.lower(F.col("c_mktsegment")).alias("name")).alias("topic")),
+        F.struct(F.struct(F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")).alias("name"))
+                 .alias("topic"))).alias("nodes"))
+    return c.select(
+        F.col("c_custkey").alias("databaseId"),
+        F.concat(F.lit("cust/"), F.col("c_name")).alias("nameWithOwner"),
+        F.concat(F.lit("segment "), F.col("c_mktsegment")).alias("description"),
+        F.col("c_acctbal").alias("stargazerCount"),
+        (F.col("c_mktsegment") == "AUTOMOBILE").alias("isArchived"),
+        F.lit(None).cast("timestamp_ntz").alias("pushedAt"),
+        topics.alias("repositoryTopics"),
+    )
+
+
+def existing_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repositories 'already loaded': customers of the nations in region 1."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").where(F.col("n_regionkey") == 1)
+    return (c.join(n, c["c_nationkey"] == n["n_nationkey"], "inner")
+             .select(F.concat(F.lit("cust/"), F.col("c_name")).alias("nameWithOwner")))
+
+
+def gql_pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GraphQL-shaped pull requests from ``orders`` (``repo`` points at the customer adapter)."""
+    o = table(spark, sf_dir, "orders")
+    st = F.col("o_orderstatus")
+    login = F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"))
+    author = F.when(st != "P", F.struct(login.alias("login"), F.lit(None).cast("string").alias("name"),
+                                        F.lit(None).cast("string").alias("email"),
+                                        F.col("o_orderpriority").alias("company"),
+                                        F.lit(None).cast("string").alias("location")))
+    commits = F.when(st != "F", F.struct((F.col("o_custkey") % 7).alias("totalCount")))
+    labels = F.struct(F.array(F.struct(st.alias("name"), F.lit(None).cast("string").alias("color"),
+                                       F.col("o_orderpriority").alias("description"))).alias("nodes"))
+    assignees = F.struct(F.array(F.struct(login.alias("login"), F.lit(None).cast("string").alias("name")),
+                                 F.struct(F.lit("owner").alias("login"), F.lit(None).cast("string").alias("name"))
+                                 ).alias("nodes"))
+    milestone = F.when(F.col("o_orderpriority") == "1-URGENT",
+                       F.struct(F.lit("urgent").alias("title"), F.lit("OPEN").alias("state"),
+                                F.lit(None).cast("string").alias("dueOn")))
+    return o.select(
+        F.col("o_orderkey").alias("databaseId"), F.col("o_orderkey").alias("number"),
+        F.concat(F.lit("Order "), F.col("o_orderpriority")).alias("title"),
+        F.when(st == "O", "OPEN").when(st == "F", "MERGED").otherwise("CLOSED").alias("state"),
+        author.alias("author"), F.lit("main").alias("baseRefName"),
+        F.concat(F.lit("topic/"), F.col("o_orderkey").cast("string")).alias("headRefName"),
+        commits.alias("commits"), labels.alias("labels"), assignees.alias("assignees"),
+        milestone.alias("milestone"), _cust_repo("o_custkey").alias("repo"),
+    )
+
+
+def gql_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GraphQL-shaped releases from ``orders``: 0, 1 or 2 assets by order status."""
+    o = table(spark, sf_dir, "orders")
+    st = F.col("o_orderstatus")
+
+    def asset(name, size):
+        return F.struct(F.lit(name).alias("name"), size.cast("long").alias("size"),
+                        F.lit(0).cast("long").alias("downloadCount"),
+                        F.lit("application/octet-stream").alias("contentType"),
+                        F.lit(None).cast("string").alias("url"))
+    assets = (F.when(st == "O", F.array().cast(
+                "array<struct<name:string,size:bigint,downloadCount:bigint,contentType:string,url:string>>"))
+               .when(st == "F", F.array(asset("bundle.tar.gz", F.col("o_custkey"))))
+               .otherwise(F.array(asset("bundle.tar.gz", F.col("o_custkey")), asset("checksums.txt", F.lit(64)))))
+    return o.select(
+        F.col("o_orderkey").alias("databaseId"),
+        F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("tagName"),
+        F.concat(F.lit("Release "), F.col("o_orderkey").cast("string")).alias("name"),
+        F.struct(F.concat(F.lit("cust_"), F.col("o_custkey").cast("string")).alias("login"),
+                 F.lit(None).cast("string").alias("name")).alias("author"),
+        F.struct(assets.alias("nodes")).alias("releaseAssets"),
+        _cust_repo("o_custkey").alias("repo"),
+    )
+
+
+def issue_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw issue records as JSON text from ``events``: a quarter carry a ``pull_request`` object,
+    a quarter an explicit ``"pull_request": null``, half have no such key."""
+    ev = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    base = F.concat(F.lit('{"id": '), eid.cast("string"), F.lit(', "title": "'), F.col("event_type"), F.lit('"'))
+    rec = (F.when(eid % 4 == 0, F.concat(base, F.lit(', "pull_request": {"url": "x"}}')))
+            .when(eid % 4 == 1, F.concat(base, F.lit(', "pull_request": null}')))
+            .otherwise(F.concat(base, F.lit("}"))))
+    return ev.select(eid.alias("event_id"), _repo("user_id").alias("repository_full_name"),
+                     F.col("ts").alias("updated_at"), F.col("ts").alias("fetched_at"), rec.alias("record"))

@@ -13,8 +13,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import adapters as ad
 from .gold import focus_vs_top_k, median_gap, monthly_counts
 from .silver import silver_pull_requests, silver_releases
-from ..operators.aggregates import top_k_groups
-from ..operators.filters import equals_folded
+from .issues import clean_issues
+from .legacy import enrich_pull_requests, enrich_releases, select_repositories
+from ..functions.nested import cap_nested, child_rows, field_names, nested_count, nested_to_json, topk_nested
+from ..operators.aggregates import row_count, top_k_groups
+from ..operators.filters import (allow_list, equals_folded, lacks_json_key, repository_filter, search_terms,
+                                 state_filter)
+from ..operators.joins import existence_flag, fk_enrich, new_entities
+from ..operators.project import default_if_missing, flatten_struct, split_owner_name
+from ..operators.quality import TableTests, summarize
+from ..operators.windows import recent_n_per_key
+from ..functions.classify import CLASSES
+from ..sinks.upsert import merge_latest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +95,215 @@ def q_median_gap_releases(spark, sf_dir):
                       out_col="median_days_between_releases", class_col=None, order=True, **_PR_GOLD)
 
 
+def q_existence_flag(spark, sf_dir):
+    """Is the PR's repository among the ten busiest (three-valued IN)."""
+    prs = _silver_prs(spark, sf_dir)
+    top = top_k_groups(equals_folded(prs, "feat_classifier", "feature"), "repository", 10)
+    return existence_flag(prs.select("id", "repository"), top, "repository", "in_top", small=True)
+
+
+def q_new_entities_anti(spark, sf_dir):
+    """Cap 500 repositories by stars, then skip those already loaded."""
+    repos = ad.repositories_raw(spark, sf_dir)
+    order = [F.col("stargazerCount").desc_nulls_last(), F.col("databaseId").asc_nulls_last()]
+    out = new_entities(repos, ad.existing_repositories(spark, sf_dir), "nameWithOwner", 500, order)
+    return out.select("databaseId", "nameWithOwner", "stargazerCount")
+
+
+def q_fk_enrich(spark, sf_dir):
+    """Orders (as pull requests) carry their customer (repository) id and name."""
+    o = ad.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("database_id"), "o_custkey")
+    c = ad.table(spark, sf_dir, "customer").withColumn("repo", F.concat(F.lit("cust/"), F.col("c_name")))
+    out = fk_enrich(o, c, "o_custkey", "c_custkey",
+                    {"c_custkey": "repo_database_id", "repo": "repo", "c_acctbal": "stars"})
+    return out.drop("o_custkey")
+
+
+def q_state_filter(spark, sf_dir):
+    """Closed pull requests only."""
+    return state_filter(_silver_prs(spark, sf_dir), "closed").select("id", "repository", "state")
+
+
+def q_repo_filter(spark, sf_dir):
+    """Not archived, at least 5000 stars."""
+    out = repository_filter(ad.repositories_raw(spark, sf_dir), include_archived=False, min_stars=5000,
+                            archived_col="isArchived", stars_col="stargazerCount")
+    return out.select("databaseId", "nameWithOwner", "stargazerCount")
+
+
+def q_allow_list(spark, sf_dir):
+    """Pull requests of three named repositories."""
+    out = allow_list(_silver_prs(spark, sf_dir), "repository", ["org/repo_1", "org/repo_2", "org/repo_3"])
+    return out.select("id", "repository")
+
+
+def q_search_terms(spark, sf_dir):
+    """Every term of the query occurs in name, type or brand."""
+    out = search_terms(ad.table(spark, sf_dir, "part"), "red widget", ["p_name", "p_type", "p_brand"])
+    return out.select("p_partkey", "p_name")
+
+
+def q_split_name(spark, sf_dir):
+    """owner/name split; names with zero or two slashes are rejected."""
+    c = ad.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 10
+    full = (F.when(k == 0, F.col("c_name"))
+             .when(k == 1, F.concat(F.lit("a/b/"), F.col("c_name")))
+             .otherwise(F.concat(F.lit("cust/"), F.col("c_name"))))
+    good, _ = split_owner_name(c.select("c_custkey", full.alias("full_name")), "full_name")
+    return good
+
+
+def q_recent_n_per_key(spark, sf_dir):
+    """The five most recent events of each user."""
+    ev = ad.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return recent_n_per_key(ev, ["user_id"], [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()],
+                            5, rank_col="rn")
+
+
+def _nested(spark, sf_dir):
+    return ad.nested_lists(spark, sf_dir)
+
+
+def q_nested_names(spark, sf_dir):
+    """Label names (NULL list -> empty list)."""
+    return _nested(spark, sf_dir).select("l_orderkey", "l_linenumber",
+                                         field_names("labels", "name").alias("labels_list"))
+
+
+def q_nested_json(spark, sf_dir):
+    """Labels as JSON text keeping NULL fields (NULL list -> '[]')."""
+    return _nested(spark, sf_dir).select("l_orderkey", "l_linenumber",
+                                         nested_to_json("labels").alias("labels_json"))
+
+
+def q_nested_count(spark, sf_dir):
+    """List lengths (NULL list -> 0)."""
+    return _nested(spark, sf_dir).select("l_orderkey", "l_linenumber",
+                                         nested_count("labels").alias("label_count"),
+                                         nested_count("edges").alias("edge_count"))
+
+
+def q_nested_topk(spark, sf_dir):
+    """Names of the two largest edges, largest first."""
+    top = topk_nested("edges", "size", 2)
+    return _nested(spark, sf_dir).select("l_orderkey", "l_linenumber",
+                                         F.transform(top, lambda x: x["node"]["name"]).alias("top_edges"))
+
+
+def q_nested_cap(spark, sf_dir):
+    """First two label names."""
+    return _nested(spark, sf_dir).select("l_orderkey", "l_linenumber",
+                                         cap_nested(field_names("labels", "name"), 2).alias("first_labels"))
+
+
+def q_child_rows(spark, sf_dir):
+    """One row per label with parent key and position (empty / NULL lists give none)."""
+    n = _nested(spark, sf_dir).select("l_orderkey", "l_linenumber", field_names("labels", "name").alias("names"))
+    return child_rows(n, ["l_orderkey", "l_linenumber"], "names", "pos", "label_name")
+
+
+def _props_with_key(spark, sf_dir):
+    ev = ad.table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    props = (F.when(eid % 5 == 0, F.regexp_replace("props", "}$", ', "pull_request": {"url": "x"}}'))
+              .when(eid % 5 == 1, F.regexp_replace("props", "}$", ', "pull_request": null}'))
+              .otherwise(F.col("props")))
+    return ev.select("event_id", "user_id", props.alias("record"))
+
+
+def q_key_presence_filter(spark, sf_dir):
+    """Keep records without a ``pull_request`` key (an explicit null still counts as present)."""
+    return lacks_json_key(_props_with_key(spark, sf_dir), "record", "pull_request")
+
+
+def _orders_loads(spark, sf_dir):
+    o = ad.table(spark, sf_dir, "orders")
+    existing = o.select("o_orderkey", "o_totalprice", F.col("o_orderdate").alias("fetched_at"),
+                        F.lit("base").alias("version"))
+    incoming = o.where(F.col("o_orderstatus") == "O").select(
+        "o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("fetched_at"), F.lit("update").alias("version"))
+    return existing, incoming
+
+
+def q_upsert_latest(spark, sf_dir):
+    """Merge a later load into an earlier one by key; the newer row wins."""
+    existing, incoming = _orders_loads(spark, sf_dir)
+    return merge_latest(existing, incoming, ["o_orderkey"], ["fetched_at"])
+
+
+def q_null_safe_defaults(spark, sf_dir):
+    """Flatten a possibly NULL author struct; commit count defaults to 0."""
+    prs = ad.gql_pull_requests(spark, sf_dir)
+    flat = flatten_struct(prs, "author", ["login", "name", "email", "company", "location"])
+    return flat.select(F.col("databaseId").alias("database_id"), "author__login", "author__name", "author__email",
+                       "author__company", "author__location",
+                       default_if_missing("commits.totalCount", 0).cast("long").alias("commit_count"),
+                       F.col("milestone.title").alias("milestone_title"))
+
+
+def q_quality_checks(spark, sf_dir):
+    """Q1-Q3: the declared data tests on raw and silver models, one failure count per test."""
+    raw_pr, raw_rel = ad.pull_requests_raw(spark, sf_dir), ad.releases_raw(spark, sf_dir)
+    prs, rels = silver_pull_requests(raw_pr), silver_releases(raw_rel)
+    parts = [
+        summarize(raw_pr, TableTests("pull_requests", not_null=["id", "repository_full_name"], unique=["id"])),
+        summarize(raw_rel, TableTests("releases", not_null=["id", "repository_full_name"], unique=["id"])),
+        summarize(prs, TableTests("stg_pull_requests", not_null=["repository", "number", "feat_classifier"],
+                                  accepted_values={"feat_classifier": list(CLASSES)})),
+        summarize(rels, TableTests("stg_releases", not_null=["repository", "tag", "row_num"])),
+        summarize(raw_pr.select("title"), TableTests("pull_requests", not_null=["title"])),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+SUPPLIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                   "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def q_row_counts(spark, sf_dir):
+    """Rows per supplied table, plus distinct repositories of the PR adapter."""
+    parts = [row_count(ad.table(spark, sf_dir, t), t) for t in SUPPLIED_TABLES]
+    repos = _silver_prs(spark, sf_dir).select("repository").distinct()
+    parts.append(row_count(repos, "distinct_repositories"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_legacy_pr_enrichment(spark, sf_dir):
+    """M9: GraphQL pull requests joined to their repositories, flattened and listed."""
+    return enrich_pull_requests(ad.gql_pull_requests(spark, sf_dir), ad.gql_repositories(spark, sf_dir))
+
+
+def q_legacy_release_enrichment(spark, sf_dir):
+    """GraphQL releases joined to their repositories, with asset counts."""
+    out = enrich_releases(ad.gql_releases(spark, sf_dir), ad.gql_repositories(spark, sf_dir))
+    return out.drop("assets_data")
+
+
+def q_repo_selection(spark, sf_dir):
+    """Search, filter, cap by stars, skip loaded repositories, derive topics."""
+    out = select_repositories(ad.gql_repositories(spark, sf_dir), ad.existing_repositories(spark, sf_dir),
+                              search="machinery", max_repos=100, include_archived=False, min_stars=1000)
+    return out.select("databaseId", "nameWithOwner", "stargazerCount", "repo_database_id", "topics")
+
+
+def q_issue_cleaning(spark, sf_dir):
+    """Drop pull requests listed as issues (key presence), cap 5 per repository, dedup by id."""
+    recs = lacks_json_key(ad.issue_records(spark, sf_dir), "record", "pull_request")
+    issues = recs.select(F.get_json_object("record", "$.id").cast("long").alias("id"),
+                         F.get_json_object("record", "$.title").alias("title"),
+                         "repository_full_name", "updated_at", "fetched_at", F.lit("open").alias("state"))
+    return clean_issues(issues, state="all", max_per_repo=5).select(
+        "id", "repository_full_name", "title", "updated_at")
+
+
 QUERIES: dict[str, QueryFn] = {
     "classify_titles": q_classify_titles,
     "silver_pull_requests": q_silver_pull_requests,
@@ -96,4 +315,28 @@ QUERIES: dict[str, QueryFn] = {
     "focus_vs_topk_releases": q_focus_vs_topk_releases,
     "median_gap_prs": q_median_gap_prs,
     "median_gap_releases": q_median_gap_releases,
+    "existence_flag": q_existence_flag,
+    "new_entities_anti": q_new_entities_anti,
+    "fk_enrich": q_fk_enrich,
+    "state_filter": q_state_filter,
+    "repo_filter": q_repo_filter,
+    "allow_list": q_allow_list,
+    "search_terms": q_search_terms,
+    "split_name": q_split_name,
+    "recent_n_per_key": q_recent_n_per_key,
+    "nested_names": q_nested_names,
+    "nested_json": q_nested_json,
+    "nested_count": q_nested_count,
+    "nested_topk": q_nested_topk,
+    "nested_cap": q_nested_cap,
+    "child_rows": q_child_rows,
+    "key_presence_filter": q_key_presence_filter,
+    "upsert_latest": q_upsert_latest,
+    "null_safe_defaults": q_null_safe_defaults,
+    "quality_checks": q_quality_checks,
+    "row_counts": q_row_counts,
+    "legacy_pr_enrichment": q_legacy_pr_enrichment,
+    "legacy_release_enrichment": q_legacy_release_enrichment,
+    "repo_selection": q_repo_selection,
+    "issue_cleaning": q_issue_cleaning,
 }

@@ -142,3 +142,193 @@ WHERE lower(feat_classifier) = 'feature' GROUP BY 1 ORDER BY count(*) DESC, repo
     "median_gap_releases": _with(STG_RELEASES + _median_gap(
         "stg_releases", "published_at", "median_days_between_releases", False), ""),
 }
+
+_TOP10_FEATURE = """,
+top_10 AS (SELECT repository FROM stg_pull_requests WHERE lower(feat_classifier) = 'feature'
+           GROUP BY 1 ORDER BY count(*) DESC, repository LIMIT 10)"""
+
+CUST_REPO = "'cust/Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')"
+
+NESTED = """
+nested AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_linenumber = 1 THEN NULL
+         WHEN l_linenumber = 2 THEN []::STRUCT(name VARCHAR)[]
+         ELSE [{'name': l_returnflag}, {'name': l_linestatus},
+               {'name': CASE WHEN l_quantity > 25 THEN NULL ELSE 'small' END}] END AS labels,
+    [{'size': CAST(l_quantity AS DOUBLE), 'node': {'name': 'quantity', 'color': l_returnflag}},
+     {'size': CAST(l_extendedprice / 100 AS DOUBLE), 'node': {'name': 'price', 'color': l_linestatus}},
+     {'size': CAST(l_tax * 100 AS DOUBLE), 'node': {'name': 'tax', 'color': CAST(NULL AS VARCHAR)}},
+     {'size': CAST(l_discount * 100 AS DOUBLE), 'node': {'name': 'discount', 'color': l_returnflag}}] AS edges
+  FROM lineitem)"""
+
+GQL_REPOS = """
+gql_repos AS (
+  SELECT c_custkey AS databaseId, 'cust/' || c_name AS nameWithOwner, 'segment ' || c_mktsegment AS description,
+    c_acctbal AS stargazerCount, c_mktsegment = 'AUTOMOBILE' AS isArchived,
+    [lower(c_mktsegment), 'nation-' || CAST(c_nationkey AS VARCHAR)] AS topics
+  FROM customer),
+existing AS (SELECT 'cust/' || c_name AS nameWithOwner FROM customer JOIN nation ON c_nationkey = n_nationkey
+             WHERE n_regionkey = 1)"""
+
+GQL_PRS = f"""
+gql_prs AS (
+  SELECT o_orderkey AS databaseId, o_orderkey AS number, 'Order ' || o_orderpriority AS title,
+    CASE o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'F' THEN 'MERGED' ELSE 'CLOSED' END AS state,
+    CASE WHEN o_orderstatus <> 'P' THEN {{'login': 'cust_' || CAST(o_custkey AS VARCHAR), 'name': CAST(NULL AS VARCHAR),
+      'email': CAST(NULL AS VARCHAR), 'company': o_orderpriority, 'location': CAST(NULL AS VARCHAR)}} END AS author,
+    'main' AS baseRefName, 'topic/' || CAST(o_orderkey AS VARCHAR) AS headRefName,
+    CASE WHEN o_orderstatus <> 'F' THEN {{'totalCount': o_custkey % 7}} END AS commits,
+    [{{'name': o_orderstatus, 'color': CAST(NULL AS VARCHAR), 'description': o_orderpriority}}] AS label_nodes,
+    ['cust_' || CAST(o_custkey AS VARCHAR), 'owner'] AS assignee_logins,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END AS milestone_title,
+    {CUST_REPO} AS repo
+  FROM orders)"""
+
+SQL.update({
+    "existence_flag": _with(STG_PULL_REQUESTS + _TOP10_FEATURE, """
+SELECT id, repository, repository IN (SELECT repository FROM top_10) AS in_top FROM stg_pull_requests"""),
+    "new_entities_anti": _with(GQL_REPOS + """,
+capped AS (SELECT databaseId, nameWithOwner, stargazerCount FROM gql_repos
+           ORDER BY stargazerCount DESC, databaseId LIMIT 500)""", """
+SELECT * FROM capped c WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.nameWithOwner = c.nameWithOwner)"""),
+    "fk_enrich": """
+SELECT o_orderkey AS database_id, c_custkey AS repo_database_id, 'cust/' || c_name AS repo, c_acctbal AS stars
+FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "state_filter": _with(STG_PULL_REQUESTS, "SELECT id, repository, state FROM stg_pull_requests WHERE state = 'closed'"),
+    "repo_filter": """
+SELECT c_custkey AS databaseId, 'cust/' || c_name AS nameWithOwner, c_acctbal AS stargazerCount
+FROM customer WHERE NOT coalesce(c_mktsegment = 'AUTOMOBILE', false) AND c_acctbal >= 5000""",
+    "allow_list": _with(STG_PULL_REQUESTS, """
+SELECT id, repository FROM stg_pull_requests WHERE repository IN ('org/repo_1', 'org/repo_2', 'org/repo_3')"""),
+    "search_terms": """
+SELECT p_partkey, p_name FROM part
+WHERE lower(concat_ws(' ', p_name, p_type, p_brand)) LIKE '%red%'
+  AND lower(concat_ws(' ', p_name, p_type, p_brand)) LIKE '%widget%'""",
+    "split_name": """
+WITH named AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN c_name WHEN c_custkey % 10 = 1 THEN 'a/b/' || c_name
+                         ELSE 'cust/' || c_name END AS full_name FROM customer)
+SELECT c_custkey, full_name, string_split(full_name, '/')[1] AS owner, string_split(full_name, '/')[2] AS name
+FROM named WHERE len(string_split(full_name, '/')) = 2""",
+    "recent_n_per_key": """
+SELECT * FROM (
+  SELECT event_id, user_id, ts,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn <= 5""",
+    "nested_names": _with(NESTED, """
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN labels IS NOT NULL THEN list_transform(labels, lambda x: x.name) ELSE [] END AS labels_list
+FROM nested"""),
+    "nested_json": _with(NESTED, """
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN labels IS NOT NULL THEN CAST(to_json(labels) AS VARCHAR) ELSE '[]' END AS labels_json FROM nested"""),
+    "nested_count": _with(NESTED, """
+SELECT l_orderkey, l_linenumber, CAST(coalesce(len(labels), 0) AS BIGINT) AS label_count,
+  CAST(coalesce(len(edges), 0) AS BIGINT) AS edge_count FROM nested"""),
+    "nested_topk": _with(NESTED, """
+SELECT l_orderkey, l_linenumber,
+  list_transform(list_slice(list_reverse_sort(list_transform(edges, lambda x: {'_k': x.size, '_v': x})), 1, 2),
+                 lambda x: x._v.node.name) AS top_edges
+FROM nested"""),
+    "nested_cap": _with(NESTED, """
+SELECT l_orderkey, l_linenumber,
+  list_slice(CASE WHEN labels IS NOT NULL THEN list_transform(labels, lambda x: x.name) ELSE [] END, 1, 2)
+    AS first_labels
+FROM nested"""),
+    "child_rows": _with(NESTED, """
+SELECT l_orderkey, l_linenumber, CAST(unnest(range(len(labels))) AS BIGINT) AS pos,
+  unnest(list_transform(labels, lambda x: x.name)) AS label_name
+FROM nested WHERE len(labels) > 0"""),
+    "key_presence_filter": """
+WITH recs AS (
+  SELECT event_id, user_id,
+    CASE WHEN event_id % 5 = 0 THEN regexp_replace(props, '}$', ', "pull_request": {"url": "x"}}')
+         WHEN event_id % 5 = 1 THEN regexp_replace(props, '}$', ', "pull_request": null}')
+         ELSE props END AS record
+  FROM events)
+SELECT * FROM recs WHERE NOT coalesce(list_contains(json_keys(record), 'pull_request'), false)""",
+    "upsert_latest": """
+WITH loads AS (
+  SELECT o_orderkey, o_totalprice, o_orderdate AS fetched_at, 'base' AS version FROM orders
+  UNION ALL
+  SELECT o_orderkey, o_totalprice * 2, o_orderdate + INTERVAL 1 DAY, 'update' FROM orders WHERE o_orderstatus = 'O')
+SELECT o_orderkey, o_totalprice, fetched_at, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY fetched_at DESC) AS rn FROM loads)
+WHERE rn = 1""",
+    "null_safe_defaults": _with(GQL_PRS, """
+SELECT databaseId AS database_id, author.login AS author__login, author.name AS author__name,
+  author.email AS author__email, author.company AS author__company, author.location AS author__location,
+  CAST(coalesce(commits.totalCount, 0) AS BIGINT) AS commit_count, milestone_title
+FROM gql_prs"""),
+    "quality_checks": _with(STG_PULL_REQUESTS + "," + STG_RELEASES.lstrip(), """
+SELECT 'not_null' AS test, 'pull_requests' AS model, 'id' AS column_name,
+       CAST(count(*) FILTER (WHERE id IS NULL) AS BIGINT) AS failures FROM pr_raw
+UNION ALL SELECT 'not_null', 'pull_requests', 'repository_full_name',
+       count(*) FILTER (WHERE repository_full_name IS NULL) FROM pr_raw
+UNION ALL SELECT 'unique', 'pull_requests', 'id',
+       (SELECT count(*) FROM (SELECT id FROM pr_raw WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1))
+UNION ALL SELECT 'not_null', 'releases', 'id', count(*) FILTER (WHERE id IS NULL) FROM rel_raw
+UNION ALL SELECT 'not_null', 'releases', 'repository_full_name',
+       count(*) FILTER (WHERE repository_full_name IS NULL) FROM rel_raw
+UNION ALL SELECT 'unique', 'releases', 'id',
+       (SELECT count(*) FROM (SELECT id FROM rel_raw WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1))
+UNION ALL SELECT 'not_null', 'stg_pull_requests', 'repository', count(*) FILTER (WHERE repository IS NULL)
+       FROM stg_pull_requests
+UNION ALL SELECT 'not_null', 'stg_pull_requests', 'number', count(*) FILTER (WHERE number IS NULL)
+       FROM stg_pull_requests
+UNION ALL SELECT 'not_null', 'stg_pull_requests', 'feat_classifier',
+       count(*) FILTER (WHERE feat_classifier IS NULL) FROM stg_pull_requests
+UNION ALL SELECT 'accepted_values', 'stg_pull_requests', 'feat_classifier',
+       count(*) FILTER (WHERE feat_classifier NOT IN
+         ('bug fix', 'feature', 'refactor', 'test', 'documentation', 'not clear')) FROM stg_pull_requests
+UNION ALL SELECT 'not_null', 'stg_releases', 'repository', count(*) FILTER (WHERE repository IS NULL)
+       FROM stg_releases
+UNION ALL SELECT 'not_null', 'stg_releases', 'tag', count(*) FILTER (WHERE tag IS NULL) FROM stg_releases
+UNION ALL SELECT 'not_null', 'stg_releases', 'row_num', count(*) FILTER (WHERE row_num IS NULL) FROM stg_releases
+UNION ALL SELECT 'not_null', 'pull_requests', 'title', count(*) FILTER (WHERE title IS NULL) FROM pr_raw"""),
+    "row_counts": _with(STG_PULL_REQUESTS, "\n" + "\nUNION ALL ".join(
+        [f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in
+         ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations"]]
+        + ["SELECT 'distinct_repositories', count(DISTINCT repository) + max(CASE WHEN repository IS NULL "
+           "THEN 1 ELSE 0 END) FROM stg_pull_requests"])),
+    "legacy_pr_enrichment": _with(GQL_PRS + ",\n" + """
+repos AS (SELECT c_custkey AS databaseId, 'cust/' || c_name AS nameWithOwner FROM customer)""", """
+SELECT p.databaseId AS database_id, number, title, state, repo, r.databaseId AS repo_database_id,
+  author.login AS author__login, author.name AS author__name, author.email AS author__email,
+  author.company AS author__company, author.location AS author__location,
+  baseRefName AS base_branch, headRefName AS head_branch,
+  CAST(coalesce(commits.totalCount, 0) AS BIGINT) AS commit_count,
+  list_transform(label_nodes, lambda x: x.name) AS labels_list,
+  CAST(to_json(label_nodes) AS VARCHAR) AS labels_json,
+  milestone_title, assignee_logins AS assignees_list
+FROM gql_prs p JOIN repos r ON p.repo = r.nameWithOwner"""),
+    "legacy_release_enrichment": f"""
+WITH rel AS (
+  SELECT o_orderkey AS database_id, 'v' || CAST(o_orderkey AS VARCHAR) AS tag_name,
+    'Release ' || CAST(o_orderkey AS VARCHAR) AS name, {CUST_REPO} AS repo,
+    'cust_' || CAST(o_custkey AS VARCHAR) AS author__login, CAST(NULL AS VARCHAR) AS author__name,
+    CAST(CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS BIGINT) AS assets_count
+  FROM orders)
+SELECT database_id, tag_name, name, repo, c_custkey AS repo_database_id, author__login, author__name, assets_count
+FROM rel JOIN customer ON repo = 'cust/' || c_name""",
+    "repo_selection": _with(GQL_REPOS + """,
+cand AS (
+  SELECT * FROM gql_repos
+  WHERE NOT coalesce(isArchived, false) AND stargazerCount >= 1000
+    AND lower(concat_ws(' ', nameWithOwner, description, array_to_string(topics, ' '))) LIKE '%machinery%'
+  ORDER BY stargazerCount DESC, databaseId LIMIT 100)""", """
+SELECT databaseId, nameWithOwner, stargazerCount, databaseId AS repo_database_id, topics FROM cand c
+WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.nameWithOwner = c.nameWithOwner)"""),
+    "issue_cleaning": """
+WITH recs AS (
+  SELECT event_id, 'org/repo_' || CAST(user_id % 25 AS VARCHAR) AS repository_full_name, ts AS updated_at,
+    event_type AS title, event_id % 4 AS kind
+  FROM events),
+kept AS (SELECT * FROM recs WHERE kind NOT IN (0, 1)),
+capped AS (
+  SELECT *, row_number() OVER (PARTITION BY repository_full_name ORDER BY updated_at DESC, event_id DESC) AS rn
+  FROM kept)
+SELECT event_id AS id, repository_full_name, title, updated_at FROM capped WHERE rn <= 5""",
+})
