@@ -23,6 +23,18 @@ def _repo_from_partition(col: str = "repo") -> F.Column:
     return F.regexp_replace(F.col(col), REPO_SEP, "/")
 
 
+def page_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Pages whose text is not a JSON array (empty text is an empty page, not a reject).
+
+    Taken from the raw text rather than the reader's corrupt-record column,
+    which Spark will not scan on its own (e.g. for a count of rejects).
+    """
+    pages = (spark.read.option("wholetext", True).text(path)
+             .withColumn("_source_file", F.col("_metadata.file_path")))
+    bad = F.from_json("value", "array<string>").isNull() & (F.trim("value") != "")
+    return pages.where(bad).select("_source_file", F.col("value").alias(CORRUPT))
+
+
 def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType | None = None
                ) -> tuple[DataFrame, DataFrame]:
     """Read one entity's pages with an explicit schema; returns ``(records, rejects)``.
@@ -40,7 +52,7 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
            .json(f"{root.rstrip('/')}/entity={entity}")
            .withColumn("_source_file", F.col("_metadata.file_path"))
            .withColumn("_file_time", F.col("_metadata.file_modification_time")))
-    rejects = raw.where(F.col(CORRUPT).isNotNull()).select("_source_file", CORRUPT)
+    rejects = page_rejects(spark, f"{root.rstrip('/')}/entity={entity}")
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if "repository_full_name" in sch.fieldNames() and "repo" in good.columns:
         good = good.withColumn("repository_full_name",
