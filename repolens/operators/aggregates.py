@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .keys import join_null_safe
 from .ranking import LOCAL, PART, range_sorted, segments
@@ -25,36 +25,43 @@ def top_k_groups(df: DataFrame, key: str, k: int, out: str = "n") -> DataFrame:
 
 
 def exact_quantile_by(df: DataFrame, keys: list[str], value: str, q: float = 0.5,
-                      out: str = "quantile", bounded_keys: bool = False) -> DataFrame:
+                      out: str = "quantile", bounded_keys: bool = False, keep_empty_keys: bool = False
+                      ) -> DataFrame:
     """A4: exact continuous quantile per key, NULL values ignored (``quantile_cont``).
 
     Position ``(n - 1) * q`` between the sorted values at ``floor`` and ``ceil``,
     interpolated as ``lo * (1 - d) + hi * d``. No group is ever gathered in one
-    place: values are range-sorted (a hot key spans many partitions), the small
-    segment table says which partition holds the two needed positions, and only
-    those rows are picked. Keys with no non-NULL value produce no row.
+    place: rows are range-sorted on (key, value) with NULLs last, so a hot key
+    spans many partitions; the small segment table says which partition holds
+    the two needed positions, and only those rows are picked. NULL values sort
+    after every value of their key, so positions ``0 .. n-1`` are the non-NULL
+    ones. A key whose values are all NULL yields a NULL row when
+    ``keep_empty_keys`` (SQL ``GROUP BY`` semantics), else no row.
     """
-    vals = df.where(F.col(value).isNotNull()).select(*keys, value)
-    s = range_sorted(vals, keys, [value])
-    seg = segments(s, keys)
-    pos = (F.col("_n") - 1).cast("double") * F.lit(float(q))
-    seg = (seg.withColumn("_lo", F.floor(pos).cast("long"))
-              .withColumn("_hi", F.ceil(pos).cast("long"))
-              .withColumn("_d", pos - F.floor(pos)))
-    picks = []
-    for which in ("_lo", "_hi"):
-        inside = (F.col(which) >= F.col("_off")) & (F.col(which) < F.col("_off") + F.col("_cnt"))
-        picks.append(seg.where(inside).select(
-            *keys, PART, (F.col("_first") + F.col(which) - F.col("_off")).alias(LOCAL),
-            F.lit(which).alias("_which"), "_d"))
-    targets = picks[0].unionByName(picks[1])
+    s = range_sorted(df.select(*keys, value), keys, [value])
+    seg = segments(s, keys, extra_aggs=[F.count(value).alias("_nn")])
+    seg = seg.withColumn("_n_vals", F.sum("_nn").over(Window.partitionBy(*keys)))
+    pos = (F.col("_n_vals") - 1).cast("double") * F.lit(float(q))
+    ends = F.array(F.struct(F.lit("_lo").alias("which"), F.floor(pos).cast("long").alias("p")),
+                   F.struct(F.lit("_hi").alias("which"), F.ceil(pos).cast("long").alias("p")))
+    per_end = (seg.where(F.col("_n_vals") > 0)
+                  .select(*keys, PART, "_first", "_off", "_cnt", (pos - F.floor(pos)).alias("_d"),
+                          F.explode(ends).alias("_end")))
+    inside = (F.col("_end.p") >= F.col("_off")) & (F.col("_end.p") < F.col("_off") + F.col("_cnt"))
+    targets = per_end.where(inside).select(
+        *keys, PART, (F.col("_first") + F.col("_end.p") - F.col("_off")).alias(LOCAL),
+        F.col("_end.which").alias("_which"), "_d")
     chosen = join_null_safe(s, targets, keys + [PART, LOCAL], "inner", broadcast_right=bounded_keys)
     agg = chosen.groupBy(*keys).agg(
         F.max(F.when(F.col("_which") == "_lo", F.col(value))).alias("_vlo"),
         F.max(F.when(F.col("_which") == "_hi", F.col(value))).alias("_vhi"),
         F.max("_d").alias("_d"))
-    result = F.col("_vlo") * (F.lit(1.0) - F.col("_d")) + F.col("_vhi") * F.col("_d")
-    return agg.select(*keys, result.alias(out))
+    result = agg.select(*keys, (F.col("_vlo") * (F.lit(1.0) - F.col("_d")) + F.col("_vhi") * F.col("_d")).alias(out))
+    if keep_empty_keys:
+        empty = (seg.where(F.col("_n_vals") == 0).select(*keys).distinct()
+                    .select(*keys, F.lit(None).cast("double").alias(out)))
+        result = result.unionByName(empty)
+    return result
 
 
 def row_count(df: DataFrame, name: str, name_col: str = "table_name", out: str = "row_count") -> DataFrame:

@@ -17,7 +17,6 @@ from ..functions.timefmt import days_between, month_start, to_timestamp_strict
 from ..operators.aggregates import count_by, exact_quantile_by, top_k_groups
 from ..operators.filters import equals_folded
 from ..operators.joins import apply_cohort, cohort
-from ..operators.keys import join_null_safe
 from ..operators.ordering import asc
 from ..operators.windows import lag_within
 
@@ -89,10 +88,9 @@ def median_gap(df: DataFrame, key: str = "repository", ts_col: str = "closed_at"
     ranked = lag_within(kept, [key], ts_col, out="_prev", bounded_keys=True)
     intervals = (ranked.where(F.col("_prev").isNotNull())
                        .select(key, days_between(ts_col, "_prev").alias("_days")))
-    med = exact_quantile_by(intervals, [key], "_days", 0.5, out="_median", bounded_keys=True)
-    keys = intervals.select(key).distinct()
-    out = join_null_safe(keys, med, [key], "left", broadcast_right=True)
-    out = out.select(key, round_half_away("_median", digits).alias(out_col))
+    med = exact_quantile_by(intervals, [key], "_days", 0.5, out="_median", bounded_keys=True,
+                            keep_empty_keys=True)
+    out = med.select(key, round_half_away("_median", digits).alias(out_col))
     if order:
         out = out.orderBy(asc(out_col))
     return out
