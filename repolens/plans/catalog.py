@@ -304,6 +304,17 @@ def q_issue_cleaning(spark, sf_dir):
         "id", "repository_full_name", "title", "updated_at")
 
 
+def q_model_row_counts(spark, sf_dir):
+    """M13 (without the writes): silver + gold models over the adapters, rows per exported model."""
+    from .job import EXPORTED_MODELS, all_models
+    models = all_models(ad.pull_requests_raw(spark, sf_dir), ad.releases_raw(spark, sf_dir), **_PR_GOLD)
+    parts = [row_count(models[m], m, name_col="model") for m in EXPORTED_MODELS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 QUERIES: dict[str, QueryFn] = {
     "classify_titles": q_classify_titles,
     "silver_pull_requests": q_silver_pull_requests,
@@ -339,4 +350,5 @@ QUERIES: dict[str, QueryFn] = {
     "legacy_release_enrichment": q_legacy_release_enrichment,
     "repo_selection": q_repo_selection,
     "issue_cleaning": q_issue_cleaning,
+    "model_row_counts": q_model_row_counts,
 }

@@ -332,3 +332,19 @@ capped AS (
   FROM kept)
 SELECT event_id AS id, repository_full_name, title, updated_at FROM capped WHERE rn <= 5""",
 })
+
+
+def _model_count(name: str, model_sql: str) -> str:
+    return f"SELECT '{name}' AS model, count(*) AS row_count FROM ({model_sql.strip()})"
+
+
+SQL["model_row_counts"] = "\nUNION ALL\n".join([
+    _model_count("stg_pull_requests", SQL["silver_pull_requests"]),
+    _model_count("stg_releases", SQL["dedup_latest_release"]),
+    _model_count("feature_prs_monthly", SQL["monthly_counts"]),
+    _model_count("feature_releases_monthly", SQL["monthly_releases"]),
+    _model_count("feature_prs_lace_vs_top10", SQL["focus_vs_topk_prs"]),
+    _model_count("feature_releases_lace_vs_top10", SQL["focus_vs_topk_releases"]),
+    _model_count("median_feature_prs_lace_vs_top10", SQL["median_gap_prs"]),
+    _model_count("median_releases_lace_vs_top10", SQL["median_gap_releases"]),
+])
