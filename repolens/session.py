@@ -37,17 +37,23 @@ def get_spark(master: str | None = None, app: str = "repolens",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we pick our own folder; on a
-    cluster the setting must point to shared storage and is never overridden.
+    Only when the setting is absent on a local master (tests) do we pick our
+    own folder; on a cluster the setting must point to shared storage and is
+    never overridden. Without a SparkContext (Spark Connect) the server's
+    setting is used as is.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no driver-side context
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
