@@ -12,9 +12,7 @@ def new_entities(candidates: DataFrame, existing: DataFrame, key: str, max_n: in
     The cap is applied before the anti join: skipped entities still use up the
     budget, as in the reference. The capped side is bounded by ``max_n``.
     """
-    capped = candidates.orderBy(*order)
-    if max_n:
-        capped = capped.limit(max_n)
+    capped = candidates.orderBy(*order).limit(max_n) if max_n else candidates  # no cap: no global sort
     return capped.join(existing.select(key), on=key, how="left_anti")
 
 

@@ -304,6 +304,13 @@ def q_issue_cleaning(spark, sf_dir):
         "id", "repository_full_name", "title", "updated_at")
 
 
+def q_classify_documents(spark, sf_dir):
+    """F1-F3 on real text: the rule chain over each document's whole text (every row, every character)."""
+    from ..functions.classify import classify_title
+    docs = ad.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", "lang", classify_title("text").alias("feat_classifier"))
+
+
 def q_model_row_counts(spark, sf_dir):
     """M13 (without the writes): silver + gold models over the adapters, rows per exported model."""
     from .job import EXPORTED_MODELS, all_models
@@ -351,4 +358,5 @@ QUERIES: dict[str, QueryFn] = {
     "repo_selection": q_repo_selection,
     "issue_cleaning": q_issue_cleaning,
     "model_row_counts": q_model_row_counts,
+    "classify_documents": q_classify_documents,
 }

@@ -348,3 +348,15 @@ SQL["model_row_counts"] = "\nUNION ALL\n".join([
     _model_count("median_feature_prs_lace_vs_top10", SQL["median_gap_prs"]),
     _model_count("median_releases_lace_vs_top10", SQL["median_gap_releases"]),
 ])
+
+SQL["classify_documents"] = """
+SELECT doc_id, lang,
+  CASE
+    WHEN lower(text) LIKE '%fix%' OR lower(text) LIKE '%bug%' THEN 'bug fix'
+    WHEN lower(text) LIKE '%feat%' OR lower(text) LIKE '%add%' OR lower(text) LIKE '%implement%' THEN 'feature'
+    WHEN lower(text) LIKE '%refactor%' OR lower(text) LIKE '%clean%' THEN 'refactor'
+    WHEN lower(text) LIKE '%test%' THEN 'test'
+    WHEN lower(text) LIKE '%doc%' THEN 'documentation'
+    ELSE 'not clear'
+  END AS feat_classifier
+FROM documents"""
