@@ -25,8 +25,8 @@ def top_k_groups(df: DataFrame, key: str, k: int, out: str = "n") -> DataFrame:
 
 
 def exact_quantile_by(df: DataFrame, keys: list[str], value: str, q: float = 0.5,
-                      out: str = "quantile", bounded_keys: bool = False, keep_empty_keys: bool = False
-                      ) -> DataFrame:
+                      out: str = "quantile", bounded_keys: bool = False, keep_empty_keys: bool = False,
+                      tiebreak: list[str] | None = None) -> DataFrame:
     """A4: exact continuous quantile per key, NULL values ignored (``quantile_cont``).
 
     Position ``(n - 1) * q`` between the sorted values at ``floor`` and ``ceil``,
@@ -36,9 +36,11 @@ def exact_quantile_by(df: DataFrame, keys: list[str], value: str, q: float = 0.5
     the two needed positions, and only those rows are picked. NULL values sort
     after every value of their key, so positions ``0 .. n-1`` are the non-NULL
     ones. A key whose values are all NULL yields a NULL row when
-    ``keep_empty_keys`` (SQL ``GROUP BY`` semantics), else no row.
+    ``keep_empty_keys`` (SQL ``GROUP BY`` semantics), else no row. ``tiebreak``
+    columns split runs of equal values across partitions (results unchanged).
     """
-    s = range_sorted(df.select(*keys, value), keys, [value])
+    tb = list(tiebreak or [])
+    s = range_sorted(df.select(*keys, value, *tb), keys, [value], tb)
     seg = segments(s, keys, extra_aggs=[F.count(value).alias("_nn")])
     seg = seg.withColumn("_n_vals", F.sum("_nn").over(Window.partitionBy(*keys)))
     pos = (F.col("_n_vals") - 1).cast("double") * F.lit(float(q))

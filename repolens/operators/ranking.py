@@ -24,10 +24,18 @@ _POS = "_seg_pos"
 _ROW_BITS = 33  # monotonically_increasing_id: partition index above bit 33, row index below
 
 
-def range_sorted(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Range-partition and sort on ``keys + order`` (ascending, NULLs last), tag rows, checkpoint."""
+def range_sorted(df: DataFrame, keys: list[str], order: list[str], tiebreak: list[str] | None = None
+                 ) -> DataFrame:
+    """Range-partition and sort on ``keys + order + tiebreak`` (ascending, NULLs last), tag rows, checkpoint.
+
+    Range bounds cannot split rows whose sort key is identical, so a hot group
+    of copies (same key, same time) would still land in one task; a
+    ``tiebreak`` column that differs between copies (a record id) lets the
+    bounds split them too. It never changes results: tied rows are
+    interchangeable for lag values and for order statistics.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    sort_cols = [F.col(c).asc_nulls_last() for c in list(keys) + list(order)]
+    sort_cols = [F.col(c).asc_nulls_last() for c in list(keys) + list(order) + list(tiebreak or [])]
     tagged = (df.repartitionByRange(*sort_cols)
                 .sortWithinPartitions(*sort_cols)
                 .withColumn(_POS, F.monotonically_increasing_id()))
@@ -47,13 +55,13 @@ def segments(sorted_df: DataFrame, keys: list[str], extra_aggs: list | None = No
 
 
 def with_position(df: DataFrame, keys: list[str], order: list[str], out: str = "position",
-                  bounded_keys: bool = False) -> DataFrame:
+                  bounded_keys: bool = False, tiebreak: list[str] | None = None) -> DataFrame:
     """Add the 0-based position of each row inside its key, ordered by ``order`` (NULLs last).
 
     ``bounded_keys`` says the number of distinct keys is known to be small (for
     example a top-k cohort), which bounds the segment table and allows a broadcast.
     """
-    s = range_sorted(df, keys, order)
+    s = range_sorted(df, keys, order, tiebreak)
     seg = segments(s, keys).select(*keys, PART, "_first", "_off")
     out_df = join_null_safe(s, seg, keys + [PART], "inner", broadcast_right=bounded_keys)
     return (out_df.withColumn(out, F.col("_off") + F.col(LOCAL) - F.col("_first"))

@@ -29,14 +29,16 @@ def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str],
 
 
 def lag_within(df: DataFrame, keys: list[str], order: str, out: str = "prev",
-               bounded_keys: bool = False) -> DataFrame:
+               bounded_keys: bool = False, tiebreak: list[str] | None = None) -> DataFrame:
     """``lag(order) over (partition by keys order by order asc nulls last)`` without hot tasks.
 
     Rows are range-sorted (see :mod:`.ranking`); the lag is taken inside each
     (key, partition) segment, and the first row of a segment takes the last
     value of the key's previous segment from a small per-segment table.
+    ``tiebreak`` (e.g. a record id) lets rows with equal key and order value
+    be split across partitions too; see :func:`.ranking.range_sorted`.
     """
-    s = range_sorted(df, keys, [order])
+    s = range_sorted(df, keys, [order], tiebreak)
     w = Window.partitionBy(*keys, PART).orderBy(LOCAL)
     inner = (s.withColumn("_prev_in", F.lag(order).over(w))
               .withColumn("_head", F.lag(LOCAL).over(w).isNull()))

@@ -28,10 +28,12 @@ DEFAULT_MEMBER_LABEL = "top_10"
 FEATURE_CLASS = "feature"
 
 
-def _base(df: DataFrame, key: str, ts_col: str, class_col: str | None, class_value: str | None) -> DataFrame:
+def _base(df: DataFrame, key: str, ts_col: str, class_col: str | None, class_value: str | None,
+          carry: list[str] | None = None) -> DataFrame:
     if class_col is not None:
         df = equals_folded(df, class_col, class_value or FEATURE_CLASS)
-    return df.select(key, to_timestamp_strict(ts_col).alias(ts_col))
+    extra = [c for c in (carry or []) if c in df.columns]
+    return df.select(key, to_timestamp_strict(ts_col).alias(ts_col), *extra)
 
 
 def monthly_counts(df: DataFrame, key: str = "repository", ts_col: str = "closed_at",
@@ -75,21 +77,26 @@ def median_gap(df: DataFrame, key: str = "repository", ts_col: str = "closed_at"
                out_col: str = "median_days_between_feature_prs", class_col: str | None = "feat_classifier",
                class_value: str | None = FEATURE_CLASS, focus: str | None = DEFAULT_FOCUS,
                focus_label: str = DEFAULT_FOCUS_LABEL, k: int = DEFAULT_K,
-               member_label: str = DEFAULT_MEMBER_LABEL, digits: int = 2, order: bool = False) -> DataFrame:
+               member_label: str = DEFAULT_MEMBER_LABEL, digits: int = 2, order: bool = False,
+               id_col: str = "id") -> DataFrame:
     """M5 / M8: median of the day gaps between consecutive timestamps of each cohort key.
 
     ``lag`` orders NULLs last, so the first NULL timestamp after the last real
     one still forms a pair whose gap is NULL; a key whose gaps are all NULL
     keeps a row with a NULL median, a key with a single row has none.
+
+    The record id (``id_col``, when present) rides along as a tie-break so that
+    a hot run of equal timestamps or equal gaps still splits across tasks.
     """
-    base = _base(df, key, ts_col, class_col, class_value)
+    base = _base(df, key, ts_col, class_col, class_value, carry=[id_col])
+    tb = [id_col] if id_col in base.columns else []
     members = _members(base, key, k, focus, focus_label, member_label)
     kept = apply_cohort(base, members, key)
-    ranked = lag_within(kept, [key], ts_col, out="_prev", bounded_keys=True)
+    ranked = lag_within(kept, [key], ts_col, out="_prev", bounded_keys=True, tiebreak=tb)
     intervals = (ranked.where(F.col("_prev").isNotNull())
-                       .select(key, days_between(ts_col, "_prev").alias("_days")))
+                       .select(key, days_between(ts_col, "_prev").alias("_days"), *tb))
     med = exact_quantile_by(intervals, [key], "_days", 0.5, out="_median", bounded_keys=True,
-                            keep_empty_keys=True)
+                            keep_empty_keys=True, tiebreak=tb)
     out = med.select(key, round_half_away("_median", digits).alias(out_col))
     if order:
         out = out.orderBy(asc(out_col))

@@ -90,3 +90,18 @@ def test_positions_are_dense_per_key(spark, skewed):
                                F.count("*").alias("n"), F.countDistinct("pos").alias("d")).collect()
     for r in agg:
         assert r["lo"] == 0 and r["hi"] == r["n"] - 1 and r["d"] == r["n"]
+
+
+def test_group_of_copies_splits_with_tiebreak(spark):
+    """A third of the rows share one (key, value): an id tie-break lets range bounds split them."""
+    from repolens.operators.ranking import PART, range_sorted
+    rows = [("hot", 5.0, i) for i in range(1500)] + [(f"k{i % 30}", float(i % 97), 10000 + i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v double, id long")
+    plain = range_sorted(df, ["k"], ["v"]).where("k = 'hot'").select(PART).distinct().count()
+    split = range_sorted(df, ["k"], ["v"], ["id"]).where("k = 'hot'").select(PART).distinct().count()
+    assert plain == 1 and split >= 2
+    q = {r["k"]: r["quantile"] for r in exact_quantile_by(df, ["k"], "v", 0.5, tiebreak=["id"]).collect()}
+    assert q["hot"] == 5.0
+    lag = lag_within(df.where("k = 'hot'"), ["k"], "v", out="prev", tiebreak=["id"])
+    prevs = [r["prev"] for r in lag.collect()]
+    assert prevs.count(None) == 1 and prevs.count(5.0) == 1499
