@@ -244,16 +244,22 @@ def q_null_safe_defaults(spark, sf_dir):
 
 
 def q_quality_checks(spark, sf_dir):
-    """Q1-Q3: the declared data tests on raw and silver models, one failure count per test."""
+    """Q1-Q3: the 22 declared data tests (sources, bronze copies, silver), one failure count each."""
     raw_pr, raw_rel = ad.pull_requests_raw(spark, sf_dir), ad.releases_raw(spark, sf_dir)
+    raw_repo = ad.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.concat(F.lit("cust/"), F.col("c_name")).alias("full_name"))
     prs, rels = silver_pull_requests(raw_pr), silver_releases(raw_rel)
     parts = [
         summarize(raw_pr, TableTests("pull_requests", not_null=["id", "repository_full_name"], unique=["id"])),
         summarize(raw_rel, TableTests("releases", not_null=["id", "repository_full_name"], unique=["id"])),
+        summarize(raw_repo, TableTests("repositories", not_null=["id", "full_name"], unique=["id"])),
+        # bronze models are full copies of the sources (SELECT *)
+        summarize(raw_pr, TableTests("stg_github_pull_requests", not_null=["id"], unique=["id"])),
+        summarize(raw_rel, TableTests("stg_github_releases", not_null=["id"], unique=["id"])),
+        summarize(raw_repo, TableTests("stg_github_repositories", not_null=["id"], unique=["id"])),
         summarize(prs, TableTests("stg_pull_requests", not_null=["repository", "number", "feat_classifier"],
                                   accepted_values={"feat_classifier": list(CLASSES)})),
         summarize(rels, TableTests("stg_releases", not_null=["repository", "tag", "row_num"])),
-        summarize(raw_pr.select("title"), TableTests("pull_requests", not_null=["title"])),
     ]
     out = parts[0]
     for p in parts[1:]:

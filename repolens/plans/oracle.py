@@ -261,32 +261,31 @@ SELECT databaseId AS database_id, author.login AS author__login, author.name AS
   author.email AS author__email, author.company AS author__company, author.location AS author__location,
   CAST(coalesce(commits.totalCount, 0) AS BIGINT) AS commit_count, milestone_title
 FROM gql_prs"""),
-    "quality_checks": _with(STG_PULL_REQUESTS + "," + STG_RELEASES.lstrip(), """
-SELECT 'not_null' AS test, 'pull_requests' AS model, 'id' AS column_name,
-       CAST(count(*) FILTER (WHERE id IS NULL) AS BIGINT) AS failures FROM pr_raw
-UNION ALL SELECT 'not_null', 'pull_requests', 'repository_full_name',
-       count(*) FILTER (WHERE repository_full_name IS NULL) FROM pr_raw
-UNION ALL SELECT 'unique', 'pull_requests', 'id',
-       (SELECT count(*) FROM (SELECT id FROM pr_raw WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1))
-UNION ALL SELECT 'not_null', 'releases', 'id', count(*) FILTER (WHERE id IS NULL) FROM rel_raw
-UNION ALL SELECT 'not_null', 'releases', 'repository_full_name',
-       count(*) FILTER (WHERE repository_full_name IS NULL) FROM rel_raw
-UNION ALL SELECT 'unique', 'releases', 'id',
-       (SELECT count(*) FROM (SELECT id FROM rel_raw WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1))
-UNION ALL SELECT 'not_null', 'stg_pull_requests', 'repository', count(*) FILTER (WHERE repository IS NULL)
-       FROM stg_pull_requests
-UNION ALL SELECT 'not_null', 'stg_pull_requests', 'number', count(*) FILTER (WHERE number IS NULL)
-       FROM stg_pull_requests
-UNION ALL SELECT 'not_null', 'stg_pull_requests', 'feat_classifier',
-       count(*) FILTER (WHERE feat_classifier IS NULL) FROM stg_pull_requests
-UNION ALL SELECT 'accepted_values', 'stg_pull_requests', 'feat_classifier',
-       count(*) FILTER (WHERE feat_classifier NOT IN
-         ('bug fix', 'feature', 'refactor', 'test', 'documentation', 'not clear')) FROM stg_pull_requests
-UNION ALL SELECT 'not_null', 'stg_releases', 'repository', count(*) FILTER (WHERE repository IS NULL)
-       FROM stg_releases
-UNION ALL SELECT 'not_null', 'stg_releases', 'tag', count(*) FILTER (WHERE tag IS NULL) FROM stg_releases
-UNION ALL SELECT 'not_null', 'stg_releases', 'row_num', count(*) FILTER (WHERE row_num IS NULL) FROM stg_releases
-UNION ALL SELECT 'not_null', 'pull_requests', 'title', count(*) FILTER (WHERE title IS NULL) FROM pr_raw"""),
+    "quality_checks": _with(STG_PULL_REQUESTS + "," + STG_RELEASES.lstrip() + """,
+raw_repo AS (SELECT c_custkey AS id, 'cust/' || c_name AS full_name FROM customer)""",
+        "\nUNION ALL ".join(
+            [f"SELECT 'not_null' AS test, '{m}' AS model, '{c}' AS column_name, "
+             f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {src}"
+             for m, src, c in [("pull_requests", "pr_raw", "id"), ("pull_requests", "pr_raw", "repository_full_name"),
+                               ("releases", "rel_raw", "id"), ("releases", "rel_raw", "repository_full_name"),
+                               ("repositories", "raw_repo", "id"), ("repositories", "raw_repo", "full_name"),
+                               ("stg_github_pull_requests", "pr_raw", "id"),
+                               ("stg_github_releases", "rel_raw", "id"),
+                               ("stg_github_repositories", "raw_repo", "id"),
+                               ("stg_pull_requests", "stg_pull_requests", "repository"),
+                               ("stg_pull_requests", "stg_pull_requests", "number"),
+                               ("stg_pull_requests", "stg_pull_requests", "feat_classifier"),
+                               ("stg_releases", "stg_releases", "repository"),
+                               ("stg_releases", "stg_releases", "tag"),
+                               ("stg_releases", "stg_releases", "row_num")]]
+            + [f"SELECT 'unique', '{m}', 'id', (SELECT count(*) FROM (SELECT id FROM {src} WHERE id IS NOT NULL "
+               f"GROUP BY id HAVING count(*) > 1))"
+               for m, src in [("pull_requests", "pr_raw"), ("releases", "rel_raw"), ("repositories", "raw_repo"),
+                              ("stg_github_pull_requests", "pr_raw"), ("stg_github_releases", "rel_raw"),
+                              ("stg_github_repositories", "raw_repo")]]
+            + ["SELECT 'accepted_values', 'stg_pull_requests', 'feat_classifier', count(*) FILTER (WHERE "
+               "feat_classifier NOT IN ('bug fix', 'feature', 'refactor', 'test', 'documentation', 'not clear')) "
+               "FROM stg_pull_requests"])),
     "row_counts": _with(STG_PULL_REQUESTS, "\n" + "\nUNION ALL ".join(
         [f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in
          ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
