@@ -2,20 +2,18 @@
 
 ``merge_latest`` is the relational core (existing UNION ALL incoming, keep the
 newest row per key, combined map-side). ``upsert_parquet`` persists it as a new
-version folder beside the old one and only then marks it current, so readers
-never see a half-written table and a failed run leaves the previous version.
+version folder beside the old one and only then appends the version to the
+table's version log, so readers never see a half-written table and a failed
+run leaves the previous version current.
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.windows import latest_per_key
 
-_VERSION = re.compile(r"^v=(\d+)$")
-
 
 def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: list[str],
                  newest_first: list[str]) -> DataFrame:
@@ -24,23 +22,21 @@ def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: list[str
     return latest_per_key(both, keys, newest_first)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+def _log_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_versions"
 
 
 def list_versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions under ``root`` (folders ``v=N`` holding a ``_SUCCESS`` marker)."""
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
+    """Committed versions under ``root``, from its version log (a tiny parquet table).
+
+    A version is logged only after its data write committed, so a run that
+    failed half-way leaves an unlogged folder that readers never see.
+    """
+    try:
+        rows = spark.read.parquet(_log_path(root)).select("version").distinct().collect()
+    except AnalysisException:  # no log yet: nothing committed
         return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _VERSION.match(st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+    return sorted(int(r["version"]) for r in rows)
 
 
 def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
@@ -56,13 +52,16 @@ def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: li
                    newest_first: list[str]) -> str:
     """Merge ``incoming`` into the table at ``root``; returns the new version's path.
 
-    The new version is written next to the old one (Spark's job commit writes
-    ``_SUCCESS`` last), so the read of the old version and the write never
-    touch the same files; re-running the same batch yields the same rows.
+    The new version is written next to the old one, so the read of the old
+    version and the write never touch the same files; re-running the same
+    batch yields the same rows.
     """
     versions = list_versions(spark, root)
     existing = read_current(spark, root, incoming.schema) if versions else None
     merged = merge_latest(existing, incoming, keys, newest_first)
     target = f"{root.rstrip('/')}/v={(versions[-1] + 1) if versions else 1}"
-    merged.write.mode("errorifexists").parquet(target)
+    merged.write.mode("overwrite").parquet(target)   # an unlogged leftover of a failed run is replaced
+    version = (versions[-1] + 1) if versions else 1
+    spark.createDataFrame([(version, target)], "version long, path string") \
+        .write.mode("append").parquet(_log_path(root))
     return target
