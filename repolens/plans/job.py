@@ -1,4 +1,4 @@
-"""The full job - landed pages -> raw (upsert) -> silver -> gold -> checks -> export.
+"""The full job - landed pages -> raw (cap, upsert) -> silver -> gold -> checks -> export.
 
 Each model is materialised (full replace) and the next layer reads the
 written table back, as the reference's model runner does: the lineage is cut
@@ -9,13 +9,17 @@ pruning instead of recomputing classification and dedup.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.classify import CLASSES
 from ..operators.quality import TableTests, summarize
 from ..sinks.upsert import read_current, upsert_parquet
 from ..sinks.writers import export_models, materialize
-from ..sources.landing import read_pages
+from ..operators.filters import allow_list, state_filter
+from ..operators.windows import recent_n_per_key
+from ..sources.landing import read_issue_pages, read_pages
+from .issues import clean_issues
 from ..schemas import REST_PULL_REQUEST, REST_RELEASE
 from .gold import (DEFAULT_FOCUS, DEFAULT_FOCUS_LABEL, DEFAULT_K, DEFAULT_MEMBER_LABEL, focus_vs_top_k,
                    median_gap, monthly_counts)
@@ -58,15 +62,41 @@ def model_checks(prs: DataFrame, rels: DataFrame) -> DataFrame:
         .unionByName(summarize(rels, TableTests("stg_releases", not_null=["repository", "tag", "row_num"])))
 
 
+def cap_per_repository(df: DataFrame, n: int | None, newest_first: list[str],
+                       repo_col: str = "repository_full_name") -> DataFrame:
+    """The API's per-repository cap on landed data (0/None = unlimited, negative = none)."""
+    order = [F.col(c).desc_nulls_last() for c in newest_first] + [F.col("id").desc_nulls_last()]
+    return recent_n_per_key(df, [repo_col], order, n, rank_col=None)
+
+
 def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str | None = None,
+            repos: list[str] | None = None, state: str = "all", max_prs_per_repo: int | None = None,
+            max_releases_per_repo: int | None = None, max_issues_per_repo: int | None = None,
             **gold_kw) -> dict:
-    """Run every layer; returns rows per raw table, check failures and the export report."""
+    """Run every layer; returns rows per raw table, check failures and the export report.
+
+    ``repos`` is the repository allow-list (P11); ``state`` filters pull
+    requests and issues (P7); the caps keep the most recently updated pull
+    requests and issues and the newest releases per repository (W3).
+    """
     root = warehouse.rstrip("/")
+    loads = {
+        "pull_requests": lambda: cap_per_repository(
+            state_filter(read_pages(spark, landing, "pull_requests")[0], state), max_prs_per_repo, ["updated_at"]),
+        "releases": lambda: cap_per_repository(
+            read_pages(spark, landing, "releases")[0], max_releases_per_repo, ["created_at"]),
+        "issues": lambda: clean_issues(read_issue_pages(spark, landing)[0], state, max_issues_per_repo),
+    }
     raw_rows = {}
-    for entity, keys in (("pull_requests", ["id"]), ("releases", ["id"])):
-        pages, _rejects = read_pages(spark, landing, entity)
-        upsert_parquet(spark, f"{root}/raw/{entity}", pages.drop("_source_file"), keys, ["fetched_at"])
-        raw_rows[entity] = read_current(spark, f"{root}/raw/{entity}").count()
+    for entity, load in loads.items():
+        try:
+            pages = allow_list(load(), "repository_full_name", repos).drop("_source_file")
+        except AnalysisException:  # nothing landed for this entity: keep what is stored
+            pages = None
+        if pages is not None:
+            upsert_parquet(spark, f"{root}/raw/{entity}", pages, ["id"], ["fetched_at"])
+        current = read_current(spark, f"{root}/raw/{entity}")
+        raw_rows[entity] = current.count() if current is not None else 0
     raw_prs = read_current(spark, f"{root}/raw/pull_requests", REST_PULL_REQUEST)
     raw_rel = read_current(spark, f"{root}/raw/releases", REST_RELEASE)
     materialize(silver_pull_requests(raw_prs), path=f"{root}/silver/stg_pull_requests")

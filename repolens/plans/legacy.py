@@ -13,6 +13,7 @@ from ..functions.nested import cap_nested, field_names, nested_count, nested_to_
 from ..operators.filters import repository_filter, search_terms
 from ..operators.joins import fk_enrich, new_entities
 from ..operators.project import default_if_missing
+from .presets import split_qualifiers
 
 # Nested caps of the legacy queries (first: n).
 TOPICS_CAP = 20
@@ -29,7 +30,13 @@ def select_repositories(repos: DataFrame, existing: DataFrame | None, search: st
     """Filter (P8, P9), cap by stars (O3, O4), skip already loaded (J1), derive fields.
 
     Skipped repositories still count toward ``max_repos`` (cap before anti join).
+    Qualifiers inside ``search`` (``pushed:>DATE``, ``stars:>=N``, ``archived:false``)
+    override the matching arguments, as they did in the search text.
     """
+    search, quals = split_qualifiers(search)
+    include_archived = quals.get("include_archived", include_archived)
+    min_stars = max(min_stars or 0, quals.get("min_stars", 0))
+    pushed_after = quals.get("pushed_after", pushed_after)
     cand = repository_filter(repos, include_archived, min_stars, pushed_after, archived_col="isArchived",
                              stars_col="stargazerCount", pushed_col="pushedAt")
     if search:

@@ -24,7 +24,7 @@ def test_run_job_end_to_end(spark, tmpdir_path):
     _land(landing, "releases", "test/repo", "p1.json", RELEASE_FIXTURES)
     wh, ex = os.path.join(tmpdir_path, "wh"), os.path.join(tmpdir_path, "exports")
     out = run_job(spark, landing, wh, ex)
-    assert out["raw_rows"] == {"pull_requests": 8, "releases": 3}
+    assert out["raw_rows"] == {"pull_requests": 8, "releases": 3, "issues": 0}
     assert all(v == 0 for v in out["checks"].values())
     assert set(out["export"]) == set(EXPORTED_MODELS)
     assert all(isinstance(v, int) for v in out["export"].values()), out["export"]
@@ -34,3 +34,28 @@ def test_run_job_end_to_end(spark, tmpdir_path):
     # rerun with the same landing: idempotent
     again = run_job(spark, landing, wh, None)
     assert again["raw_rows"] == out["raw_rows"]
+
+
+def test_run_job_caps_allow_list_and_issues(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    prs = [dict(PR_FIXTURES[0], id=i, repository_full_name=None, updated_at=f"2024-01-{i:02d}T00:00:00Z")
+           for i in range(1, 8)]
+    _land(landing, "pull_requests", "test/repo", "p1.json", prs)
+    _land(landing, "pull_requests", "other/repo", "p1.json", [dict(PR_FIXTURES[0], id=50, repository_full_name=None)])
+    _land(landing, "releases", "test/repo", "p1.json", RELEASE_FIXTURES)
+    _land(landing, "issues", "test/repo", "p1.json",
+          [{"id": 1, "title": "a", "pull_request": {"url": "u"}}, {"id": 2, "title": "b"},
+           {"id": 3, "title": "c", "state": "open"}])
+    wh = os.path.join(tmpdir_path, "wh")
+    out = run_job(spark, landing, wh, None, repos=["test/repo"], max_prs_per_repo=3, max_releases_per_repo=0,
+                  max_issues_per_repo=-1)
+    assert out["raw_rows"] == {"pull_requests": 3, "releases": 3, "issues": 0}
+    ids = sorted(r["id"] for r in spark.read.parquet(os.path.join(wh, "silver", "stg_pull_requests")).collect())
+    assert ids == [5, 6, 7]   # most recently updated three, other/repo not allowed
+
+
+def test_presets_and_qualifiers():
+    from repolens.plans.presets import PRESETS, split_qualifiers
+    terms, opts = split_qualifiers(PRESETS["cardano-active"]["search"])
+    assert terms == "cardano wallet" and opts == {"pushed_after": "2023-01-01"}
+    assert split_qualifiers("x stars:>5 archived:true") == ("x", {"min_stars": 6, "include_archived": True})
