@@ -87,3 +87,38 @@ def enrich_releases(releases: DataFrame, repos: DataFrame, collected_at: Column
         assets.alias("assets_data"),
     )
     return out.withColumn("collected_at", collected_at) if collected_at is not None else out
+
+
+def run_legacy_job(spark, landing: str, warehouse: str, search: str | None = "cardano wallet",
+                   max_repos: int | None = 500, include_archived: bool = False, min_stars: int = 0) -> dict:
+    """The legacy runner in one pass: select repositories (skipping stored ones), enrich pull
+    requests and releases against the selected and stored repositories, upsert all three by
+    ``database_id``. The reference needed a second run for the children; here the join sees
+    the repositories selected in the same run. Returns rows per stored table (S9).
+    """
+    from pyspark.errors import AnalysisException
+    from pyspark.sql.types import StructField, StructType, StringType
+    from ..sinks.upsert import read_current, upsert_parquet
+    from ..sources.landing import read_pages
+
+    root = warehouse.rstrip("/")
+    stored = read_current(spark, f"{root}/repositories")
+    existing = stored.select("nameWithOwner") if stored is not None else spark.createDataFrame(
+        [], StructType([StructField("nameWithOwner", StringType())]))
+    repos_in, _ = read_pages(spark, landing, "gql_repositories")
+    picked = select_repositories(repos_in.drop("_source_file"), existing, search, max_repos, include_archived,
+                                 min_stars, collected_at=F.current_timestamp())
+    picked = picked.withColumn("database_id", F.col("databaseId"))
+    upsert_parquet(spark, f"{root}/repositories", picked, ["database_id"], ["collected_at"])
+    repos_now = read_current(spark, f"{root}/repositories").select("nameWithOwner", "databaseId")
+    counts = {"repositories": read_current(spark, f"{root}/repositories").count()}
+    for entity, enrich in (("gql_pull_requests", enrich_pull_requests), ("gql_releases", enrich_releases)):
+        name = entity.replace("gql_", "")
+        try:
+            children, _ = read_pages(spark, landing, entity)
+        except AnalysisException:  # nothing landed for this entity
+            continue
+        rows = enrich(children.drop("_source_file"), repos_now, collected_at=F.current_timestamp())
+        upsert_parquet(spark, f"{root}/{name}", rows, ["database_id"], ["collected_at"])
+        counts[name] = read_current(spark, f"{root}/{name}").count()
+    return counts

@@ -19,8 +19,14 @@ CORRUPT = "_corrupt_record"
 REPO_SEP = "__"
 
 
-def _repo_from_partition(col: str = "repo") -> F.Column:
-    return F.regexp_replace(F.col(col), REPO_SEP, "/")
+def _repo_from_path(path_col: str = "_source_file") -> F.Column:
+    """The repository named by the ``repo=<owner>__<name>`` folder of a page (NULL if none).
+
+    Taken from the file path rather than partition discovery: a discovered
+    ``repo`` partition column would overwrite GraphQL records' own ``repo`` field.
+    """
+    folder = F.regexp_extract(F.col(path_col), r"/repo=([^/]+)/", 1)
+    return F.when(folder != "", F.regexp_replace(F.url_decode(folder), REPO_SEP, "/"))
 
 
 def page_rejects(spark: SparkSession, path: str) -> DataFrame:
@@ -29,7 +35,7 @@ def page_rejects(spark: SparkSession, path: str) -> DataFrame:
     Taken from the raw text rather than the reader's corrupt-record column,
     which Spark will not scan on its own (e.g. for a count of rejects).
     """
-    pages = (spark.read.option("wholetext", True).text(path)
+    pages = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
              .withColumn("_source_file", F.col("_metadata.file_path")))
     bad = F.from_json("value", "array<string>").isNull() & (F.trim("value") != "")
     return pages.where(bad).select("_source_file", F.col("value").alias(CORRUPT))
@@ -48,15 +54,15 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
     raw = (spark.read.schema(full)
            .option("multiLine", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT)
-           .option("recursiveFileLookup", False)
+           .option("recursiveFileLookup", True)
            .json(f"{root.rstrip('/')}/entity={entity}")
            .withColumn("_source_file", F.col("_metadata.file_path"))
            .withColumn("_file_time", F.col("_metadata.file_modification_time")))
     rejects = page_rejects(spark, f"{root.rstrip('/')}/entity={entity}")
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    if "repository_full_name" in sch.fieldNames() and "repo" in good.columns:
+    if "repository_full_name" in sch.fieldNames():
         good = good.withColumn("repository_full_name",
-                               F.coalesce(F.col("repository_full_name"), _repo_from_partition()))
+                               F.coalesce(F.col("repository_full_name"), _repo_from_path()))
     if "fetched_at" in sch.fieldNames():
         good = good.withColumn("fetched_at", F.coalesce(
             F.col("fetched_at"), F.date_format(F.col("_file_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
@@ -74,19 +80,20 @@ def read_issue_pages(spark: SparkSession, root: str, schema: StructType | None =
     parsed with the issue schema.
     """
     sch = schema or ENTITY_SCHEMAS["issues"]
-    pages = (spark.read.option("wholetext", True).text(f"{root.rstrip('/')}/entity=issues")
+    pages = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+             .text(f"{root.rstrip('/')}/entity=issues")
              .withColumn("_source_file", F.col("_metadata.file_path"))
              .withColumn("_file_time", F.col("_metadata.file_modification_time")))
     parsed = pages.withColumn("_records", F.when(F.trim("value") == "", F.array().cast("array<string>"))
                               .otherwise(F.from_json("value", "array<string>")))
     rejects = parsed.where(F.col("_records").isNull()).select("_source_file", F.col("value").alias(CORRUPT))
     recs = parsed.where(F.col("_records").isNotNull()).select(
-        "_source_file", "_file_time", "repo", F.explode("_records").alias("_json"))
+        "_source_file", "_file_time", F.explode("_records").alias("_json"))
     issues = lacks_json_key(recs, "_json", "pull_request")
-    out = issues.select("_source_file", "_file_time", "repo", F.from_json("_json", sch).alias("r")).select(
-        "r.*", "_source_file", "_file_time", "repo")
+    out = issues.select("_source_file", "_file_time", F.from_json("_json", sch).alias("r")).select(
+        "r.*", "_source_file", "_file_time")
     out = out.withColumn("repository_full_name",
-                         F.coalesce(F.col("repository_full_name"), _repo_from_partition()))
+                         F.coalesce(F.col("repository_full_name"), _repo_from_path()))
     out = out.withColumn("fetched_at", F.coalesce(
         F.col("fetched_at"), F.date_format(F.col("_file_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
     return out.select(*sch.fieldNames(), "_source_file"), rejects

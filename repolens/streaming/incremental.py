@@ -13,20 +13,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import ENTITY_SCHEMAS
 from ..sinks.upsert import upsert_parquet
-from ..sources.landing import _repo_from_partition
+from ..sources.landing import _repo_from_path
 
 
 def stream_pages(spark: SparkSession, landing: str, entity: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
     """A streaming DataFrame of the entity's records (explicit schema, unknown keys dropped)."""
     sch = ENTITY_SCHEMAS[entity]
-    reader = spark.readStream.schema(sch).option("multiLine", True).option("mode", "DROPMALFORMED")
+    reader = (spark.readStream.schema(sch).option("multiLine", True).option("mode", "DROPMALFORMED")
+              .option("recursiveFileLookup", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.json(f"{landing.rstrip('/')}/entity={entity}")
-    if "repository_full_name" in sch.fieldNames() and "repo" in df.columns:
-        df = df.withColumn("repository_full_name",
-                           F.coalesce(F.col("repository_full_name"), _repo_from_partition()))
+    df = reader.json(f"{landing.rstrip('/')}/entity={entity}").withColumn("_source_file", F.col("_metadata.file_path"))
+    if "repository_full_name" in sch.fieldNames():
+        df = df.withColumn("repository_full_name", F.coalesce(F.col("repository_full_name"), _repo_from_path()))
     return df.select(*sch.fieldNames())
 
 

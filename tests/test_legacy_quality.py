@@ -127,3 +127,33 @@ def test_quality_violations(spark):
          summarize(df, TableTests("t", not_null=["id", "c"], unique=["id"],
                                   accepted_values={"c": ["feature", "test"]})).collect()}
     assert s == {("not_null", "id"): 1, ("not_null", "c"): 1, ("unique", "id"): 1, ("accepted_values", "c"): 1}
+
+
+def test_run_legacy_job_one_pass(spark, tmpdir_path):
+    import json
+    import os
+    from repolens.plans.legacy import run_legacy_job
+
+    def land(entity, rows):
+        d = os.path.join(tmpdir_path, "landing", f"entity={entity}", "repo=all")
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, "p1.json"), "w") as f:
+            json.dump(rows, f)
+    land("gql_repositories", [
+        {"databaseId": 1, "nameWithOwner": "a/wallet", "description": "cardano wallet", "stargazerCount": 9,
+         "isArchived": False, "repositoryTopics": {"nodes": [{"topic": {"name": "cardano"}}]}},
+        {"databaseId": 2, "nameWithOwner": "b/wallet", "description": "cardano wallet", "stargazerCount": 5,
+         "isArchived": True}])
+    land("gql_pull_requests", [
+        {"databaseId": 10, "number": 1, "title": "x", "repo": "a/wallet", "commits": {"totalCount": 2}},
+        {"databaseId": 11, "number": 2, "title": "y", "repo": "b/wallet"}])
+    land("gql_releases", [{"databaseId": 20, "tagName": "v1", "repo": "a/wallet",
+                           "releaseAssets": {"nodes": [{"name": "f"}]}}])
+    wh = os.path.join(tmpdir_path, "wh")
+    counts = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="cardano wallet")
+    assert counts == {"repositories": 1, "pull_requests": 1, "releases": 1}
+    pr = spark.read.parquet(os.path.join(wh, "pull_requests", "v=1")).collect()[0]
+    assert pr["repo_database_id"] == 1 and pr["commit_count"] == 2 and pr["collected_at"] is not None
+    # second run: a/wallet is stored and skipped, nothing new to select; children still join to it
+    again = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="cardano wallet")
+    assert again == {"repositories": 1, "pull_requests": 1, "releases": 1}
