@@ -11,9 +11,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
                    broadcast_right: bool = False) -> DataFrame:
     """Join on ``left.k <=> right.k`` for every key; the right copies of the keys are dropped."""
     tmp = {k: f"__r_{k}" for k in keys}
-    r = right
-    for k, t in tmp.items():
-        r = r.withColumnRenamed(k, t)
+    r = right.select(*[F.col(c).alias(tmp[c]) if c in tmp else F.col(c) for c in right.columns])
     if broadcast_right:
         r = F.broadcast(r)
     cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[t]) for k, t in tmp.items()])

@@ -40,9 +40,9 @@ def range_sorted(df: DataFrame, keys: list[str], order: list[str], tiebreak: lis
                 .sortWithinPartitions(*sort_cols)
                 .withColumn(_POS, F.monotonically_increasing_id()))
     fixed = tagged.checkpoint(eager=True)
-    return (fixed.withColumn(PART, F.shiftright(F.col(_POS), _ROW_BITS).cast("int"))
-                 .withColumn(LOCAL, F.col(_POS).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-                 .drop(_POS))
+    return fixed.select(*[c for c in fixed.columns if c != _POS],
+                        F.shiftright(F.col(_POS), _ROW_BITS).cast("int").alias(PART),
+                        F.col(_POS).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(LOCAL))
 
 
 def segments(sorted_df: DataFrame, keys: list[str], extra_aggs: list | None = None) -> DataFrame:
@@ -50,8 +50,8 @@ def segments(sorted_df: DataFrame, keys: list[str], extra_aggs: list | None = No
     seg = sorted_df.groupBy(*keys, PART).agg(
         F.min(LOCAL).alias("_first"), F.count(F.lit(1)).alias("_cnt"), *(extra_aggs or []))
     before = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    return (seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long"))
-               .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*keys)).cast("long")))
+    return seg.select("*", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long").alias("_off"),
+                      F.sum("_cnt").over(Window.partitionBy(*keys)).cast("long").alias("_n"))
 
 
 def with_position(df: DataFrame, keys: list[str], order: list[str], out: str = "position",

@@ -40,14 +40,12 @@ def lag_within(df: DataFrame, keys: list[str], order: str, out: str = "prev",
     """
     s = range_sorted(df, keys, [order], tiebreak)
     w = Window.partitionBy(*keys, PART).orderBy(LOCAL)
-    inner = (s.withColumn("_prev_in", F.lag(order).over(w))
-              .withColumn("_head", F.lag(LOCAL).over(w).isNull()))
-    tails = s.groupBy(*keys, PART).agg(F.max_by(order, LOCAL).alias("_last"))
-    tails = tails.withColumn("_prev_seg", F.lag("_last").over(Window.partitionBy(*keys).orderBy(PART)))
-    joined = join_null_safe(inner, tails.select(*keys, PART, "_prev_seg"), keys + [PART], "left",
-                            broadcast_right=bounded_keys)
-    return (joined.withColumn(out, F.when(F.col("_head"), F.col("_prev_seg")).otherwise(F.col("_prev_in")))
-                  .drop("_prev_in", "_head", "_prev_seg", PART, LOCAL))
+    inner = s.select("*", F.lag(order).over(w).alias("_prev_in"), F.lag(LOCAL).over(w).isNull().alias("_head"))
+    tails = (s.groupBy(*keys, PART).agg(F.max_by(order, LOCAL).alias("_last"))
+              .select(*keys, PART, F.lag("_last").over(Window.partitionBy(*keys).orderBy(PART)).alias("_prev_seg")))
+    joined = join_null_safe(inner, tails, keys + [PART], "left", broadcast_right=bounded_keys)
+    prev = F.when(F.col("_head"), F.col("_prev_seg")).otherwise(F.col("_prev_in")).alias(out)
+    return joined.select(*[c for c in df.columns], prev)
 
 
 def recent_n_per_key(df: DataFrame, keys: list[str], newest_first: list[Column], n: int | None,

@@ -41,10 +41,30 @@ def page_rejects(spark: SparkSession, path: str) -> DataFrame:
     return pages.where(bad).select("_source_file", F.col("value").alias(CORRUPT))
 
 
-def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType | None = None
-               ) -> tuple[DataFrame, DataFrame]:
+def _page_number(path_col: str = "_source_file") -> F.Column:
+    """Page number from a ``...<n>.json`` file name (NULL when the name carries none)."""
+    n = F.regexp_extract(F.col(path_col), r"(\d+)\.json$", 1)
+    return F.when(n != "", n.cast("long"))
+
+
+def _end_repository_at_first_reject(good: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Drop pages that come after a repository's first unreadable page (its load ended there)."""
+    first_bad = (rejects.select(_repo_from_path().alias("_bad_repo"), _page_number().alias("_bad_page"))
+                 .where(F.col("_bad_repo").isNotNull())
+                 .groupBy("_bad_repo").agg(F.min("_bad_page").alias("_first_bad")))
+    tagged = good.withColumn("_page_repo", _repo_from_path()).withColumn("_page_no", _page_number())
+    joined = tagged.join(first_bad, tagged["_page_repo"] == first_bad["_bad_repo"], "left")
+    keep = F.col("_first_bad").isNull() | (F.col("_page_no") < F.col("_first_bad"))
+    return joined.where(keep).drop("_page_repo", "_page_no", "_bad_repo", "_first_bad")
+
+
+def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType | None = None,
+               on_bad_page: str = "end_repository") -> tuple[DataFrame, DataFrame]:
     """Read one entity's pages with an explicit schema; returns ``(records, rejects)``.
 
+    ``on_bad_page``: ``"end_repository"`` (the reference: a failing page ends
+    that repository's load, later pages are not taken) or ``"skip_page"``.
+
     The repository comes from the record's ``repository_full_name`` when it
     carries one, else from the ``repo=`` folder; ``fetched_at`` defaults to
     the page file's modification time (never the wall clock at read).
@@ -67,7 +87,12 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
         good = good.withColumn("fetched_at", F.coalesce(
             F.col("fetched_at"), F.date_format(F.col("_file_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
     keep = [c for c in sch.fieldNames()] + ["_source_file"]
-    return good.select(*keep), rejects
+    good = good.select(*keep)
+    if on_bad_page == "end_repository":
+        good = _end_repository_at_first_reject(good, rejects)
+    elif on_bad_page != "skip_page":
+        raise ValueError("on_bad_page must be 'end_repository' or 'skip_page'")
+    return good, rejects
 
 
 def read_issue_pages(spark: SparkSession, root: str, schema: StructType | None = None

@@ -101,3 +101,15 @@ def test_existing_or_empty(spark, tmpdir_path):
     df = existing_or_empty(spark, ["no_such_table_abc", os.path.join(tmpdir_path, "missing")],
                            spark.createDataFrame([], "name_with_owner string").schema)
     assert df.count() == 0 and df.columns == ["name_with_owner"]
+
+
+def test_bad_page_ends_that_repository(spark, tmpdir_path):
+    land(tmpdir_path, "releases", "a/r", "page-1.json", [{"id": 1, "tag_name": "v1"}])
+    land(tmpdir_path, "releases", "a/r", "page-2.json", "[{broken")
+    land(tmpdir_path, "releases", "a/r", "page-3.json", [{"id": 3, "tag_name": "v3"}])
+    land(tmpdir_path, "releases", "b/r", "page-1.json", [{"id": 4, "tag_name": "v4"}])
+    ended, rejects = read_pages(spark, tmpdir_path, "releases")
+    assert sorted(r["id"] for r in ended.collect()) == [1, 4]     # a/r stops at its bad page 2
+    skipped, _ = read_pages(spark, tmpdir_path, "releases", on_bad_page="skip_page")
+    assert sorted(r["id"] for r in skipped.collect()) == [1, 3, 4]
+    assert rejects.count() == 1
