@@ -1,16 +1,17 @@
 """Landed JSON pages -> typed DataFrame + rejects.
 
 Layout: ``<root>/entity=<name>/repo=<owner>__<name>/<page>.json`` where each
-page is one JSON array of records (an empty page is ``[]`` or empty text).
-Pages are read in parallel, one task per file split. A page that does not
-parse lands in the rejects frame instead of stopping the load (the reference
-skips a failing repository and keeps going).
+page is one JSON array of records (an empty page is ``[]`` or empty text; a
+single object counts as one record). Each page file is read as one text row
+and parsed once with the entity schema (``from_json``, unknown keys dropped,
+missing keys NULL), so pages are spread over tasks like any file scan. A page
+that does not parse lands in the rejects frame instead of stopping the load.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType, StringType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..operators.filters import lacks_json_key
 from ..schemas import ENTITY_SCHEMAS
@@ -29,16 +30,27 @@ def _repo_from_path(path_col: str = "_source_file") -> F.Column:
     return F.when(folder != "", F.regexp_replace(F.url_decode(folder), REPO_SEP, "/"))
 
 
-def page_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Pages whose text is not a JSON array (empty text is an empty page, not a reject).
+def _pages(spark: SparkSession, path: str) -> DataFrame:
+    """One row per landed page file: its text, path and modification time (files are not split)."""
+    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+            .select("value", F.col("_metadata.file_path").alias("_source_file"),
+                    F.col("_metadata.file_modification_time").alias("_file_time")))
 
-    Taken from the raw text rather than the reader's corrupt-record column,
-    which Spark will not scan on its own (e.g. for a count of rejects).
-    """
-    pages = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-             .withColumn("_source_file", F.col("_metadata.file_path")))
-    bad = F.from_json("value", "array<string>").isNull() & (F.trim("value") != "")
-    return pages.where(bad).select("_source_file", F.col("value").alias(CORRUPT))
+
+def _as_array_text(value: str = "value") -> F.Column:
+    """A page holding a single object (e.g. one repository) is read as a one-element array."""
+    v = F.col(value)
+    return F.when(F.ltrim(v).startswith("{"), F.concat(F.lit("["), v, F.lit("]"))).otherwise(v)
+
+
+def _is_bad_page(value: str = "value") -> F.Column:
+    """Non-empty text that is not a JSON array of records."""
+    return F.json_array_length(_as_array_text(value)).isNull() & (F.trim(F.col(value)) != "")
+
+
+def page_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Pages whose text is not a JSON array (empty text is an empty page, not a reject)."""
+    return _pages(spark, path).where(_is_bad_page()).select("_source_file", F.col("value").alias(CORRUPT))
 
 
 def _page_number(path_col: str = "_source_file") -> F.Column:
@@ -70,16 +82,16 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
     the page file's modification time (never the wall clock at read).
     """
     sch = schema or ENTITY_SCHEMAS[entity]
-    full = StructType(list(sch.fields) + [StructField(CORRUPT, StringType(), True)])
-    raw = (spark.read.schema(full)
-           .option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .option("recursiveFileLookup", True)
-           .json(f"{root.rstrip('/')}/entity={entity}")
-           .withColumn("_source_file", F.col("_metadata.file_path"))
-           .withColumn("_file_time", F.col("_metadata.file_modification_time")))
-    rejects = page_rejects(spark, f"{root.rstrip('/')}/entity={entity}")
-    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    path = f"{root.rstrip('/')}/entity={entity}"
+    pages = _pages(spark, path)
+    records = F.from_json(_as_array_text(), ArrayType(sch))
+    parsed = pages.select("_source_file", "_file_time", "value",
+                          F.when(F.trim("value") == "", F.array().cast(ArrayType(sch))).otherwise(records)
+                          .alias("_records"))
+    rejects = parsed.where(F.col("_records").isNull()).select("_source_file", F.col("value").alias(CORRUPT))
+    good = (parsed.where(F.col("_records").isNotNull())
+                  .select("_source_file", "_file_time", F.explode("_records").alias("_r"))
+                  .select("_r.*", "_source_file", "_file_time"))
     if "repository_full_name" in sch.fieldNames():
         good = good.withColumn("repository_full_name",
                                F.coalesce(F.col("repository_full_name"), _repo_from_path()))
@@ -89,7 +101,7 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
     keep = [c for c in sch.fieldNames()] + ["_source_file"]
     good = good.select(*keep)
     if on_bad_page == "end_repository":
-        good = _end_repository_at_first_reject(good, rejects)
+        good = _end_repository_at_first_reject(good, page_rejects(spark, path))
     elif on_bad_page != "skip_page":
         raise ValueError("on_bad_page must be 'end_repository' or 'skip_page'")
     return good, rejects
@@ -105,12 +117,9 @@ def read_issue_pages(spark: SparkSession, root: str, schema: StructType | None =
     parsed with the issue schema.
     """
     sch = schema or ENTITY_SCHEMAS["issues"]
-    pages = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-             .text(f"{root.rstrip('/')}/entity=issues")
-             .withColumn("_source_file", F.col("_metadata.file_path"))
-             .withColumn("_file_time", F.col("_metadata.file_modification_time")))
+    pages = _pages(spark, f"{root.rstrip('/')}/entity=issues")
     parsed = pages.withColumn("_records", F.when(F.trim("value") == "", F.array().cast("array<string>"))
-                              .otherwise(F.from_json("value", "array<string>")))
+                              .otherwise(F.from_json(_as_array_text(), "array<string>")))
     rejects = parsed.where(F.col("_records").isNull()).select("_source_file", F.col("value").alias(CORRUPT))
     recs = parsed.where(F.col("_records").isNotNull()).select(
         "_source_file", "_file_time", F.explode("_records").alias("_json"))

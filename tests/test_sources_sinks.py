@@ -113,3 +113,10 @@ def test_bad_page_ends_that_repository(spark, tmpdir_path):
     skipped, _ = read_pages(spark, tmpdir_path, "releases", on_bad_page="skip_page")
     assert sorted(r["id"] for r in skipped.collect()) == [1, 3, 4]
     assert rejects.count() == 1
+
+
+def test_single_object_page_is_one_record(spark, tmpdir_path):
+    land(tmpdir_path, "repositories", "o/r", "repo.json", {"id": 7, "full_name": "o/r", "extra": [1, 2]})
+    recs, rejects = read_pages(spark, tmpdir_path, "repositories")
+    assert [(r["id"], r["full_name"]) for r in recs.collect()] == [(7, "o/r")]
+    assert rejects.count() == 0
