@@ -317,6 +317,35 @@ def q_classify_documents(spark, sf_dir):
     return docs.select("doc_id", "lang", classify_title("text").alias("feat_classifier"))
 
 
+def q_bronze_copy(spark, sf_dir):
+    """S3 + S4: a projected parquet scan registered as the raw source, read back as a bronze copy."""
+    from ..sources.tables import scan_parquet, table as catalog_table
+    scan_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet",
+                 ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]).createOrReplaceTempView(
+        "repolens_raw_orders")
+    return catalog_table(spark, "repolens_raw_orders")
+
+
+def q_existing_lookup(spark, sf_dir):
+    """The first available source of stored repositories (a missing table is skipped)."""
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from ..sources.tables import existing_or_empty
+    schema = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType())])
+    return existing_or_empty(spark, ["repolens_no_such_table", f"{sf_dir.rstrip('/')}/customer.parquet"], schema)
+
+
+def q_stamp_provenance(spark, sf_dir):
+    """Stamp repository and fetch time from the landing unless the record carries them."""
+    from ..operators.project import stamp_provenance
+    o = ad.table(spark, sf_dir, "orders")
+    recs = o.select("o_orderkey",
+                    F.when(F.col("o_orderstatus") == "F", ad._cust_repo("o_custkey")).alias("repository_full_name"),
+                    F.when(F.col("o_orderstatus") == "O", F.col("o_orderdate")).alias("fetched_at"),
+                    F.concat(F.lit("landing/"), F.col("o_custkey").cast("string")).alias("_landing_repo"),
+                    (F.col("o_orderdate") + F.expr("INTERVAL 2 DAYS")).alias("_file_time"))
+    return stamp_provenance(recs, repo="_landing_repo", fetched_at="_file_time").drop("_landing_repo", "_file_time")
+
+
 def q_model_row_counts(spark, sf_dir):
     """M13 (without the writes): silver + gold models over the adapters, rows per exported model."""
     from .job import EXPORTED_MODELS, all_models
@@ -365,4 +394,7 @@ QUERIES: dict[str, QueryFn] = {
     "issue_cleaning": q_issue_cleaning,
     "model_row_counts": q_model_row_counts,
     "classify_documents": q_classify_documents,
+    "bronze_copy": q_bronze_copy,
+    "existing_lookup": q_existing_lookup,
+    "stamp_provenance": q_stamp_provenance,
 }

@@ -359,3 +359,12 @@ SELECT doc_id, lang,
     ELSE 'not clear'
   END AS feat_classifier
 FROM documents"""
+
+SQL["bronze_copy"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders"
+SQL["existing_lookup"] = "SELECT c_custkey, c_name FROM customer"
+SQL["stamp_provenance"] = f"""
+SELECT o_orderkey,
+  coalesce(CASE WHEN o_orderstatus = 'F' THEN {CUST_REPO} END, 'landing/' || CAST(o_custkey AS VARCHAR))
+    AS repository_full_name,
+  coalesce(CASE WHEN o_orderstatus = 'O' THEN o_orderdate END, o_orderdate + INTERVAL 2 DAY) AS fetched_at
+FROM orders"""
