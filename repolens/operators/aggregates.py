@@ -53,7 +53,9 @@ def exact_quantile_by(df: DataFrame, keys: list[str], value: str, q: float = 0.5
     targets = per_end.where(inside).select(
         *keys, PART, (F.col("_first") + F.col("_end.p") - F.col("_off")).alias(LOCAL),
         F.col("_end.which").alias("_which"), "_d")
-    chosen = join_null_safe(s, targets, keys + [PART, LOCAL], "inner", broadcast_right=bounded_keys)
+    # two target rows per key: broadcast when bounded by construction or after a size check
+    chosen = join_null_safe(s, targets, keys + [PART, LOCAL], "inner",
+                            broadcast_right=True if bounded_keys else None)
     agg = chosen.groupBy(*keys).agg(
         F.max(F.when(F.col("_which") == "_lo", F.col(value))).alias("_vlo"),
         F.max(F.when(F.col("_which") == "_hi", F.col(value))).alias("_vhi"),

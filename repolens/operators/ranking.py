@@ -13,6 +13,7 @@ running sums turn local positions into positions inside the key.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -36,10 +37,16 @@ def range_sorted(df: DataFrame, keys: list[str], order: list[str], tiebreak: lis
     """
     ensure_checkpoint_dir(df.sparkSession)
     sort_cols = [F.col(c).asc_nulls_last() for c in list(keys) + list(order) + list(tiebreak or [])]
-    tagged = (df.repartitionByRange(*sort_cols)
-                .sortWithinPartitions(*sort_cols)
-                .withColumn(_POS, F.monotonically_increasing_id()))
-    fixed = tagged.checkpoint(eager=True)
+    # The range partitioner samples its input in a separate job; keeping the (narrow) input
+    # until the checkpoint is written stops that job from recomputing the whole upstream plan.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tagged = (src.repartitionByRange(*sort_cols)
+                     .sortWithinPartitions(*sort_cols)
+                     .withColumn(_POS, F.monotonically_increasing_id()))
+        fixed = tagged.checkpoint(eager=True)
+    finally:
+        src.unpersist()
     return fixed.select(*[c for c in fixed.columns if c != _POS],
                         F.shiftright(F.col(_POS), _ROW_BITS).cast("int").alias(PART),
                         F.col(_POS).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(LOCAL))
@@ -63,6 +70,6 @@ def with_position(df: DataFrame, keys: list[str], order: list[str], out: str = "
     """
     s = range_sorted(df, keys, order, tiebreak)
     seg = segments(s, keys).select(*keys, PART, "_first", "_off")
-    out_df = join_null_safe(s, seg, keys + [PART], "inner", broadcast_right=bounded_keys)
+    out_df = join_null_safe(s, seg, keys + [PART], "inner", broadcast_right=True if bounded_keys else None)
     return (out_df.withColumn(out, F.col("_off") + F.col(LOCAL) - F.col("_first"))
                   .drop(PART, LOCAL, "_first", "_off"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .keys import join_null_safe
 from .ranking import LOCAL, PART, range_sorted
@@ -28,22 +29,72 @@ def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str],
     return out
 
 
+def _previous_in_partition(keys: list[str], order: str):
+    """Per-partition helper for :func:`lag_within` (runs on Arrow batches inside each task).
+
+    The partition is already sorted by (keys, order, tiebreak). Each row gets the
+    previous row's ``order`` value when that row has the same key, else it is a
+    segment head (first row of its key in this partition). The last row of a
+    batch is carried into the next batch of the same partition.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def same_as_previous(col: pa.Array, carried) -> pa.Array:
+        prev = pa.concat_arrays([pa.array([carried], type=col.type), col.slice(0, len(col) - 1)])
+        eq = pc.equal(col, prev)
+        both_null = pc.and_(pc.is_null(col), pc.is_null(prev))
+        return pc.fill_null(pc.or_kleene(eq, both_null), False)
+
+    def run(batches):
+        carried = None   # (key values, order value) of the last row seen in this partition
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                yield b.append_column("_prev_in", pa.nulls(0, b.schema.field(order).type)) \
+                       .append_column("_head", pa.array([], pa.bool_()))
+                continue
+            vals = b.column(order).combine_chunks() if isinstance(b.column(order), pa.ChunkedArray) \
+                else b.column(order)
+            same = None
+            for i, k in enumerate(keys):
+                col = b.column(k)
+                eq = same_as_previous(col, carried[0][i] if carried else None)
+                if carried is None:   # the partition's first row has no predecessor here
+                    eq = pa.concat_arrays([pa.array([False]), eq.slice(1)])
+                same = eq if same is None else pc.and_(same, eq)
+            if same is None:
+                same = pa.concat_arrays([pa.array([carried is not None]), pa.array([True] * (n - 1), pa.bool_())])
+            prev_vals = pa.concat_arrays([pa.array([carried[1] if carried else None], type=vals.type),
+                                          vals.slice(0, n - 1)])
+            prev = pc.if_else(same, prev_vals, pa.nulls(n, vals.type))
+            carried = ([b.column(k)[n - 1].as_py() for k in keys], vals[n - 1].as_py())
+            yield b.append_column("_prev_in", prev).append_column("_head", pc.invert(same))
+    return run
+
+
 def lag_within(df: DataFrame, keys: list[str], order: str, out: str = "prev",
                bounded_keys: bool = False, tiebreak: list[str] | None = None) -> DataFrame:
     """``lag(order) over (partition by keys order by order asc nulls last)`` without hot tasks.
 
-    Rows are range-sorted (see :mod:`.ranking`); the lag is taken inside each
-    (key, partition) segment, and the first row of a segment takes the last
-    value of the key's previous segment from a small per-segment table.
-    ``tiebreak`` (e.g. a record id) lets rows with equal key and order value
-    be split across partitions too; see :func:`.ranking.range_sorted`.
+    Rows are range-sorted and checkpointed (see :mod:`.ranking`), so a hot key
+    spans many partitions of bounded size. Inside each partition the previous
+    row is taken by a vectorised Arrow pass (``mapInArrow``) over the already
+    sorted rows - a built-in window would need one more full shuffle, and that
+    shuffle's hashing piles colliding segments back onto single tasks. The
+    first row of a key in a partition takes the last value of the key's
+    previous segment from a small per-segment table (built-in aggregate +
+    ``lag`` over at most partitions + keys rows). ``tiebreak`` (e.g. a record
+    id) lets rows with equal key and order value split across partitions too.
     """
     s = range_sorted(df, keys, [order], tiebreak)
-    w = Window.partitionBy(*keys, PART).orderBy(LOCAL)
-    inner = s.select("*", F.lag(order).over(w).alias("_prev_in"), F.lag(LOCAL).over(w).isNull().alias("_head"))
+    schema = StructType(list(s.schema.fields) + [
+        StructField("_prev_in", s.schema[order].dataType, True), StructField("_head", BooleanType(), True)])
+    inner = s.mapInArrow(_previous_in_partition(list(keys), order), schema)
     tails = (s.groupBy(*keys, PART).agg(F.max_by(order, LOCAL).alias("_last"))
               .select(*keys, PART, F.lag("_last").over(Window.partitionBy(*keys).orderBy(PART)).alias("_prev_seg")))
-    joined = join_null_safe(inner, tails, keys + [PART], "left", broadcast_right=bounded_keys)
+    # at most partitions + keys rows: broadcast when bounded by construction or after a size check
+    joined = join_null_safe(inner, tails, keys + [PART], "left", broadcast_right=True if bounded_keys else None)
     prev = F.when(F.col("_head"), F.col("_prev_seg")).otherwise(F.col("_prev_in")).alias(out)
     return joined.select(*[c for c in df.columns], prev)
 
