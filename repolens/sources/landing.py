@@ -70,20 +70,12 @@ def _end_repository_at_first_reject(good: DataFrame, rejects: DataFrame) -> Data
     return joined.where(keep).drop("_page_repo", "_page_no", "_bad_repo", "_first_bad")
 
 
-def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType | None = None,
-               on_bad_page: str = "end_repository") -> tuple[DataFrame, DataFrame]:
-    """Read one entity's pages with an explicit schema; returns ``(records, rejects)``.
+def parse_pages(pages: DataFrame, sch: StructType) -> tuple[DataFrame, DataFrame]:
+    """Parse page rows (``value``, ``_source_file``, ``_file_time``) into typed records + rejects.
 
-    ``on_bad_page``: ``"end_repository"`` (the reference: a failing page ends
-    that repository's load, later pages are not taken) or ``"skip_page"``.
-
-    The repository comes from the record's ``repository_full_name`` when it
-    carries one, else from the ``repo=`` folder; ``fetched_at`` defaults to
-    the page file's modification time (never the wall clock at read).
+    Works on batch and streaming frames alike. The repository falls back to the
+    ``repo=`` folder and ``fetched_at`` to the file's modification time.
     """
-    sch = schema or ENTITY_SCHEMAS[entity]
-    path = f"{root.rstrip('/')}/entity={entity}"
-    pages = _pages(spark, path)
     records = F.from_json(_as_array_text(), ArrayType(sch))
     parsed = pages.select("_source_file", "_file_time", "value",
                           F.when(F.trim("value") == "", F.array().cast(ArrayType(sch))).otherwise(records)
@@ -98,8 +90,23 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
     if "fetched_at" in sch.fieldNames():
         good = good.withColumn("fetched_at", F.coalesce(
             F.col("fetched_at"), F.date_format(F.col("_file_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
-    keep = [c for c in sch.fieldNames()] + ["_source_file"]
-    good = good.select(*keep)
+    return good.select(*sch.fieldNames(), "_source_file"), rejects
+
+
+def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType | None = None,
+               on_bad_page: str = "end_repository") -> tuple[DataFrame, DataFrame]:
+    """Read one entity's pages with an explicit schema; returns ``(records, rejects)``.
+
+    ``on_bad_page``: ``"end_repository"`` (the reference: a failing page ends
+    that repository's load, later pages are not taken) or ``"skip_page"``.
+
+    The repository comes from the record's ``repository_full_name`` when it
+    carries one, else from the ``repo=`` folder; ``fetched_at`` defaults to
+    the page file's modification time (never the wall clock at read).
+    """
+    sch = schema or ENTITY_SCHEMAS[entity]
+    path = f"{root.rstrip('/')}/entity={entity}"
+    good, rejects = parse_pages(_pages(spark, path), sch)
     if on_bad_page == "end_repository":
         good = _end_repository_at_first_reject(good, page_rejects(spark, path))
     elif on_bad_page != "skip_page":

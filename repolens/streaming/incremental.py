@@ -1,10 +1,13 @@
 """Incremental load = file-source stream + keyed upsert per micro-batch.
 
 New pages under ``<landing>/entity=<name>`` are picked up exactly once (the
-stream's checkpoint records which files were consumed); each micro-batch is
-merged into the target with :func:`repolens.sinks.upsert.upsert_parquet`, so a
-rerun of a batch after a failure rewrites the same rows. ``availableNow``
-drains what is there and stops, which suits scheduled runs.
+stream's checkpoint records which files were consumed) and parsed like the
+batch reader does (one text row per page, ``from_json`` with the entity
+schema). Each micro-batch is merged into the target with
+:func:`repolens.sinks.upsert.upsert_parquet`, so a rerun of a batch after a
+failure rewrites the same rows; pages that do not parse go to
+``<target>/_rejects/batch=<id>``. ``availableNow`` drains what is there and
+stops, which suits scheduled runs.
 """
 
 from __future__ import annotations
@@ -13,21 +16,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import ENTITY_SCHEMAS
 from ..sinks.upsert import upsert_parquet
-from ..sources.landing import _repo_from_path
+from ..sources.landing import CORRUPT, parse_pages
 
 
 def stream_pages(spark: SparkSession, landing: str, entity: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
-    """A streaming DataFrame of the entity's records (explicit schema, unknown keys dropped)."""
-    sch = ENTITY_SCHEMAS[entity]
-    reader = (spark.readStream.schema(sch).option("multiLine", True).option("mode", "DROPMALFORMED")
-              .option("recursiveFileLookup", True))
+    """A streaming frame of page rows (``value``, ``_source_file``, ``_file_time``)."""
+    reader = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.json(f"{landing.rstrip('/')}/entity={entity}").withColumn("_source_file", F.col("_metadata.file_path"))
-    if "repository_full_name" in sch.fieldNames():
-        df = df.withColumn("repository_full_name", F.coalesce(F.col("repository_full_name"), _repo_from_path()))
-    return df.select(*sch.fieldNames())
+    return (reader.text(f"{landing.rstrip('/')}/entity={entity}")
+            .select("value", F.col("_metadata.file_path").alias("_source_file"),
+                    F.col("_metadata.file_modification_time").alias("_file_time")))
 
 
 def incremental_upsert(spark: SparkSession, landing: str, entity: str, target: str, checkpoint: str,
@@ -36,9 +36,13 @@ def incremental_upsert(spark: SparkSession, landing: str, entity: str, target: s
     """Run (or start) the incremental load of ``entity`` into the versioned table at ``target``."""
     k = keys or ["id"]
     order = newest_first or ["fetched_at"]
+    schema = ENTITY_SCHEMAS[entity]
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert_parquet(batch.sparkSession, target, batch, k, order)
+        records, rejects = parse_pages(batch, schema)
+        upsert_parquet(batch.sparkSession, target, records.drop("_source_file"), k, order)
+        rejects.select("_source_file", CORRUPT).write.mode("overwrite") \
+            .parquet(f"{target.rstrip('/')}/_rejects/batch={batch_id}")
 
     q = (stream_pages(spark, landing, entity).writeStream
          .foreachBatch(merge_batch)

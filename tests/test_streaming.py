@@ -25,6 +25,11 @@ def test_incremental_available_now(spark, tmpdir_path):
     _land(landing, "o/r", "p2.json", [{"id": 2, "tag_name": "v2-fixed", "fetched_at": "2024-01-02"},
                                      {"id": 3, "tag_name": "v3", "fetched_at": "2024-01-02"}])
     incremental_upsert(spark, landing, "releases", target, ckpt).awaitTermination(120)
+    with open(os.path.join(landing, "entity=releases", "repo=o__r", "p3.json"), "w") as f:
+        f.write("[{broken")
+    incremental_upsert(spark, landing, "releases", target, ckpt).awaitTermination(120)
+    rejects = spark.read.parquet(os.path.join(target, "_rejects"))
+    assert rejects.count() == 1
     got = {r["id"]: r["tag_name"] for r in read_current(spark, target).collect()}
     assert got == {1: "v1", 2: "v2-fixed", 3: "v3"}
     assert all(r["repository_full_name"] == "o/r" for r in read_current(spark, target).collect())
