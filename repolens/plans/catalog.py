@@ -249,14 +249,15 @@ def q_quality_checks(spark, sf_dir):
     raw_repo = ad.table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.concat(F.lit("cust/"), F.col("c_name")).alias("full_name"))
     prs, rels = silver_pull_requests(raw_pr), silver_releases(raw_rel)
-    parts = [
+    sources = [
         summarize(raw_pr, TableTests("pull_requests", not_null=["id", "repository_full_name"], unique=["id"])),
         summarize(raw_rel, TableTests("releases", not_null=["id", "repository_full_name"], unique=["id"])),
         summarize(raw_repo, TableTests("repositories", not_null=["id", "full_name"], unique=["id"])),
-        # bronze models are full copies of the sources (SELECT *)
-        summarize(raw_pr, TableTests("stg_github_pull_requests", not_null=["id"], unique=["id"])),
-        summarize(raw_rel, TableTests("stg_github_releases", not_null=["id"], unique=["id"])),
-        summarize(raw_repo, TableTests("stg_github_repositories", not_null=["id"], unique=["id"])),
+    ]
+    # bronze models are full copies of their sources (SELECT *): their id tests are the sources' id tests
+    bronze = [src.where(F.col("column_name") == "id").withColumn("model", F.lit(f"stg_github_{name}"))
+              for src, name in zip(sources, ["pull_requests", "releases", "repositories"])]
+    parts = sources + bronze + [
         summarize(prs, TableTests("stg_pull_requests", not_null=["repository", "number", "feat_classifier"],
                                   accepted_values={"feat_classifier": list(CLASSES)})),
         summarize(rels, TableTests("stg_releases", not_null=["repository", "tag", "row_num"])),
