@@ -105,3 +105,21 @@ def test_group_of_copies_splits_with_tiebreak(spark):
     lag = lag_within(df.where("k = 'hot'"), ["k"], "v", out="prev", tiebreak=["id"])
     prevs = [r["prev"] for r in lag.collect()]
     assert prevs.count(None) == 1 and prevs.count(5.0) == 1499
+
+
+def test_lag_plan_has_no_shuffle_of_the_big_side(spark, skewed):
+    """After the range-sorted checkpoint, the previous-row pass and the stitch move no big data."""
+    _, df = skewed
+    plan = lag_within(df, ["k"], "v", out="prev", bounded_keys=True)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    i = next(n for n, line in enumerate(lines) if "MapInArrow" in line)
+    depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+    below = []
+    for line in lines[i + 1:]:
+        d = len(line) - len(line.lstrip(" :+-"))
+        if d <= depth:
+            break
+        below.append(line)
+    assert any("Scan ExistingRDD" in line for line in below)      # reads the checkpoint directly
+    assert not any("Exchange" in line for line in below)          # no shuffle between them
+    assert "BroadcastHashJoin" in plan
