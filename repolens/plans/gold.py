@@ -19,6 +19,7 @@ from ..operators.filters import equals_folded
 from ..operators.joins import apply_cohort, cohort
 from ..operators.ordering import asc
 from ..operators.windows import lag_within
+from ..session import ensure_checkpoint_dir
 
 # The reference's comparison settings.
 DEFAULT_FOCUS = "input-output-hk/lace"
@@ -64,10 +65,17 @@ def focus_vs_top_k(df: DataFrame, key: str = "repository", ts_col: str = "closed
     to the smaller key.
     """
     base = _base(df, key, ts_col, class_col, class_value)
-    members = _members(base, key, k, focus, focus_label, member_label)
-    kept = apply_cohort(base, members, key, group_col)
-    shaped = kept.select(key, group_col, month_start(ts_col).alias(month_col))
-    out = count_by(shaped, [key, group_col, month_col], count_col)
+    # One pass over the rows: counts per (key, month). The ranking sums a key's months (NULL month
+    # included) and the result is the cohort's share of the same counts. The aggregate (keys x months,
+    # far smaller than the rows) is checkpointed so both uses read it instead of scanning the rows
+    # twice; the join's inferred filters would otherwise keep Spark from reusing one exchange.
+    ensure_checkpoint_dir(df.sparkSession)
+    monthly = count_by(base.select(key, month_start(ts_col).alias(month_col)), [key, month_col],
+                       count_col).checkpoint(eager=True)
+    totals = monthly.groupBy(key).agg(F.sum(count_col).alias("_n"))
+    top = totals.orderBy(F.col("_n").desc(), F.col(key).asc_nulls_last()).limit(k)
+    members = cohort(top, key, focus, focus_label, member_label)
+    out = apply_cohort(monthly, members, key, group_col).select(key, group_col, month_col, count_col)
     if order:
         out = out.orderBy(*[asc(c) for c in order])
     return out
