@@ -39,14 +39,16 @@ def range_sorted(df: DataFrame, keys: list[str], order: list[str], tiebreak: lis
     sort_cols = [F.col(c).asc_nulls_last() for c in list(keys) + list(order) + list(tiebreak or [])]
     # The range partitioner samples its input in a separate job; keeping the (narrow) input
     # until the checkpoint is written stops that job from recomputing the whole upstream plan.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ours = not df.is_cached          # never release a cache the caller made
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if ours else df
     try:
         tagged = (src.repartitionByRange(*sort_cols)
                      .sortWithinPartitions(*sort_cols)
                      .withColumn(_POS, F.monotonically_increasing_id()))
         fixed = tagged.checkpoint(eager=True)
     finally:
-        src.unpersist()
+        if ours:
+            src.unpersist()
     return fixed.select(*[c for c in fixed.columns if c != _POS],
                         F.shiftright(F.col(_POS), _ROW_BITS).cast("int").alias(PART),
                         F.col(_POS).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(LOCAL))

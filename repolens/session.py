@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of finished range sorts are removed once their RDDs are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -123,3 +123,13 @@ def test_lag_plan_has_no_shuffle_of_the_big_side(spark, skewed):
     assert any("Scan ExistingRDD" in line for line in below)      # reads the checkpoint directly
     assert not any("Exchange" in line for line in below)          # no shuffle between them
     assert "BroadcastHashJoin" in plan
+
+
+def test_range_sort_keeps_callers_cache(spark, skewed):
+    from repolens.operators.ranking import range_sorted
+    _, df = skewed
+    mine = df.cache()
+    mine.count()
+    range_sorted(mine, ["k"], ["v"])
+    assert mine.is_cached
+    mine.unpersist()
