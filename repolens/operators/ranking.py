@@ -25,7 +25,12 @@ _POS = "_seg_pos"
 _ROW_BITS = 33  # monotonically_increasing_id: partition index above bit 33, row index below
 
 
-def range_sorted(df: DataFrame, keys: list[str], order: list[str], tiebreak: list[str] | None = None
+def _sort_col(c):
+    """A column name sorts ascending with NULLs last; a Column sort order is used as given."""
+    return F.col(c).asc_nulls_last() if isinstance(c, str) else c
+
+
+def range_sorted(df: DataFrame, keys: list[str], order: list, tiebreak: list[str] | None = None
                  ) -> DataFrame:
     """Range-partition and sort on ``keys + order + tiebreak`` (ascending, NULLs last), tag rows, checkpoint.
 
@@ -36,7 +41,7 @@ def range_sorted(df: DataFrame, keys: list[str], order: list[str], tiebreak: lis
     interchangeable for lag values and for order statistics.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    sort_cols = [F.col(c).asc_nulls_last() for c in list(keys) + list(order) + list(tiebreak or [])]
+    sort_cols = [_sort_col(c) for c in list(keys) + list(order) + list(tiebreak or [])]
     # The range partitioner samples its input in a separate job; keeping the (narrow) input
     # until the checkpoint is written stops that job from recomputing the whole upstream plan.
     ours = not df.is_cached          # never release a cache the caller made
@@ -63,9 +68,10 @@ def segments(sorted_df: DataFrame, keys: list[str], extra_aggs: list | None = No
                       F.sum("_cnt").over(Window.partitionBy(*keys)).cast("long").alias("_n"))
 
 
-def with_position(df: DataFrame, keys: list[str], order: list[str], out: str = "position",
+def with_position(df: DataFrame, keys: list[str], order: list, out: str = "position",
                   bounded_keys: bool = False, tiebreak: list[str] | None = None) -> DataFrame:
-    """Add the 0-based position of each row inside its key, ordered by ``order`` (NULLs last).
+    """Add the 0-based position of each row inside its key, ordered by ``order`` (names sort
+    ascending with NULLs last; Column sort orders such as ``F.col("t").desc()`` are used as given).
 
     ``bounded_keys`` says the number of distinct keys is known to be small (for
     example a top-k cohort), which bounds the segment table and allows a broadcast.

@@ -103,9 +103,12 @@ def recent_n_per_key(df: DataFrame, keys: list[str], newest_first: list[Column],
                      rank_col: str | None = "rn") -> DataFrame:
     """Keep the ``n`` most recent rows per key (``n`` falsy = unlimited, ``n < 0`` = none).
 
-    ``row_number() <= n`` with a literal ``n``: the optimizer inserts a
-    per-partition group limit before the shuffle, so a hot key ships at most
-    ``n`` rows per input partition. Unlimited with no ``rank_col`` needs no window.
+    Up to Spark's group-limit threshold (``spark.sql.optimizer.windowGroupLimitThreshold``),
+    ``row_number() <= n`` plans a per-partition group limit before the shuffle, so a hot key
+    ships at most ``n`` rows per input partition. Above it that limit is not planned, and a
+    window would gather a hot key in one task; exact positions from the range-sorted
+    primitive (:func:`.ranking.with_position`) keep the work split instead.
+    Unlimited with no ``rank_col`` needs no ordering at all.
     """
     if n is not None and n < 0:
         out = df.limit(0)
@@ -113,6 +116,13 @@ def recent_n_per_key(df: DataFrame, keys: list[str], newest_first: list[Column],
     if not n and rank_col is None:
         return df
     rc = rank_col or "_rn"
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n and n > threshold:
+        from .ranking import with_position
+        ranked = with_position(df, keys, newest_first, out="_pos")
+        ranked = (ranked.where(F.col("_pos") < F.lit(n))
+                        .withColumn(rc, (F.col("_pos") + 1).cast("long")).drop("_pos"))
+        return ranked if rank_col else ranked.drop(rc)
     w = Window.partitionBy(*keys).orderBy(*newest_first)
     ranked = df.withColumn(rc, F.row_number().over(w))
     if n:

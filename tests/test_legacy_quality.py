@@ -157,3 +157,19 @@ def test_run_legacy_job_one_pass(spark, tmpdir_path):
     # second run: a/wallet is stored and skipped, nothing new to select; children still join to it
     again = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="cardano wallet")
     assert again == {"repositories": 1, "pull_requests": 1, "releases": 1}
+
+
+def test_recent_n_above_group_limit_threshold_is_exact(spark):
+    """Above the group-limit threshold the cap uses range-sorted positions; same rows as the window."""
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    old = spark.conf.get(key)
+    df = spark.range(3000).select((F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+        (F.col("id") % 7).cast("string"))).alias("k"), (F.col("id") % 500).alias("t"), F.col("id"))
+    order = [F.col("t").desc(), F.col("id").desc()]
+    want = {(r["k"], r["id"], r["rn"]) for r in recent_n_per_key(df, ["k"], order, 50).collect()}
+    try:
+        spark.conf.set(key, "10")
+        got = {(r["k"], r["id"], r["rn"]) for r in recent_n_per_key(df, ["k"], order, 50).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert got == want and len(got) == 50 * 8
