@@ -8,7 +8,7 @@ def test_checkpoint_dir_read_from_session(spark):
     got = ensure_checkpoint_dir(spark)
     assert got
     if named:                                   # the environment names a folder: it is used, not replaced
-        assert got.rstrip("/").endswith(named.rstrip("/").split(":")[-1].rstrip("/").split("/")[-1])
+        assert named.split(":")[-1].rstrip("/") in got   # Spark adds a per-application subfolder
     assert ensure_checkpoint_dir(spark) == got  # stable across calls
 
 
