@@ -68,6 +68,15 @@ def exact_quantile_by(df: DataFrame, keys: list[str], value: str, q: float = 0.5
     return result
 
 
+def approx_quantile_by(df: DataFrame, keys: list[str], value: str, q: float = 0.5, out: str = "quantile",
+                       accuracy: int = 10000) -> DataFrame:
+    """A4, opt-in: ``percentile_approx`` per key - a sketch of bounded size per group, merged
+    map-side, so no sort is needed. Rank error is at most ``n / accuracy``; the result is one of
+    the observed values (no interpolation). NULL values are ignored; an all-NULL key gives NULL.
+    """
+    return df.groupBy(*keys).agg(F.percentile_approx(value, q, accuracy).alias(out))
+
+
 def row_count(df: DataFrame, name: str, name_col: str = "table_name", out: str = "row_count") -> DataFrame:
     """One-row ``(name, count(*))`` aggregate; union several for a run summary."""
     return df.agg(F.count(F.lit(1)).alias(out)).select(F.lit(name).alias(name_col), F.col(out))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import round_half_away
 from ..functions.timefmt import days_between, month_start, to_timestamp_strict
-from ..operators.aggregates import count_by, exact_quantile_by, top_k_groups
+from ..operators.aggregates import approx_quantile_by, count_by, exact_quantile_by, top_k_groups
 from ..operators.filters import equals_folded
 from ..operators.joins import apply_cohort, cohort
 from ..operators.ordering import asc
@@ -86,7 +86,7 @@ def median_gap(df: DataFrame, key: str = "repository", ts_col: str = "closed_at"
                class_value: str | None = FEATURE_CLASS, focus: str | None = DEFAULT_FOCUS,
                focus_label: str = DEFAULT_FOCUS_LABEL, k: int = DEFAULT_K,
                member_label: str = DEFAULT_MEMBER_LABEL, digits: int = 2, order: bool = False,
-               id_col: str = "id") -> DataFrame:
+               id_col: str = "id", approx_accuracy: int | None = None) -> DataFrame:
     """M5 / M8: median of the day gaps between consecutive timestamps of each cohort key.
 
     ``lag`` orders NULLs last, so the first NULL timestamp after the last real
@@ -95,6 +95,8 @@ def median_gap(df: DataFrame, key: str = "repository", ts_col: str = "closed_at"
 
     The record id (``id_col``, when present) rides along as a tie-break so that
     a hot run of equal timestamps or equal gaps still splits across tasks.
+    ``approx_accuracy`` (opt-in) replaces the exact median with ``percentile_approx``:
+    no second range sort, rank error at most n / accuracy.
     """
     base = _base(df, key, ts_col, class_col, class_value, carry=[id_col])
     tb = [id_col] if id_col in base.columns else []
@@ -103,8 +105,11 @@ def median_gap(df: DataFrame, key: str = "repository", ts_col: str = "closed_at"
     ranked = lag_within(kept, [key], ts_col, out="_prev", bounded_keys=True, tiebreak=tb)
     intervals = (ranked.where(F.col("_prev").isNotNull())
                        .select(key, days_between(ts_col, "_prev").alias("_days"), *tb))
-    med = exact_quantile_by(intervals, [key], "_days", 0.5, out="_median", bounded_keys=True,
-                            keep_empty_keys=True, tiebreak=tb)
+    if approx_accuracy:
+        med = approx_quantile_by(intervals, [key], "_days", 0.5, out="_median", accuracy=approx_accuracy)
+    else:
+        med = exact_quantile_by(intervals, [key], "_days", 0.5, out="_median", bounded_keys=True,
+                                keep_empty_keys=True, tiebreak=tb)
     out = med.select(key, round_half_away("_median", digits).alias(out_col))
     if order:
         out = out.orderBy(asc(out_col))

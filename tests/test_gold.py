@@ -85,3 +85,13 @@ def test_median_sub_second(gaps):
     rows = [("a/x", base, "feature"), ("a/x", base + dt.timedelta(microseconds=500000), "feature")]
     out = gaps(rows, digits=8)
     assert out["a/x"] == round(0.5 / 86400.0, 8)
+
+
+def test_median_approx_opt_in_close_to_exact(spark):
+    rows = [("a/x", T(2024, 1, 1) + dt.timedelta(hours=7 * i * i % 97 + i * 24), "feature") for i in range(200)]
+    rows += [("a/x", None, "feature")]
+    df = silver(spark, rows)
+    exact = {r[0]: r[1] for r in median_gap(df, focus=None, k=10).collect()}
+    approx = {r[0]: r[1] for r in median_gap(df, focus=None, k=10, approx_accuracy=100000).collect()}
+    assert exact.keys() == approx.keys()
+    assert abs(exact["a/x"] - approx["a/x"]) <= 1.0   # one rank step at most; gaps are about a day
