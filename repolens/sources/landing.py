@@ -2,7 +2,7 @@
 
 Layout: ``<root>/entity=<name>/repo=<owner>__<name>/<page>.json`` where each
 page is one JSON array of records (an empty page is ``[]`` or empty text; a
-single object counts as one record). Each page file is read as one text row
+single object counts as one record; JSON Lines are read line by line). Each page file is read as one text row
 and parsed once with the entity schema (``from_json``, unknown keys dropped,
 missing keys NULL), so pages are spread over tasks like any file scan. A page
 that does not parse lands in the rejects frame instead of stopping the load.
@@ -38,9 +38,12 @@ def _pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _as_array_text(value: str = "value") -> F.Column:
-    """A page holding a single object (e.g. one repository) is read as a one-element array."""
-    v = F.col(value)
-    return F.when(F.ltrim(v).startswith("{"), F.concat(F.lit("["), v, F.lit("]"))).otherwise(v)
+    """Page text as a JSON array: a single object (e.g. one repository) becomes a one-element
+    array, and JSON Lines (one object per line, as Spark's JSON writer lands them) become an
+    array of their lines. ``}`` newline ``{`` without a comma never occurs inside valid JSON."""
+    v = F.trim(F.col(value))
+    lines_as_array = F.concat(F.lit("["), F.regexp_replace(v, r"\}\s*\n\s*\{", "},{"), F.lit("]"))
+    return F.when(v.startswith("{"), lines_as_array).otherwise(F.col(value))
 
 
 def _is_bad_page(value: str = "value") -> F.Column:

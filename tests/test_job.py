@@ -59,3 +59,32 @@ def test_presets_and_qualifiers():
     terms, opts = split_qualifiers(PRESETS["cardano-active"]["search"])
     assert terms == "cardano wallet" and opts == {"pushed_after": "2023-01-01"}
     assert split_qualifiers("x stars:>5 archived:true") == ("x", {"min_stars": 6, "include_archived": True})
+
+
+def test_job_on_landed_supplied_tables_matches_registered_queries(spark, tmpdir_path):
+    """Land the PR / release adapters as Spark-written JSON Lines, run every layer, compare gold models."""
+    from pyspark.sql import functions as F
+    from repolens.plans import adapters as ad
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+
+    landing = os.path.join(tmpdir_path, "landing")
+    for entity, raw in (("pull_requests", ad.pull_requests_raw(spark, SF_SMALL)),
+                        ("releases", ad.releases_raw(spark, SF_SMALL))):
+        (raw.withColumn("repo", F.regexp_replace("repository_full_name", "/", "__"))
+            .write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            .partitionBy("repo").json(os.path.join(landing, f"entity={entity}")))
+    wh = os.path.join(tmpdir_path, "wh")
+    run_job(spark, landing, wh, None, focus=ad.ADAPTER_FOCUS, focus_label=ad.ADAPTER_FOCUS_LABEL, k=10,
+            member_label="top_10")
+    pairs = [("median_feature_prs_lace_vs_top10", "median_gap_prs"),
+             ("median_releases_lace_vs_top10", "median_gap_releases"),
+             ("feature_prs_lace_vs_top10", "focus_vs_topk_prs"),
+             ("feature_releases_monthly", "monthly_releases"),
+             ("feature_prs_monthly", "monthly_counts")]
+    for model, query in pairs:
+        got = spark.read.parquet(os.path.join(wh, "gold", model))
+        want = E.queries()[query](spark, SF_SMALL)
+        cols = sorted(want.columns)
+        assert sorted(map(tuple, got.select(cols).collect()), key=str) == \
+            sorted(map(tuple, want.select(cols).collect()), key=str), model
