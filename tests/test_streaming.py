@@ -33,3 +33,29 @@ def test_incremental_available_now(spark, tmpdir_path):
     got = {r["id"]: r["tag_name"] for r in read_current(spark, target).collect()}
     assert got == {1: "v1", 2: "v2-fixed", 3: "v3"}
     assert all(r["repository_full_name"] == "o/r" for r in read_current(spark, target).collect())
+
+
+def test_stream_of_landed_supplied_table_equals_batch_merge(spark, tmpdir_path):
+    """Releases from the supplied `orders` table, landed in two drops and streamed in two runs."""
+    from pyspark.sql import functions as F
+    from repolens.plans import adapters as ad
+    from repolens.sinks.upsert import merge_latest
+    from repolens.sources.landing import read_pages
+    from tests.conftest import SF_SMALL
+
+    landing = os.path.join(tmpdir_path, "landing")
+    raw = ad.releases_raw(spark, SF_SMALL).withColumn("repo", F.regexp_replace("repository_full_name", "/", "__"))
+    w = lambda df, d: (df.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+                       .partitionBy("repo").mode("append").json(os.path.join(landing, "entity=releases", d)))
+    w(raw.where(F.col("prerelease")), "drop=1")
+    target, ckpt = os.path.join(tmpdir_path, "t"), os.path.join(tmpdir_path, "c")
+    incremental_upsert(spark, landing, "releases", target, ckpt).awaitTermination(180)
+    w(raw.where(~F.col("prerelease")), "drop=2")
+    incremental_upsert(spark, landing, "releases", target, ckpt).awaitTermination(180)
+    streamed = read_current(spark, target)
+    batch, _ = read_pages(spark, landing, "releases")
+    expected = merge_latest(None, batch.drop("_source_file"), ["id"], ["fetched_at"])
+    cols = sorted(expected.columns)
+    assert streamed.count() == raw.count()
+    assert sorted(map(tuple, streamed.select(cols).collect()), key=str) == \
+        sorted(map(tuple, expected.select(cols).collect()), key=str)
