@@ -50,21 +50,19 @@ def _previous_in_partition(keys: list[str], order: str):
         carried = None   # (key values, order value) of the last row seen in this partition
         for b in batches:
             n = b.num_rows
+            vals = b.column(order)
             if n == 0:
-                yield b.append_column("_prev_in", pa.nulls(0, b.schema.field(order).type)) \
-                       .append_column("_head", pa.array([], pa.bool_()))
+                yield b.append_column("_prev_in", pa.nulls(0, vals.type)).append_column(
+                    "_head", pa.array([], pa.bool_()))
                 continue
-            vals = b.column(order).combine_chunks() if isinstance(b.column(order), pa.ChunkedArray) \
-                else b.column(order)
             same = None
             for i, k in enumerate(keys):
-                col = b.column(k)
-                eq = same_as_previous(col, carried[0][i] if carried else None)
-                if carried is None:   # the partition's first row has no predecessor here
-                    eq = pa.concat_arrays([pa.array([False]), eq.slice(1)])
+                eq = same_as_previous(b.column(k), carried[0][i] if carried else None)
                 same = eq if same is None else pc.and_(same, eq)
-            if same is None:
-                same = pa.concat_arrays([pa.array([carried is not None]), pa.array([True] * (n - 1), pa.bool_())])
+            if same is None:      # no keys: one ordered sequence
+                same = pa.array([True] * n, pa.bool_())
+            if carried is None:   # the partition's first row has no predecessor here
+                same = pa.concat_arrays([pa.array([False]), same.slice(1)])
             prev_vals = pa.concat_arrays([pa.array([carried[1] if carried else None], type=vals.type),
                                           vals.slice(0, n - 1)])
             prev = pc.if_else(same, prev_vals, pa.nulls(n, vals.type))

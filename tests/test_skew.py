@@ -133,3 +133,9 @@ def test_range_sort_keeps_callers_cache(spark, skewed):
     range_sorted(mine, ["k"], ["v"])
     assert mine.is_cached
     mine.unpersist()
+
+
+def test_lag_without_keys_is_one_sequence(spark):
+    df = spark.createDataFrame([(float(v),) for v in [5, 1, 3, 2, 4, 3]], "v double")
+    got = sorted((r["v"], r["prev"]) for r in lag_within(df, [], "v", out="prev").collect())
+    assert got == [(1.0, None), (2.0, 1.0), (3.0, 2.0), (3.0, 3.0), (4.0, 3.0), (5.0, 4.0)]
