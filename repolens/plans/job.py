@@ -94,9 +94,10 @@ def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str |
         except AnalysisException:  # nothing landed for this entity: keep what is stored
             pages = None
         if pages is not None:
-            upsert_parquet(spark, f"{root}/raw/{entity}", pages, ["id"], ["fetched_at"])
-        current = read_current(spark, f"{root}/raw/{entity}")
-        raw_rows[entity] = current.count() if current is not None else 0
+            raw_rows[entity] = upsert_parquet(spark, f"{root}/raw/{entity}", pages, ["id"], ["fetched_at"]).rows
+        else:                      # nothing landed: report what is stored
+            current = read_current(spark, f"{root}/raw/{entity}")
+            raw_rows[entity] = current.count() if current is not None else 0
     raw_prs = read_current(spark, f"{root}/raw/pull_requests", REST_PULL_REQUEST)
     raw_rel = read_current(spark, f"{root}/raw/releases", REST_RELEASE)
     materialize(silver_pull_requests(raw_prs), path=f"{root}/silver/stg_pull_requests")

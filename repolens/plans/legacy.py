@@ -109,9 +109,9 @@ def run_legacy_job(spark, landing: str, warehouse: str, search: str | None = "ca
     picked = select_repositories(repos_in.drop("_source_file"), existing, search, max_repos, include_archived,
                                  min_stars, collected_at=F.current_timestamp())
     picked = picked.withColumn("database_id", F.col("databaseId"))
-    upsert_parquet(spark, f"{root}/repositories", picked, ["database_id"], ["collected_at"])
+    counts = {"repositories": upsert_parquet(spark, f"{root}/repositories", picked, ["database_id"],
+                                             ["collected_at"]).rows}
     repos_now = read_current(spark, f"{root}/repositories").select("nameWithOwner", "databaseId")
-    counts = {"repositories": read_current(spark, f"{root}/repositories").count()}
     for entity, enrich in (("gql_pull_requests", enrich_pull_requests), ("gql_releases", enrich_releases)):
         name = entity.replace("gql_", "")
         try:
@@ -119,6 +119,5 @@ def run_legacy_job(spark, landing: str, warehouse: str, search: str | None = "ca
         except AnalysisException:  # nothing landed for this entity
             continue
         rows = enrich(children.drop("_source_file"), repos_now, collected_at=F.current_timestamp())
-        upsert_parquet(spark, f"{root}/{name}", rows, ["database_id"], ["collected_at"])
-        counts[name] = read_current(spark, f"{root}/{name}").count()
+        counts[name] = upsert_parquet(spark, f"{root}/{name}", rows, ["database_id"], ["collected_at"]).rows
     return counts

@@ -9,10 +9,13 @@ run leaves the previous version current.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.windows import latest_per_key
+from .writers import write_counted
 
 
 def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: list[str],
@@ -48,8 +51,13 @@ def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | Non
     return reader.parquet(f"{root.rstrip('/')}/v={versions[-1]}")
 
 
+class Upserted(NamedTuple):
+    path: str      # the new version folder
+    rows: int      # rows in the new version, observed while writing it (no second scan)
+
+
 def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: list[str],
-                   newest_first: list[str]) -> str:
+                   newest_first: list[str]) -> Upserted:
     """Merge ``incoming`` into the table at ``root``; returns the new version's path.
 
     The new version is written next to the old one, so the read of the old
@@ -60,8 +68,8 @@ def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: li
     existing = read_current(spark, root, incoming.schema) if versions else None
     merged = merge_latest(existing, incoming, keys, newest_first)
     target = f"{root.rstrip('/')}/v={(versions[-1] + 1) if versions else 1}"
-    merged.write.mode("overwrite").parquet(target)   # an unlogged leftover of a failed run is replaced
+    rows = write_counted(merged, target)   # an unlogged leftover of a failed run is replaced
     version = (versions[-1] + 1) if versions else 1
     spark.createDataFrame([(version, target)], "version long, path string") \
         .write.mode("append").parquet(_log_path(root))
-    return target
+    return Upserted(target, rows)

@@ -67,7 +67,7 @@ def test_upsert_idempotent_and_latest_wins(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "releases")
     schema = "id long, v string, fetched_at string"
     b1 = spark.createDataFrame([(1, "a", "2024-01-01"), (2, "b", "2024-01-01"), (2, "b2", "2024-01-02")], schema)
-    upsert_parquet(spark, root, b1, ["id"], ["fetched_at"])
+    assert upsert_parquet(spark, root, b1, ["id"], ["fetched_at"]).rows == 2
     assert {(r.id, r.v) for r in read_current(spark, root).collect()} == {(1, "a"), (2, "b2")}
     b2 = spark.createDataFrame([(1, "a2", "2024-02-01"), (3, "c", "2024-02-01")], schema)
     upsert_parquet(spark, root, b2, ["id"], ["fetched_at"])
