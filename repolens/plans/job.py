@@ -100,7 +100,10 @@ def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str |
             raw_rows[entity] = current.count() if current is not None else 0
     raw_prs = read_current(spark, f"{root}/raw/pull_requests", REST_PULL_REQUEST)
     raw_rel = read_current(spark, f"{root}/raw/releases", REST_RELEASE)
-    materialize(silver_pull_requests(raw_prs), path=f"{root}/silver/stg_pull_requests")
+    # partitioned by class (a fixed six-value vocabulary): the gold PR models' class filter becomes
+    # partition pruning, so they read only the feature folder
+    materialize(silver_pull_requests(raw_prs), path=f"{root}/silver/stg_pull_requests",
+                partition_by=["feat_classifier"])
     materialize(silver_releases(raw_rel), path=f"{root}/silver/stg_releases")
     prs = spark.read.parquet(f"{root}/silver/stg_pull_requests")
     rels = spark.read.parquet(f"{root}/silver/stg_releases")

@@ -88,3 +88,16 @@ def test_job_on_landed_supplied_tables_matches_registered_queries(spark, tmpdir_
         cols = sorted(want.columns)
         assert sorted(map(tuple, got.select(cols).collect()), key=str) == \
             sorted(map(tuple, want.select(cols).collect()), key=str), model
+
+
+def test_gold_reads_only_the_feature_partition(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    _land(landing, "pull_requests", "test/repo", "p1.json", [dict(r, repository_full_name=None) for r in PR_FIXTURES])
+    _land(landing, "releases", "test/repo", "p1.json", RELEASE_FIXTURES)
+    wh = os.path.join(tmpdir_path, "wh")
+    run_job(spark, landing, wh, None)
+    from repolens.plans.gold import monthly_counts
+    prs = spark.read.parquet(os.path.join(wh, "silver", "stg_pull_requests"))
+    plan = monthly_counts(prs)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(feat_classifier" in plan and "lower(feat_classifier" in plan
+    assert "feat_classifier=feature" in os.listdir(os.path.join(wh, "silver", "stg_pull_requests"))
