@@ -35,13 +35,17 @@ def cap_nested(arr: Column | str, n: int) -> Column:
     return F.slice(_c(arr), 1, n)
 
 
-def topk_nested(arr: Column | str, by: str, n: int) -> Column:
+def topk_nested(arr: Column | str, by: str, n: int, by_is_first: bool = False) -> Column:
     """The ``n`` elements with the largest ``by`` field, largest first.
 
     Sorting is on the whole element with ``by`` hoisted to the front, so equal
     ``by`` values fall back to the remaining fields and the result is stable.
+    ``by_is_first`` says ``by`` already is the element's first field: the
+    elements then sort as they are (same order, no wrapping).
     """
     col = _c(arr)
+    if by_is_first:
+        return F.slice(F.sort_array(col, asc=False), 1, n)
     keyed = F.transform(col, lambda x: F.struct(x[by].alias("_k"), x.alias("_v")))
     ordered = F.sort_array(keyed, asc=False)
     return F.slice(F.transform(ordered, lambda x: x["_v"]), 1, n)

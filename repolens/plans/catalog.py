@@ -186,7 +186,7 @@ def q_nested_count(spark, sf_dir):
 
 def q_nested_topk(spark, sf_dir):
     """Names of the two largest edges, largest first."""
-    top = topk_nested("edges", "size", 2)
+    top = topk_nested("edges", "size", 2, by_is_first=True)   # edges are (size, node)
     return _nested(spark, sf_dir).select("l_orderkey", "l_linenumber",
                                          F.transform(top, lambda x: x["node"]["name"]).alias("top_edges"))
 

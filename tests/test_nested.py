@@ -42,3 +42,10 @@ def test_child_rows_skip_null_and_empty(spark):
     names = _df(spark).select("id", field_names("labels", "name").alias("names"))
     out = [(r["id"], r["pos"], r["value"]) for r in child_rows(names, ["id"], "names").orderBy("pos").collect()]
     assert out == [(3, 0, None), (3, 1, "b"), (3, 2, "c")]
+
+
+def test_topk_first_field_fast_path_same_order(spark):
+    df = _df(spark)
+    a = [r[0] for r in df.select(topk_nested("edges", "size", 3)).collect()]
+    b = [r[0] for r in df.select(topk_nested("edges", "size", 3, by_is_first=True)).collect()]
+    assert a == b
