@@ -95,3 +95,13 @@ def test_median_approx_opt_in_close_to_exact(spark):
     approx = {r[0]: r[1] for r in median_gap(df, focus=None, k=10, approx_accuracy=100000).collect()}
     assert exact.keys() == approx.keys()
     assert abs(exact["a/x"] - approx["a/x"]) <= 1.0   # one rank step at most; gaps are about a day
+
+
+def test_focus_vs_top_k_reads_rows_once(spark):
+    """The rows are scanned once, into the checkpointed monthly aggregate; the plan itself reads no parquet."""
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    plan = E.queries()["focus_vs_topk_prs"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+    assert plan.count("Scan ExistingRDD") == 2      # ranking and result read the same checkpoint
+    assert "BroadcastHashJoin" in plan
