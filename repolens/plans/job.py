@@ -109,7 +109,9 @@ def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str |
     rels = spark.read.parquet(f"{root}/silver/stg_releases")
     for name, df in gold_models(prs, rels, **gold_kw).items():
         materialize(df, path=f"{root}/gold/{name}")
-    checks = {(r["model"], r["test"], r["column_name"]): r["failures"] for r in model_checks(prs, rels).collect()}
+    materialize(model_checks(prs, rels), path=f"{root}/checks")      # the data-test results, kept per run
+    checks = {(r["model"], r["test"], r["column_name"]): r["failures"]
+              for r in spark.read.parquet(f"{root}/checks").collect()}    # 7 rows
     report = {}
     if export_dir:
         layer = {m: ("silver" if m.startswith("stg_") else "gold") for m in EXPORTED_MODELS}

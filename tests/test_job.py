@@ -25,7 +25,8 @@ def test_run_job_end_to_end(spark, tmpdir_path):
     wh, ex = os.path.join(tmpdir_path, "wh"), os.path.join(tmpdir_path, "exports")
     out = run_job(spark, landing, wh, ex)
     assert out["raw_rows"] == {"pull_requests": 8, "releases": 3, "issues": 0}
-    assert all(v == 0 for v in out["checks"].values())
+    assert all(v == 0 for v in out["checks"].values()) and len(out["checks"]) == 7
+    assert spark.read.parquet(os.path.join(wh, "checks")).count() == 7
     assert set(out["export"]) == set(EXPORTED_MODELS)
     assert all(isinstance(v, int) for v in out["export"].values()), out["export"]
     med = spark.read.parquet(os.path.join(ex, "median_feature_prs_lace_vs_top10.parquet")).collect()
