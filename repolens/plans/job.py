@@ -82,10 +82,12 @@ def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str |
     root = warehouse.rstrip("/")
     loads = {
         "pull_requests": lambda: cap_per_repository(
-            state_filter(read_pages(spark, landing, "pull_requests")[0], state), max_prs_per_repo, ["updated_at"]),
+            state_filter(read_pages(spark, landing, "pull_requests", repos=repos)[0], state), max_prs_per_repo,
+            ["updated_at"]),
         "releases": lambda: cap_per_repository(
-            read_pages(spark, landing, "releases")[0], max_releases_per_repo, ["created_at"]),
-        "issues": lambda: clean_issues(read_issue_pages(spark, landing)[0], state, max_issues_per_repo),
+            read_pages(spark, landing, "releases", repos=repos)[0], max_releases_per_repo, ["created_at"]),
+        "issues": lambda: clean_issues(read_issue_pages(spark, landing, repos=repos)[0], state,
+                                       max_issues_per_repo),
     }
     raw_rows = {}
     for entity, load in loads.items():

@@ -96,19 +96,34 @@ def parse_pages(pages: DataFrame, sch: StructType) -> tuple[DataFrame, DataFrame
     return good.select(*sch.fieldNames(), "_source_file"), rejects
 
 
+def entity_path(root: str, entity: str, repos: list[str] | None = None) -> str:
+    """The entity's landing folder, or a glob over just the allowed repositories' folders.
+
+    Reading only those folders keeps the other repositories' pages from being listed or
+    parsed at all (repository names hold no glob characters).
+    """
+    base = f"{root.rstrip('/')}/entity={entity}"
+    if not repos:
+        return base
+    names = ",".join(sorted(r.replace("/", REPO_SEP) for r in repos))
+    return f"{base}/repo={{{names}}}"
+
+
 def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType | None = None,
-               on_bad_page: str = "end_repository") -> tuple[DataFrame, DataFrame]:
+               on_bad_page: str = "end_repository", repos: list[str] | None = None
+               ) -> tuple[DataFrame, DataFrame]:
     """Read one entity's pages with an explicit schema; returns ``(records, rejects)``.
 
     ``on_bad_page``: ``"end_repository"`` (the reference: a failing page ends
     that repository's load, later pages are not taken) or ``"skip_page"``.
+    ``repos`` limits the read to those repositories' folders (see :func:`entity_path`).
 
     The repository comes from the record's ``repository_full_name`` when it
     carries one, else from the ``repo=`` folder; ``fetched_at`` defaults to
     the page file's modification time (never the wall clock at read).
     """
     sch = schema or ENTITY_SCHEMAS[entity]
-    path = f"{root.rstrip('/')}/entity={entity}"
+    path = entity_path(root, entity, repos)
     good, rejects = parse_pages(_pages(spark, path), sch)
     if on_bad_page == "end_repository":
         good = _end_repository_at_first_reject(good, page_rejects(spark, path))
@@ -117,8 +132,8 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
     return good, rejects
 
 
-def read_issue_pages(spark: SparkSession, root: str, schema: StructType | None = None
-                     ) -> tuple[DataFrame, DataFrame]:
+def read_issue_pages(spark: SparkSession, root: str, schema: StructType | None = None,
+                     repos: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Issues need a key-presence test (P4), so records are kept as raw JSON text first.
 
     Each page is split into its records' raw text (a string-typed array parse
@@ -127,7 +142,7 @@ def read_issue_pages(spark: SparkSession, root: str, schema: StructType | None =
     parsed with the issue schema.
     """
     sch = schema or ENTITY_SCHEMAS["issues"]
-    pages = _pages(spark, f"{root.rstrip('/')}/entity=issues")
+    pages = _pages(spark, entity_path(root, "issues", repos))
     parsed = pages.withColumn("_records", F.when(F.trim("value") == "", F.array().cast("array<string>"))
                               .otherwise(F.from_json(_as_array_text(), "array<string>")))
     rejects = parsed.where(F.col("_records").isNull()).select("_source_file", F.col("value").alias(CORRUPT))

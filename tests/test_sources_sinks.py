@@ -120,3 +120,14 @@ def test_single_object_page_is_one_record(spark, tmpdir_path):
     recs, rejects = read_pages(spark, tmpdir_path, "repositories")
     assert [(r["id"], r["full_name"]) for r in recs.collect()] == [(7, "o/r")]
     assert rejects.count() == 0
+
+
+def test_allow_list_reads_only_those_folders(spark, tmpdir_path):
+    land(tmpdir_path, "releases", "a/r", "page-1.json", [{"id": 1, "tag_name": "v1"}])
+    land(tmpdir_path, "releases", "b/r", "page-1.json", "[{broken")           # never read when not allowed
+    land(tmpdir_path, "releases", "c/r", "page-1.json", [{"id": 3, "tag_name": "v3"}])
+    recs, rejects = read_pages(spark, tmpdir_path, "releases", repos=["a/r", "c/r", "z/missing"])
+    assert sorted(r["id"] for r in recs.collect()) == [1, 3]
+    assert rejects.count() == 0
+    files = {r["_source_file"].split("repo=")[1].split("/")[0] for r in recs.collect()}
+    assert files == {"a__r", "c__r"}
