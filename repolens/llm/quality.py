@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import keyed_text, texts_of
+from repolens.llm.common import keyed_text, texts_of, without
 
 SYMBOLS = b"#*$%&|<>"
 NOT_SYMBOL = bytes(i for i in range(256) if i not in SYMBOLS)
@@ -149,6 +149,5 @@ def quality_filter(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The verdicts come from the ledger by id. Rows that share an id go if any text of that id fails.
     """
-    from repolens.llm.common import without
     failed = ledger(df, id_col, text_col).where(~passes(policy)).select("id").distinct()
     return without(df, id_col, failed)

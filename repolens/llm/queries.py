@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import exact_dedup, mixing, quality, simhash
+from repolens.llm import bpe, exact_dedup, html, mixing, quality, simhash, toxicity
 from repolens.llm.common import documents
 
 
@@ -20,6 +21,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.learn(docs, labels.where(~held))
+    return toxicity.score_texts(docs, model).withColumnRenamed("id", "doc_id").select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.ledger(documents(spark, sf_dir))
     return book.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -32,11 +41,25 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.round_trip(documents(spark, sf_dir), path).withColumnRenamed("id", "doc_id")
+
+
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html.extract(pages, "page_id", "html", "url").select(
+        F.col("id").alias("page_id"), F.col("m0").alias("url"), "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_toxicity": op3_toxicity,
     "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
+    "op8_bpe": op8_bpe,
+    "op9_html": op9_html,
 }
 
 # white space of the word rule, as a DuckDB (RE2) class
