@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, exact_dedup, html, mixing, quality, simhash, toxicity
+from repolens.llm import bpe, chat, exact_dedup, html, mixing, pii, quality, simhash, toxicity
 from repolens.llm.common import documents
 
 
@@ -29,6 +29,22 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    hard = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], talks.schema)
+    made = chat.windows(talks.unionByName(hard), budget=1024, history=256)
+    return chat.read_back(made).withColumnRenamed("conv", "conv_id")
+
+
+#: A deployment passes its own secret; the same key gives the same surrogates.
+PII_KEY = b"repolens surrogate key"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(documents(spark, sf_dir), PII_KEY).withColumnRenamed("id", "doc_id")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.ledger(documents(spark, sf_dir))
     return book.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -56,6 +72,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_chat": op4_chat,
+    "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
     "op8_bpe": op8_bpe,
