@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, chat, exact_dedup, html, mixing, pii, quality, simhash, toxicity
+from repolens.llm import bpe, chat, exact_dedup, html, mixing, pii, quality, simhash, suffix, toxicity
 from repolens.llm.common import documents
 
 
@@ -68,6 +68,11 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("page_id"), F.col("m0").alias("url"), "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(documents(spark, sf_dir))
+    return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_bpe": op8_bpe,
     "op9_html": op9_html,
+    "op10_suffix": op10_suffix,
 }
 
 # white space of the word rule, as a DuckDB (RE2) class
