@@ -79,6 +79,13 @@ def texts_of(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, li
         yield first, [raw[a:b] for a, b in zip(cut, cut[1:])]
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows with about ``limit`` bytes of text in a column, so what is made of them stays small."""
+    for b in batches:
+        for first, end, _, _ in steps(b.column(column), limit):
+            yield b.slice(first, end - first)
+
+
 def one_blank(text: bytes) -> bytes:
     """Each run of white space becomes one blank (UTF-8 in, UTF-8 out)."""
     text = text.translate(TO_BLANK)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import durable, keyed_text, steps
+from repolens.llm.common import durable, keyed_text, slices, steps
 
 LENGTH, GRAM = 100, 24
 #: Grams in a string; also the most strings that one anchor can stand for.
@@ -171,14 +171,14 @@ def surroundings(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         with np.errstate(over="ignore"):
-            for b in batches:
+            for b in slices(batches, 1):
                 out = [[], [], [], [], []]
-                for doc, text, codes in zip(*(c.to_pylist() for c in b.columns)):
-                    code = np.array(codes, np.int64)
-                    begin, end, place, _, kind = unpacked(code[(code & 1) == KEEP])
+                for i, codes in enumerate(b.column(2).to_pylist()):
+                    code = np.array(codes or (), np.int64)
+                    begin, end, place, _, _ = unpacked(code[(code & 1) == KEEP])
                     if not len(begin):
                         continue
-                    text = (text or "").encode("utf-8")
+                    doc, text = b.column(0)[i].as_py(), b.column(1)[i].as_py().encode("utf-8")
                     grams = np.frombuffer(b"".join(text[p:p + GRAM] for p in place.tolist()), np.uint8)
                     out[0].append(gram_hashes(grams)[::GRAM].view(np.int64))
                     out[1].append(np.full(len(begin), doc))
@@ -188,7 +188,7 @@ def surroundings(rows: DataFrame) -> DataFrame:
                 if out[4]:
                     yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x), pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary())], names=names)
 
-    return rows.where(F.exists("codes", lambda x: x.bitwiseAND(1) == KEEP)).mapInArrow(run, "h long, id long, start long, left long, text binary")
+    return rows.mapInArrow(run, "h long, id long, start long, left long, text binary")
 
 
 class BlindTrie:
@@ -384,22 +384,23 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     src = keyed_text(df, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     seen = src.agg(F.count("*").alias("n"), F.count_distinct("id").alias("d")).first()
-    src = src.withColumn("own", F.col("id")) if seen["n"] == seen["d"] else numbered(src)
-    marks = gram_marks(anchor_rows(src.select("id", "text")))
-    codes = durable(marks.groupBy(F.col("id").alias("of")).agg(F.collect_list("code").alias("codes")))
-    held = src.join(codes, src["id"] == codes["of"], "left").select("id", "own", "text", "codes")
-    spans = sorted_marks(surroundings(held.select("id", "text", "codes")))
-    spans = spans.groupBy(F.col("id").alias("at")).agg(F.collect_list("span").alias("spans"))
-    rows = held.join(spans, F.col("id") == F.col("at"), "left").select("own", "text", "codes", "spans")
+    unique = seen["n"] == seen["d"]
+    known = src if unique else numbered(src)
+    docs = known.select("id", "text")
+    codes = durable(gram_marks(anchor_rows(docs)).groupBy(F.col("id").alias("of")).agg(F.collect_list("code").alias("codes")))
+    # both readers of ``held`` use the same columns of every document, so the texts are shuffled once
+    held = docs.join(codes, docs["id"] == codes["of"], "left").select("id", "text", "codes")
+    spans = sorted_marks(surroundings(held)).groupBy(F.col("id").alias("at")).agg(F.collect_list("span").alias("spans"))
+    rows = held.join(spans, F.col("id") == F.col("at"), "left").select("id", "text", "codes", "spans")
     longs = T.ArrayType(T.LongType())
     fields = [("id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()), ("begins", longs), ("ends", longs)]
     schema = T.StructType([T.StructField(*f) for f in fields + [("kept", T.BinaryType())] * kept_text])
     kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 1):
             out = []
-            for own, text, codes, spans in zip(*(c.to_pylist() for c in b.columns)):
+            for doc, text, codes, spans in zip(*(c.to_pylist() for c in b.columns)):
                 text = (text or "").encode("utf-8")
                 begin, end, _, _, kind = unpacked(np.array(codes or (), np.int64))
                 span = np.array(spans or (), np.int64)
@@ -407,7 +408,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 begin, end = merged(np.concatenate((begin[gone], span >> 9)), np.concatenate((end[gone], (span >> 9) + (span & 511))))
                 begins, ends = begin.tolist(), end.tolist()
                 kept = b"".join([text[x:y] for x, y in zip([0, *ends], [*begins, len(text)])]) if begins else text
-                out.append((own, len(text), len(text) - len(kept), len(begins), hashlib.sha256(kept).hexdigest(), begins, ends, kept)[:len(fields) + kept_text])
+                out.append((doc, len(text), len(text) - len(kept), len(begins), hashlib.sha256(kept).hexdigest(), begins, ends, kept)[:len(fields) + kept_text])
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * len(schema), kinds)], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(run, schema)
+    if unique:
+        return out
+    names = known.select(F.col("id").alias("number"), "own")
+    return out.join(names, out["id"] == names["number"]).select(F.col("own").alias("id"), *out.columns[1:])
