@@ -22,7 +22,9 @@ from pyspark.sql import types as T
 from repolens.llm.common import col, keyed_text, texts_of
 
 #: Words whose tokens a worker remembers; beyond it the older half is forgotten and encoded anew.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 700_000
+ID_BITS = 24
+ID_MASK = (1 << ID_BITS) - 1
 TEXT_BYTES = 1 << 20
 
 
@@ -33,31 +35,39 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-def merge_word(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Merge the pair of lowest rank, leftmost first, until no pair of neighbours has a rank."""
+def merge_word(symbols: list[int], merges: dict[int, int]) -> list[int]:
+    """Merge the pair of lowest rank, leftmost first, until no pair of neighbours can be merged.
+
+    ``merges``: left << ID_BITS | right -> rank << ID_BITS | merged. A queue entry is rank << 32 | place of
+    the left symbol; it is stale once that place no longer begins a pair of that rank.
+    """
     n = len(symbols)
     if n < 2:
         return symbols
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    queue = [(r, i, a, b) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (r := ranks.get((a, b))) is not None]
+    find = merges.get
+    queue = [m >> ID_BITS << 32 | i for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (m := find(a << ID_BITS | b)) is not None]
     heapq.heapify(queue)
     while queue:
-        _, i, a, b = heapq.heappop(queue)
+        entry = heapq.heappop(queue)
+        i = entry & 0xFFFFFFFF
         j = after[i]
-        if j >= n or symbols[i] != a or symbols[j] != b:
-            continue  # stale: one of its symbols has been merged since
-        symbols[i] = a + b
-        symbols[j] = ""
+        if j >= n or symbols[i] < 0:
+            continue  # stale: merged into its left neighbour, or nothing follows any more
+        m = find(symbols[i] << ID_BITS | symbols[j])
+        if m is None or m >> ID_BITS != entry >> 32:
+            continue  # stale: one of the two has grown since
+        symbols[i], symbols[j] = m & ID_MASK, -1
         k = after[i] = after[j]
         if k < n:
             before[k] = i
-            if (r := ranks.get((symbols[i], symbols[k]))) is not None:
-                heapq.heappush(queue, (r, i, symbols[i], symbols[k]))
+            if (m := find(symbols[i] << ID_BITS | symbols[k])) is not None:
+                heapq.heappush(queue, m >> ID_BITS << 32 | i)
         h = before[i]
-        if h >= 0 and (r := ranks.get((symbols[h], symbols[i]))) is not None:
-            heapq.heappush(queue, (r, h, symbols[h], symbols[i]))
-    return [s for s in symbols if s]
+        if h >= 0 and (m := find(symbols[h] << ID_BITS | symbols[i])) is not None:
+            heapq.heappush(queue, m >> ID_BITS << 32 | h)
+    return [s for s in symbols if s >= 0]
 
 
 class WordBpe:
@@ -68,22 +78,29 @@ class WordBpe:
             spec = json.load(f)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
-        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.end = model.get("end_of_word_suffix") or ""
+        self.merges = {}
+        for rank, m in enumerate(model["merges"]):
+            a, b = m if isinstance(m, list) else m.split(" ")
+            self.merges[self.vocab[a] << ID_BITS | self.vocab[b]] = rank << ID_BITS | self.vocab[a + b]
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern).findall
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
-        self.letters = byte_letters()
+        letters = byte_letters()
+        # ids of a byte inside a word and at its end; -1 for a symbol that the file lacks
+        self.inner = [self.vocab.get(c, -1) for c in letters]
+        self.last = [self.vocab.get(c + self.end, -1) for c in letters]
         self.cache: dict[str, tuple[int, str, str]] = {}
         self.older: dict[str, tuple[int, str, str]] = {}
 
     def word_ids(self, word: str) -> list[int]:
         """Token ids of one word of the pattern. Symbols without an id are left out, as there is no unknown token."""
-        symbols = [self.letters[b] for b in word.encode("utf-8")]
-        symbols[-1] += self.end
-        return [i for s in merge_word(symbols, self.ranks) if (i := self.vocab.get(s)) is not None]
+        data = word.encode("utf-8")
+        symbols = [self.inner[b] for b in data[:-1]]
+        symbols.append(self.last[data[-1]])
+        return merge_word([s for s in symbols if s >= 0], self.merges)
 
     def word(self, word: str) -> tuple[int, str, str]:
         """(number of tokens, ids joined by a blank, strings joined by a blank), remembered."""
@@ -121,10 +138,15 @@ class WordBpe:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of tokens, ids joined by a blank, decoded text) through the remembered words."""
-        cache, slow = self.cache, self.word
-        found = [(1, str(p), self.strings[p]) if isinstance(p, int) else cache.get(p) or slow(p) for p in self.pieces(text)]
-        found = [f for f in found if f[0]]
-        return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
+        known, slow = self.cache.get, self.word
+        if any(s in text for s in self.special):
+            found = [(1, str(p), self.strings[p]) if isinstance(p, int) else known(p) or slow(p) for p in self.pieces(text)]
+        else:
+            found = [known(w) or slow(w) for w in self.words(self.lower(text))]
+        n, ids, decoded = zip(*found) if found else ((), (), ())
+        if 0 in n:  # words none of whose bytes the file has
+            return sum(n), " ".join(filter(None, ids)), " ".join(d for d, k in zip(decoded, n) if k)
+        return sum(n), " ".join(ids), " ".join(decoded)
 
 
 _LOADED: dict[str, WordBpe] = {}
