@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import keyed_text, texts_of
+from repolens.llm.common import keyed_text, slices, texts_of
 
 # fixed values of HTML: elements without text of the page, without an end tag, and those that start a block
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template")
@@ -215,7 +215,7 @@ def extract(df: DataFrame, id_col: str = "page_id", html_col: str = "html", *mor
     schema = T.StructType([src.schema["id"], T.StructField("text", T.StringType()), *src.schema.fields[2:]])
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 1):
             found = [main_text(t.decode("utf-8", "replace"), known) for _, texts in texts_of(b.column(1)) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string()), *b.columns[2:]], names=schema.names)
 

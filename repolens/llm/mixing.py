@@ -91,7 +91,8 @@ def multipliers(sized: DataFrame, goals: DataFrame, most: float = 2.0, rounds: i
                                  (F.col("open") & ~done).alias("open")))
         if state.where("open").isEmpty():
             break
-    t = F.when(F.col("target") <= 0, F.lit(float("-inf"))).when(F.col("target") >= most * F.col("source_size"), F.lit(float("inf"))).otherwise(F.col("t"))
+    t = F.when(F.col("target") <= 0, F.lit(float("-inf"))).when(F.col("target") >= most * F.col("source_size"), F.lit(float("inf"))).otherwise(
+        F.round("t", 9))  # sums of doubles differ in their last digits with the order of rows; the rates must not
     return state.select("source", "source_size", "docs", "target", "mean", t.alias("t"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import keyed_text, texts_of, without
+from repolens.llm.common import keyed_text, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 NOT_SYMBOL = bytes(i for i in range(256) if i not in SYMBOLS)
@@ -91,6 +91,12 @@ def measure(text: bytes) -> tuple[int, ...]:
             repeated_words(words), lines, len(text.translate(None, NOT_UPPER)))
 
 
+def _table(texts: pa.Array) -> list[pa.Array]:
+    found = [measure(t) for _, run in texts_of(texts) for t in run]
+    table = np.array(found, np.int64).reshape(-1, len(MEASURES))
+    return [pa.array(table[:, i]) for i in range(len(MEASURES))]
+
+
 def measurements(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, MEASURES...) of every whole text in one pass; a null or empty text measures 0 everywhere."""
     src = keyed_text(df, id_col, text_col)
@@ -98,9 +104,7 @@ def measurements(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [measure(t) for _, texts in texts_of(b.column(1)) for t in texts]
-            table = np.array(found, np.int64).reshape(-1, len(MEASURES))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(table[:, i]) for i in range(len(MEASURES)))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0), *_table(b.column(1))], names=schema.names)
 
     return src.mapInArrow(run, schema)
 
@@ -144,10 +148,19 @@ def ablations(book: DataFrame) -> DataFrame:
         total(failed == F.col("bit")).alias("only_rule"))
 
 
-def quality_filter(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", policy: str = "v2") -> DataFrame:
-    """The rows of ``df`` that the policy keeps, with its own columns.
+def quality_filter(df: DataFrame, text_col: str = "text", policy: str = "v2", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``df`` that the policy keeps, with its own columns; each row is judged by its own text.
 
-    The verdicts come from the ledger by id. Rows that share an id go if any text of that id fails.
+    Rows pass through the one measuring pass whole, so nothing is joined or shuffled.
     """
-    failed = ledger(df, id_col, text_col).where(~passes(policy)).select("id").distinct()
-    return without(df, id_col, failed)
+    src = df.select(F.struct(*("`" + c.replace("`", "``") + "`" for c in df.columns)).alias("row"))
+    at = df.columns.index(text_col)
+    schema = T.StructType([src.schema["row"], *(T.StructField(m, T.LongType()) for m in MEASURES)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(0).field(at).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), *_table(texts)], names=schema.names)
+
+    judged = src.mapInArrow(run, schema).withColumn("fail_bits", failure_bits(rules))
+    return judged.where(passes(policy)).select("row.*")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import col, keyed_text, texts_of
+from repolens.llm.common import col, keyed_text, slices, texts_of
 
 #: At most so many labelled documents are learnt from (by the order of a hash of their ids), and so many terms kept.
 FIT_ROWS, MAX_TERMS = 20_000, 20_000
@@ -31,6 +31,8 @@ PRIOR, LEAST_Z, BOUND = 0.1, 3.5, 1.5
 STEMS, WORD_COST = range(4, 9), 0.05
 #: Segments below this total are no evidence.
 LEAST_SEGMENT = 1.0
+#: Running totals closer than this are equal.
+EQUAL = 1e-9
 #: Words whose score a worker remembers at a time.
 CACHE_WORDS = 300_000
 LETTERS = re.compile(r"[^\W\d_]+").findall
@@ -98,9 +100,9 @@ def segments(hits: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
         total = right
         while True:
             j = len(found) - 1
-            while j >= 0 and found[j][2] >= left:
+            while j >= 0 and found[j][2] >= left - EQUAL:
                 j -= 1
-            if j < 0 or found[j][3] >= right:
+            if j < 0 or found[j][3] >= right - EQUAL:
                 found.append((first, i, left, right))
                 break
             first, left = found[j][0], found[j][2]
@@ -248,7 +250,7 @@ def score_texts(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("total", pa.float64())]))
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 1):
             texts = [t.decode("utf-8", "replace") for _, ts in texts_of(b.column(1)) for t in ts]
             cols = [b.column(0), pa.array([model.score(t) for t in texts], pa.float64())]
             if passages:
