@@ -1,0 +1,119 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings, strategies as st
+
+from repolens.llm import simhash as S
+from repolens.llm.common import connected_components
+from tests.llm.data import empty, odd, odd_rows, prose
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def components(rows, most=4):
+    """Smallest id reachable over all pairs within ``most`` bits."""
+    fps = [fingerprint(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= most:
+                a, b = label[i], label[j]
+                label = [b if x == a else x for x in label]
+    low = {}
+    for x, (i, _) in zip(label, rows):
+        if i is not None:
+            low[x] = min(low.get(x, i), i)
+    return sorted(((i, f, low.get(x)) for (i, _), f, x in zip(rows, fps, label)), key=str)
+
+
+def result(df):
+    return sorted(((r.id, r.fp % (1 << 64), r.component_id) for r in S.near_groups(df).collect()), key=str)
+
+
+def near_texts(seed):
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(12):
+        words = prose(rng, rng.choice([60, 300, 900])).split()
+        for _ in range(rng.randrange(1, 8)):
+            copy = list(words)
+            for _ in range(rng.randrange(3)):
+                copy[rng.randrange(len(copy))] = "changed"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("cell_rows", [40_000, 4])  # 4: nearly every cell is dealt out in blocks
+def test_groups_equal_brute_force(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(S, "CELL_ROWS", cell_rows)
+    rows = near_texts(5)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == components(rows)
+
+
+def test_large_cells(monkeypatch):
+    rng = np.random.default_rng(2)
+    centre = rng.integers(0, 1 << 63, dtype=np.uint64)
+    fp = np.unique(np.array([centre ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 6), False))) for _ in range(700)], np.uint64))
+    small, large = {}, {}
+    for a, b in S.small_cells(fp, np.array([0]), np.array([len(fp)]), 4):
+        S.union_forest(a.tolist(), b.tolist(), small)
+    for a, b in S.large_cell(fp, 4):
+        S.union_forest(a.tolist(), b.tolist(), large)
+
+    def root(x, forest):
+        while forest.get(x, x) != x:
+            x = forest[x]
+        return x
+    assert [root(x, small) for x in fp.tolist()] == [root(x, large) for x in fp.tolist()]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, (1 << 64) - 1), st.lists(st.integers(0, 63), max_size=6))
+def test_embedding_bounds_from_below_and_cells_meet(a, flips):
+    b = a
+    for f in flips:
+        b ^= 1 << f
+    x, y = np.array([a], np.uint64), np.array([b], np.uint64)
+    differ = (a ^ b).bit_count()
+    counts = lambda v: [(v >> 2 * i & 3).bit_count() for i in range(32)]
+    exact = sum(abs(p - q) for p, q in zip(counts(a), counts(b)))
+    assert int(S.manhattan(S.embed(x), S.embed(y))[0]) == exact <= differ
+    if differ <= 4:
+        assert S.linked(x, y, 4).tolist() == [0]
+        near = [sum(abs(p - q) for p, q in zip(counts(a)[f:f + w], counts(b)[f:f + w])) for f, w in S.grid_groups(4)]
+        assert min(near) <= 1
+
+
+def test_connected_components(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1200)] + [(7, 7)] + [(5000, 5000 + k) for k in range(300)]
+    parent = {}
+    S.union_forest([a for a, _ in edges], [b for _, b in edges], parent)
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in parent}
+
+
+def test_odd_rows(spark):
+    assert result(odd(spark)) == components([r[:2] for r in odd_rows()])
+
+
+def test_empty_table_and_columns(spark):
+    assert S.near_groups(empty(spark)).collect() == []
+    df = odd(spark)
+    assert S.near_dedup(df).schema.names == df.schema.names
