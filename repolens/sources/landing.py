@@ -1,158 +1,158 @@
-"""Landed JSON pages -> typed DataFrame + rejects.
-
-Layout: ``<root>/entity=<name>/repo=<owner>__<name>/<page>.json`` where each
-page is one JSON array of records (an empty page is ``[]`` or empty text; a
-single object counts as one record; JSON Lines are read line by line). Each page file is read as one text row
-and parsed once with the entity schema (``from_json``, unknown keys dropped,
-missing keys NULL), so pages are spread over tasks like any file scan. A page
-that does not parse lands in the rejects frame instead of stopping the load.
+"""Landed JSON pages -> typed records + rejects, one record at a time.
+
+Layout: ``<root>/entity=<name>/repo=<owner>__<name>/<page>.json`` where a page is one JSON array of
+records, a single object, or JSON Lines; empty text is an empty page. ``.jsonl`` / ``.ndjson`` files are
+read line by line and split over tasks like any text file; ``.json`` and ``.txt`` pages (an API page holds at most 100
+records) are one text row each. Batch, issues and stream share one path:
+
+1. a page is split into its records' JSON text; text that is no array, object or lines is one reject;
+2. each record is parsed with the entity schema; one that is no object, or in which a present key did not
+   fit its type, is a reject of its own and never touches its neighbours.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.filters import lacks_json_key
 from ..schemas import ENTITY_SCHEMAS
 
 CORRUPT = "_corrupt_record"
+REASON = "_reason"
 REPO_SEP = "__"
+PAGE_GLOB, LINES_GLOB = "*.{json,txt}", "*.{jsonl,ndjson}"
+REJECT_COLUMNS = ["_source_file", CORRUPT, REASON]
 
 
-def _repo_from_path(path_col: str = "_source_file") -> F.Column:
+def repo_from_path(path_col: str = "_source_file") -> Column:
     """The repository named by the ``repo=<owner>__<name>`` folder of a page (NULL if none).
 
-    Taken from the file path rather than partition discovery: a discovered
-    ``repo`` partition column would overwrite GraphQL records' own ``repo`` field.
+    Taken from the file path rather than partition discovery: a discovered ``repo`` partition column
+    would overwrite GraphQL records' own ``repo`` field. The first separator ends the owner (an owner
+    holds no underscore); further ones belong to the name.
     """
-    folder = F.regexp_extract(F.col(path_col), r"/repo=([^/]+)/", 1)
-    return F.when(folder != "", F.regexp_replace(F.url_decode(folder), REPO_SEP, "/"))
+    folder = F.url_decode(F.regexp_extract(F.col(path_col), r"/repo=([^/]+)/", 1))
+    return F.when(folder != "", F.regexp_replace(folder, f"^(.*?){REPO_SEP}", "$1/"))
+
+
+def page_rows(reader) -> DataFrame:
+    """(value, _source_file, _file_time) of a text read, batch or stream."""
+    return reader.select("value", F.col("_metadata.file_path").alias("_source_file"),
+                         F.col("_metadata.file_modification_time").alias("_file_time"))
 
 
 def _pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed page file: its text, path and modification time (files are not split)."""
-    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-            .select("value", F.col("_metadata.file_path").alias("_source_file"),
-                    F.col("_metadata.file_modification_time").alias("_file_time")))
+    whole = spark.read.text(path, wholetext=True, pathGlobFilter=PAGE_GLOB, recursiveFileLookup=True)
+    lines = spark.read.text(path, pathGlobFilter=LINES_GLOB, recursiveFileLookup=True)
+    return page_rows(whole).unionByName(page_rows(lines))
+
 
+def _record_texts(value: str = "value") -> Column:
+    """The JSON text of a page's records; NULL for an unreadable page.
 
-def _as_array_text(value: str = "value") -> F.Column:
-    """Page text as a JSON array: a single object (e.g. one repository) becomes a one-element
-    array, and JSON Lines (one object per line, as Spark's JSON writer lands them) become an
-    array of their lines. ``}`` newline ``{`` without a comma never occurs inside valid JSON."""
+    JSON Lines are taken line by line unless the first line is a lone ``{``, which begins one object
+    written over several lines.
+    """
     v = F.trim(F.col(value))
-    lines_as_array = F.concat(F.lit("["), F.regexp_replace(v, r"\}\s*\n\s*\{", "},{"), F.lit("]"))
-    return F.when(v.startswith("{"), lines_as_array).otherwise(F.col(value))
+    one = F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1
+    lines = F.filter(F.transform(F.split(v, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return (F.when(v == "", F.array().cast("array<string>"))
+             .when(F.json_array_length(v).isNotNull(), F.from_json(v, "array<string>"))
+             .when(v.startswith("{") & one, F.array(v))
+             .when(v.startswith("{") & (F.size(lines) > 1) & (lines[0] != "{"), lines))
 
 
-def _is_bad_page(value: str = "value") -> F.Column:
-    """Non-empty text that is not a JSON array of records."""
-    return F.json_array_length(_as_array_text(value)).isNull() & (F.trim(F.col(value)) != "")
+def split_records(pages: DataFrame) -> DataFrame:
+    """(_source_file, _file_time, _json, _reason): one row per record, or per unreadable page with a reason."""
+    texts = _record_texts()
+    good = F.transform(texts, lambda x: F.struct(x.alias("_json"), F.lit(None).cast("string").alias(REASON)))
+    bad = F.array(F.struct(F.col("value").alias("_json"), F.lit("unreadable page").alias(REASON)))
+    return pages.select("_source_file", "_file_time", F.explode(F.when(texts.isNull(), bad).otherwise(good)).alias("_r")) \
+                .select("_source_file", "_file_time", "_r.*")
 
 
-def page_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Pages whose text is not a JSON array (empty text is an empty page, not a reject)."""
-    return _pages(spark, path).where(_is_bad_page()).select("_source_file", F.col("value").alias(CORRUPT))
+def parse_records(records: DataFrame, sch: StructType, raw_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Type the records of :func:`split_records`; returns ``(records, rejects)``, batch and stream alike.
 
+    The repository falls back to the ``repo=`` folder and ``fetched_at`` to the file's modification time
+    (never the wall clock at read). ``raw_col`` keeps each record's JSON text, unknown keys included.
+    """
+    full = StructType(list(sch.fields) + [StructField(CORRUPT, StringType())])
+    parsed = records.withColumn("_p", F.from_json("_json", full, {"columnNameOfCorruptRecord": CORRUPT}))
+    misfit = F.col("_json").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
+    why = F.coalesce(F.col(REASON), F.when(misfit, F.when(F.json_object_keys("_json").isNull(), F.lit("not an object"))
+                                           .otherwise(F.lit("a key does not fit its type"))))
+    parsed = parsed.withColumn(REASON, why)
+    rejects = parsed.where(F.col(REASON).isNotNull()).select(
+        "_source_file", F.coalesce("_json", F.lit("null")).alias(CORRUPT), REASON)
+    out = parsed.where(F.col(REASON).isNull()).select("_source_file", "_file_time", "_json", "_p.*").drop(CORRUPT)
+    if "repository_full_name" in sch.fieldNames():
+        out = out.withColumn("repository_full_name", F.coalesce(F.col("repository_full_name"), repo_from_path()))
+    if "fetched_at" in sch.fieldNames():
+        out = out.withColumn("fetched_at", F.coalesce(
+            F.col("fetched_at"), F.date_format(F.col("_file_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
+    extra = [F.col("_json").alias(raw_col)] if raw_col else []
+    return out.select(*sch.fieldNames(), *extra, "_source_file"), rejects
 
-def _page_number(path_col: str = "_source_file") -> F.Column:
-    """Page number from a ``...<n>.json`` file name (NULL when the name carries none)."""
-    n = F.regexp_extract(F.col(path_col), r"(\d+)\.json$", 1)
-    return F.when(n != "", n.cast("long"))
 
+def parse_pages(pages: DataFrame, sch: StructType, raw_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Page rows (``value``, ``_source_file``, ``_file_time``) -> typed records + rejects."""
+    return parse_records(split_records(pages), sch, raw_col)
 
-def _end_repository_at_first_reject(good: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Drop pages that come after a repository's first unreadable page (its load ended there)."""
-    first_bad = (rejects.select(_repo_from_path().alias("_bad_repo"), _page_number().alias("_bad_page"))
-                 .where(F.col("_bad_repo").isNotNull())
-                 .groupBy("_bad_repo").agg(F.min("_bad_page").alias("_first_bad")))
-    tagged = good.withColumn("_page_repo", _repo_from_path()).withColumn("_page_no", _page_number())
-    joined = tagged.join(first_bad, tagged["_page_repo"] == first_bad["_bad_repo"], "left")
-    keep = F.col("_first_bad").isNull() | (F.col("_page_no") < F.col("_first_bad"))
-    return joined.where(keep).drop("_page_repo", "_page_no", "_bad_repo", "_first_bad")
 
+def _page_order(path_col: str = "_source_file") -> Column:
+    """Pages of a repository in order: by the first number in the file name, then by path."""
+    name = F.regexp_extract(F.col(path_col), r"([^/]*)$", 1)
+    number = F.regexp_extract(name, r"(\d+)", 1)
+    return F.struct(F.when(number != "", F.lpad(number, 20, "0")).otherwise("").alias("n"), F.col(path_col).alias("p"))
 
-def parse_pages(pages: DataFrame, sch: StructType) -> tuple[DataFrame, DataFrame]:
-    """Parse page rows (``value``, ``_source_file``, ``_file_time``) into typed records + rejects.
 
-    Works on batch and streaming frames alike. The repository falls back to the
-    ``repo=`` folder and ``fetched_at`` to the file's modification time.
-    """
-    records = F.from_json(_as_array_text(), ArrayType(sch))
-    parsed = pages.select("_source_file", "_file_time", "value",
-                          F.when(F.trim("value") == "", F.array().cast(ArrayType(sch))).otherwise(records)
-                          .alias("_records"))
-    rejects = parsed.where(F.col("_records").isNull()).select("_source_file", F.col("value").alias(CORRUPT))
-    good = (parsed.where(F.col("_records").isNotNull())
-                  .select("_source_file", "_file_time", F.explode("_records").alias("_r"))
-                  .select("_r.*", "_source_file", "_file_time"))
-    if "repository_full_name" in sch.fieldNames():
-        good = good.withColumn("repository_full_name",
-                               F.coalesce(F.col("repository_full_name"), _repo_from_path()))
-    if "fetched_at" in sch.fieldNames():
-        good = good.withColumn("fetched_at", F.coalesce(
-            F.col("fetched_at"), F.date_format(F.col("_file_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
-    return good.select(*sch.fieldNames(), "_source_file"), rejects
+def _end_after_bad_page(records: DataFrame) -> DataFrame:
+    """Records of pages after a repository's first unreadable page become rejects with that reason."""
+    tagged = records.withColumn("_repo", repo_from_path()).withColumn("_page", _page_order())
+    first = (tagged.where(F.col(REASON).isNotNull() & F.col("_repo").isNotNull())
+                   .groupBy(F.col("_repo").alias("_bad_repo")).agg(F.min("_page").alias("_first_bad")))
+    late = F.when(F.col("_page") > F.col("_first_bad"), F.lit("after an unreadable page"))
+    return (tagged.join(first, F.col("_repo") == F.col("_bad_repo"), "left")
+                  .select("_source_file", "_file_time", "_json", F.coalesce(F.col(REASON), late).alias(REASON)))
 
 
 def entity_path(root: str, entity: str, repos: list[str] | None = None) -> str:
     """The entity's landing folder, or a glob over just the allowed repositories' folders.
 
-    Reading only those folders keeps the other repositories' pages from being listed or
-    parsed at all (repository names hold no glob characters).
+    Reading only those folders keeps the other repositories' pages from being listed or parsed at all
+    (repository names hold no glob characters).
     """
     base = f"{root.rstrip('/')}/entity={entity}"
     if not repos:
         return base
-    names = ",".join(sorted(r.replace("/", REPO_SEP) for r in repos))
+    names = ",".join(sorted(r.replace("/", REPO_SEP, 1) for r in repos))
     return f"{base}/repo={{{names}}}"
 
 
 def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType | None = None,
-               on_bad_page: str = "end_repository", repos: list[str] | None = None
-               ) -> tuple[DataFrame, DataFrame]:
+               on_bad_page: str = "skip_page", repos: list[str] | None = None, raw_col: str | None = None,
+               without_key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Read one entity's pages with an explicit schema; returns ``(records, rejects)``.
 
-    ``on_bad_page``: ``"end_repository"`` (the reference: a failing page ends
-    that repository's load, later pages are not taken) or ``"skip_page"``.
-    ``repos`` limits the read to those repositories' folders (see :func:`entity_path`).
-
-    The repository comes from the record's ``repository_full_name`` when it
-    carries one, else from the ``repo=`` folder; ``fetched_at`` defaults to
-    the page file's modification time (never the wall clock at read).
+    Every landed record is in one of the two. ``on_bad_page``: ``"skip_page"`` rejects an unreadable page
+    alone, ``"end_repository"`` also rejects the pages after it in that repository. ``repos`` limits the
+    read to those repositories' folders (see :func:`entity_path`). ``without_key`` leaves out records
+    that hold this key at all (P4): they belong to another entity.
     """
     sch = schema or ENTITY_SCHEMAS[entity]
-    path = entity_path(root, entity, repos)
-    good, rejects = parse_pages(_pages(spark, path), sch)
+    records = split_records(_pages(spark, entity_path(root, entity, repos)))
     if on_bad_page == "end_repository":
-        good = _end_repository_at_first_reject(good, page_rejects(spark, path))
+        records = _end_after_bad_page(records)
     elif on_bad_page != "skip_page":
         raise ValueError("on_bad_page must be 'end_repository' or 'skip_page'")
-    return good, rejects
+    if without_key:
+        records = lacks_json_key(records, "_json", without_key)
+    return parse_records(records, sch, raw_col)
 
 
 def read_issue_pages(spark: SparkSession, root: str, schema: StructType | None = None,
-                     repos: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Issues need a key-presence test (P4), so records are kept as raw JSON text first.
-
-    Each page is split into its records' raw text (a string-typed array parse
-    keeps objects verbatim); records holding a ``pull_request`` key are pull
-    requests listed by the issues endpoint and are dropped, then the rest is
-    parsed with the issue schema.
-    """
-    sch = schema or ENTITY_SCHEMAS["issues"]
-    pages = _pages(spark, entity_path(root, "issues", repos))
-    parsed = pages.withColumn("_records", F.when(F.trim("value") == "", F.array().cast("array<string>"))
-                              .otherwise(F.from_json(_as_array_text(), "array<string>")))
-    rejects = parsed.where(F.col("_records").isNull()).select("_source_file", F.col("value").alias(CORRUPT))
-    recs = parsed.where(F.col("_records").isNotNull()).select(
-        "_source_file", "_file_time", F.explode("_records").alias("_json"))
-    issues = lacks_json_key(recs, "_json", "pull_request")
-    out = issues.select("_source_file", "_file_time", F.from_json("_json", sch).alias("r")).select(
-        "r.*", "_source_file", "_file_time")
-    out = out.withColumn("repository_full_name",
-                         F.coalesce(F.col("repository_full_name"), _repo_from_path()))
-    out = out.withColumn("fetched_at", F.coalesce(
-        F.col("fetched_at"), F.date_format(F.col("_file_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
-    return out.select(*sch.fieldNames(), "_source_file"), rejects
+                     repos: list[str] | None = None, **how) -> tuple[DataFrame, DataFrame]:
+    """Issues without the pull requests that the issues endpoint lists (records with a ``pull_request`` key)."""
+    return read_pages(spark, root, "issues", schema, repos=repos, without_key="pull_request", **how)

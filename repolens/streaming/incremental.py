@@ -1,48 +1,47 @@
 """Incremental load = file-source stream + keyed upsert per micro-batch.
 
-New pages under ``<landing>/entity=<name>`` are picked up exactly once (the
-stream's checkpoint records which files were consumed) and parsed like the
-batch reader does (one text row per page, ``from_json`` with the entity
-schema). Each micro-batch is merged into the target with
-:func:`repolens.sinks.upsert.upsert_parquet`, so a rerun of a batch after a
-failure rewrites the same rows; pages that do not parse go to
-``<target>/_rejects/batch=<id>``. ``availableNow`` drains what is there and
-stops, which suits scheduled runs.
+New pages under ``<landing>/entity=<name>`` are picked up exactly once (the stream's checkpoint records
+which files were consumed) and go through the same record-wise reader as a batch load. Each micro-batch is
+merged into the target with :func:`repolens.sinks.upsert.upsert_parquet`, which rewrites only the buckets
+the batch touches, so a rerun of a batch after a failure gives the same rows; records that do not parse go
+to ``<target>/_page_rejects/batch=<id>``. ``availableNow`` drains what is there and stops, which suits
+scheduled runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import ENTITY_SCHEMAS
 from ..sinks.upsert import upsert_parquet
-from ..sources.landing import CORRUPT, parse_pages
+from ..operators.filters import lacks_json_key
+from ..sources.landing import REJECT_COLUMNS, page_rows, parse_records, split_records
 
 
 def stream_pages(spark: SparkSession, landing: str, entity: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
     """A streaming frame of page rows (``value``, ``_source_file``, ``_file_time``)."""
-    reader = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (reader.text(f"{landing.rstrip('/')}/entity={entity}")
-            .select("value", F.col("_metadata.file_path").alias("_source_file"),
-                    F.col("_metadata.file_modification_time").alias("_file_time")))
+    return page_rows(reader.text(f"{landing.rstrip('/')}/entity={entity}", wholetext=True, recursiveFileLookup=True))
 
 
 def incremental_upsert(spark: SparkSession, landing: str, entity: str, target: str, checkpoint: str,
                        keys: list[str] | None = None, newest_first: list[str] | None = None,
                        available_now: bool = True):
-    """Run (or start) the incremental load of ``entity`` into the versioned table at ``target``."""
+    """Run (or start) the incremental load of ``entity`` into the table at ``target``."""
     k = keys or ["id"]
     order = newest_first or ["fetched_at"]
     schema = ENTITY_SCHEMAS[entity]
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        records, rejects = parse_pages(batch, schema)
+        texts = split_records(batch)
+        if entity == "issues":
+            texts = lacks_json_key(texts, "_json", "pull_request")
+        records, rejects = parse_records(texts, schema)
         upsert_parquet(batch.sparkSession, target, records.drop("_source_file"), k, order)
-        rejects.select("_source_file", CORRUPT).write.mode("overwrite") \
-            .parquet(f"{target.rstrip('/')}/_rejects/batch={batch_id}")
+        rejects.select(*REJECT_COLUMNS).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_page_rejects/batch={batch_id}")
 
     q = (stream_pages(spark, landing, entity).writeStream
          .foreachBatch(merge_batch)

@@ -1,0 +1,157 @@
+"""Every landed record is read or rejected, alike in batch, issues and stream."""
+
+import json
+import os
+
+import pytest
+
+from repolens.plans.silver import silver_pull_requests
+from repolens.sinks.upsert import read_current
+from repolens.sources.landing import entity_path, read_issue_pages, read_pages
+from repolens.streaming.incremental import incremental_upsert
+from tests.fixtures import PR_FIXTURES
+
+
+def land(root, entity, repo, page, payload):
+    d = os.path.join(root, f"entity={entity}", f"repo={repo.replace('/', '__', 1)}")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, page), "w") as f:
+        f.write(payload if isinstance(payload, str) else json.dumps(payload))
+
+
+def ids(df):
+    return sorted(r["id"] for r in df.collect())
+
+
+def reasons(rejects):
+    return sorted(r["_reason"] for r in rejects.collect())
+
+
+def test_read_pr_pages_with_rejects(spark, tmpdir_path):
+    unstamped = [{k: v for k, v in r.items() if k not in ("repository_full_name", "fetched_at")}
+                 for r in PR_FIXTURES[:3]]
+    land(tmpdir_path, "pull_requests", "acme/engine", "page-1.json", unstamped)
+    land(tmpdir_path, "pull_requests", "acme/engine", "page-2.json", [])           # empty page
+    land(tmpdir_path, "pull_requests", "other/repo", "page-1.json", "")            # empty body
+    land(tmpdir_path, "pull_requests", "bad/repo", "page-1.json", "[{not json")    # corrupt page
+    land(tmpdir_path, "pull_requests", "x/y", "page-1.json", [{"id": 9, "title": "Add thing", "unknown_key": 1}])
+    recs, rejects = read_pages(spark, tmpdir_path, "pull_requests", raw_col="raw")
+    got = {r["id"]: r for r in recs.collect()}
+    assert set(got) == {9, 11, 12, 13}
+    assert got[11]["repository_full_name"] == "acme/engine"      # stamped from the landing folder
+    assert got[9]["repository_full_name"] == "x/y" and got[9]["labels"] is None
+    assert json.loads(got[9]["raw"])["unknown_key"] == 1         # unknown keys survive
+    assert all(r["fetched_at"] is not None for r in got.values())
+    assert reasons(rejects) == ["unreadable page"]
+    silver = {r["id"]: r["feat_classifier"] for r in silver_pull_requests(recs).collect()}
+    assert silver == {11: "bug fix", 12: "feature", 13: "refactor", 9: "feature"}
+
+
+def test_a_misfit_is_rejected_alone(spark, tmpdir_path):
+    page = '[{"id": 1}, {"id": 2, "additions": "many"}, 7, null, {"id": 3, "user": "bob"}, {"id": 4, "labels": [{"name": "a"}, 3]}, {"id": 5, "additions": null}, {"id": 6}]'
+    land(tmpdir_path, "pull_requests", "a/b", "1.json", page)
+    recs, rejects = read_pages(spark, tmpdir_path, "pull_requests")
+    assert ids(recs) == [1, 5, 6]
+    assert reasons(rejects) == ["a key does not fit its type"] * 3 + ["not an object"] * 2
+    assert any("many" in r["_corrupt_record"] for r in rejects.collect())
+
+
+@pytest.mark.parametrize("text,good,bad", [
+    ('{"id": 1}\n{"id": 2}\n', [1, 2], 0),
+    ('{"id": 1}\n{broken\n{"id": 3}', [1, 3], 1),                # one bad line costs one line
+    ('{"id": 1}\n7\n{"id": 3}\n8\n\n9\n{"id": 4}', [1, 3, 4], 3),
+    ('{\n "id": 1,\n "labels": [\n{"name": "x"}\n]\n}', [1], 0),  # one object over several lines
+    ('{\n "id": 1,\n "labels": [\n{"name": "x"}\n', [], 1),
+    ('{"id": 1}', [1], 0), ('  [ ]  ', [], 0), ('oops', [], 1), ('{"id": 1},{"id": 2}', [], 1)])
+def test_page_forms(spark, tmpdir_path, text, good, bad):
+    land(tmpdir_path, "releases", "a/b", "p.json", text)
+    recs, rejects = read_pages(spark, tmpdir_path, "releases")
+    assert ids(recs) == good and rejects.count() == bad
+    land(tmpdir_path, "issues", "a/b", "lines.jsonl", text if "\n}" not in text and not text.startswith("{\n") else "")
+    if "\n}" not in text and not text.startswith("{\n"):
+        recs, rejects = read_issue_pages(spark, tmpdir_path)       # the same text read line by line
+        assert ids(recs) == good and rejects.count() == bad
+
+
+def test_batch_issues_and_stream_keep_the_same_records(spark, tmpdir_path):
+    def fill(entity):
+        land(tmpdir_path, entity, "a/one", "part-00000-c000.json", [{"id": 1}])
+        land(tmpdir_path, entity, "a/one", "part-00001-c000.json", "[{broken")
+        land(tmpdir_path, entity, "a/one", "part-00002-c000.json", [{"id": 3}, 5, {"id": "x"}])
+        land(tmpdir_path, entity, "b/two", "nameless.json", [{"id": 10}])
+        land(tmpdir_path, entity, "b/two", "broken.json", "{")
+        land(tmpdir_path, entity, "c/three", "1.json", '{"id": 20}\n{bad\n{"id": 21}')
+        land(tmpdir_path, entity, "c/three", "2.json", "")
+    want, odd = [1, 3, 10, 20, 21], 5
+    for entity in ("releases", "issues"):
+        fill(entity)
+        recs, rejects = read_issue_pages(spark, tmpdir_path) if entity == "issues" else read_pages(spark, tmpdir_path, entity)
+        assert ids(recs) == want and rejects.count() == odd
+        target = os.path.join(tmpdir_path, f"t-{entity}")
+        incremental_upsert(spark, tmpdir_path, entity, target, os.path.join(tmpdir_path, f"c-{entity}")).awaitTermination(120)
+        assert ids(read_current(spark, target)) == want
+        assert spark.read.parquet(os.path.join(target, "_page_rejects")).count() == odd
+
+
+def test_issue_key_presence(spark, tmpdir_path):
+    page = ('[{"id": 1, "title": "a", "pull_request": {"url": "u"}},'
+            ' {"id": 2, "title": "b", "pull_request": null},'
+            ' {"id": 3, "title": "c", "body": "t", "labels": [{"name": "l"}], "comments": 4}]')
+    land(tmpdir_path, "issues", "acme/engine", "page-1.json", page)
+    land(tmpdir_path, "issues", "acme/engine", "page-2.json", "[oops")
+    recs, rejects = read_issue_pages(spark, tmpdir_path)
+    rows = recs.collect()
+    assert [r["id"] for r in rows] == [3]     # explicit null still counts as present
+    assert rows[0]["repository_full_name"] == "acme/engine" and rows[0]["comments"] == 4 and rows[0]["labels"][0]["name"] == "l"
+    assert rejects.count() == 1
+
+
+def test_end_repository_rejects_what_it_skips(spark, tmpdir_path):
+    land(tmpdir_path, "releases", "a/r", "page-1.json", [{"id": 1, "tag_name": "v1"}])
+    land(tmpdir_path, "releases", "a/r", "page-2.json", "[{broken")
+    land(tmpdir_path, "releases", "a/r", "page-10.json", [{"id": 3, "tag_name": "v3"}, {"id": 5}])
+    land(tmpdir_path, "releases", "b/r", "page-1.json", [{"id": 4, "tag_name": "v4"}])
+    recs, rejects = read_pages(spark, tmpdir_path, "releases")
+    assert ids(recs) == [1, 3, 4, 5] and reasons(rejects) == ["unreadable page"]
+    recs, rejects = read_pages(spark, tmpdir_path, "releases", on_bad_page="end_repository")
+    assert ids(recs) == [1, 4] and reasons(rejects) == ["after an unreadable page"] * 2 + ["unreadable page"]
+    with pytest.raises(ValueError):
+        read_pages(spark, tmpdir_path, "releases", on_bad_page="stop")
+
+
+def test_names_with_double_underscores(spark, tmpdir_path):
+    for i, repo in enumerate(["owner/my__repo", "owner/__init__", "owner/plain"]):
+        land(tmpdir_path, "releases", repo, "1.json", [{"id": i}])
+    recs, _ = read_pages(spark, tmpdir_path, "releases")
+    assert {r["id"]: r["repository_full_name"] for r in recs.collect()} == {0: "owner/my__repo", 1: "owner/__init__", 2: "owner/plain"}
+    recs, _ = read_pages(spark, tmpdir_path, "releases", repos=["owner/my__repo", "owner/__init__"])
+    assert ids(recs) == [0, 1]
+
+
+def test_allow_list_reads_only_those_folders(spark, tmpdir_path):
+    land(tmpdir_path, "releases", "a/r", "page-1.json", [{"id": 1, "tag_name": "v1"}])
+    land(tmpdir_path, "releases", "b/r", "page-1.json", "[{broken")           # never read when not allowed
+    land(tmpdir_path, "releases", "c/r", "page-1.json", [{"id": 3, "tag_name": "v3"}])
+    recs, rejects = read_pages(spark, tmpdir_path, "releases", repos=["a/r", "c/r", "z/missing"])
+    assert ids(recs) == [1, 3] and rejects.count() == 0
+    assert entity_path("/l/", "releases", ["c/r", "a/r"]) == "/l/entity=releases/repo={a__r,c__r}"
+
+
+def test_single_object_page_is_one_record(spark, tmpdir_path):
+    land(tmpdir_path, "repositories", "o/r", "repo.json", {"id": 7, "full_name": "o/r", "topics": ["x"], "extra": [1, 2]})
+    recs, rejects = read_pages(spark, tmpdir_path, "repositories")
+    assert [(r["id"], r["full_name"], r["topics"]) for r in recs.collect()] == [(7, "o/r", ["x"])]
+    assert rejects.count() == 0
+
+
+def test_graphql_shape(spark, tmpdir_path):
+    land(tmpdir_path, "gql_releases", "o/r", "p.json", [{
+        "databaseId": 5, "tagName": "v1", "author": {"login": "a", "name": None},
+        "releaseAssets": {"nodes": [{"name": "x", "size": 3}, {"name": "y", "size": 4}]}, "repo": "o/r"}])
+    land(tmpdir_path, "gql_pull_requests", "o/r", "p.json", [{
+        "databaseId": 6, "bodyText": "t", "mergeable": "UNKNOWN", "reviewRequests": {"nodes": [{"requestedReviewer": {"login": "q"}}]},
+        "reviews": {"nodes": [{"author": {"login": "z"}, "state": "APPROVED"}]}, "repo": "o/r"}])
+    r = read_pages(spark, tmpdir_path, "gql_releases")[0].collect()[0]
+    assert r["databaseId"] == 5 and len(r["releaseAssets"]["nodes"]) == 2
+    p = read_pages(spark, tmpdir_path, "gql_pull_requests")[0].collect()[0]
+    assert p["mergeable"] == "UNKNOWN" and p["reviews"]["nodes"][0]["author"]["login"] == "z" and p["reviewRequests"]["nodes"][0]["requestedReviewer"]["login"] == "q"
