@@ -1,75 +1,138 @@
 """Keyed upsert (merge on primary key, the later load wins).
 
-``merge_latest`` is the relational core (existing UNION ALL incoming, keep the
-newest row per key, combined map-side). ``upsert_parquet`` persists it as a new
-version folder beside the old one and only then appends the version to the
-table's version log, so readers never see a half-written table and a failed
-run leaves the previous version current.
+``merge_latest`` is the relational core (existing UNION ALL incoming, one row per key, combined map-side).
+``upsert_parquet`` persists it. A table is a folder of key buckets; a load rewrites only the buckets it
+touches, each into a folder of the load's version, and then appends one row per touched bucket to the
+table's log. Readers take each bucket's newest logged folder, so they never see a half-written load and a
+failed run leaves the table as it was. Stored columns that a load lacks are kept, and rows with a NULL key
+cannot be merged and go to the rejects.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.windows import latest_per_key
-from .writers import write_counted
+from ..sources.tables import is_missing
+
+LOAD = "_load"
+BUCKETS = 32
 
 
 def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: list[str],
                  newest_first: list[str]) -> DataFrame:
-    """Union the two loads (by column name) and keep one row per key, newest first."""
-    both = incoming if existing is None else existing.unionByName(incoming, allowMissingColumns=True)
-    return latest_per_key(both, keys, newest_first)
+    """Union the two loads (by column name) and keep one row per key: the later load wins.
+
+    Within a load the row that sorts first by ``newest_first`` descending stays (NULLs last), equal ones
+    by a hash of the whole row, so reruns agree. Columns that only one side has are NULL on the other.
+    """
+    tagged = incoming.withColumn(LOAD, F.lit(1))
+    if existing is not None:
+        tagged = existing.withColumn(LOAD, F.lit(0)).unionByName(tagged, allowMissingColumns=True)
+    rest = [c for c in tagged.columns if c not in keys]
+    tagged = tagged.withColumn("_tie", F.xxhash64(*rest))
+    return latest_per_key(tagged, keys, [LOAD, *newest_first, "_tie"]).drop(LOAD, "_tie")
 
 
 def _log_path(root: str) -> str:
-    return f"{root.rstrip('/')}/_versions"
-
+    return f"{root.rstrip('/')}/_log"
 
-def list_versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions under ``root``, from its version log (a tiny parquet table).
 
-    A version is logged only after its data write committed, so a run that
-    failed half-way leaves an unlogged folder that readers never see.
-    """
+def read_log(spark: SparkSession, root: str) -> DataFrame | None:
+    """(version, bucket, path) of every committed bucket write, or None for a table without loads."""
     try:
-        rows = spark.read.parquet(_log_path(root)).select("version").distinct().collect()
-    except AnalysisException:  # no log yet: nothing committed
+        return spark.read.schema("version long, bucket int, path string").parquet(_log_path(root))
+    except AnalysisException as e:
+        if is_missing(e):
+            return None
+        raise
+
+
+def current_folders(spark: SparkSession, root: str) -> dict[int, str]:
+    """The newest folder of each bucket: at most one row per bucket reaches the driver."""
+    log = read_log(spark, root)
+    rows = [] if log is None else log.groupBy("bucket").agg(F.max_by("path", "version").alias("path")).collect()
+    return {r["bucket"]: r["path"] for r in rows}
+
+
+def last_version(spark: SparkSession, root: str) -> int:
+    """The newest committed version, 0 before the first load."""
+    log = read_log(spark, root)
+    return 0 if log is None else int(log.agg(F.max("version").alias("v")).first()["v"] or 0)
+
+
+def obsolete_folders(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Folders that no bucket's ``keep`` newest versions use: what a retention job may delete."""
+    log = read_log(spark, root)
+    if log is None:
         return []
-    return sorted(int(r["version"]) for r in rows)
+    newest = log.groupBy("bucket").agg(F.slice(F.sort_array(F.collect_set("version"), asc=False), 1, keep).alias("kept"))
+    old = log.join(newest, "bucket").where(~F.array_contains("kept", F.col("version")))
+    return sorted(r["path"] for r in old.select("path").distinct().collect())
 
 
-def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """The newest committed version, or None when nothing was written yet."""
-    versions = list_versions(spark, root)
-    if not versions:
+def _read_folders(spark: SparkSession, folders: list[str]) -> DataFrame | None:
+    if not folders:
         return None
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(f"{root.rstrip('/')}/v={versions[-1]}")
+    return spark.read.option("mergeSchema", True).parquet(*folders)
+
+
+def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
+    """The table's rows, or None when nothing was written yet; ``schema`` selects and types the columns."""
+    df = _read_folders(spark, sorted(current_folders(spark, root).values()))
+    if df is None or schema is None:
+        return df
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
 
 
 class Upserted(NamedTuple):
-    path: str      # the new version folder
-    rows: int      # rows in the new version, observed while writing it (no second scan)
+    version: int    # the load's number
+    rows: int       # rows of the table afterwards
+    rejected: int   # incoming rows with a NULL key
 
 
 def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: list[str],
-                   newest_first: list[str]) -> Upserted:
-    """Merge ``incoming`` into the table at ``root``; returns the new version's path.
+                   newest_first: list[str], buckets: int = BUCKETS) -> Upserted:
+    """Merge ``incoming`` into the table at ``root``; rerunning the same load yields the same rows.
 
-    The new version is written next to the old one, so the read of the old
-    version and the write never touch the same files; re-running the same
-    batch yields the same rows.
+    The load is computed once, into ``<root>/_incoming/v=<version>`` by bucket (NULL keys in bucket -1, the
+    rejects); only the stored buckets it touches are read and rewritten. ``buckets`` must be the same for
+    all loads of a table.
     """
-    versions = list_versions(spark, root)
-    existing = read_current(spark, root, incoming.schema) if versions else None
-    merged = merge_latest(existing, incoming, keys, newest_first)
-    target = f"{root.rstrip('/')}/v={(versions[-1] + 1) if versions else 1}"
-    rows = write_counted(merged, target)   # an unlogged leftover of a failed run is replaced
-    version = (versions[-1] + 1) if versions else 1
-    spark.createDataFrame([(version, target)], "version long, path string") \
-        .write.mode("append").parquet(_log_path(root))
-    return Upserted(target, rows)
+    root = root.rstrip("/")
+    version = last_version(spark, root) + 1
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    stage = f"{root}/_incoming/v={version}"
+    load = incoming.withColumn("_bucket", F.when(null_key, F.lit(-1)).otherwise(bucket))
+    obs = Observation()
+    load.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(F.when(null_key, 1)).alias("rejected")) \
+        .write.mode("overwrite").partitionBy("_bucket").parquet(stage)
+    rejected = int(obs.get["rejected"])
+    if obs.get["rows"] > rejected:
+        load = spark.read.parquet(stage).where("_bucket >= 0")
+        touched = sorted(r["_bucket"] for r in load.select("_bucket").distinct().collect())  # at most ``buckets`` rows
+        folders = current_folders(spark, root)
+        stored = _read_folders(spark, [folders[b] for b in touched if b in folders])
+        merged = merge_latest(stored, load.drop("_bucket"), keys, newest_first).withColumn("_bucket", bucket)
+        # an unlogged leftover of a failed run is replaced
+        merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/v={version}")
+        spark.createDataFrame([(version, b, f"{root}/v={version}/_bucket={b}") for b in touched],
+                              "version long, bucket int, path string").coalesce(1).write.mode("append").parquet(_log_path(root))
+    now = read_current(spark, root)
+    return Upserted(version, 0 if now is None else now.count(), rejected)
+
+
+def read_rejects(spark: SparkSession, root: str, version: int) -> DataFrame | None:
+    """The NULL-key rows of a load, or None if it had none."""
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/_incoming/v={version}/_bucket=-1")
+    except AnalysisException as e:
+        if is_missing(e):
+            return None
+        raise

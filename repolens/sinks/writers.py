@@ -4,21 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ..sources.tables import is_missing
+
 
 def materialize(df: DataFrame, name: str | None = None, path: str | None = None,
-                partition_by: list[str] | None = None) -> None:
-    """Full replace of a model, as a catalog table (``name``) or a parquet folder (``path``)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+                partition_by: list[str] | None = None) -> str:
+    """Full replace of a model, as a catalog table (``name``) or a folder (``path``); returns where the rows are.
+
+    A folder keeps its versions: the rows are written to a new ``v=<n>`` beside the old one, which becomes
+    the model only when its number is logged. A run that fails half-way leaves the old model in place, and
+    a model may be computed from its own last version.
+    """
     if name:
-        w.saveAsTable(name)
-    elif path:
-        w.parquet(path)
-    else:
+        w = df.write.mode("overwrite")
+        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
+        return name
+    if not path:
         raise ValueError("give a table name or a path")
+    spark, root = df.sparkSession, path.rstrip("/")
+    version = (model_version(spark, root) or 0) + 1
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{root}/v={version}")
+    spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{root}/_log")
+    return f"{root}/v={version}"
+
+
+def model_version(spark: SparkSession, path: str) -> int | None:
+    """The newest complete version of a model folder, None before the first."""
+    try:
+        return spark.read.schema("version long").parquet(f"{path.rstrip('/')}/_log").agg(F.max("version").alias("v")).first()["v"]
+    except AnalysisException as e:
+        if is_missing(e):
+            return None
+        raise
+
+
+def read_model(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a model folder's newest version."""
+    version = model_version(spark, path)
+    if version is None:
+        raise ValueError(f"nothing was materialised at {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/v={version}")
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
@@ -48,5 +77,5 @@ def export_models(spark: SparkSession, models: dict[str, Callable[[], DataFrame]
                 df = src()
             report[model] = write_counted(df, f"{out_dir.rstrip('/')}/{model}.parquet")
         except Exception as e:  # noqa: BLE001 - one model must not stop the others
-            report[model] = f"error: {type(e).__name__}: {str(e)[:200]}"
+            report[model] = f"error: {type(e).__name__}: {e}"
     return report

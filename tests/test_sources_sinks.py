@@ -1,86 +1,103 @@
-"""S1, S2, S5-S9, P4 with landed JSON in scratch folders (FIXTURES §3, §6)."""
+"""Materialised models, the persisted upsert, exports, guarded lookups."""
 
-import json
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from repolens.plans.silver import silver_pull_requests
-from repolens.sinks.upsert import list_versions, read_current, upsert_parquet
-from repolens.sinks.writers import export_models, write_counted
-from repolens.sources.landing import read_issue_pages, read_pages
-from repolens.sources.tables import existing_or_empty
 from repolens.schemas import REST_RELEASE
-from tests.fixtures import PR_FIXTURES, RELEASE_FIXTURES
-
-
-def land(root, entity, repo, page, payload):
-    d = os.path.join(root, f"entity={entity}", f"repo={repo.replace('/', '__')}")
-    os.makedirs(d, exist_ok=True)
-    with open(os.path.join(d, page), "w") as f:
-        f.write(payload if isinstance(payload, str) else json.dumps(payload))
-
-
-def test_read_pr_pages_with_rejects(spark, tmpdir_path):
-    unstamped = [{k: v for k, v in r.items() if k not in ("repository_full_name", "fetched_at")}
-                 for r in PR_FIXTURES[:3]]
-    land(tmpdir_path, "pull_requests", "test/repo", "page-1.json", unstamped)
-    land(tmpdir_path, "pull_requests", "test/repo", "page-2.json", [])          # empty page
-    land(tmpdir_path, "pull_requests", "other/repo", "page-1.json", "")         # empty body
-    land(tmpdir_path, "pull_requests", "bad/repo", "page-1.json", "[{not json")  # corrupt page
-    land(tmpdir_path, "pull_requests", "x/y", "page-1.json",
-         [{"id": 9, "title": "Add thing", "unknown_key": 1}])                   # missing columns, extra key
-    recs, rejects = read_pages(spark, tmpdir_path, "pull_requests")
-    got = {r["id"]: r for r in recs.collect()}
-    assert set(got) == {1, 2, 3, 9}
-    assert got[1]["repository_full_name"] == "test/repo"      # stamped from the landing folder
-    assert got[9]["repository_full_name"] == "x/y" and got[9]["labels"] is None
-    assert all(r["fetched_at"] is not None for r in got.values())
-    assert rejects.count() == 1
-    silver = {r["id"]: r["feat_classifier"] for r in silver_pull_requests(recs).collect()}
-    assert silver == {1: "bug fix", 2: "feature", 3: "refactor", 9: "feature"}
-
-
-def test_issue_key_presence(spark, tmpdir_path):
-    page = ('[{"id": 1, "title": "a", "pull_request": {"url": "u"}},'
-            ' {"id": 2, "title": "b", "pull_request": null},'
-            ' {"id": 3, "title": "c"}]')
-    land(tmpdir_path, "issues", "test/repo", "page-1.json", page)
-    land(tmpdir_path, "issues", "test/repo", "page-2.json", "[oops")
-    recs, rejects = read_issue_pages(spark, tmpdir_path)
-    rows = recs.collect()
-    assert [r["id"] for r in rows] == [3]     # explicit null still counts as present
-    assert rows[0]["repository_full_name"] == "test/repo"
-    assert rejects.count() == 1
-
-
-def test_graphql_shape(spark, tmpdir_path):
-    land(tmpdir_path, "gql_releases", "o/r", "p.json", [{
-        "databaseId": 5, "tagName": "v1", "author": {"login": "a", "name": None},
-        "releaseAssets": {"nodes": [{"name": "x", "size": 3}, {"name": "y", "size": 4}]}, "repo": "o/r"}])
-    recs, _ = read_pages(spark, tmpdir_path, "gql_releases")
-    r = recs.collect()[0]
-    assert r["databaseId"] == 5 and len(r["releaseAssets"]["nodes"]) == 2
-
-
-def test_upsert_idempotent_and_latest_wins(spark, tmpdir_path):
+from repolens.sinks.upsert import current_folders, obsolete_folders, read_current, read_log, read_rejects, upsert_parquet
+from repolens.sinks.writers import export_models, materialize, model_version, read_model, write_counted
+from repolens.sources.tables import existing_or_empty
+from tests.fixtures import RELEASE_FIXTURES
+
+SCHEMA = "id long, v string, fetched_at string"
+
+
+def table(spark, root):
+    return {(r.id, r.v) for r in read_current(spark, root).collect()}
+
+
+def test_upsert_idempotent_and_later_load_wins(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "releases")
-    schema = "id long, v string, fetched_at string"
-    b1 = spark.createDataFrame([(1, "a", "2024-01-01"), (2, "b", "2024-01-01"), (2, "b2", "2024-01-02")], schema)
+    b1 = spark.createDataFrame([(1, "a", "2024-01-01"), (2, "b", "2024-01-01"), (2, "b2", "2024-01-02")], SCHEMA)
+    assert read_current(spark, root) is None
     assert upsert_parquet(spark, root, b1, ["id"], ["fetched_at"]).rows == 2
-    assert {(r.id, r.v) for r in read_current(spark, root).collect()} == {(1, "a"), (2, "b2")}
-    b2 = spark.createDataFrame([(1, "a2", "2024-02-01"), (3, "c", "2024-02-01")], schema)
-    upsert_parquet(spark, root, b2, ["id"], ["fetched_at"])
-    upsert_parquet(spark, root, b2, ["id"], ["fetched_at"])      # rerun of the same batch
-    assert {(r.id, r.v) for r in read_current(spark, root).collect()} == {(1, "a2"), (2, "b2"), (3, "c")}
-    assert list_versions(spark, root) == [1, 2, 3]
+    assert table(spark, root) == {(1, "a"), (2, "b2")}
+    # older, equal and NULL stamps: the later load wins all the same
+    b2 = spark.createDataFrame([(1, "a2", "2020-01-01"), (2, "b3", None), (3, "c", "2024-02-01")], SCHEMA)
+    for version in (2, 3):                                       # the second time: a rerun of the same load
+        assert upsert_parquet(spark, root, b2, ["id"], ["fetched_at"]).version == version
+        assert table(spark, root) == {(1, "a2"), (2, "b3"), (3, "c")}
+
+
+def test_upsert_keeps_columns_a_load_lacks(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "t")
+    upsert_parquet(spark, root, spark.createDataFrame([(i, f"v{i}", f"x{i}") for i in range(40)], "id long, v string, extra string"), ["id"], ["v"])
+    upsert_parquet(spark, root, spark.createDataFrame([(1, "new")], "id long, v string"), ["id"], ["v"])
+    upsert_parquet(spark, root, spark.createDataFrame([(2, "new", 5)], "id long, v string, more int"), ["id"], ["v"])
+    rows = {r.id: r for r in read_current(spark, root).collect()}
+    assert len(rows) == 40 and rows[7].extra == "x7" and rows[7].more is None
+    assert (rows[1].v, rows[1].extra) == ("new", None) and (rows[2].v, rows[2].more) == ("new", 5)
+    typed = read_current(spark, root, spark.createDataFrame([], "id long, extra string, absent long").schema)
+    assert typed.columns == ["id", "extra", "absent"] and typed.where("absent is not null").count() == 0
+
+
+def test_upsert_rejects_null_keys(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "t")
+    rows = [(1, "a", "x"), (None, "b", "x"), (None, "c", "x"), (None, "c", "x")]
+    done = upsert_parquet(spark, root, spark.createDataFrame(rows, SCHEMA), ["id"], ["fetched_at"])
+    assert (done.rows, done.rejected) == (1, 3) and sorted(r.v for r in read_rejects(spark, root, done.version).collect()) == ["b", "c", "c"]
+    none = upsert_parquet(spark, root, spark.createDataFrame([], SCHEMA), ["id"], ["fetched_at"])
+    assert none.rows == 1 and table(spark, root) == {(1, "a")}
+    only = upsert_parquet(spark, os.path.join(tmpdir_path, "u"), spark.createDataFrame(rows[1:], SCHEMA), ["id"], ["fetched_at"])
+    assert (only.rows, only.rejected) == (0, 3)
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "t")
+    upsert_parquet(spark, root, spark.createDataFrame([(i, "a", "1") for i in range(200)], SCHEMA), ["id"], ["fetched_at"])
+    before = current_folders(spark, root)
+    upsert_parquet(spark, root, spark.createDataFrame([(5, "b", "2")], SCHEMA), ["id"], ["fetched_at"])
+    after = current_folders(spark, root)
+    assert len(before) == 32 and sum(before[b] != after[b] for b in before) == 1
+    assert obsolete_folders(spark, root, keep=2) == []
+    assert obsolete_folders(spark, root, keep=1) == [p for b, p in before.items() if after[b] != p]
+
+
+def test_a_failed_load_leaves_the_table(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "t")
+    upsert_parquet(spark, root, spark.createDataFrame([(1, "a", "1")], SCHEMA), ["id"], ["fetched_at"])
+    bad = spark.createDataFrame([(1, "b", "2")], SCHEMA).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        upsert_parquet(spark, root, bad, ["id"], ["fetched_at"])
+    assert table(spark, root) == {(1, "a")} and read_log(spark, root).count() == 1
+    upsert_parquet(spark, root, spark.createDataFrame([(1, "c", "0")], SCHEMA), ["id"], ["fetched_at"])
+    assert table(spark, root) == {(1, "c")}
+
+
+def test_materialize_keeps_the_old_model_until_the_new_one_is_whole(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "m")
+    assert model_version(spark, path) is None
+    with pytest.raises(ValueError):
+        read_model(spark, path)
+    materialize(spark.range(3), path=path)
+    materialize(read_model(spark, path).union(spark.range(10, 12)), path=path)      # from its own last version
+    assert sorted(r.id for r in read_model(spark, path).collect()) == [0, 1, 2, 10, 11]
+    with pytest.raises(Exception):
+        materialize(spark.range(5).withColumn("id", F.raise_error(F.lit("no")).cast("long")), path=path)
+    assert read_model(spark, path).count() == 5
+    with pytest.raises(ValueError):
+        materialize(spark.range(1))
 
 
 def test_export_models_skips_missing_and_survives_errors(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "exports")
+    text = "broken model " + "x" * 500
 
     def boom():
-        raise RuntimeError("broken model")
+        raise RuntimeError(text)
     report = export_models(spark, {
         "stg_releases": lambda: spark.createDataFrame(RELEASE_FIXTURES, REST_RELEASE),
         "not_there": "no_such_table_xyz",
@@ -88,7 +105,7 @@ def test_export_models_skips_missing_and_survives_errors(spark, tmpdir_path):
     }, out)
     assert report["stg_releases"] == 3
     assert report["not_there"] == "missing"
-    assert str(report["broken"]).startswith("error:")
+    assert report["broken"] == f"error: RuntimeError: {text}"      # the whole text
     assert spark.read.parquet(os.path.join(out, "stg_releases.parquet")).count() == 3
 
 
@@ -98,36 +115,13 @@ def test_write_counted_observes_rows(spark, tmpdir_path):
 
 
 def test_existing_or_empty(spark, tmpdir_path):
-    df = existing_or_empty(spark, ["no_such_table_abc", os.path.join(tmpdir_path, "missing")],
-                           spark.createDataFrame([], "name_with_owner string").schema)
+    schema = spark.createDataFrame([], "name_with_owner string").schema
+    missing = ["no_such_table_abc", os.path.join(tmpdir_path, "missing")]
+    df = existing_or_empty(spark, missing, schema)
     assert df.count() == 0 and df.columns == ["name_with_owner"]
-
-
-def test_bad_page_ends_that_repository(spark, tmpdir_path):
-    land(tmpdir_path, "releases", "a/r", "page-1.json", [{"id": 1, "tag_name": "v1"}])
-    land(tmpdir_path, "releases", "a/r", "page-2.json", "[{broken")
-    land(tmpdir_path, "releases", "a/r", "page-3.json", [{"id": 3, "tag_name": "v3"}])
-    land(tmpdir_path, "releases", "b/r", "page-1.json", [{"id": 4, "tag_name": "v4"}])
-    ended, rejects = read_pages(spark, tmpdir_path, "releases")
-    assert sorted(r["id"] for r in ended.collect()) == [1, 4]     # a/r stops at its bad page 2
-    skipped, _ = read_pages(spark, tmpdir_path, "releases", on_bad_page="skip_page")
-    assert sorted(r["id"] for r in skipped.collect()) == [1, 3, 4]
-    assert rejects.count() == 1
-
-
-def test_single_object_page_is_one_record(spark, tmpdir_path):
-    land(tmpdir_path, "repositories", "o/r", "repo.json", {"id": 7, "full_name": "o/r", "extra": [1, 2]})
-    recs, rejects = read_pages(spark, tmpdir_path, "repositories")
-    assert [(r["id"], r["full_name"]) for r in recs.collect()] == [(7, "o/r")]
-    assert rejects.count() == 0
-
-
-def test_allow_list_reads_only_those_folders(spark, tmpdir_path):
-    land(tmpdir_path, "releases", "a/r", "page-1.json", [{"id": 1, "tag_name": "v1"}])
-    land(tmpdir_path, "releases", "b/r", "page-1.json", "[{broken")           # never read when not allowed
-    land(tmpdir_path, "releases", "c/r", "page-1.json", [{"id": 3, "tag_name": "v3"}])
-    recs, rejects = read_pages(spark, tmpdir_path, "releases", repos=["a/r", "c/r", "z/missing"])
-    assert sorted(r["id"] for r in recs.collect()) == [1, 3]
-    assert rejects.count() == 0
-    files = {r["_source_file"].split("repo=")[1].split("/")[0] for r in recs.collect()}
-    assert files == {"a__r", "c__r"}
+    there = os.path.join(tmpdir_path, "there")
+    spark.createDataFrame([("a/b",)], "name_with_owner string").write.parquet(there)
+    assert existing_or_empty(spark, [*missing, there], schema).count() == 1
+    spark.createDataFrame([(1,)], "other long").createOrReplaceTempView("repolens_odd_view")
+    with pytest.raises(AnalysisException):                         # it exists but lacks the column
+        existing_or_empty(spark, ["repolens_odd_view"], schema)

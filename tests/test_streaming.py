@@ -28,7 +28,7 @@ def test_incremental_available_now(spark, tmpdir_path):
     with open(os.path.join(landing, "entity=releases", "repo=o__r", "p3.json"), "w") as f:
         f.write("[{broken")
     incremental_upsert(spark, landing, "releases", target, ckpt).awaitTermination(120)
-    rejects = spark.read.parquet(os.path.join(target, "_rejects"))
+    rejects = spark.read.parquet(os.path.join(target, "_page_rejects"))
     assert rejects.count() == 1
     got = {r["id"]: r["tag_name"] for r in read_current(spark, target).collect()}
     assert got == {1: "v1", 2: "v2-fixed", 3: "v3"}
