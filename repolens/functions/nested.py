@@ -30,9 +30,9 @@ def nested_count(arr: Column | str) -> Column:
     return F.when(col.isNull(), F.lit(0).cast("long")).otherwise(F.size(col).cast("long"))
 
 
-def cap_nested(arr: Column | str, n: int) -> Column:
-    """Keep the first ``n`` elements (the API's ``first: n``)."""
-    return F.slice(_c(arr), 1, n)
+def cap_nested(arr: Column | str, n: int | None) -> Column:
+    """Keep the first ``n`` elements; None keeps all."""
+    return _c(arr) if n is None else F.slice(_c(arr), 1, n)
 
 
 def topk_nested(arr: Column | str, by: str, n: int, by_is_first: bool = False) -> Column:

@@ -47,13 +47,27 @@ def repository_filter(df: DataFrame, include_archived: bool = False, min_stars:
     return out
 
 
+def within(c: Column, low=None, low_open: bool = False, high=None, high_open: bool = False, as_type: str | None = None) -> Column:
+    """A one- or two-sided range test; a NULL value is in no range, and no bounds at all are TRUE."""
+    value = lambda v: F.lit(v).cast(as_type) if as_type else F.lit(v)
+    cond = F.lit(True)
+    if low is not None:
+        cond = (c > value(low)) if low_open else (c >= value(low))
+    if high is not None:
+        below = (c < value(high)) if high_open else (c <= value(high))
+        cond = below if low is None else cond & below
+    return cond
+
+
 def search_terms(df: DataFrame, query: str, text_cols: list[str]) -> DataFrame:
     """Every whitespace-separated term occurs (case-folded) in the concatenated text.
 
-    Qualifier terms of the form ``name:value`` are not text and are ignored
-    here; apply them with :func:`repository_filter`.
+    A term ``name:value`` is a qualifier, not text: split it off with
+    :func:`repolens.plans.presets.split_qualifiers`. Given here it raises.
     """
-    terms = [t.lower() for t in query.split() if ":" not in t]
+    terms = [t.lower() for t in query.split()]
+    if odd := [t for t in terms if ":" in t]:
+        raise ValueError(f"qualifiers are not search text: {odd}")
     hay = F.lower(F.concat_ws(" ", *[F.col(c).cast("string") for c in text_cols]))  # NULLs skipped
     cond: Column = F.lit(True)
     for t in terms:

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .ordering import first_n
+
 
 def new_entities(candidates: DataFrame, existing: DataFrame, key: str, max_n: int | None,
                  order: list[Column]) -> DataFrame:
     """J1 + O4: take the first ``max_n`` candidates in ``order``, then drop keys already loaded.
 
-    The cap is applied before the anti join: skipped entities still use up the
-    budget, as in the reference. The capped side is bounded by ``max_n``.
+    The cap is applied before the anti join: skipped entities still use up the budget. None is no cap
+    (and needs no sort); 0 or less takes nothing.
     """
-    capped = candidates.orderBy(*order).limit(max_n) if max_n else candidates  # no cap: no global sort
+    capped = candidates if max_n is None else first_n(candidates, order, max_n)
     return capped.join(existing.select(key), on=key, how="left_anti")
 
 
@@ -25,19 +27,24 @@ def semi_join(df: DataFrame, keys_df: DataFrame, key: str, small: bool = False)
 def existence_flag(df: DataFrame, keys_df: DataFrame, key: str, out: str, small: bool = False) -> DataFrame:
     """``key IN (subquery)`` as a column with SQL three-valued logic.
 
-    TRUE on a match; NULL when the key is NULL or the list holds a NULL and
-    nothing matched; FALSE otherwise. (Spark's own IN-subquery in a projection
-    becomes an ExistenceJoin that answers FALSE in the NULL cases.) The NULL
-    test on the list is a scalar subquery, computed once.
+    TRUE on a match; NULL when the key is NULL or the list holds a NULL and nothing matched; FALSE
+    otherwise, and always for an empty list. (Spark's own IN-subquery in a projection becomes an
+    ExistenceJoin that answers FALSE in the NULL cases.) ``small`` says the list is bounded (a top-k): it
+    is computed once, as one scalar row of its values, and nothing is joined.
     """
-    hits = (keys_df.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-                   .withColumn("_hit", F.lit(True)))
-    list_has_null = keys_df.where(F.col(key).isNull()).select((F.count(F.lit(1)) > 0).alias("_n")).scalar()
-    right = F.broadcast(hits) if small else hits
-    joined = df.join(right, df[key] == right["_k"], "left").drop("_k")
-    flag = (F.when(F.col("_hit"), F.lit(True))
-             .when(F.col(key).isNull() | list_has_null, F.lit(None).cast("boolean"))
-             .otherwise(F.lit(False)))
+    k = F.col(key)
+    if small:
+        one = keys_df.agg(F.struct(F.collect_set(key).alias("values"), F.count(F.when(k.isNull(), 1)).alias("nulls")).alias("list"))
+        listed = one.scalar()
+        hit, nulls, empty = F.array_contains(listed["values"], k), listed["nulls"] > 0, F.size(listed["values"]) + listed["nulls"] == 0
+        flag = (F.when(empty, F.lit(False)).when(hit, F.lit(True))
+                 .when(k.isNull() | nulls, F.lit(None).cast("boolean")).otherwise(F.lit(False)))
+        return df.withColumn(out, flag)
+    listed = keys_df.select(k.alias("_k")).distinct().withColumn("_hit", F.lit(True))
+    stats = keys_df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count(F.when(k.isNull(), 1)).alias("nulls")).alias("s")).scalar()
+    joined = df.join(listed.where(F.col("_k").isNotNull()), k == F.col("_k"), "left").drop("_k")
+    flag = (F.when(F.col("_hit"), F.lit(True)).when(stats["n"] == 0, F.lit(False))
+             .when(k.isNull() | (stats["nulls"] > 0), F.lit(None).cast("boolean")).otherwise(F.lit(False)))
     return joined.withColumn(out, flag).drop("_hit")
 
 

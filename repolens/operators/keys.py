@@ -7,24 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 
-# Largest row count a derived side table may have to be broadcast after its size check.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def small_enough_to_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check for a side table whose bound depends on the data (one small counting job)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-                   broadcast_right: bool | None = False) -> DataFrame:
+                   broadcast_right: bool = False) -> DataFrame:
     """Join on ``left.k <=> right.k`` for every key; the right copies of the keys are dropped.
 
-    ``broadcast_right``: True = bounded by construction, broadcast; None = broadcast only
-    after :func:`small_enough_to_broadcast`, else a shuffle join; False = leave it to the planner.
+    ``broadcast_right`` is for sides bounded by construction; otherwise the planner chooses by bytes, and
+    adaptive execution turns a side that proves small into a broadcast at run time.
     """
-    if broadcast_right is None:
-        broadcast_right = small_enough_to_broadcast(right)
     tmp = {k: f"__r_{k}" for k in keys}
     r = right.select(*[F.col(c).alias(tmp[c]) if c in tmp else F.col(c) for c in right.columns])
     if broadcast_right:

@@ -19,7 +19,7 @@ def order_by(df: DataFrame, cols: list[str | Column]) -> DataFrame:
     return df.orderBy(*[asc(c) if isinstance(c, str) else c for c in cols])
 
 
-def first_n(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
-    """Order then cap (``n`` falsy = no cap). A capped sort plans as TakeOrderedAndProject."""
-    out = df.orderBy(*order)
-    return out.limit(n) if n else out
+def first_n(df: DataFrame, order: list[str | Column], n: int | None) -> DataFrame:
+    """Order then cap; None is no cap, 0 or less keeps nothing. A cap plans as TakeOrderedAndProject."""
+    out = order_by(df, order)
+    return out if n is None else out.limit(max(n, 0))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .keys import join_null_safe
-from .ranking import LOCAL, PART, range_sorted
+from .ranking import LOCAL, PART, range_sorted, with_position
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str],
@@ -91,8 +91,8 @@ def lag_within(df: DataFrame, keys: list[str], order: str, out: str = "prev",
     inner = s.mapInArrow(_previous_in_partition(list(keys), order), schema)
     tails = (s.groupBy(*keys, PART).agg(F.max_by(order, LOCAL).alias("_last"))
               .select(*keys, PART, F.lag("_last").over(Window.partitionBy(*keys).orderBy(PART)).alias("_prev_seg")))
-    # at most partitions + keys rows: broadcast when bounded by construction or after a size check
-    joined = join_null_safe(inner, tails, keys + [PART], "left", broadcast_right=True if bounded_keys else None)
+    # at most partitions + keys rows: broadcast only when the keys are bounded by construction
+    joined = join_null_safe(inner, tails, keys + [PART], "left", broadcast_right=bounded_keys)
     prev = F.when(F.col("_head"), F.col("_prev_seg")).otherwise(F.col("_prev_in")).alias(out)
     return joined.select(*[c for c in df.columns], prev)
 
@@ -101,29 +101,24 @@ def recent_n_per_key(df: DataFrame, keys: list[str], newest_first: list[Column],
                      rank_col: str | None = "rn") -> DataFrame:
     """Keep the ``n`` most recent rows per key (``n`` falsy = unlimited, ``n < 0`` = none).
 
-    Up to Spark's group-limit threshold (``spark.sql.optimizer.windowGroupLimitThreshold``),
-    ``row_number() <= n`` plans a per-partition group limit before the shuffle, so a hot key
-    ships at most ``n`` rows per input partition. Above it that limit is not planned, and a
-    window would gather a hot key in one task; exact positions from the range-sorted
-    primitive (:func:`.ranking.with_position`) keep the work split instead.
-    Unlimited with no ``rank_col`` needs no ordering at all.
+    ``newest_first`` should end in a unique column; rows equal in all of it are interchangeable. A capped
+    key is first cut to ``n`` rows in each input partition, then once more over what is left, so a hot key
+    is split over as many tasks as its rows come from, whatever ``n`` is (up to the group-limit threshold
+    Spark also cuts before the first shuffle). Unlimited ranks come from exact range-sorted positions
+    (:func:`.ranking.with_position`); unlimited without ``rank_col`` needs no ordering at all.
     """
     if n is not None and n < 0:
         out = df.limit(0)
         return out.withColumn(rank_col, F.lit(None).cast("long")) if rank_col else out
-    if not n and rank_col is None:
-        return df
-    rc = rank_col or "_rn"
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n and n > threshold:
-        from .ranking import with_position
+    if not n:
+        if rank_col is None:
+            return df
         ranked = with_position(df, keys, newest_first, out="_pos")
-        ranked = (ranked.where(F.col("_pos") < F.lit(n))
-                        .withColumn(rc, (F.col("_pos") + 1).cast("long")).drop("_pos"))
-        return ranked if rank_col else ranked.drop(rc)
-    w = Window.partitionBy(*keys).orderBy(*newest_first)
-    ranked = df.withColumn(rc, F.row_number().over(w))
-    if n:
-        ranked = ranked.where(F.col(rc) <= F.lit(n))
+        return ranked.withColumn(rank_col, (F.col("_pos") + 1).cast("long")).drop("_pos")
+    rc = rank_col or "_rn"
+    part = Window.partitionBy(*keys, "_part").orderBy(*newest_first)
+    cut = df.withColumn("_part", F.spark_partition_id()).withColumn(rc, F.row_number().over(part)).where(F.col(rc) <= F.lit(n))
+    whole = Window.partitionBy(*keys).orderBy(*newest_first)
+    ranked = cut.drop("_part", rc).withColumn(rc, F.row_number().over(whole)).where(F.col(rc) <= F.lit(n))
     ranked = ranked.withColumn(rc, F.col(rc).cast("long"))
     return ranked if rank_col else ranked.drop(rc)
