@@ -140,20 +140,31 @@ def _cust_repo(col: str) -> F.Column:
     return F.concat(F.lit("cust/Customer#"), F.lpad(F.col(col).cast("string"), 9, "0"))
 
 
+def _days_from(start: str, days: F.Column) -> F.Column:
+    """A zone-less timestamp some days after a date."""
+    return F.date_add(F.lit(start).cast("date"), days.cast("int")).cast("timestamp_ntz")
+
+
 def gql_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GraphQL-shaped repositories from ``customer`` with topic nodes."""
+    """GraphQL-shaped repositories from ``customer`` with topic nodes, languages and a push date (NULL for some)."""
     c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
     topics = F.struct(F.array(
         F.struct(F.struct(F.lower(F.col("c_mktsegment")).alias("name")).alias("topic")),
         F.struct(F.struct(F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")).alias("name"))
                  .alias("topic"))).alias("nodes"))
+    edges = F.transform(F.sequence(F.lit(0), (key % 13).cast("int")), lambda i: F.struct(
+        (key * (i + 1) % 101).cast("long").alias("size"),
+        F.struct(F.concat(F.lit("lang-"), i.cast("string")).alias("name"), F.lit(None).cast("string").alias("color")).alias("node")))
+    languages = F.struct((key % 1000).cast("long").alias("totalSize"), edges.alias("edges"))
     return c.select(
-        F.col("c_custkey").alias("databaseId"),
+        key.alias("databaseId"),
         F.concat(F.lit("cust/"), F.col("c_name")).alias("nameWithOwner"),
         F.concat(F.lit("segment "), F.col("c_mktsegment")).alias("description"),
         F.col("c_acctbal").alias("stargazerCount"),
         (F.col("c_mktsegment") == "AUTOMOBILE").alias("isArchived"),
-        F.lit(None).cast("timestamp_ntz").alias("pushedAt"),
+        F.when(key % 10 != 0, _days_from("2023-01-01", key % 400)).alias("pushedAt"),
+        F.when(key % 7 != 0, languages).alias("languages"),
         topics.alias("repositoryTopics"),
     )
 
@@ -166,56 +177,65 @@ def existing_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(F.concat(F.lit("cust/"), F.col("c_name")).alias("nameWithOwner")))
 
 
+def _nodes(n: F.Column, make) -> F.Column:
+    """``{nodes: [make(1), ..., make(n)]}``."""
+    return F.struct(F.transform(F.sequence(F.lit(1), n.cast("int")), make).alias("nodes"))
+
+
+def _numbered(prefix: str, i: F.Column) -> F.Column:
+    return F.concat(F.lit(prefix), i.cast("string"))
+
+
 def gql_pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GraphQL-shaped pull requests from ``orders`` (``repo`` points at the customer adapter)."""
+    """GraphQL-shaped pull requests from ``orders`` (``repo`` points at the customer adapter), lists of 1 to 30 entries."""
     o = table(spark, sf_dir, "orders")
-    st = F.col("o_orderstatus")
+    st, key = F.col("o_orderstatus"), F.col("o_orderkey")
+    none = F.lit(None).cast("string")
     login = F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"))
-    author = F.when(st != "P", F.struct(login.alias("login"), F.lit(None).cast("string").alias("name"),
-                                        F.lit(None).cast("string").alias("email"),
-                                        F.col("o_orderpriority").alias("company"),
-                                        F.lit(None).cast("string").alias("location")))
+    author = F.when(st != "P", F.struct(login.alias("login"), none.alias("name"), none.alias("email"),
+                                        F.col("o_orderpriority").alias("company"), none.alias("location")))
     commits = F.when(st != "F", F.struct((F.col("o_custkey") % 7).alias("totalCount")))
-    labels = F.struct(F.array(F.struct(st.alias("name"), F.lit(None).cast("string").alias("color"),
-                                       F.col("o_orderpriority").alias("description"))).alias("nodes"))
-    assignees = F.struct(F.array(F.struct(login.alias("login"), F.lit(None).cast("string").alias("name")),
-                                 F.struct(F.lit("owner").alias("login"), F.lit(None).cast("string").alias("name"))
-                                 ).alias("nodes"))
+    n = F.col("o_custkey") % 30 + 1
+    labels = _nodes(n, lambda i: F.struct(_numbered("label-", i).alias("name"), none.alias("color"), F.col("o_orderpriority").alias("description")))
+    assignees = _nodes(n, lambda i: F.struct(_numbered("dev-", i).alias("login"), none.alias("name")))
+    requests = _nodes(key % 3 + 1, lambda i: F.struct(F.struct(_numbered("reviewer-", i).alias("login"), none.alias("name")).alias("requestedReviewer")))
+    reviews = F.when(key % 4 != 0, _nodes(key % 3 + 1, lambda i: F.struct(
+        F.struct(_numbered("reviewer-", i).alias("login")).alias("author"), F.lit("APPROVED").alias("state"), none.alias("createdAt"))))
     milestone = F.when(F.col("o_orderpriority") == "1-URGENT",
-                       F.struct(F.lit("urgent").alias("title"), F.lit("OPEN").alias("state"),
-                                F.lit(None).cast("string").alias("dueOn")))
+                       F.struct(F.lit("urgent").alias("title"), F.lit("OPEN").alias("state"), none.alias("dueOn")))
+    closed = F.when(st != "O", F.col("o_orderdate") + F.expr("INTERVAL 3 DAYS"))
     return o.select(
-        F.col("o_orderkey").alias("databaseId"), F.col("o_orderkey").alias("number"),
+        key.alias("databaseId"), key.alias("number"),
         F.concat(F.lit("Order "), F.col("o_orderpriority")).alias("title"),
+        F.concat(F.lit("**"), F.col("o_orderpriority"), F.lit("**")).alias("body"), F.col("o_orderpriority").alias("bodyText"),
         F.when(st == "O", "OPEN").when(st == "F", "MERGED").otherwise("CLOSED").alias("state"),
-        author.alias("author"), F.lit("main").alias("baseRefName"),
-        F.concat(F.lit("topic/"), F.col("o_orderkey").cast("string")).alias("headRefName"),
+        _numbered("https://example.invalid/pr/", key).alias("url"),
+        F.col("o_orderdate").alias("createdAt"), (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("updatedAt"),
+        closed.alias("closedAt"), F.when(st == "F", closed).alias("mergedAt"), F.lit("UNKNOWN").alias("mergeable"),
+        (key % 900).alias("additions"), (key % 70).alias("deletions"), (key % 12).alias("changedFiles"),
+        author.alias("author"), F.lit("main").alias("baseRefName"), _numbered("topic/", key).alias("headRefName"),
         commits.alias("commits"), labels.alias("labels"), assignees.alias("assignees"),
+        requests.alias("reviewRequests"), reviews.alias("reviews"),
         milestone.alias("milestone"), _cust_repo("o_custkey").alias("repo"),
     )
 
 
 def gql_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GraphQL-shaped releases from ``orders``: 0, 1 or 2 assets by order status."""
+    """GraphQL-shaped releases from ``orders``: 0 to 30 assets by customer."""
     o = table(spark, sf_dir, "orders")
-    st = F.col("o_orderstatus")
-
-    def asset(name, size):
-        return F.struct(F.lit(name).alias("name"), size.cast("long").alias("size"),
-                        F.lit(0).cast("long").alias("downloadCount"),
-                        F.lit("application/octet-stream").alias("contentType"),
-                        F.lit(None).cast("string").alias("url"))
-    assets = (F.when(st == "O", F.array().cast(
-                "array<struct<name:string,size:bigint,downloadCount:bigint,contentType:string,url:string>>"))
-               .when(st == "F", F.array(asset("bundle.tar.gz", F.col("o_custkey"))))
-               .otherwise(F.array(asset("bundle.tar.gz", F.col("o_custkey")), asset("checksums.txt", F.lit(64)))))
+    st, key = F.col("o_orderstatus"), F.col("o_orderkey")
+    none = F.lit(None).cast("string")
+    asset = lambda i: F.struct(_numbered("bundle-", i).alias("name"), (F.col("o_custkey") * i).cast("long").alias("size"),
+                               F.lit(0).cast("long").alias("downloadCount"), F.lit("application/octet-stream").alias("contentType"), none.alias("url"))
+    n = F.col("o_custkey") % 31
+    empty = F.struct(F.array().cast("array<struct<name:string,size:bigint,downloadCount:bigint,contentType:string,url:string>>").alias("nodes"))
     return o.select(
-        F.col("o_orderkey").alias("databaseId"),
-        F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("tagName"),
-        F.concat(F.lit("Release "), F.col("o_orderkey").cast("string")).alias("name"),
-        F.struct(F.concat(F.lit("cust_"), F.col("o_custkey").cast("string")).alias("login"),
-                 F.lit(None).cast("string").alias("name")).alias("author"),
-        F.struct(assets.alias("nodes")).alias("releaseAssets"),
+        key.alias("databaseId"), _numbered("Release ", key).alias("name"), _numbered("v", key).alias("tagName"),
+        F.col("o_orderpriority").alias("description"), _numbered("https://example.invalid/release/", key).alias("url"),
+        F.col("o_orderdate").alias("createdAt"), F.when(key % 11 != 0, F.col("o_orderdate")).alias("publishedAt"),
+        F.col("o_orderdate").alias("updatedAt"), (key % 5 == 0).alias("isLatest"), (st == "O").alias("isPrerelease"), (st == "P").alias("isDraft"),
+        F.struct(F.concat(F.lit("cust_"), F.col("o_custkey").cast("string")).alias("login"), none.alias("name")).alias("author"),
+        F.when(n == 0, empty).otherwise(_nodes(F.greatest(n, F.lit(1)), asset)).alias("releaseAssets"),
         _cust_repo("o_custkey").alias("repo"),
     )
 

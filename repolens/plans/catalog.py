@@ -7,30 +7,60 @@ adapters in :mod:`.adapters`; :mod:`.oracle` holds the equivalent SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from . import adapters as ad
 from .gold import focus_vs_top_k, median_gap, monthly_counts
 from .silver import silver_pull_requests, silver_releases
 from .issues import clean_issues
+from .job import (BRONZE, BRONZE_TESTS, EXPORTED_MODELS, SILVER_TESTS, SOURCE_TESTS, data_tests, gold_models, run_job)
 from .legacy import enrich_pull_requests, enrich_releases, select_repositories
 from ..functions.nested import cap_nested, child_rows, field_names, nested_count, nested_to_json, topk_nested
 from ..operators.aggregates import row_count, top_k_groups
 from ..operators.filters import (allow_list, equals_folded, lacks_json_key, repository_filter, search_terms,
                                  state_filter)
-from ..operators.joins import existence_flag, fk_enrich, new_entities
-from ..operators.project import default_if_missing, flatten_struct, split_owner_name
-from ..operators.quality import TableTests, summarize
+from ..operators.joins import existence_flag, fk_enrich, new_entities, semi_join
+from ..operators.ordering import first_n
+from ..operators.project import default_if_missing, flatten_struct, split_owner_name, stamp_provenance
 from ..operators.windows import recent_n_per_key
-from ..functions.classify import CLASSES
-from ..sinks.upsert import merge_latest
+from ..functions.classify import classify_title
+from ..session import ensure_checkpoint_dir
+from ..sinks.upsert import merge_latest, read_current, upsert_parquet
+from ..sinks.writers import export_models, materialize, read_model
+from ..sources.landing import read_pages, repo_from_path
+from ..sources.tables import existing_or_empty, scan_parquet, table as catalog_table
+from ..streaming.incremental import incremental_upsert
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _PR_GOLD = dict(focus=ad.ADAPTER_FOCUS, focus_label=ad.ADAPTER_FOCUS_LABEL, k=10, member_label="top_10")
 
 
+#: (group, month, value) columns of each gold model.
+GOLD_COLUMNS = {
+    "feature_prs_monthly": (None, "month", "feature_pr_count"),
+    "feature_releases_monthly": (None, "release_month", "feature_release_count"),
+    "feature_prs_lace_vs_top10": ("repo_group", "pr_month", "feature_pr_count"),
+    "feature_releases_lace_vs_top10": ("repo_group", "release_month", "feature_release_count"),
+    "median_feature_prs_lace_vs_top10": (None, None, "median_days_between_feature_prs"),
+    "median_releases_lace_vs_top10": (None, None, "median_days_between_releases"),
+}
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new folder under the shared checkpoint folder, for what a query lands and writes on its way."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid4().hex}"
+
+
+def read_written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a table written once."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _silver_prs(spark, sf_dir):
     return silver_pull_requests(ad.pull_requests_raw(spark, sf_dir))
 
@@ -243,29 +273,20 @@ def q_null_safe_defaults(spark, sf_dir):
                        F.col("milestone.title").alias("milestone_title"))
 
 
-def q_quality_checks(spark, sf_dir):
-    """Q1-Q3: the 22 declared data tests (sources, bronze copies, silver), one failure count each."""
-    raw_pr, raw_rel = ad.pull_requests_raw(spark, sf_dir), ad.releases_raw(spark, sf_dir)
+def _raw_tables(spark, sf_dir):
     raw_repo = ad.table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.concat(F.lit("cust/"), F.col("c_name")).alias("full_name"))
-    prs, rels = silver_pull_requests(raw_pr), silver_releases(raw_rel)
-    sources = [
-        summarize(raw_pr, TableTests("pull_requests", not_null=["id", "repository_full_name"], unique=["id"])),
-        summarize(raw_rel, TableTests("releases", not_null=["id", "repository_full_name"], unique=["id"])),
-        summarize(raw_repo, TableTests("repositories", not_null=["id", "full_name"], unique=["id"])),
-    ]
-    # bronze models are full copies of their sources (SELECT *): their id tests are the sources' id tests
-    bronze = [src.where(F.col("column_name") == "id").withColumn("model", F.lit(f"stg_github_{name}"))
-              for src, name in zip(sources, ["pull_requests", "releases", "repositories"])]
-    parts = sources + bronze + [
-        summarize(prs, TableTests("stg_pull_requests", not_null=["repository", "number", "feat_classifier"],
-                                  accepted_values={"feat_classifier": list(CLASSES)})),
-        summarize(rels, TableTests("stg_releases", not_null=["repository", "tag", "row_num"])),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return {"pull_requests": ad.pull_requests_raw(spark, sf_dir), "releases": ad.releases_raw(spark, sf_dir), "repositories": raw_repo}
+
+
+def q_quality_checks(spark, sf_dir):
+    """Q1-Q3: the 22 declared data tests over sources, written bronze copies and silver, one read of each."""
+    place = scratch(spark, "bronze")
+    raw = _raw_tables(spark, sf_dir)
+    bronze = {name: read_written(raw[entity], f"{place}/{name}") for entity, name in BRONZE.items()}
+    silver = {"stg_pull_requests": silver_pull_requests(bronze["stg_github_pull_requests"]),
+              "stg_releases": silver_releases(bronze["stg_github_releases"])}
+    return data_tests({**raw, **bronze, **silver}, SOURCE_TESTS + BRONZE_TESTS + SILVER_TESTS)
 
 
 SUPPLIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -283,61 +304,188 @@ def q_row_counts(spark, sf_dir):
     return out
 
 
+def _as_json(df: DataFrame, *cols: str) -> DataFrame:
+    """Nested columns as JSON text (NULL stays NULL), which both engines write alike."""
+    return df.withColumns({c: F.to_json(c, {"ignoreNullFields": "false"}) for c in cols})
+
+
 def q_legacy_pr_enrichment(spark, sf_dir):
-    """M9: GraphQL pull requests joined to their repositories, flattened and listed."""
-    return enrich_pull_requests(ad.gql_pull_requests(spark, sf_dir), ad.gql_repositories(spark, sf_dir))
+    """M9: GraphQL pull requests joined to their repositories: every field, flattened and listed."""
+    out = enrich_pull_requests(ad.gql_pull_requests(spark, sf_dir), ad.gql_repositories(spark, sf_dir))
+    return _as_json(out, "author", "commits", "labels", "assignees", "reviewRequests", "reviews", "milestone")
 
 
 def q_legacy_release_enrichment(spark, sf_dir):
-    """GraphQL releases joined to their repositories, with asset counts."""
+    """GraphQL releases joined to their repositories: every field, asset counts and assets."""
     out = enrich_releases(ad.gql_releases(spark, sf_dir), ad.gql_repositories(spark, sf_dir))
-    return out.drop("assets_data")
+    return _as_json(out, "author", "releaseAssets", "assets_data")
+
+
+def _selection(spark, sf_dir, **how):
+    out = select_repositories(ad.gql_repositories(spark, sf_dir), ad.existing_repositories(spark, sf_dir), **how)
+    cols = ["databaseId", "nameWithOwner", "stargazerCount", "pushedAt", "repo_database_id", "topics", "languages_data"]
+    return _as_json(out.select(*cols), "languages_data")
 
 
 def q_repo_selection(spark, sf_dir):
-    """Search, filter, cap by stars, skip loaded repositories, derive topics."""
-    out = select_repositories(ad.gql_repositories(spark, sf_dir), ad.existing_repositories(spark, sf_dir),
-                              search="machinery", max_repos=100, include_archived=False, min_stars=1000)
-    return out.select("databaseId", "nameWithOwner", "stargazerCount", "repo_database_id", "topics")
+    """Search, filter, cap by stars, skip loaded repositories, derive topics and languages."""
+    return _selection(spark, sf_dir, search="machinery", max_repos=100, min_stars=1000)
+
+
+def q_repo_selection_qualifiers(spark, sf_dir):
+    """Push dates and star ranges as search qualifiers, archived repositories included, no cap."""
+    return _selection(spark, sf_dir, search="segment pushed:>=2023-03-01 pushed:<2023-12-24 stars:500..4000", include_archived=True)
+
+
+def q_repo_pushed_after(spark, sf_dir):
+    """Pushed after a date; the four largest languages of each."""
+    return _selection(spark, sf_dir, pushed_after="2023-10-01", languages_cap=4)
+
+
+def q_semi_join(spark, sf_dir):
+    """Pull requests of the ten busiest repositories (IN-subquery)."""
+    prs = _silver_prs(spark, sf_dir)
+    top = top_k_groups(equals_folded(prs, "feat_classifier", "feature"), "repository", 10)
+    return semi_join(prs.select("id", "repository"), top, "repository", small=True)
+
+
+def q_newest_first(spark, sf_dir):
+    """The 100 newest orders."""
+    o = ad.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return first_n(o, [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").desc_nulls_last()], 100)
+
+
+def _land(df: DataFrame, place: str, entity: str, repo: str = "repository_full_name") -> None:
+    """JSON Lines pages per repository, as Spark's writer lands them."""
+    (df.withColumn("repo", F.regexp_replace(repo, "/", "__"))
+       .write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").option("ignoreNullFields", "false")
+       .partitionBy("repo").mode("append").json(f"{place}/entity={entity}"))
+
+
+def _land_bad(spark, place: str, entity: str, rows: DataFrame) -> None:
+    """Bad records and one unreadable page beside the good ones: ids that are no numbers, a bare number, broken text."""
+    n = F.col("id").cast("string")
+    lines = F.concat(F.lit('{"id": "x'), n, F.lit('"}\n7\n{"id": ['), n, F.lit("]}"))
+    for repo, text in (("org__repo_1", lines), ("org__repo_2", F.concat(F.lit('[{"id": '), n, F.lit("}, {broken")))):
+        rows.select(text.alias("value"), F.lit(repo).alias("repo")).coalesce(1) \
+            .write.partitionBy("repo").mode("append").text(f"{place}/entity={entity}")
+
+
+def _read_back(df: DataFrame, times: list[str]) -> DataFrame:
+    return df.withColumns({t: F.col(t).cast("timestamp_ntz") for t in times})
+
+
+def q_landing_pull_requests(spark, sf_dir):
+    """Pull requests landed as pages among bad ones, read back record by record."""
+    place = scratch(spark, "landing")
+    raw = ad.pull_requests_raw(spark, sf_dir)
+    _land(raw, place, "pull_requests")
+    _land_bad(spark, place, "pull_requests", raw.where("id % 1000 = 0").select("id"))
+    records, _ = read_pages(spark, place, "pull_requests")
+    out = _read_back(records, ["created_at", "closed_at", "merged_at", "fetched_at"])
+    return out.select("id", "number", "title", "body", "state", F.col("user.login").alias("login"), F.col("head.ref").alias("head_ref"),
+                      nested_to_json("labels").alias("labels_json"), "additions", "created_at", "closed_at", "merged_at", "repository_full_name", "fetched_at")
+
+
+def q_landing_releases(spark, sf_dir):
+    """Releases landed among bad pages; rows read and rejected, by reason."""
+    place = scratch(spark, "landing")
+    raw = ad.releases_raw(spark, sf_dir)
+    _land(raw, place, "releases")
+    _land_bad(spark, place, "releases", raw.where("id % 500 = 0").select("id"))
+    records, rejects = read_pages(spark, place, "releases")
+    return (records.select(F.lit("record").alias("outcome"), F.col("repository_full_name").alias("repository"))
+                   .unionByName(rejects.select(F.col("_reason").alias("outcome"), repo_from_path().alias("repository")))
+                   .groupBy("outcome", "repository").agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_upsert_persisted(spark, sf_dir):
+    """Two persisted loads; the later one has fewer columns, equal and NULL stamps, and NULL keys."""
+    o = ad.table(spark, sf_dir, "orders")
+    table = f"{scratch(spark, 'upsert')}/orders"
+    first = o.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").alias("fetched_at"))
+    second = o.where("o_orderkey % 3 = 0").select(
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("id"), (F.col("o_totalprice") * 2).alias("price"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate")).alias("fetched_at"))
+    for load in (first, second):
+        upsert_parquet(spark, table, load, ["id"], ["fetched_at"])
+    return read_current(spark, table)
+
+
+def q_incremental_releases(spark, sf_dir):
+    """Releases landed in two drops, each drained by the stream into the table."""
+    place = scratch(spark, "stream")
+    raw = ad.releases_raw(spark, sf_dir)
+    for part in (F.col("prerelease"), ~F.col("prerelease")):
+        _land(raw.where(part), f"{place}/landing", "releases")
+        incremental_upsert(spark, f"{place}/landing", "releases", f"{place}/table", f"{place}/checkpoint").awaitTermination()
+    out = _read_back(read_current(spark, f"{place}/table"), ["published_at", "fetched_at"])
+    return out.select("id", "tag_name", "published_at", "repository_full_name", "fetched_at")
+
+
+def q_exported_models(spark, sf_dir):
+    """Silver releases materialised, exported and read back."""
+    place = scratch(spark, "export")
+    materialize(_silver_rel(spark, sf_dir), path=f"{place}/stg_releases")
+    report = export_models(spark, {"stg_releases": lambda: read_model(spark, f"{place}/stg_releases"), "absent": "repolens_no_such_table"}, place)
+    back = spark.read.parquet(f"{place}/stg_releases.parquet")
+    return back.select("id", "repository", "tag", "published_at", F.lit(report["stg_releases"]).cast("long").alias("rows_reported"), F.lit(str(report["absent"])).alias("absent"))
+
+
+def q_job_tables(spark, sf_dir):
+    """The full job over landed pages; its six gold tables as one (model, repository, grp, month, value)."""
+    place = scratch(spark, "job")
+    raw = _raw_tables(spark, sf_dir)
+    _land(raw["pull_requests"], f"{place}/landing", "pull_requests")
+    _land(raw["releases"], f"{place}/landing", "releases")
+    _land(raw["repositories"], f"{place}/landing", "repositories", "full_name")
+    done = run_job(spark, f"{place}/landing", f"{place}/warehouse", **_PR_GOLD)
+    if odd := {k: v for k, v in done["gold"].items() if not isinstance(v, int)}:
+        raise RuntimeError(str(odd))
+    out = None
+    for model, (group, month, value) in GOLD_COLUMNS.items():
+        m = read_model(spark, f"{place}/warehouse/gold/{model}")
+        null = lambda t: F.lit(None).cast(t)
+        part = m.select(F.lit(model).alias("model"), "repository", (F.col(group) if group else null("string")).alias("grp"),
+                        (F.col(month) if month else null("timestamp_ntz")).alias("month"), F.col(value).cast("double").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_issue_cleaning(spark, sf_dir):
     """Drop pull requests listed as issues (key presence), cap 5 per repository, dedup by id."""
     recs = lacks_json_key(ad.issue_records(spark, sf_dir), "record", "pull_request")
-    issues = recs.select(F.get_json_object("record", "$.id").cast("long").alias("id"),
-                         F.get_json_object("record", "$.title").alias("title"),
-                         "repository_full_name", "updated_at", "fetched_at", F.lit("open").alias("state"))
+    issues = recs.select(F.from_json("record", "id long, title string").alias("r"), "repository_full_name", "updated_at", "fetched_at") \
+                 .select("r.*", "repository_full_name", "updated_at", "fetched_at", F.lit("open").alias("state"))
     return clean_issues(issues, state="all", max_per_repo=5).select(
         "id", "repository_full_name", "title", "updated_at")
 
 
 def q_classify_documents(spark, sf_dir):
     """F1-F3 on real text: the rule chain over each document's whole text (every row, every character)."""
-    from ..functions.classify import classify_title
     docs = ad.table(spark, sf_dir, "documents")
     return docs.select("doc_id", "lang", classify_title("text").alias("feat_classifier"))
 
 
 def q_bronze_copy(spark, sf_dir):
-    """S3 + S4: a projected parquet scan registered as the raw source, read back as a bronze copy."""
-    from ..sources.tables import scan_parquet, table as catalog_table
-    scan_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet",
-                 ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]).createOrReplaceTempView(
-        "repolens_raw_orders")
+    """S3 + S4: a parquet scan registered as the raw source, read back as a full bronze copy."""
+    scan_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet").createOrReplaceTempView("repolens_raw_orders")
     return catalog_table(spark, "repolens_raw_orders")
 
 
+def q_projected_scan(spark, sf_dir):
+    """S3: a parquet scan with a projection."""
+    return scan_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+
+
 def q_existing_lookup(spark, sf_dir):
     """The first available source of stored repositories (a missing table is skipped)."""
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
-    from ..sources.tables import existing_or_empty
     schema = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType())])
     return existing_or_empty(spark, ["repolens_no_such_table", f"{sf_dir.rstrip('/')}/customer.parquet"], schema)
 
 
 def q_stamp_provenance(spark, sf_dir):
     """Stamp repository and fetch time from the landing unless the record carries them."""
-    from ..operators.project import stamp_provenance
     o = ad.table(spark, sf_dir, "orders")
     recs = o.select("o_orderkey",
                     F.when(F.col("o_orderstatus") == "F", ad._cust_repo("o_custkey")).alias("repository_full_name"),
@@ -348,10 +496,12 @@ def q_stamp_provenance(spark, sf_dir):
 
 
 def q_model_row_counts(spark, sf_dir):
-    """M13 (without the writes): silver + gold models over the adapters, rows per exported model."""
-    from .job import EXPORTED_MODELS, all_models
-    models = all_models(ad.pull_requests_raw(spark, sf_dir), ad.releases_raw(spark, sf_dir), **_PR_GOLD)
-    parts = [row_count(models[m], m, name_col="model") for m in EXPORTED_MODELS]
+    """M13 without the landing: silver written once, gold models over it, rows per exported model."""
+    place = scratch(spark, "models")
+    silver = {"stg_pull_requests": read_written(_silver_prs(spark, sf_dir), f"{place}/stg_pull_requests"),
+              "stg_releases": read_written(_silver_rel(spark, sf_dir), f"{place}/stg_releases")}
+    models = {m: (lambda m=m: silver[m]) for m in silver} | gold_models(silver["stg_pull_requests"], silver["stg_releases"], **_PR_GOLD)
+    parts = [row_count(models[m](), m, name_col="model") for m in EXPORTED_MODELS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -392,6 +542,17 @@ QUERIES: dict[str, QueryFn] = {
     "legacy_pr_enrichment": q_legacy_pr_enrichment,
     "legacy_release_enrichment": q_legacy_release_enrichment,
     "repo_selection": q_repo_selection,
+    "repo_selection_qualifiers": q_repo_selection_qualifiers,
+    "repo_pushed_after": q_repo_pushed_after,
+    "semi_join": q_semi_join,
+    "newest_first": q_newest_first,
+    "landing_pull_requests": q_landing_pull_requests,
+    "landing_releases": q_landing_releases,
+    "upsert_persisted": q_upsert_persisted,
+    "incremental_releases": q_incremental_releases,
+    "exported_models": q_exported_models,
+    "job_tables": q_job_tables,
+    "projected_scan": q_projected_scan,
     "issue_cleaning": q_issue_cleaning,
     "model_row_counts": q_model_row_counts,
     "classify_documents": q_classify_documents,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import round_half_away
 from ..functions.timefmt import days_between, month_start, to_timestamp_strict
-from ..operators.aggregates import approx_quantile_by, count_by, exact_quantile_by, top_k_groups
+from ..operators.aggregates import approx_quantile_by, count_by, exact_quantile_by
 from ..operators.filters import equals_folded
 from ..operators.joins import apply_cohort, cohort
 from ..operators.ordering import asc
@@ -30,11 +30,16 @@ FEATURE_CLASS = "feature"
 
 
 def _base(df: DataFrame, key: str, ts_col: str, class_col: str | None, class_value: str | None,
-          carry: list[str] | None = None) -> DataFrame:
+          carry: str | None = None) -> DataFrame:
     if class_col is not None:
         df = equals_folded(df, class_col, class_value or FEATURE_CLASS)
-    extra = [c for c in (carry or []) if c in df.columns]
-    return df.select(key, to_timestamp_strict(ts_col).alias(ts_col), *extra)
+    return df.select(key, to_timestamp_strict(ts_col).alias(ts_col), *([carry] if carry in df.columns else []))
+
+
+def _approx_median(rows: DataFrame, key: str, ts_col: str, id_col: str, accuracy: int) -> DataFrame:
+    ranked = lag_within(rows, [key], ts_col, out="_prev", bounded_keys=True, tiebreak=[id_col] if id_col in rows.columns else [])
+    gaps = ranked.where(F.col("_prev").isNotNull()).select(key, days_between(ts_col, "_prev").alias("_days"))
+    return approx_quantile_by(gaps, [key], "_days", 0.5, out="_median", accuracy=accuracy)
 
 
 def monthly_counts(df: DataFrame, key: str = "repository", ts_col: str = "closed_at",
@@ -49,10 +54,6 @@ def monthly_counts(df: DataFrame, key: str = "repository", ts_col: str = "closed
     return out
 
 
-def _members(base: DataFrame, key: str, k: int, focus: str | None, focus_label: str, member_label: str):
-    return cohort(top_k_groups(base, key, k), key, focus, focus_label, member_label)
-
-
 def focus_vs_top_k(df: DataFrame, key: str = "repository", ts_col: str = "closed_at",
                    month_col: str = "pr_month", count_col: str = "feature_pr_count",
                    group_col: str = "repo_group", class_col: str | None = "feat_classifier",
@@ -93,23 +94,27 @@ def median_gap(df: DataFrame, key: str = "repository", ts_col: str = "closed_at"
     one still forms a pair whose gap is NULL; a key whose gaps are all NULL
     keeps a row with a NULL median, a key with a single row has none.
 
-    The record id (``id_col``, when present) rides along as a tie-break so that
-    a hot run of equal timestamps or equal gaps still splits across tasks.
-    ``approx_accuracy`` (opt-in) replaces the exact median with ``percentile_approx``:
-    no second range sort, rank error at most n / accuracy.
+    Runs of equal times and of equal gaps are counted, not carried, so copies cost
+    one row. ``approx_accuracy`` (opt-in) replaces the exact median with a sketch
+    over all gaps (rank error at most n / accuracy); it reads the rows once more,
+    and the record id (``id_col``) splits runs of equal times there.
     """
-    base = _base(df, key, ts_col, class_col, class_value, carry=[id_col])
-    tb = [id_col] if id_col in base.columns else []
-    members = _members(base, key, k, focus, focus_label, member_label)
-    kept = apply_cohort(base, members, key)
-    ranked = lag_within(kept, [key], ts_col, out="_prev", bounded_keys=True, tiebreak=tb)
-    intervals = (ranked.where(F.col("_prev").isNotNull())
-                       .select(key, days_between(ts_col, "_prev").alias("_days"), *tb))
+    # One read of the rows: counts of equal (key, time), combined map-side. The ranking sums them and the
+    # gaps come from the same checkpointed table; a time that n rows share has n - 1 gaps of nothing.
+    ensure_checkpoint_dir(df.sparkSession)
+    base = _base(df, key, ts_col, class_col, class_value)
+    times = count_by(base, [key, ts_col], "_n").checkpoint(eager=True)
+    top = times.groupBy(key).agg(F.sum("_n").alias("_n")).orderBy(F.col("_n").desc(), F.col(key).asc_nulls_last()).limit(k)
+    members = cohort(top, key, focus, focus_label, member_label)
     if approx_accuracy:
-        med = approx_quantile_by(intervals, [key], "_days", 0.5, out="_median", accuracy=approx_accuracy)
-    else:
-        med = exact_quantile_by(intervals, [key], "_days", 0.5, out="_median", bounded_keys=True,
-                                keep_empty_keys=True, tiebreak=tb)
+        med = _approx_median(apply_cohort(_base(df, key, ts_col, class_col, class_value, id_col), members, key),
+                             key, ts_col, id_col, approx_accuracy)
+        return med.select(key, round_half_away("_median", digits).alias(out_col))
+    ranked = lag_within(apply_cohort(times, members, key), [key], ts_col, out="_prev", bounded_keys=True)
+    moved = ranked.where(F.col("_prev").isNotNull()).select(key, days_between(ts_col, "_prev").alias("_days"), F.lit(1).cast("long").alias("_n"))
+    still = ranked.where(F.col(ts_col).isNotNull() & (F.col("_n") > 1)).select(key, F.lit(0.0).alias("_days"), F.col("_n") - 1)
+    gaps = moved.union(still).groupBy(key, "_days").agg(F.sum("_n").alias("_n"))
+    med = exact_quantile_by(gaps, [key], "_days", 0.5, out="_median", bounded_keys=True, keep_empty_keys=True, weight="_n")
     out = med.select(key, round_half_away("_median", digits).alias(out_col))
     if order:
         out = out.orderBy(asc(out_col))

@@ -1,14 +1,15 @@
-"""The full job - landed pages -> raw (cap, upsert) -> silver -> gold -> checks -> export.
+"""The full job - landed pages -> raw (cap, upsert) -> bronze -> silver -> gold -> checks -> export.
 
-Each model is materialised (full replace) and the next layer reads the
-written table back, as the reference's model runner does: the lineage is cut
-at every layer, so a lost executor only recomputes from the last written
-table, and the silver tables are scanned once per gold model with column
-pruning instead of recomputing classification and dedup.
+Each model is materialised as a new version of its folder and the next layer reads the written rows back:
+the lineage is cut at every layer, so a lost executor only recomputes from the last written table, and the
+silver tables are scanned once per gold model with column pruning instead of recomputing classification
+and dedup. A failing gold model is reported and the others go on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,8 +20,9 @@ from ..sinks.writers import export_models, materialize
 from ..operators.filters import allow_list, state_filter
 from ..operators.windows import recent_n_per_key
 from ..sources.landing import read_issue_pages, read_pages
+from ..sources.tables import is_missing
 from .issues import clean_issues
-from ..schemas import REST_PULL_REQUEST, REST_RELEASE
+from ..schemas import ENTITY_SCHEMAS
 from .gold import (DEFAULT_FOCUS, DEFAULT_FOCUS_LABEL, DEFAULT_K, DEFAULT_MEMBER_LABEL, focus_vs_top_k,
                    median_gap, monthly_counts)
 from .silver import silver_pull_requests, silver_releases
@@ -29,37 +31,48 @@ from .silver import silver_pull_requests, silver_releases
 EXPORTED_MODELS = ["stg_pull_requests", "stg_releases", "feature_prs_monthly", "feature_releases_monthly",
                    "feature_prs_lace_vs_top10", "feature_releases_lace_vs_top10",
                    "median_feature_prs_lace_vs_top10", "median_releases_lace_vs_top10"]
+#: Raw tables that have a bronze copy, and its name.
+BRONZE = {"pull_requests": "stg_github_pull_requests", "releases": "stg_github_releases",
+          "repositories": "stg_github_repositories"}
+RAW_JSON = "_raw"
+
+#: The declared data tests of every layer (Q1-Q3).
+SOURCE_TESTS = [TableTests("pull_requests", not_null=["id", "repository_full_name"], unique=["id"]),
+                TableTests("releases", not_null=["id", "repository_full_name"], unique=["id"]),
+                TableTests("repositories", not_null=["id", "full_name"], unique=["id"])]
+BRONZE_TESTS = [TableTests(BRONZE[name], not_null=["id"], unique=["id"]) for name in BRONZE]
+SILVER_TESTS = [TableTests("stg_pull_requests", not_null=["repository", "number", "feat_classifier"],
+                           accepted_values={"feat_classifier": list(CLASSES)}),
+                TableTests("stg_releases", not_null=["repository", "tag", "row_num"])]
 
 
 def gold_models(prs: DataFrame, rels: DataFrame, focus: str | None = DEFAULT_FOCUS,
                 focus_label: str = DEFAULT_FOCUS_LABEL, k: int = DEFAULT_K,
-                member_label: str = DEFAULT_MEMBER_LABEL) -> dict[str, DataFrame]:
-    """The six gold models over silver PRs and releases (no final sort: they are tables)."""
+                member_label: str = DEFAULT_MEMBER_LABEL) -> dict[str, Callable[[], DataFrame]]:
+    """The six gold models over silver PRs and releases (no final sort: they are tables).
+
+    Each is a function, as some run jobs (checkpoints) while they are planned.
+    """
     g = dict(focus=focus, focus_label=focus_label, k=k, member_label=member_label)
     rel = dict(ts_col="published_at", class_col=None)
+    month = dict(month_col="release_month", count_col="feature_release_count")
     return {
-        "feature_prs_monthly": monthly_counts(prs),
-        "feature_releases_monthly": monthly_counts(rels, month_col="release_month",
-                                                   count_col="feature_release_count", **rel),
-        "feature_prs_lace_vs_top10": focus_vs_top_k(prs, **g),
-        "feature_releases_lace_vs_top10": focus_vs_top_k(rels, month_col="release_month",
-                                                         count_col="feature_release_count", **rel, **g),
-        "median_feature_prs_lace_vs_top10": median_gap(prs, **g),
-        "median_releases_lace_vs_top10": median_gap(rels, out_col="median_days_between_releases", **rel, **g),
+        "feature_prs_monthly": lambda: monthly_counts(prs),
+        "feature_releases_monthly": lambda: monthly_counts(rels, **month, **rel),
+        "feature_prs_lace_vs_top10": lambda: focus_vs_top_k(prs, **g),
+        "feature_releases_lace_vs_top10": lambda: focus_vs_top_k(rels, **month, **rel, **g),
+        "median_feature_prs_lace_vs_top10": lambda: median_gap(prs, **g),
+        "median_releases_lace_vs_top10": lambda: median_gap(rels, out_col="median_days_between_releases", **rel, **g),
     }
 
 
-def all_models(raw_prs: DataFrame, raw_releases: DataFrame, **gold_kw) -> dict[str, DataFrame]:
-    """Silver + gold as lazy DataFrames (the gold ones read silver lazily)."""
-    prs, rels = silver_pull_requests(raw_prs), silver_releases(raw_releases)
-    return {"stg_pull_requests": prs, "stg_releases": rels, **gold_models(prs, rels, **gold_kw)}
-
-
-def model_checks(prs: DataFrame, rels: DataFrame) -> DataFrame:
-    """The declared data tests of the silver layer (Q1-Q3)."""
-    return summarize(prs, TableTests("stg_pull_requests", not_null=["repository", "number", "feat_classifier"],
-                                     accepted_values={"feat_classifier": list(CLASSES)})) \
-        .unionByName(summarize(rels, TableTests("stg_releases", not_null=["repository", "tag", "row_num"])))
+def data_tests(tables: dict[str, DataFrame], tests: list[TableTests]) -> DataFrame:
+    """One row per declared test of the given tables (by model name): each table is read once."""
+    out = None
+    for t in tests:
+        part = summarize(tables[t.model], t)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def cap_per_repository(df: DataFrame, n: int | None, newest_first: list[str],
@@ -69,54 +82,67 @@ def cap_per_repository(df: DataFrame, n: int | None, newest_first: list[str],
     return recent_n_per_key(df, [repo_col], order, n, rank_col=None)
 
 
+def _layer(df: DataFrame, path: str, **how) -> DataFrame:
+    """The model as written; an empty one keeps its columns."""
+    return df.sparkSession.read.schema(df.schema).parquet(materialize(df, path=path, **how))
+
+
 def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str | None = None,
             repos: list[str] | None = None, state: str = "all", max_prs_per_repo: int | None = None,
             max_releases_per_repo: int | None = None, max_issues_per_repo: int | None = None,
             **gold_kw) -> dict:
-    """Run every layer; returns rows per raw table, check failures and the export report.
+    """Run every layer; returns rows and rejects per raw table, check failures, gold and export reports.
 
-    ``repos`` is the repository allow-list (P11); ``state`` filters pull
-    requests and issues (P7); the caps keep the most recently updated pull
-    requests and issues and the newest releases per repository (W3).
+    ``repos`` is the repository allow-list (P11); ``state`` filters pull requests and issues (P7); the caps
+    keep the most recently updated pull requests and issues and the newest releases per repository (W3).
+    Raw tables keep each record's JSON text beside the typed columns. An entity for which nothing landed
+    keeps what is stored, and is empty at first.
     """
     root = warehouse.rstrip("/")
     loads = {
-        "pull_requests": lambda: cap_per_repository(
-            state_filter(read_pages(spark, landing, "pull_requests", repos=repos)[0], state), max_prs_per_repo,
-            ["updated_at"]),
-        "releases": lambda: cap_per_repository(
-            read_pages(spark, landing, "releases", repos=repos)[0], max_releases_per_repo, ["created_at"]),
-        "issues": lambda: clean_issues(read_issue_pages(spark, landing, repos=repos)[0], state,
-                                       max_issues_per_repo),
+        "repositories": (lambda: read_pages(spark, landing, "repositories", repos=repos, raw_col=RAW_JSON),
+                         lambda df: allow_list(df, "full_name", repos)),
+        "pull_requests": (lambda: read_pages(spark, landing, "pull_requests", repos=repos, raw_col=RAW_JSON),
+                          lambda df: cap_per_repository(state_filter(allow_list(df, "repository_full_name", repos), state), max_prs_per_repo, ["updated_at"])),
+        "releases": (lambda: read_pages(spark, landing, "releases", repos=repos, raw_col=RAW_JSON),
+                     lambda df: cap_per_repository(allow_list(df, "repository_full_name", repos), max_releases_per_repo, ["created_at"])),
+        "issues": (lambda: read_issue_pages(spark, landing, repos=repos, raw_col=RAW_JSON),
+                   lambda df: clean_issues(allow_list(df, "repository_full_name", repos), state, max_issues_per_repo)),
     }
-    raw_rows = {}
-    for entity, load in loads.items():
+    raw, raw_rows, raw_rejects = {}, {}, {}
+    for entity, (read, shape) in loads.items():
+        table = f"{root}/raw/{entity}"
         try:
-            pages = allow_list(load(), "repository_full_name", repos).drop("_source_file")
-        except AnalysisException:  # nothing landed for this entity: keep what is stored
-            pages = None
-        if pages is not None:
-            raw_rows[entity] = upsert_parquet(spark, f"{root}/raw/{entity}", pages, ["id"], ["fetched_at"]).rows
-        else:                      # nothing landed: report what is stored
-            current = read_current(spark, f"{root}/raw/{entity}")
-            raw_rows[entity] = current.count() if current is not None else 0
-    raw_prs = read_current(spark, f"{root}/raw/pull_requests", REST_PULL_REQUEST)
-    raw_rel = read_current(spark, f"{root}/raw/releases", REST_RELEASE)
+            records, rejects = read()
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
+        else:
+            done = upsert_parquet(spark, table, shape(records).drop("_source_file"), ["id"], ["fetched_at"])
+            raw_rejects[entity] = _layer(rejects, f"{root}/rejects/{entity}").count() + done.rejected
+        raw[entity] = read_current(spark, table)
+        if raw[entity] is None:
+            raw[entity] = spark.createDataFrame([], ENTITY_SCHEMAS[entity])
+        raw_rows[entity] = raw[entity].count()
+    bronze = {name: _layer(raw[entity], f"{root}/bronze/{name}") for entity, name in BRONZE.items()}
     # partitioned by class (a fixed six-value vocabulary): the gold PR models' class filter becomes
     # partition pruning, so they read only the feature folder
-    materialize(silver_pull_requests(raw_prs), path=f"{root}/silver/stg_pull_requests",
-                partition_by=["feat_classifier"])
-    materialize(silver_releases(raw_rel), path=f"{root}/silver/stg_releases")
-    prs = spark.read.parquet(f"{root}/silver/stg_pull_requests")
-    rels = spark.read.parquet(f"{root}/silver/stg_releases")
-    for name, df in gold_models(prs, rels, **gold_kw).items():
-        materialize(df, path=f"{root}/gold/{name}")
-    materialize(model_checks(prs, rels), path=f"{root}/checks")      # the data-test results, kept per run
-    checks = {(r["model"], r["test"], r["column_name"]): r["failures"]
-              for r in spark.read.parquet(f"{root}/checks").collect()}    # 7 rows
+    silver = {
+        "stg_pull_requests": _layer(silver_pull_requests(bronze["stg_github_pull_requests"]),
+                                    f"{root}/silver/stg_pull_requests", partition_by=["feat_classifier"]),
+        "stg_releases": _layer(silver_releases(bronze["stg_github_releases"]), f"{root}/silver/stg_releases"),
+    }
+    models, gold = dict(silver), {}
+    for name, build in gold_models(silver["stg_pull_requests"], silver["stg_releases"], **gold_kw).items():
+        try:
+            models[name] = _layer(build(), f"{root}/gold/{name}")
+            gold[name] = models[name].count()
+        except Exception as e:  # noqa: BLE001 - one model must not stop the others
+            gold[name] = f"error: {type(e).__name__}: {e}"
+    tests = data_tests({**raw, **bronze, **silver}, SOURCE_TESTS + BRONZE_TESTS + SILVER_TESTS)
+    results = _layer(tests, f"{root}/checks")
+    checks = {(r["model"], r["test"], r["column_name"]): r["failures"] for r in results.collect()}    # 22 rows
     report = {}
     if export_dir:
-        layer = {m: ("silver" if m.startswith("stg_") else "gold") for m in EXPORTED_MODELS}
-        report = export_models(spark, {m: (lambda m=m: spark.read.parquet(f"{root}/{layer[m]}/{m}"))
-                                       for m in EXPORTED_MODELS}, export_dir)
-    return {"raw_rows": raw_rows, "checks": checks, "export": report}
+        report = export_models(spark, {m: (lambda m=m: models[m]) for m in EXPORTED_MODELS if m in models}, export_dir)
+    return {"raw_rows": raw_rows, "rejects": raw_rejects, "checks": checks, "gold": gold, "export": report}

@@ -1,14 +1,17 @@
 """SQL twins of the registered queries, runnable by DuckDB on the supplied tables.
 
-The CTEs mirror the adapters in :mod:`.adapters` expression for expression;
-the model SQL follows the reference's models, with the two deterministic
-tie-breaks this engine documents (``repository`` for the top-k rank, ``id
-DESC`` for the release dedup).
+The CTEs over the supplied tables mirror the adapters in :mod:`.adapters`. The models are stated from their
+semantics (survey, section 2), not from the engine: the title rules as a table of ranked words, the release
+dedup as "no later row exists", ranks as the number of keys ahead, the median by explicit positions.
+Column names are fixed: they must equal the engine's.
 """
 
 from __future__ import annotations
 
-from ..functions.classify import FALLBACK_CLASS, TITLE_RULES
+
+def _with(ctes: str, body: str) -> str:
+    return f"WITH {ctes.strip()}\n{body}"
+
 
 PR_RAW = """
 pr_raw AS (
@@ -38,26 +41,6 @@ pr_raw AS (
     ts AS fetched_at
   FROM events)"""
 
-def _class_case(col: str) -> str:
-    """The title rule chain as SQL, generated from the same rule list the engine uses."""
-    arms = []
-    for label, words in TITLE_RULES:
-        hit = " OR ".join(f"contains(lower({col}), '{w}')" for w in words)
-        arms.append(f"WHEN {hit} THEN '{label}'")
-    return "CASE " + " ".join(arms) + f" ELSE '{FALLBACK_CLASS}' END"
-
-
-STG_PULL_REQUESTS = PR_RAW + f""",
-stg_pull_requests AS (
-  SELECT repository_full_name AS repository, id, number, title, body AS description, state,
-    additions, deletions, changed_files, commits,
-    "user".login AS author, base.ref AS base_branch, head.ref AS head_branch,
-    coalesce(CAST(to_json(labels) AS VARCHAR), '[]') AS labels_json,
-    coalesce(list_transform(labels, lambda lab: lab.name), []::VARCHAR[]) AS labels_list,
-    html_url AS url, created_at, closed_at, merged_at, fetched_at,
-    {_class_case("title")} AS feat_classifier
-  FROM pr_raw)"""
-
 REL_RAW = """
 rel_raw AS (
   SELECT o_orderkey AS id,
@@ -74,83 +57,115 @@ rel_raw AS (
     o_orderdate AS fetched_at
   FROM orders)"""
 
-STG_RELEASES = REL_RAW + """,
-stg_releases AS (
-  SELECT repository_full_name AS repository, id, name AS release_name, tag_name AS tag,
-    author.login AS release_author, published_at, created_at, updated_at, html_url AS release_url,
-    body, draft AS is_draft, prerelease AS is_prerelease, fetched_at, CAST(1 AS BIGINT) AS row_num
-  FROM rel_raw
-  WHERE published_at IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY repository_full_name, tag_name
-                             ORDER BY published_at DESC, id DESC) = 1)"""
-
-FOCUS = "'org/repo_3'"
-FOCUS_LABEL = "'repo_3'"
-
-
-def _with(ctes: str, body: str) -> str:
-    return f"WITH {ctes.strip()}\n{body}"
-
-
-def _cohort(stg: str, ts: str, feature: bool) -> str:
-    """rows of the model, the ten busiest repositories (ties: smaller name), and the labelled cohort."""
-    keep = "WHERE lower(feat_classifier) = 'feature'" if feature else ""
-    return f""",
-rows_in AS (SELECT repository, CAST({ts} AS TIMESTAMP) AS t FROM {stg} {keep}),
-busiest AS (SELECT repository, count(*) AS n FROM rows_in GROUP BY repository
-            ORDER BY n DESC, repository NULLS LAST LIMIT 10),
-cohort AS (
-  SELECT repository, 'top_10' AS repo_group FROM busiest
-  WHERE repository IS NOT NULL AND repository <> {FOCUS}
-  UNION ALL SELECT {FOCUS}, {FOCUS_LABEL})"""
-
-
-def _focus_vs_topk(stg: str, ts: str, month: str, cnt: str, feature: bool, order: str) -> str:
-    return _cohort(stg, ts, feature) + f"""
-SELECT r.repository, c.repo_group, CAST(date_trunc('month', r.t) AS TIMESTAMP) AS {month}, count(*) AS {cnt}
-FROM rows_in r JOIN cohort c ON r.repository = c.repository
-GROUP BY ALL ORDER BY {order}"""
-
-
-def _median_gap(stg: str, ts: str, out: str, feature: bool) -> str:
-    return _cohort(stg, ts, feature) + f""",
-seq AS (
-  SELECT r.repository, r.t, lag(r.t) OVER (PARTITION BY r.repository ORDER BY r.t NULLS LAST) AS t_prev
-  FROM rows_in r JOIN cohort c ON r.repository = c.repository)
-SELECT repository, round(median((epoch(t) - epoch(t_prev)) / 86400.0), 2) AS {out}
-FROM seq WHERE t_prev IS NOT NULL GROUP BY repository ORDER BY {out} NULLS LAST"""
+# The title rules, as (rank, word, class); the lowest rank among the words a title holds decides.
+RULES = """
+rules(rank, word, class) AS (VALUES
+  (1, 'fix', 'bug fix'), (1, 'bug', 'bug fix'),
+  (2, 'feat', 'feature'), (2, 'add', 'feature'), (2, 'implement', 'feature'),
+  (3, 'refactor', 'refactor'), (3, 'clean', 'refactor'),
+  (4, 'test', 'test'),
+  (5, 'doc', 'documentation')),
+classes AS (SELECT DISTINCT rank, class FROM rules)"""
+
+
+def _classified(table: str, key: str, text: str) -> str:
+    """(key, class) of every row of a table."""
+    return f"""
+hits AS (SELECT t.{key} AS key, min(rank) AS rank FROM {table} t, rules WHERE instr(lower(t.{text}), word) > 0 GROUP BY 1),
+labelled AS (SELECT t.{key} AS key, ifnull(class, 'not clear') AS class
+             FROM {table} t LEFT JOIN hits ON hits.key = t.{key} LEFT JOIN classes USING (rank))"""
+
+
+SILVER_PRS = PR_RAW + "," + RULES + "," + _classified("pr_raw", "id", "title") + """,
+silver_prs AS (
+  SELECT repository_full_name AS repository, id, number, title, body AS description, state, additions, deletions,
+    changed_files, commits, "user"['login'] AS author, base['ref'] AS base_branch, head['ref'] AS head_branch,
+    '[' || ifnull(array_to_string([CAST(json_object('name', x.name) AS VARCHAR) FOR x IN labels], ','), '') || ']' AS labels_json,
+    ifnull([x.name FOR x IN labels], CAST([] AS VARCHAR[])) AS labels_list,
+    html_url AS url, created_at, closed_at, merged_at, fetched_at, class AS feat_classifier
+  FROM pr_raw JOIN labelled ON labelled.key = pr_raw.id)"""
+
+SILVER_RELEASES = REL_RAW + """,
+published AS (SELECT * FROM rel_raw WHERE published_at IS NOT NULL),
+silver_releases AS (
+  SELECT one.repository_full_name AS repository, one.id, one.name AS release_name, one.tag_name AS tag,
+    one.author['login'] AS release_author, one.published_at, one.created_at, one.updated_at,
+    one.html_url AS release_url, one.body, one.draft AS is_draft, one.prerelease AS is_prerelease, one.fetched_at,
+    CAST(1 AS BIGINT) AS row_num
+  FROM published one
+  WHERE NOT EXISTS (
+    FROM published later
+    WHERE later.repository_full_name = one.repository_full_name AND later.tag_name = one.tag_name
+      AND (later.published_at, later.id) > (one.published_at, one.id)))"""
+
+FOCUS, FOCUS_LABEL = "'org/repo_3'", "'repo_3'"
+#: (rows of a model, its time column, its filter)
+PRS = (SILVER_PRS, "silver_prs", "closed_at", "feat_classifier ILIKE 'feature'")
+RELEASES = (SILVER_RELEASES, "silver_releases", "published_at", "true")
+
+
+def _stamped(model: tuple) -> str:
+    """stamped: (repository, t, month) of a model's rows."""
+    ctes, table, time, keep = model
+    return ctes + f""",
+stamped AS (SELECT repository, CAST({time} AS TIMESTAMP) AS t,
+                   CAST(make_date(year({time}), month({time}), 1) AS TIMESTAMP) AS month FROM {table} WHERE {keep})"""
+
+
+_MONTHLY = """
+SELECT repository, month AS {month}, count(*) AS {count} FROM stamped GROUP BY repository, month"""
+
+
+def _members(model: tuple) -> str:
+    """members: (repository, grp) of the focus and of those that fewer than ten repositories are ahead of."""
+    return _stamped(model) + f""",
+sizes AS (SELECT repository, count(*) AS n FROM stamped GROUP BY repository),
+placed AS (SELECT s.repository, count(o.repository) AS ahead
+           FROM sizes s LEFT JOIN sizes o ON o.n > s.n OR (o.n = s.n AND o.repository < s.repository) GROUP BY s.repository),
+flags AS (SELECT repository, repository = {FOCUS} AS focus, ahead < 10 AS top FROM placed),
+members AS (SELECT repository, if(focus, {FOCUS_LABEL}, 'top_10') AS grp FROM flags WHERE focus OR top)"""
+
+
+def _by_group(model: tuple, month: str, count: str) -> str:
+    return _with(_members(model), f"""
+SELECT repository, grp AS repo_group, month AS {month}, count(*) AS {count}
+FROM stamped NATURAL JOIN members GROUP BY repository, grp, month""")
+
+
+def _median_days(model: tuple, out: str) -> str:
+    """Days between neighbours in time (a missing time comes last), the middle one or the mean of the middle two."""
+    return _with(_members(model), f"""
+, numbered AS (SELECT repository, t, row_number() OVER (PARTITION BY repository ORDER BY t IS NULL, t) AS i
+             FROM stamped WHERE repository IN (SELECT repository FROM members)),
+steps AS (SELECT a.repository, (epoch(b.t) - epoch(a.t)) / 86400.0 AS days
+          FROM numbered a JOIN numbered b ON a.repository = b.repository AND b.i - a.i = 1 WHERE a.t IS NOT NULL),
+sorted AS (SELECT repository, list(days ORDER BY days) FILTER (days IS NOT NULL) AS d FROM steps GROUP BY repository)
+SELECT repository, round((d[(len(d) + 1) // 2] + d[len(d) // 2 + 1]) / 2, 2) AS {out} FROM sorted""")
 
 
 SQL: dict[str, str] = {
-    "classify_titles": _with(STG_PULL_REQUESTS, "SELECT id, repository, title, feat_classifier FROM stg_pull_requests"),
-    "silver_pull_requests": _with(STG_PULL_REQUESTS, "SELECT * FROM stg_pull_requests"),
-    "dedup_latest_release": _with(STG_RELEASES, "SELECT * FROM stg_releases"),
-    "monthly_counts": _with(STG_PULL_REQUESTS, """
-SELECT repository, CAST(date_trunc('month', CAST(closed_at AS TIMESTAMP)) AS TIMESTAMP) AS month,
-       count(*) AS feature_pr_count
-FROM stg_pull_requests WHERE lower(feat_classifier) = 'feature'
-GROUP BY ALL ORDER BY repository NULLS LAST, month NULLS LAST"""),
-    "monthly_releases": _with(STG_RELEASES, """
-SELECT repository, CAST(date_trunc('month', CAST(published_at AS TIMESTAMP)) AS TIMESTAMP) AS release_month,
-       count(*) AS feature_release_count
-FROM stg_releases GROUP BY ALL ORDER BY release_month NULLS LAST, repository NULLS LAST"""),
-    "topk_groups": _with(STG_PULL_REQUESTS, """
-SELECT repository, count(*) AS feature_pr_count FROM stg_pull_requests
-WHERE lower(feat_classifier) = 'feature' GROUP BY 1 ORDER BY count(*) DESC, repository LIMIT 10"""),
-    "focus_vs_topk_prs": _with(STG_PULL_REQUESTS + _focus_vs_topk(
-        "stg_pull_requests", "closed_at", "pr_month", "feature_pr_count", True, "3, 1"), ""),
-    "focus_vs_topk_releases": _with(STG_RELEASES + _focus_vs_topk(
-        "stg_releases", "published_at", "release_month", "feature_release_count", False, "2, 1"), ""),
-    "median_gap_prs": _with(STG_PULL_REQUESTS + _median_gap(
-        "stg_pull_requests", "closed_at", "median_days_between_feature_prs", True), ""),
-    "median_gap_releases": _with(STG_RELEASES + _median_gap(
-        "stg_releases", "published_at", "median_days_between_releases", False), ""),
+    "classify_titles": _with(SILVER_PRS, "SELECT id, repository, title, feat_classifier FROM silver_prs"),
+    "silver_pull_requests": _with(SILVER_PRS, "FROM silver_prs"),
+    "dedup_latest_release": _with(SILVER_RELEASES, "FROM silver_releases"),
+    "monthly_counts": _with(_stamped(PRS), _MONTHLY.format(month="month", count="feature_pr_count")),
+    "monthly_releases": _with(_stamped(RELEASES), _MONTHLY.format(month="release_month", count="feature_release_count")),
+    "topk_groups": _with(_members(PRS), """
+SELECT repository, n AS feature_pr_count FROM sizes JOIN placed USING (repository) WHERE ahead < 10"""),
+    "focus_vs_topk_prs": _by_group(PRS, "pr_month", "feature_pr_count"),
+    "focus_vs_topk_releases": _by_group(RELEASES, "release_month", "feature_release_count"),
+    "median_gap_prs": _median_days(PRS, "median_days_between_feature_prs"),
+    "median_gap_releases": _median_days(RELEASES, "median_days_between_releases"),
+    "existence_flag": _with(_members(PRS), """
+SELECT p.id, p.repository, CASE WHEN p.repository IS NOT NULL THEN ifnull(f.top, false) END AS in_top
+FROM silver_prs p LEFT JOIN flags f USING (repository)"""),
+    "semi_join": _with(_members(PRS), """
+SELECT p.id, p.repository FROM silver_prs p JOIN flags f ON f.repository = p.repository AND f.top"""),
+    "newest_first": """
+SELECT a.o_orderkey, a.o_orderdate FROM (
+  SELECT o_orderkey, o_orderdate, count(*) OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) AS place FROM orders) a
+WHERE place <= 100""",
 }
 
-_TOP10_FEATURE = """,
-busiest AS (SELECT repository FROM stg_pull_requests WHERE lower(feat_classifier) = 'feature'
-            GROUP BY repository ORDER BY count(*) DESC, repository NULLS LAST LIMIT 10)"""
-
 CUST_REPO = "'cust/Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')"
 
 NESTED = """
@@ -170,28 +185,43 @@ GQL_REPOS = """
 gql_repos AS (
   SELECT c_custkey AS databaseId, 'cust/' || c_name AS nameWithOwner, 'segment ' || c_mktsegment AS description,
     c_acctbal AS stargazerCount, c_mktsegment = 'AUTOMOBILE' AS isArchived,
-    [lower(c_mktsegment), 'nation-' || CAST(c_nationkey AS VARCHAR)] AS topics
+    [lower(c_mktsegment), 'nation-' || CAST(c_nationkey AS VARCHAR)] AS topics,
+    CASE WHEN c_custkey % 10 <> 0 THEN CAST(DATE '2023-01-01' + CAST(c_custkey % 400 AS INTEGER) AS TIMESTAMP) END AS pushedAt,
+    CASE WHEN c_custkey % 7 <> 0 THEN c_custkey % 1000 END AS total_size,
+    [{'size': c_custkey * (i + 1) % 101, 'name': 'lang-' || CAST(i AS VARCHAR)} FOR i IN range(c_custkey % 13 + 1)] AS langs
   FROM customer),
 existing AS (SELECT 'cust/' || c_name AS nameWithOwner FROM customer JOIN nation ON c_nationkey = n_nationkey
              WHERE n_regionkey = 1)"""
 
+
+def _selected(keep: str, cap: str = "true", langs: str = "langs") -> str:
+    """Repositories that pass ``keep`` and ``cap`` (of their place by stars) and are not loaded yet."""
+    return _with(GQL_REPOS + f""",
+cand AS (SELECT *, row_number() OVER (ORDER BY stargazerCount DESC, databaseId) AS place FROM gql_repos WHERE {keep})""", f"""
+SELECT databaseId, nameWithOwner, stargazerCount, pushedAt, databaseId AS repo_database_id, topics,
+  CASE WHEN total_size IS NOT NULL THEN '{{"totalSize":' || CAST(total_size AS VARCHAR) || ',"edges":[' || array_to_string(
+    ['{{"size":' || CAST(x.size AS VARCHAR) || ',"node":{{"name":"' || x.name || '","color":null}}}}' FOR x IN {langs}], ',') || ']}}' END AS languages_data
+FROM cand WHERE {cap} AND nameWithOwner NOT IN (FROM existing)""")
+
+
 GQL_PRS = f"""
 gql_prs AS (
-  SELECT o_orderkey AS databaseId, o_orderkey AS number, 'Order ' || o_orderpriority AS title,
-    CASE o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'F' THEN 'MERGED' ELSE 'CLOSED' END AS state,
-    CASE WHEN o_orderstatus <> 'P' THEN {{'login': 'cust_' || CAST(o_custkey AS VARCHAR), 'name': CAST(NULL AS VARCHAR),
-      'email': CAST(NULL AS VARCHAR), 'company': o_orderpriority, 'location': CAST(NULL AS VARCHAR)}} END AS author,
-    'main' AS baseRefName, 'topic/' || CAST(o_orderkey AS VARCHAR) AS headRefName,
-    CASE WHEN o_orderstatus <> 'F' THEN {{'totalCount': o_custkey % 7}} END AS commits,
-    [{{'name': o_orderstatus, 'color': CAST(NULL AS VARCHAR), 'description': o_orderpriority}}] AS label_nodes,
-    ['cust_' || CAST(o_custkey AS VARCHAR), 'owner'] AS assignee_logins,
+  SELECT o.*, o_orderkey AS databaseId, 'cust_' || CAST(o_custkey AS VARCHAR) AS login, o_custkey % 30 + 1 AS n_list,
+    o_orderkey % 3 + 1 AS n_review, CASE WHEN o_orderstatus <> 'F' THEN o_custkey % 7 END AS total,
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END AS milestone_title,
-    {CUST_REPO} AS repo
-  FROM orders)"""
+    CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 3 DAY END AS closed, {CUST_REPO} AS repo
+  FROM orders o)"""
+
+
+def _texts(n: str, body: str) -> str:
+    """JSON text of a list of n objects; ``body`` may use i."""
+    return f"'[' || array_to_string([{body} FOR i IN range(1, {n} + 1)], ',') || ']'"
+
+
+_LABELS = _texts("n_list", """'{"name":"label-' || CAST(i AS VARCHAR) || '","color":null,"description":"' || o_orderpriority || '"}'""")
+_ASSETS = _texts("o_custkey % 31", """'{"name":"bundle-' || CAST(i AS VARCHAR) || '","size":' || CAST(o_custkey * i AS VARCHAR) || ',"downloadCount":0,"contentType":"application/octet-stream","url":null}'""")
 
 SQL.update({
-    "existence_flag": _with(STG_PULL_REQUESTS + _TOP10_FEATURE, """
-SELECT id, repository, repository IN (SELECT repository FROM busiest) AS in_top FROM stg_pull_requests"""),
     "new_entities_anti": _with(GQL_REPOS + """,
 capped AS (SELECT databaseId, nameWithOwner, stargazerCount FROM gql_repos
            ORDER BY stargazerCount DESC, databaseId LIMIT 500)""", """
@@ -199,12 +229,12 @@ SELECT * FROM capped c WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.nameWi
     "fk_enrich": """
 SELECT o_orderkey AS database_id, c_custkey AS repo_database_id, 'cust/' || c_name AS repo, c_acctbal AS stars
 FROM orders JOIN customer ON o_custkey = c_custkey""",
-    "state_filter": _with(STG_PULL_REQUESTS, "SELECT id, repository, state FROM stg_pull_requests WHERE state = 'closed'"),
+    "state_filter": _with(SILVER_PRS, "SELECT id, repository, state FROM silver_prs WHERE state = 'closed'"),
     "repo_filter": """
 SELECT c_custkey AS databaseId, 'cust/' || c_name AS nameWithOwner, c_acctbal AS stargazerCount
 FROM customer WHERE NOT coalesce(c_mktsegment = 'AUTOMOBILE', false) AND c_acctbal >= 5000""",
-    "allow_list": _with(STG_PULL_REQUESTS, """
-SELECT id, repository FROM stg_pull_requests WHERE repository IN ('org/repo_1', 'org/repo_2', 'org/repo_3')"""),
+    "allow_list": _with(SILVER_PRS, """
+SELECT id, repository FROM silver_prs WHERE repository IN ('org/repo_1', 'org/repo_2', 'org/repo_3')"""),
     "search_terms": """
 SELECT p_partkey, p_name FROM part
 WHERE lower(concat_ws(' ', p_name, p_type, p_brand)) LIKE '%red%'
@@ -261,11 +291,12 @@ SELECT o_orderkey, o_totalprice, fetched_at, version FROM (
   SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY fetched_at DESC) AS rn FROM loads)
 WHERE rn = 1""",
     "null_safe_defaults": _with(GQL_PRS, """
-SELECT databaseId AS database_id, author.login AS author__login, author.name AS author__name,
-  author.email AS author__email, author.company AS author__company, author.location AS author__location,
-  CAST(coalesce(commits.totalCount, 0) AS BIGINT) AS commit_count, milestone_title
+SELECT databaseId AS database_id, CASE WHEN o_orderstatus <> 'P' THEN login END AS author__login,
+  CAST(NULL AS VARCHAR) AS author__name, CAST(NULL AS VARCHAR) AS author__email,
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS author__company, CAST(NULL AS VARCHAR) AS author__location,
+  CAST(ifnull(total, 0) AS BIGINT) AS commit_count, milestone_title
 FROM gql_prs"""),
-    "quality_checks": _with(STG_PULL_REQUESTS + "," + STG_RELEASES.lstrip() + """,
+    "quality_checks": _with(SILVER_PRS + "," + SILVER_RELEASES.lstrip() + """,
 raw_repo AS (SELECT c_custkey AS id, 'cust/' || c_name AS full_name FROM customer)""",
         "\nUNION ALL ".join(
             [f"SELECT 'not_null' AS test, '{m}' AS model, '{c}' AS column_name, "
@@ -276,54 +307,79 @@ raw_repo AS (SELECT c_custkey AS id, 'cust/' || c_name AS full_name FROM custome
                                ("stg_github_pull_requests", "pr_raw", "id"),
                                ("stg_github_releases", "rel_raw", "id"),
                                ("stg_github_repositories", "raw_repo", "id"),
-                               ("stg_pull_requests", "stg_pull_requests", "repository"),
-                               ("stg_pull_requests", "stg_pull_requests", "number"),
-                               ("stg_pull_requests", "stg_pull_requests", "feat_classifier"),
-                               ("stg_releases", "stg_releases", "repository"),
-                               ("stg_releases", "stg_releases", "tag"),
-                               ("stg_releases", "stg_releases", "row_num")]]
+                               ("stg_pull_requests", "silver_prs", "repository"),
+                               ("stg_pull_requests", "silver_prs", "number"),
+                               ("stg_pull_requests", "silver_prs", "feat_classifier"),
+                               ("stg_releases", "silver_releases", "repository"),
+                               ("stg_releases", "silver_releases", "tag"),
+                               ("stg_releases", "silver_releases", "row_num")]]
             + [f"SELECT 'unique', '{m}', 'id', (SELECT count(*) FROM (SELECT id FROM {src} WHERE id IS NOT NULL "
                f"GROUP BY id HAVING count(*) > 1))"
                for m, src in [("pull_requests", "pr_raw"), ("releases", "rel_raw"), ("repositories", "raw_repo"),
                               ("stg_github_pull_requests", "pr_raw"), ("stg_github_releases", "rel_raw"),
                               ("stg_github_repositories", "raw_repo")]]
-            + ["SELECT 'accepted_values', 'stg_pull_requests', 'feat_classifier', count(*) FILTER (WHERE "
-               "feat_classifier NOT IN ('bug fix', 'feature', 'refactor', 'test', 'documentation', 'not clear')) "
-               "FROM stg_pull_requests"])),
-    "row_counts": _with(STG_PULL_REQUESTS, "\n" + "\nUNION ALL ".join(
+            + ["SELECT 'accepted_values', 'stg_pull_requests', 'feat_classifier', "
+               "(SELECT count(*) FROM silver_prs WHERE feat_classifier NOT IN (SELECT class FROM classes) AND feat_classifier <> 'not clear')"])),
+    "row_counts": _with(SILVER_PRS, "\n" + "\nUNION ALL ".join(
         [f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in
          ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]]
-        + ["SELECT 'distinct_repositories', count(DISTINCT repository) + max(CASE WHEN repository IS NULL "
-           "THEN 1 ELSE 0 END) FROM stg_pull_requests"])),
-    "legacy_pr_enrichment": _with(GQL_PRS + ",\n" + """
-repos AS (SELECT c_custkey AS databaseId, 'cust/' || c_name AS nameWithOwner FROM customer)""", """
-SELECT p.databaseId AS database_id, number, title, state, repo, r.databaseId AS repo_database_id,
-  author.login AS author__login, author.name AS author__name, author.email AS author__email,
-  author.company AS author__company, author.location AS author__location,
-  baseRefName AS base_branch, headRefName AS head_branch,
-  CAST(coalesce(commits.totalCount, 0) AS BIGINT) AS commit_count,
-  list_transform(label_nodes, lambda x: x.name) AS labels_list,
-  CAST(to_json(label_nodes) AS VARCHAR) AS labels_json,
-  milestone_title, assignee_logins AS assignees_list
-FROM gql_prs p JOIN repos r ON p.repo = r.nameWithOwner"""),
+        + ["SELECT 'distinct_repositories', count(*) FROM (SELECT DISTINCT repository FROM silver_prs)"])),
+    "legacy_pr_enrichment": _with(GQL_PRS, f"""
+SELECT databaseId, databaseId AS number, 'Order ' || o_orderpriority AS title, '**' || o_orderpriority || '**' AS body, o_orderpriority AS bodyText,
+  CASE o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'F' THEN 'MERGED' ELSE 'CLOSED' END AS state,
+  'https://example.invalid/pr/' || CAST(databaseId AS VARCHAR) AS url, o_orderdate AS createdAt, o_orderdate + INTERVAL 1 DAY AS updatedAt,
+  closed AS closedAt, CASE WHEN o_orderstatus = 'F' THEN closed END AS mergedAt, 'UNKNOWN' AS mergeable,
+  databaseId % 900 AS additions, databaseId % 70 AS deletions, databaseId % 12 AS changedFiles,
+  CASE WHEN o_orderstatus <> 'P' THEN '{{"login":"' || login || '","name":null,"email":null,"company":"' || o_orderpriority || '","location":null}}' END AS author,
+  'main' AS baseRefName, 'topic/' || CAST(databaseId AS VARCHAR) AS headRefName,
+  CASE WHEN total IS NOT NULL THEN '{{"totalCount":' || CAST(total AS VARCHAR) || '}}' END AS commits,
+  '{{"nodes":' || {_LABELS} || '}}' AS labels,
+  '{{"nodes":' || {_texts("n_list", "'{\"login\":\"dev-' || CAST(i AS VARCHAR) || '\",\"name\":null}'")} || '}}' AS assignees,
+  '{{"nodes":' || {_texts("n_review", "'{\"requestedReviewer\":{\"login\":\"reviewer-' || CAST(i AS VARCHAR) || '\",\"name\":null}}'")} || '}}' AS reviewRequests,
+  CASE WHEN databaseId % 4 <> 0 THEN '{{"nodes":' || {_texts("n_review", "'{\"author\":{\"login\":\"reviewer-' || CAST(i AS VARCHAR) || '\"},\"state\":\"APPROVED\",\"createdAt\":null}'")} || '}}' END AS reviews,
+  CASE WHEN milestone_title IS NOT NULL THEN '{{"title":"urgent","state":"OPEN","dueOn":null}}' END AS milestone,
+  repo, c_custkey AS repo_database_id, databaseId AS database_id,
+  CASE WHEN o_orderstatus <> 'P' THEN login END AS author__login, CAST(NULL AS VARCHAR) AS author__name, CAST(NULL AS VARCHAR) AS author__email,
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS author__company, CAST(NULL AS VARCHAR) AS author__location,
+  'main' AS base_branch, 'topic/' || CAST(databaseId AS VARCHAR) AS head_branch, CAST(ifnull(total, 0) AS BIGINT) AS commit_count,
+  ['label-' || CAST(i AS VARCHAR) FOR i IN range(1, n_list + 1)] AS labels_list, {_LABELS} AS labels_json, milestone_title,
+  ['dev-' || CAST(i AS VARCHAR) FOR i IN range(1, n_list + 1)] AS assignees_list
+FROM gql_prs JOIN customer ON repo = 'cust/' || c_name"""),
     "legacy_release_enrichment": f"""
-WITH rel AS (
-  SELECT o_orderkey AS database_id, 'v' || CAST(o_orderkey AS VARCHAR) AS tag_name,
-    'Release ' || CAST(o_orderkey AS VARCHAR) AS name, {CUST_REPO} AS repo,
-    'cust_' || CAST(o_custkey AS VARCHAR) AS author__login, CAST(NULL AS VARCHAR) AS author__name,
-    CAST(CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS BIGINT) AS assets_count
-  FROM orders)
-SELECT database_id, tag_name, name, repo, c_custkey AS repo_database_id, author__login, author__name, assets_count
-FROM rel JOIN customer ON repo = 'cust/' || c_name""",
-    "repo_selection": _with(GQL_REPOS + """,
-cand AS (
-  SELECT * FROM gql_repos
-  WHERE NOT coalesce(isArchived, false) AND stargazerCount >= 1000
-    AND lower(concat_ws(' ', nameWithOwner, description, array_to_string(topics, ' '))) LIKE '%machinery%'
-  ORDER BY stargazerCount DESC, databaseId LIMIT 100)""", """
-SELECT databaseId, nameWithOwner, stargazerCount, databaseId AS repo_database_id, topics FROM cand c
-WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.nameWithOwner = c.nameWithOwner)"""),
+SELECT o_orderkey AS databaseId, 'Release ' || CAST(o_orderkey AS VARCHAR) AS name, 'v' || CAST(o_orderkey AS VARCHAR) AS tagName,
+  o_orderpriority AS description, 'https://example.invalid/release/' || CAST(o_orderkey AS VARCHAR) AS url,
+  o_orderdate AS createdAt, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS publishedAt, o_orderdate AS updatedAt,
+  o_orderkey % 5 = 0 AS isLatest, o_orderstatus = 'O' AS isPrerelease, o_orderstatus = 'P' AS isDraft,
+  '{{"login":"cust_' || CAST(o_custkey AS VARCHAR) || '","name":null}}' AS author, '{{"nodes":' || {_ASSETS} || '}}' AS releaseAssets,
+  'cust/' || c_name AS repo, c_custkey AS repo_database_id, o_orderkey AS database_id, 'v' || CAST(o_orderkey AS VARCHAR) AS tag_name,
+  'cust_' || CAST(o_custkey AS VARCHAR) AS author__login, CAST(NULL AS VARCHAR) AS author__name,
+  o_custkey % 31 AS assets_count, {_ASSETS} AS assets_data
+FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "repo_selection": _selected("NOT isArchived AND stargazerCount >= 1000 AND lower(concat_ws(' ', nameWithOwner, description, "
+                                "array_to_string(topics, ' '))) LIKE '%machinery%'", "place <= 100"),
+    "repo_selection_qualifiers": _selected("pushedAt >= TIMESTAMP '2023-03-01' AND pushedAt < TIMESTAMP '2023-12-24' AND stargazerCount BETWEEN 500 AND 4000"),
+    "repo_pushed_after": _selected("NOT isArchived AND pushedAt > TIMESTAMP '2023-10-01'",
+                                   langs="[{'size': y.size, 'name': y.name} FOR y IN list_reverse_sort(langs)[1:4]]"),
+    "landing_pull_requests": _with(SILVER_PRS, """
+SELECT id, number, title, description AS body, state, author AS login, head_branch AS head_ref,
+  CASE WHEN id % 11 = 0 THEN '[]' ELSE labels_json END AS labels_json, additions,
+  created_at, closed_at, merged_at, repository AS repository_full_name, fetched_at FROM silver_prs"""),
+    "landing_releases": _with(REL_RAW + """,
+bad AS (SELECT count(*) AS n FROM rel_raw WHERE id % 500 = 0)""", """
+SELECT 'record' AS outcome, repository_full_name AS repository, count(*) AS n FROM rel_raw GROUP BY 2
+UNION ALL SELECT 'a key does not fit its type', 'org/repo_1', 2 * n FROM bad WHERE n > 0
+UNION ALL SELECT 'not an object', 'org/repo_1', n FROM bad WHERE n > 0
+UNION ALL SELECT 'unreadable page', 'org/repo_2', 1 FROM bad WHERE n > 0"""),
+    "upsert_persisted": """
+SELECT o_orderkey AS id, o_totalprice * CASE WHEN again THEN 2 ELSE 1 END AS price,
+  CASE WHEN NOT again THEN o_orderpriority END AS priority,
+  CASE WHEN NOT again OR o_orderkey % 2 = 0 THEN o_orderdate END AS fetched_at
+FROM (SELECT *, o_orderkey % 3 = 0 AND o_orderkey % 5 <> 0 AS again FROM orders)""",
+    "incremental_releases": _with(REL_RAW, "SELECT id, tag_name, published_at, repository_full_name, fetched_at FROM rel_raw"),
+    "exported_models": _with(SILVER_RELEASES, """
+SELECT id, repository, tag, published_at, count(*) OVER () AS rows_reported, 'missing' AS absent FROM silver_releases"""),
+    "projected_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders",
     "issue_cleaning": """
 WITH recs AS (
   SELECT event_id, 'org/repo_' || CAST(user_id % 25 AS VARCHAR) AS repository_full_name, ts AS updated_at,
@@ -341,22 +397,31 @@ def _model_count(name: str, model_sql: str) -> str:
     return f"SELECT '{name}' AS model, count(*) AS row_count FROM ({model_sql.strip()})"
 
 
-SQL["model_row_counts"] = "\nUNION ALL\n".join([
-    _model_count("stg_pull_requests", SQL["silver_pull_requests"]),
-    _model_count("stg_releases", SQL["dedup_latest_release"]),
-    _model_count("feature_prs_monthly", SQL["monthly_counts"]),
-    _model_count("feature_releases_monthly", SQL["monthly_releases"]),
-    _model_count("feature_prs_lace_vs_top10", SQL["focus_vs_topk_prs"]),
-    _model_count("feature_releases_lace_vs_top10", SQL["focus_vs_topk_releases"]),
-    _model_count("median_feature_prs_lace_vs_top10", SQL["median_gap_prs"]),
-    _model_count("median_releases_lace_vs_top10", SQL["median_gap_releases"]),
+_MODELS = {"stg_pull_requests": "silver_pull_requests", "stg_releases": "dedup_latest_release",
+           "feature_prs_monthly": "monthly_counts", "feature_releases_monthly": "monthly_releases",
+           "feature_prs_lace_vs_top10": "focus_vs_topk_prs", "feature_releases_lace_vs_top10": "focus_vs_topk_releases",
+           "median_feature_prs_lace_vs_top10": "median_gap_prs", "median_releases_lace_vs_top10": "median_gap_releases"}
+SQL["model_row_counts"] = "\nUNION ALL\n".join(_model_count(m, SQL[q]) for m, q in _MODELS.items())
+
+
+def _gold_rows(model: str, group: str, month: str, value: str) -> str:
+    return (f"SELECT '{model}' AS model, repository, CAST({group} AS VARCHAR) AS grp, CAST({month} AS TIMESTAMP) AS month, "
+            f"CAST({value} AS DOUBLE) AS value FROM ({SQL[_MODELS[model]].strip()})")
+
+
+SQL["job_tables"] = "\nUNION ALL\n".join([
+    _gold_rows("feature_prs_monthly", "NULL", "month", "feature_pr_count"),
+    _gold_rows("feature_releases_monthly", "NULL", "release_month", "feature_release_count"),
+    _gold_rows("feature_prs_lace_vs_top10", "repo_group", "pr_month", "feature_pr_count"),
+    _gold_rows("feature_releases_lace_vs_top10", "repo_group", "release_month", "feature_release_count"),
+    _gold_rows("median_feature_prs_lace_vs_top10", "NULL", "NULL", "median_days_between_feature_prs"),
+    _gold_rows("median_releases_lace_vs_top10", "NULL", "NULL", "median_days_between_releases"),
 ])
 
-SQL["classify_documents"] = f"""
-SELECT doc_id, lang, {_class_case("text")} AS feat_classifier
-FROM documents"""
+SQL["classify_documents"] = _with(RULES + "," + _classified("documents", "doc_id", "text"), """
+SELECT doc_id, lang, class AS feat_classifier FROM documents JOIN labelled ON key = doc_id""")
 
-SQL["bronze_copy"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders"
+SQL["bronze_copy"] = "FROM orders"
 SQL["existing_lookup"] = "SELECT c_custkey, c_name FROM customer"
 SQL["stamp_provenance"] = f"""
 SELECT o_orderkey,

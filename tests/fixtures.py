@@ -1,12 +1,13 @@
-"""Fixture-shaped records (FIXTURES.md §1-§3) as DataFrames with the REST schemas."""
+"""Small records of our own, as DataFrames with the REST schemas."""
 
 from repolens.schemas import REST_PULL_REQUEST, REST_RELEASE
 
 
-def _pr(id, title, state, labels, created, closed, repo="test/repo", fetched="2024-01-01T00:00:00Z", **kw):
-    row = dict(id=id, number=id, title=title, body=kw.get("body"), state=state,
-               user=kw.get("user", {"login": "dev"}), base=kw.get("base"), head=kw.get("head"),
-               labels=labels, html_url=f"https://example.invalid/pull/{id}",
+def _pr(id, title, state="closed", labels=None, created=None, closed=None, repo="acme/engine",
+        fetched="2023-09-30T08:00:00Z", **kw):
+    row = dict(id=id, number=id * 10, title=title, body=kw.get("body"), state=state,
+               user=kw.get("user", {"login": "kim"}), base=kw.get("base"), head=kw.get("head"),
+               labels=labels, html_url=f"https://example.invalid/{repo}/{id}",
                additions=kw.get("additions"), deletions=kw.get("deletions"),
                changed_files=kw.get("changed_files"), commits=kw.get("commits"),
                created_at=created, updated_at=kw.get("updated_at"), closed_at=closed, merged_at=kw.get("merged_at"),
@@ -15,35 +16,27 @@ def _pr(id, title, state, labels, created, closed, repo="test/repo", fetched="20
 
 
 PR_FIXTURES = [
-    _pr(1, "Fix bug in wallet component", "closed", [{"name": "bug"}, {"name": "wallet"}],
-        "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", user={"login": "test-dev"}, base={"ref": "master"},
-        head={"ref": "fix-wallet-bug"}, additions=10, deletions=5, changed_files=2, commits=1,
-        merged_at="2024-01-02T00:00:00Z"),
-    _pr(2, "Add new feature for staking", "open", [{"name": "feature"}, {"name": "staking"}],
-        "2024-02-01T00:00:00Z", None, user={"login": "feature-dev"}, base={"ref": "main"},
-        head={"ref": "add-staking-feature"}, additions=100, deletions=20, changed_files=8, commits=5),
-    _pr(3, "Refactor authentication module", "merged", [{"name": "refactor"}, {"name": "cleanup"}],
-        "2024-03-01T00:00:00Z", "2024-03-05T00:00:00Z", user={"login": "cleanup-dev"}, base={"ref": "develop"},
-        head={"ref": "refactor-auth"}, additions=50, deletions=75, changed_files=4, commits=3,
-        merged_at="2024-03-05T00:00:00Z"),
-    _pr(100, "Fix critical security vulnerability", "merged", [{"name": "security"}, {"name": "bug"}],
-        None, None, user={"login": "security-team"}),
-    _pr(200, "Implement new dashboard feature", "open", [{"name": "feature"}, {"name": "frontend"}],
-        None, None, user={"login": "frontend-team"}),
+    _pr(11, "Hotfix: crash on empty input", labels=[{"name": "p1"}, {"name": "crash"}], created="2023-05-03T10:15:00Z",
+        closed="2023-05-04T18:45:30Z", user={"login": "sam"}, base={"ref": "trunk"}, head={"ref": "sam/crash"},
+        additions=3, deletions=41, changed_files=1, commits=2, merged_at="2023-05-04T18:45:30Z"),
+    _pr(12, "Implement batch exports", "open", [{"name": "export"}], "2023-06-11T00:00:00Z",
+        user={"login": "alex"}, base={"ref": "trunk"}, head={"ref": "exports"}, additions=870, commits=14),
+    _pr(13, "Cleanup of the parser", labels=[], created="2023-07-01T12:00:00Z", closed="2023-07-21T12:00:00Z",
+        user={"login": "noor"}, base={"ref": "v2"}, head={"ref": "parser"}, deletions=512, changed_files=30),
+    _pr(14, "Debug output left in"),
+    _pr(15, "Features page redesign", "open", None, user={"login": "ada"}),
 ]
 
 RELEASE_FIXTURES = [
-    dict(id=1, tag_name="v1.0.0", name="Major Release v1.0.0", body="First", draft=False, prerelease=False,
-         author={"login": "release-manager"}, html_url="u1", published_at="2024-01-15T00:00:00Z",
-         created_at="2024-01-10T00:00:00Z", updated_at="2024-01-15T00:00:00Z",
-         repository_full_name="test/repo", fetched_at="2024-01-16T00:00:00Z"),
-    dict(id=2, tag_name="v1.1.0-beta", name="Beta Release v1.1.0", body="Beta", draft=False, prerelease=True,
-         author={"login": "beta-manager"}, html_url="u2", published_at="2024-02-15T00:00:00Z",
-         created_at="2024-02-10T00:00:00Z", updated_at="2024-02-15T00:00:00Z",
-         repository_full_name="test/repo", fetched_at="2024-02-16T00:00:00Z"),
-    dict(id=300, tag_name="v2.0.0", name="Major Release v2.0.0", body="Breaking", draft=False, prerelease=False,
-         author={"login": "architect"}, html_url=None, published_at=None, created_at=None, updated_at=None,
-         repository_full_name="test/repo", fetched_at="2024-01-01T00:00:00Z"),
+    dict(id=71, tag_name="2023.1", name="Spring", body="notes", draft=False, prerelease=False, author={"login": "bot"},
+         html_url="https://example.invalid/r/71", published_at="2023-04-02T06:00:00Z", created_at="2023-04-01T22:00:00Z",
+         updated_at="2023-04-02T06:00:00Z", repository_full_name="acme/engine", fetched_at="2023-04-03T00:00:00Z"),
+    dict(id=72, tag_name="2023.2-rc", name=None, body=None, draft=False, prerelease=True, author={"login": "kim"},
+         html_url=None, published_at="2023-08-19T17:30:00Z", created_at="2023-08-19T17:00:00Z", updated_at=None,
+         repository_full_name="acme/engine", fetched_at="2023-08-20T00:00:00Z"),
+    dict(id=79, tag_name="2024.0", name="Unpublished", body="later", draft=True, prerelease=False, author=None,
+         html_url=None, published_at=None, created_at="2023-09-01T00:00:00Z", updated_at=None,
+         repository_full_name="acme/engine", fetched_at="2023-09-02T00:00:00Z"),
 ]
 
 

@@ -2,12 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from repolens.operators.joins import existence_flag
 from repolens.operators.project import split_owner_name
 from repolens.operators.quality import (TableTests, accepted_values_violations, not_null_violations, summarize,
-                                        unique_violations)
+                                        unique_violations, violations)
 from repolens.operators.windows import recent_n_per_key
 from repolens.plans.issues import clean_issues
 from repolens.plans.legacy import enrich_pull_requests, enrich_releases, select_repositories
@@ -39,6 +40,18 @@ def test_select_repositories_cap_before_skip(spark):
     both = select_repositories(repos(spark), None, "cardano wallet", max_repos=None, include_archived=True,
                                min_stars=10)
     assert sorted(r["nameWithOwner"] for r in both.collect()) == ["a/wallet", "b/wallet", "c/node"]
+    assert select_repositories(repos(spark), None, max_repos=0).count() == 0      # 0 takes none
+    assert select_repositories(repos(spark), None, max_repos=-1).count() == 0
+    assert select_repositories(repos(spark), None).count() == 3                   # no cap
+
+
+def test_select_repositories_qualifiers(spark):
+    names = lambda text, **kw: sorted(r["nameWithOwner"] for r in select_repositories(repos(spark), None, text, **kw).collect())
+    assert names("wallet stars:<50") == ["c/node", "d/wallet"]
+    assert names("stars:3..30") == ["c/node", "d/wallet"] and names("stars:>3 stars:<50") == ["c/node"]
+    assert names("archived:true") == ["b/wallet"] and names("archived:false") == ["a/wallet", "c/node", "d/wallet"]
+    with pytest.raises(ValueError):
+        names("wallet topic:x")
 
 
 def test_enrich_pull_requests(spark):
@@ -60,6 +73,10 @@ def test_enrich_pull_requests(spark):
     assert out[11]["author__login"] is None and out[11]["commit_count"] == 4
     assert out[11]["milestone_title"] == "m1" and out[11]["assignees_list"] == []
     assert out[11]["repo_database_id"] == 3
+    assert set(prs.columns) <= set(out[10].asDict())     # the record's own fields
+    many = prs.where("databaseId = 10").withColumn("labels", F.struct(F.array_repeat(F.col("labels.nodes")[0], 30).alias("nodes")))
+    assert len(enrich_pull_requests(many, repos(spark)).first()["labels_list"]) == 30
+    assert len(enrich_pull_requests(many, repos(spark), labels_cap=20).first()["labels_list"]) == 20
 
 
 def test_enrich_releases_assets(spark):
@@ -69,7 +86,10 @@ def test_enrich_releases_assets(spark):
         dict(databaseId=2, tagName="v2", repo="a/wallet", author=None, releaseAssets=None),
     ], GQL_RELEASE)
     out = {r["database_id"]: r for r in enrich_releases(rel, repos(spark)).collect()}
-    assert out[1]["assets_count"] == 10 and len(out[1]["assets_data"]) == 10   # first: 10
+    assert out[1]["assets_count"] == 12 and len(out[1]["assets_data"]) == 12   # complete
+    assert out[1]["tagName"] == out[1]["tag_name"] == "v1" and "publishedAt" in out[1].asDict()   # the record's own fields
+    capped = {r["database_id"]: r for r in enrich_releases(rel, repos(spark), assets_cap=10).collect()}
+    assert capped[1]["assets_count"] == 10 and len(capped[1]["assets_data"]) == 10
     assert out[2]["assets_count"] == 0 and out[2]["author__login"] is None
 
 
@@ -114,8 +134,12 @@ def test_existence_flag_three_valued(spark):
     without = spark.createDataFrame([("a",)], "k string")
     got = {r["id"]: r["f"] for r in existence_flag(df, with_null, "k", "f").collect()}
     assert got == {1: True, 2: None, 3: None}
-    got = {r["id"]: r["f"] for r in existence_flag(df, without, "k", "f").collect()}
-    assert got == {1: True, 2: None, 3: False}
+    none = spark.createDataFrame([], "k string")
+    only_null = spark.createDataFrame([(None,)], "k string")
+    for listed, want in [(with_null, {1: True, 2: None, 3: None}), (without, {1: True, 2: None, 3: False}),
+                         (none, {1: False, 2: False, 3: False}), (only_null, {1: None, 2: None, 3: None})]:
+        for small in (True, False):
+            assert {r["id"]: r["f"] for r in existence_flag(df, listed, "k", "f", small=small).collect()} == want
 
 
 def test_quality_violations(spark):
@@ -127,12 +151,25 @@ def test_quality_violations(spark):
          summarize(df, TableTests("t", not_null=["id", "c"], unique=["id"],
                                   accepted_values={"c": ["feature", "test"]})).collect()}
     assert s == {("not_null", "id"): 1, ("not_null", "c"): 1, ("unique", "id"): 1, ("accepted_values", "c"): 1}
+    tests = TableTests("t", not_null=["id", "c"], unique=["id", "c"], accepted_values={"c": ["feature", "test"]})
+    rows = {k: v.count() for k, v in violations(df, tests).items()}
+    assert rows == {("not_null", "id"): 1, ("not_null", "c"): 1, ("unique", "id"): 1, ("unique", "c"): 0, ("accepted_values", "c"): 1}
+    assert {(r["test"], r["column_name"]): r["failures"] for r in summarize(df, tests).collect()} == rows
+    empty = {r["failures"] for r in summarize(df.limit(0), tests).collect()}
+    assert empty == {0}
+
+
+def test_summary_reads_the_table_once(spark, tmpdir_path):
+    spark.range(10).withColumn("c", F.lit("x")).write.parquet(tmpdir_path + "/t")
+    df = summarize(spark.read.parquet(tmpdir_path + "/t"), TableTests("t", not_null=["id", "c"], unique=["id"], accepted_values={"c": ["x"]}))
+    assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan") == 1
 
 
 def test_run_legacy_job_one_pass(spark, tmpdir_path):
     import json
     import os
     from repolens.plans.legacy import run_legacy_job
+    from repolens.sinks.upsert import read_current
 
     def land(entity, rows):
         d = os.path.join(tmpdir_path, "landing", f"entity={entity}", "repo=all")
@@ -152,7 +189,7 @@ def test_run_legacy_job_one_pass(spark, tmpdir_path):
     wh = os.path.join(tmpdir_path, "wh")
     counts = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="cardano wallet")
     assert counts == {"repositories": 1, "pull_requests": 1, "releases": 1}
-    pr = spark.read.parquet(os.path.join(wh, "pull_requests", "v=1")).collect()[0]
+    pr = read_current(spark, os.path.join(wh, "pull_requests")).collect()[0]
     assert pr["repo_database_id"] == 1 and pr["commit_count"] == 2 and pr["collected_at"] is not None
     # second run: a/wallet is stored and skipped, nothing new to select; children still join to it
     again = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="cardano wallet")

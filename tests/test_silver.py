@@ -1,4 +1,4 @@
-"""M1, M2 on fixture-shaped records (FIXTURES §1, §2, §6)."""
+"""M1, M2 on fixture-shaped records."""
 
 import json
 
@@ -10,16 +10,12 @@ def test_silver_pr_columns_and_values(spark):
     out = silver_pull_requests(prs_df(spark))
     assert out.columns == PR_COLUMNS
     rows = {r["id"]: r for r in out.collect()}
-    assert rows[1]["feat_classifier"] == "bug fix"
-    assert rows[2]["feat_classifier"] == "feature"
-    assert rows[3]["feat_classifier"] == "refactor"
-    assert rows[100]["feat_classifier"] == "bug fix"
-    assert rows[200]["feat_classifier"] == "feature"
-    assert rows[1]["author"] == "test-dev" and rows[1]["base_branch"] == "master"
-    assert rows[100]["base_branch"] is None and rows[100]["additions"] is None  # absent -> NULL
-    assert rows[1]["labels_list"] == ["bug", "wallet"]
-    assert json.loads(rows[1]["labels_json"]) == [{"name": "bug"}, {"name": "wallet"}]
-    assert rows[2]["closed_at"] is None
+    assert {i: r["feat_classifier"] for i, r in rows.items()} == {11: "bug fix", 12: "feature", 13: "refactor", 14: "bug fix", 15: "feature"}
+    assert rows[11]["author"] == "sam" and rows[11]["base_branch"] == "trunk" and rows[11]["number"] == 110
+    assert rows[14]["base_branch"] is None and rows[14]["additions"] is None  # absent -> NULL
+    assert rows[11]["labels_list"] == ["p1", "crash"]
+    assert json.loads(rows[11]["labels_json"]) == [{"name": "p1"}, {"name": "crash"}]
+    assert rows[12]["closed_at"] is None
 
 
 def test_labels_null_empty_and_null_field(spark):
@@ -37,7 +33,7 @@ def test_silver_releases_drops_unpublished(spark):
     out = silver_releases(releases_df(spark))
     assert out.columns == RELEASE_COLUMNS
     ids = sorted(r["id"] for r in out.collect())
-    assert ids == [1, 2]  # 300 has no published_at
+    assert ids == [71, 72]  # 79 has no published_at
     assert {r["row_num"] for r in out.collect()} == {1}
 
 
@@ -52,8 +48,8 @@ def test_release_dedup_same_tag(spark):
             dict(base, id=16, tag_name="v1", published_at="2024-05-01T00:00:00Z",
                  repository_full_name="other/repo")]
     out = {(r["repository"], r["tag"], r["id"]) for r in silver_releases(releases_df(spark, rows)).collect()}
-    assert out == {("other/repo", "v1", 16), ("test/repo", None, 15), ("test/repo", "v1", 11),
-                   ("test/repo", "v2", 13)}
+    assert out == {("other/repo", "v1", 16), ("acme/engine", None, 15), ("acme/engine", "v1", 11),
+                   ("acme/engine", "v2", 13)}
 
 
 def test_release_dedup_is_partial_aggregate(spark):
