@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import durable, keyed_text, texts_of
+from repolens.llm.common import durable, keyed_text, slices, texts_of
 
 # fixed values: titles and given names by gender
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Mme Mlle Señor Señora Sr Sra Don Doña Signor Signora Господин Госпожа Κύριος Κυρία".split()
@@ -54,8 +54,15 @@ NUMBERS = re.compile("|".join((
 )))
 ASSIGNED = re.compile(r"\b(?:api[_-]?key|access[_-]?key|token|secret|password|passwd|pwd)\b[\"']?\s*[:=]\s*(?:\"([^\"\n]{6,})\"|'([^'\n]{6,})'|([^\s\"',;]{8,}))", re.I)
 _CAP = r"[^\W\d_a-z]\w+"
-NAMES = re.compile(r"\b(?:(?P<title>" + "|".join(TITLES) + r")\.?[  ](?:(?P<tgiven>" + "|".join(GENDER) + r")[  ])?|(?P<given>" + "|".join(GENDER) + r")[  ])(?P<surname>" + _CAP + r"(?:-" + _CAP + r")?)\b")
-MAY_HOLD = re.compile(r"[\d@]|" + ASSIGNED.pattern, re.I)
+# one group of literals first, so the scan stops at their first letters only; the rest is checked on a match
+NAMES = re.compile(r"(?P<word>" + "|".join(sorted([*TITLES, *GENDER], key=len, reverse=True)) + r")(?P<dot>\.?)[ \u00a0](?:(?P<given>"
+                   + "|".join(sorted(GENDER, key=len, reverse=True)) + r")[ \u00a0])?(?P<surname>" + _CAP + r"(?:-" + _CAP + r")?)\b")
+HINT = re.compile(r"[\d@]")
+#: What a pattern without a digit or @ begins with or holds.
+MARKS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "eyJ", "::")
+ASSIGNED_WORDS = ("key", "token", "secret", "passw", "pwd")
+#: Characters looked at on either side of a digit or @, then on to the next white space.
+MARGIN = 80
 
 Entity = tuple[int, int, str, str]  # begin, end, type, canonical form
 
@@ -98,26 +105,57 @@ def canonical(kind: str, text: str) -> str | None:
     return text.lower() if kind in ("mac", "male", "female", "surname") else text
 
 
+def windows(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches that hold every digit and @ with what may belong to it, cut at white space."""
+    if any(m in text for m in MARKS):
+        yield 0, len(text)
+        return
+    done, begin, end = 0, None, 0
+
+    def cut():
+        a = max(done, text.rfind(" ", 0, max(begin, 0)) + 1, text.rfind("\n", 0, max(begin, 0)) + 1)
+        b = min(x if (x := text.find(c, end)) >= 0 else len(text) for c in " \n")
+        return a, b
+
+    for m in HINT.finditer(text):
+        at = m.start()
+        if begin is None:
+            begin = at - MARGIN
+        elif at - MARGIN > end:
+            w = cut()
+            yield w
+            done, begin = w[1], at - MARGIN
+        end = at + MARGIN
+    if begin is not None:
+        yield cut()
+
+
 def find(text: str) -> list[Entity]:
     """Entities in order, none overlapping: named secrets first, then the patterns as listed, then names."""
     found: list[Entity] = []
-    if MAY_HOLD.search(text):
+    folded = text.lower()
+    if any(w in folded for w in ASSIGNED_WORDS):
         for m in ASSIGNED.finditer(text):
             g = m.lastindex
             found.append((m.start(g), m.end(g), "secret", m[g]))
-        for m in NUMBERS.finditer(text):
+    for begin, end in windows(text):
+        for m in NUMBERS.finditer(text, begin, end):
             c = canonical(m.lastgroup, m[0])
             if c is not None:
                 found.append((m.start(), m.end(), m.lastgroup, c))
     surnames = set()
     for m in NAMES.finditer(text):
-        if m["surname"].isupper():
+        name = m["surname"]
+        if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_") or name.isupper() or not name[0].isupper():
             continue
-        for g in ("tgiven", "given"):
-            if m[g]:
-                found.append((m.start(g), m.end(g), GENDER[m[g]], m[g].lower()))
-        found.append((m.start("surname"), m.end("surname"), "surname", m["surname"].lower()))
-        surnames.add(m["surname"])
+        if m["word"] in GENDER:
+            if m["dot"]:
+                continue
+            found.append((m.start("word"), m.end("word"), GENDER[m["word"]], m["word"].lower()))
+        if m["given"]:
+            found.append((m.start("given"), m.end("given"), GENDER[m["given"]], m["given"].lower()))
+        found.append((m.start("surname"), m.end("surname"), "surname", name.lower()))
+        surnames.add(name)
     if surnames:  # the same person by surname alone
         for m in re.finditer(r"\b(?:" + "|".join(map(re.escape, sorted(surnames, key=len, reverse=True))) + r")\b", text):
             found.append((m.start(), m.end(), "surname", m[0].lower()))
@@ -201,7 +239,9 @@ def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
         end = d.pick(ENDINGS[s, None if kind == "surname" else kind])
         kept = next((e for e in ("ova", "eva", "ов", "ова", "ев", "ева") if kind == "surname" and form.endswith(e)), end)
         return "".join(d.pick(SYLLABLES[s]) for _ in range(2 + min(attempt, 6))) + kept
-    return d.shape(form, kind == "mac" or re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", form) is not None)
+    mark = next((m for m in MARKS if kind == "secret" and form.startswith(m)), "")
+    form = form[len(mark):]
+    return mark + d.shape(form, kind == "mac" or re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", form) is not None)
 
 
 def render(kind: str, old: str, new: str) -> str:
@@ -242,7 +282,7 @@ def occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def assign(entities: DataFrame, key: bytes, attempts: int = 100) -> DataFrame:
-    """(kind, form, new) for distinct (kind, form) rows: no two of a kind share ``new``, and no ``new`` is a form.
+    """(kind, form, new, attempt) for distinct (kind, form) rows: no two of a kind share ``new``, and no ``new`` is a form.
 
     Each round draws for the rows still open; of equal draws the smallest form wins, the others and those
     that hit a form or an earlier surrogate draw again. Only open rows take part in further rounds.
@@ -254,10 +294,10 @@ def assign(entities: DataFrame, key: bytes, attempts: int = 100) -> DataFrame:
 
     todo, settled = entities.withColumn("attempt", F.lit(0)), []
     taken = entities.select(F.col("kind").alias("k"), F.col("form").alias("n"))
-    for _ in range(attempts):
+    for attempt in range(attempts):
         drawn = durable(todo.mapInArrow(generate, "kind string, form string, attempt int, new string"))
         free = drawn.join(taken, (F.col("kind") == F.col("k")) & (F.col("new") == F.col("n")), "left_anti")
-        won = durable(free.groupBy("kind", "new").agg(F.min("form").alias("form")).select("kind", "form", "new"))
+        won = durable(free.groupBy("kind", "new").agg(F.min("form").alias("form")).select("kind", "form", "new", F.lit(attempt).alias("attempt")))
         settled.append(won)
         todo = durable(drawn.join(won.select("kind", "form"), ["kind", "form"], "left_anti").select("kind", "form", (F.col("attempt") + 1).alias("attempt")))
         if todo.isEmpty():
@@ -269,32 +309,48 @@ def assign(entities: DataFrame, key: bytes, attempts: int = 100) -> DataFrame:
     raise ValueError("a kind of entity has fewer surrogates than entities")
 
 
-def replace(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def replace(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", most_again: int = 100_000) -> DataFrame:
     """(id, text, n_entities, kinds): one row per input row with every entity replaced.
 
     ``kinds`` lists the types found, sorted and joined by commas ('' for none). Texts without entities come
-    back as they are, null as null. Rows that share an id share one table of surrogates, which is harmless:
-    a text only uses those of its own entities. Null ids share one, too.
+    back as they are, null as null; null and repeated ids are rows like others.
+
+    A surrogate follows from the key, the entity and the number of draws, which is 0 unless draws met. If at
+    most ``most_again`` entities were drawn again (counted), that short list goes along and the texts are
+    rewritten where they are read; beyond it each text is joined with its own entities' draws.
     """
-    seen = durable(occurrences(df, id_col, text_col))
-    table = durable(assign(durable(seen.select("kind", "form").distinct()), key))
-    # an entity in very many texts meets one row of the table: adaptive execution splits that side
-    t = table.select(F.col("kind").alias("k"), F.col("form").alias("f"), "new")
-    own = seen.distinct().join(t, (F.col("kind") == F.col("k")) & (F.col("form") == F.col("f")))
-    own = own.groupBy(F.col("id").alias("of")).agg(F.collect_list(F.struct("kind", "form", "new")).alias("own"))
-    src = keyed_text(df, id_col, text_col)
-    rows = src.join(own, F.col("id").eqNullSafe(F.col("of")), "left").select("id", "text", "own")
-    schema = T.StructType([src.schema["id"], T.StructField("text", T.StringType()), T.StructField("n_entities", T.LongType()), T.StructField("kinds", T.StringType())])
+    seen = occurrences(df, id_col, text_col)
+    entities = durable(seen.select("kind", "form").distinct())
+    again = assign(entities, key).where("attempt > 0").select("kind", "form", "attempt")
+    again = durable(again)
+    short = again.limit(most_again + 1).count() <= most_again
+    draws = {(r["kind"], r["form"]): r["attempt"] for r in again.collect()} if short else {}
+    rows = keyed_text(df, id_col, text_col)
+    if short:
+        rows = rows.withColumn("own", F.lit(None).cast("array<struct<kind:string,form:string,attempt:int>>"))
+    else:
+        t = again.select(F.col("kind").alias("k"), F.col("form").alias("f"), "attempt")
+        # an entity in very many texts meets one row of the list: adaptive execution splits that side
+        own = seen.join(t, (F.col("kind") == F.col("k")) & (F.col("form") == F.col("f"))).dropDuplicates(["id", "kind", "form"])
+        own = own.groupBy(F.col("id").alias("of")).agg(F.collect_list(F.struct("kind", "form", "attempt")).alias("own"))
+        rows = rows.join(own, F.col("id").eqNullSafe(F.col("of")), "left").select("id", "text", "own")
+    schema = T.StructType([rows.schema["id"], T.StructField("text", T.StringType()), T.StructField("n_entities", T.LongType()), T.StructField("kinds", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        known: dict[tuple[str, str], str] = {}
+        for b in slices(batches, 1):
             out, count, kinds = [], [], []
             for text, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                hits = find(text) if own else []
-                new = {(o["kind"], o["form"]): o["new"] for o in own or ()}
+                hits = find(text) if text else []
+                more = {(o["kind"], o["form"]): o["attempt"] for o in own or ()}
                 at, parts = 0, []
                 for begin, end, kind, form in hits:
-                    parts += text[at:begin], render(kind, text[begin:end], new[kind, form])
+                    new = known.get((kind, form))
+                    if new is None:
+                        if len(known) >= 100_000:
+                            known.clear()
+                        new = known[kind, form] = surrogate(kind, form, more.get((kind, form)) or draws.get((kind, form), 0), key)
+                    parts += text[at:begin], render(kind, text[begin:end], new)
                     at = end
                 out.append("".join(parts) + text[at:] if hits else text)
                 count.append(len(hits))

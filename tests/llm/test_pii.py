@@ -36,12 +36,13 @@ def brute_table(texts):
     return table
 
 
-def test_replacements_equal_brute_force_and_are_distinct(spark):
+@pytest.mark.parametrize("most_again", [100_000, 0])  # 0: draws are joined to the texts
+def test_replacements_equal_brute_force_and_are_distinct(spark, most_again):
     texts = random_entities(1)
     table = brute_table(texts)
     assert len({(k, new) for (k, _), new in table.items()}) == len(table) and not {(k, new) for (k, _), new in table.items()} & table.keys()
     assert len(table) > 60
-    out = {r.id: r for r in P.replace(frame(spark, texts).repartition(5), KEY).collect()}
+    out = {r.id: r for r in P.replace(frame(spark, texts).repartition(5), KEY, most_again=most_again).collect()}
     for i, t in enumerate(texts):
         at, parts, hits = 0, [], P.find(t)
         for begin, end, kind, form in hits:
