@@ -1,19 +1,10 @@
-"""Renames, null-safe struct access, provenance stamps, flattening, name split."""
+"""Provenance stamps, null-safe flattening, defaults, name split."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def rename_project(df: DataFrame, mapping: dict[str, str | Column]) -> DataFrame:
-    """``SELECT src AS dst, ...`` where ``src`` may be a dotted struct path.
-
-    A NULL struct yields a NULL field (no error), as SQL struct access does.
-    """
-    return df.select(*[(F.col(src) if isinstance(src, str) else src).alias(dst)
-                       for dst, src in mapping.items()])
-
-
 def stamp_provenance(df: DataFrame, repo: Column | str | None = None, fetched_at: Column | str | None = None,
                      repo_col: str = "repository_full_name", fetched_col: str = "fetched_at") -> DataFrame:
     """Add the repository name and fetch time unless the record already carries them.

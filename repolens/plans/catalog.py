@@ -19,7 +19,7 @@ from .issues import clean_issues
 from .job import (BRONZE, BRONZE_TESTS, EXPORTED_MODELS, SILVER_TESTS, SOURCE_TESTS, data_tests, gold_models, run_job)
 from .legacy import enrich_pull_requests, enrich_releases, select_repositories
 from ..functions.nested import cap_nested, child_rows, field_names, nested_count, nested_to_json, topk_nested
-from ..operators.aggregates import row_count, top_k_groups
+from ..operators.aggregates import distinct_keys, row_count, top_k_groups
 from ..operators.filters import (allow_list, equals_folded, lacks_json_key, repository_filter, search_terms,
                                  state_filter)
 from ..operators.joins import existence_flag, fk_enrich, new_entities, semi_join
@@ -296,7 +296,7 @@ SUPPLIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
 def q_row_counts(spark, sf_dir):
     """Rows per supplied table, plus distinct repositories of the PR adapter."""
     parts = [row_count(ad.table(spark, sf_dir, t), t) for t in SUPPLIED_TABLES]
-    repos = _silver_prs(spark, sf_dir).select("repository").distinct()
+    repos = distinct_keys(_silver_prs(spark, sf_dir), ["repository"])
     parts.append(row_count(repos, "distinct_repositories"))
     out = parts[0]
     for p in parts[1:]:

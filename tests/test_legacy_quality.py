@@ -17,13 +17,13 @@ from repolens.schemas import GQL_PULL_REQUEST, GQL_RELEASE, GQL_REPOSITORY
 
 def repos(spark):
     rows = [
-        dict(databaseId=1, nameWithOwner="a/wallet", description="cardano wallet", stargazerCount=50,
-             isArchived=False, repositoryTopics={"nodes": [{"topic": {"name": "cardano"}}]}),
+        dict(databaseId=1, nameWithOwner="a/wallet", description="ledger wallet", stargazerCount=50,
+             isArchived=False, repositoryTopics={"nodes": [{"topic": {"name": "ledger"}}]}),
         dict(databaseId=2, nameWithOwner="b/wallet", description="a wallet", stargazerCount=40, isArchived=True,
-             repositoryTopics={"nodes": [{"topic": {"name": "cardano"}}]}),
+             repositoryTopics={"nodes": [{"topic": {"name": "ledger"}}]}),
         dict(databaseId=3, nameWithOwner="c/node", description="node", stargazerCount=30, isArchived=False,
-             repositoryTopics={"nodes": [{"topic": {"name": "cardano"}}, {"topic": {"name": "wallet"}}]}),
-        dict(databaseId=4, nameWithOwner="d/wallet", description="cardano wallet", stargazerCount=3,
+             repositoryTopics={"nodes": [{"topic": {"name": "ledger"}}, {"topic": {"name": "wallet"}}]}),
+        dict(databaseId=4, nameWithOwner="d/wallet", description="ledger wallet", stargazerCount=3,
              isArchived=False, repositoryTopics=None),
     ]
     return spark.createDataFrame(rows, GQL_REPOSITORY)
@@ -31,13 +31,13 @@ def repos(spark):
 
 def test_select_repositories_cap_before_skip(spark):
     existing = spark.createDataFrame([("a/wallet",)], "nameWithOwner string")
-    out = select_repositories(repos(spark), existing, "cardano wallet", max_repos=2)
+    out = select_repositories(repos(spark), existing, "ledger wallet", max_repos=2)
     # candidates (not archived, all terms in name/description/topics): a(50), c(30), d(3); cap 2 -> a, c;
     # a is already loaded but still used up the budget -> only c
     assert [r["nameWithOwner"] for r in out.collect()] == ["c/node"]
     r = out.collect()[0]
-    assert r["topics"] == ["cardano", "wallet"] and r["repo_database_id"] == 3
-    both = select_repositories(repos(spark), None, "cardano wallet", max_repos=None, include_archived=True,
+    assert r["topics"] == ["ledger", "wallet"] and r["repo_database_id"] == 3
+    both = select_repositories(repos(spark), None, "ledger wallet", max_repos=None, include_archived=True,
                                min_stars=10)
     assert sorted(r["nameWithOwner"] for r in both.collect()) == ["a/wallet", "b/wallet", "c/node"]
     assert select_repositories(repos(spark), None, max_repos=0).count() == 0      # 0 takes none
@@ -177,9 +177,9 @@ def test_run_legacy_job_one_pass(spark, tmpdir_path):
         with open(os.path.join(d, "p1.json"), "w") as f:
             json.dump(rows, f)
     land("gql_repositories", [
-        {"databaseId": 1, "nameWithOwner": "a/wallet", "description": "cardano wallet", "stargazerCount": 9,
-         "isArchived": False, "repositoryTopics": {"nodes": [{"topic": {"name": "cardano"}}]}},
-        {"databaseId": 2, "nameWithOwner": "b/wallet", "description": "cardano wallet", "stargazerCount": 5,
+        {"databaseId": 1, "nameWithOwner": "a/wallet", "description": "ledger wallet", "stargazerCount": 9,
+         "isArchived": False, "repositoryTopics": {"nodes": [{"topic": {"name": "ledger"}}]}},
+        {"databaseId": 2, "nameWithOwner": "b/wallet", "description": "ledger wallet", "stargazerCount": 5,
          "isArchived": True}])
     land("gql_pull_requests", [
         {"databaseId": 10, "number": 1, "title": "x", "repo": "a/wallet", "commits": {"totalCount": 2}},
@@ -187,12 +187,12 @@ def test_run_legacy_job_one_pass(spark, tmpdir_path):
     land("gql_releases", [{"databaseId": 20, "tagName": "v1", "repo": "a/wallet",
                            "releaseAssets": {"nodes": [{"name": "f"}]}}])
     wh = os.path.join(tmpdir_path, "wh")
-    counts = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="cardano wallet")
+    counts = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="ledger wallet")
     assert counts == {"repositories": 1, "pull_requests": 1, "releases": 1}
     pr = read_current(spark, os.path.join(wh, "pull_requests")).collect()[0]
     assert pr["repo_database_id"] == 1 and pr["commit_count"] == 2 and pr["collected_at"] is not None
     # second run: a/wallet is stored and skipped, nothing new to select; children still join to it
-    again = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="cardano wallet")
+    again = run_legacy_job(spark, os.path.join(tmpdir_path, "landing"), wh, search="ledger wallet")
     assert again == {"repositories": 1, "pull_requests": 1, "releases": 1}
 
 
