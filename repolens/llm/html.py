@@ -49,6 +49,7 @@ ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 WORDS = re.compile(r"[a-z]+")
 
 Weights = dict[str, float]
+WORD_CLASSES = {"word", "link word", "outside word"}
 
 
 def tokens(page: str) -> list[tuple[str, str]]:
@@ -100,39 +101,46 @@ def struck(seq: list[tuple[str, str]]) -> list[bool]:
     return out
 
 
-def label_span(seq: list[tuple[str, str]]) -> tuple[int, int] | None:
-    """Tokens of the page's only article (else only main) element; None for no label or an unclosed one."""
+def label_span(seq: list[tuple[str, str]], gone: list[bool]) -> tuple[int, int] | None:
+    """Tokens of the page's only article (else only main) element that isn't struck out; an unclosed one ends with the page."""
     for name in LABELS:
-        begins = [i for i, (k, _) in enumerate(seq) if k == "+" + name]
-        ends = [i for i, (k, _) in enumerate(seq) if k == "-" + name]
-        if len(begins) == len(ends) == 1 and begins[0] < ends[0]:
-            return begins[0], ends[0]
+        begins = [i for i, (k, _) in enumerate(seq) if k == "+" + name and not gone[i]]
+        ends = [i for i, (k, _) in enumerate(seq) if k == "-" + name and not gone[i]]
+        if len(begins) == 1 and len(ends) <= 1 and (not ends or begins[0] < ends[0]):
+            return begins[0], ends[0] if ends else len(seq)
     return None
 
 
+def word_class(i: int, span: tuple[int, int] | None, link: bool) -> str:
+    """What a word's score depends on: whether it lies outside the marked article, or in a link."""
+    return "outside word" if span and not span[0] < i < span[1] else "link word" if link else "word"
+
+
 def page_counts(page: str) -> Counter:
     """(name, inside) -> tokens of a labelled page; the label's own tags count as outside."""
     seq = tokens(page)
-    span = label_span(seq)
+    gone = struck(seq)
+    span = label_span(seq, gone)
     found: Counter = Counter()
     if span:
-        link = 0
-        for i, ((kind, text), gone) in enumerate(zip(seq, struck(seq))):
+        link = False
+        for i, (kind, text) in enumerate(seq):
             if kind in ("+a", "-a"):
                 link = kind == "+a"
-            if not gone:
-                found[kind[1:] if kind else "link word" if link else "word", span[0] < i < span[1]] += 1 if kind else len(text.split())
+            if not gone[i]:
+                found[kind[1:] if kind else word_class(i, span, link), span[0] < i < span[1]] += 1 if kind else len(text.split())
     return found
 
 
 def learn_weights(df: DataFrame, html_col: str = "html") -> Weights:
     """Token -> score from all labelled pages: grouped counts, one row per element name of HTML (others: 'other').
 
-    Tags cost TAG_COST and TAG_UNIT for each unit of log-odds of lying outside; words score their log-odds
-    of lying inside, within WORD_SCORE. Without labelled pages every tag costs TAG_COST.
+    Tags, and words outside the marked article of a page that has one, cost TAG_COST and TAG_UNIT for each
+    unit of log-odds of lying outside; other words score their log-odds of lying inside, within WORD_SCORE.
+    Without labelled pages every tag costs TAG_COST.
     """
     src = df.select(F.lit(0).alias("id"), F.col("`" + html_col + "`").cast("string").alias("text"))
-    known = BLOCKS | SPACES | VOID | STRUCK_TAGS | frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output progress q ruby rp rt s samp small span strike strong sub sup time tt u var word link".split()) | {"link word"}
+    known = BLOCKS | SPACES | VOID | STRUCK_TAGS | frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output progress q ruby rp rt s samp small span strike strong sub sup time tt u var".split()) | WORD_CLASSES
 
     def run(batches):
         for b in batches:
@@ -153,7 +161,7 @@ def learn_weights(df: DataFrame, html_col: str = "html") -> Weights:
     out: Weights = {}
     for name, i, o in counts.collect():  # at most one row for each name in ``known``
         odds = math.log((i + 1) / (o + 1))
-        out[name] = min(max(odds, WORD_SCORE[0]), WORD_SCORE[1]) if "word" in name else -TAG_COST + TAG_UNIT * min(odds, 0.0)
+        out[name] = min(max(odds, WORD_SCORE[0]), WORD_SCORE[1]) if name in ("word", "link word") else -TAG_COST + TAG_UNIT * min(odds, 0.0)
     return out
 
 
@@ -174,9 +182,10 @@ def main_text(page: str, weights: Weights) -> str:
     """Blocks of the best run, white space inside as one blank, joined by line feeds."""
     seq = tokens(page)
     gone = struck(seq)
-    plain, link_word = weights.get("word", 1.0), weights.get("link word", 0.5)
+    span = label_span(seq, gone)
+    usual = {"word": 1.0, "link word": 0.5, "outside word": -TAG_UNIT}
     scores, link = [], False
-    for (kind, text), g in zip(seq, gone):
+    for i, ((kind, text), g) in enumerate(zip(seq, gone)):
         if kind in ("+a", "-a"):
             link = kind == "+a"
         if g:
@@ -184,7 +193,8 @@ def main_text(page: str, weights: Weights) -> str:
         elif kind:
             scores.append(weights.get(kind[1:], weights.get("other", -TAG_COST)))
         else:
-            scores.append(len(text.split()) * (link_word if link else plain))
+            name = word_class(i, span, link)
+            scores.append(len(text.split()) * weights.get(name, usual[name]))
     begin, end = best_run(scores)
     blocks, now = [], []
     for i in range(begin, end):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import col, keyed_text, slices, texts_of
+from repolens.llm.common import col, durable, keyed_text, slices, texts_of
 
 #: At most so many labelled documents are learnt from (by the order of a hash of their ids), and so many terms kept.
 FIT_ROWS, MAX_TERMS = 20_000, 20_000
@@ -142,7 +142,7 @@ def log_odds(table: DataFrame, d1: int, d0: int) -> DataFrame:
     return table.select("term", (odds - BOUND * deviation).alias("odds"), (odds / deviation).alias("z"))
 
 
-def chance_law(words: int, scores: Counter, totals: list[tuple[int, float]]) -> tuple[float, float]:
+def chance_law(words: int, scores: dict[float, int], totals: list[tuple[int, float]]) -> tuple[float, float]:
     """(lambda, K): lambda solves sum p(s) exp(lambda s) = 1 over clean words, K matches the clean segments seen.
 
     ``scores``: clean words by score (to a tenth), ``totals``: (words of the text, best segment or 0).
@@ -179,20 +179,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
-def _features(sample: DataFrame, model: Model) -> DataFrame:
+def _clean_texts(sample: DataFrame, model: Model) -> DataFrame:
+    """(n, top, hits): words, best segment and term scores of each text."""
     def run(batches):
-        for b in batches:
-            rows = []
-            for _, texts in texts_of(b.column(0)):
-                for t in texts:
-                    t = t.decode("utf-8", "replace")
-                    n, hits = model.hits(t)
-                    top = max((s for _, _, s in segments(hits)), default=0.0)
-                    rows.append((n, top, [s for _, s in hits]))
-            n, top, hit = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(n, pa.int64()), pa.array(top, pa.float64()), pa.array(hit, pa.list_(pa.float64()))], names=["toxic", "part", "n", "top", "hits"])
+        for b in slices(batches, 0):
+            found = [model.hits(t.decode("utf-8", "replace")) for _, texts in texts_of(b.column(0)) for t in texts]
+            top = [max((s for _, _, s in segments(h)), default=0.0) for _, h in found]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in found], pa.int64()), pa.array(top, pa.float64()),
+                                              pa.array([[s for _, s in h] for _, h in found], pa.list_(pa.float64()))], names=["n", "top", "hits"])
 
-    return sample.select("text", "toxic", "part").mapInArrow(run, "toxic int, part long, n long, top double, hits array<double>")
+    return sample.select("text").mapInArrow(run, "n long, top double, hits array<double>")
 
 
 def _points(sample: DataFrame, model: Model) -> list:
@@ -224,9 +220,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return base
     found = log_odds(term_table(rows.where("part != 0")), d1, d0).where((F.col("z") >= LEAST_Z) & (F.col("odds") > 0))
     model = Model(terms={r["term"]: r["odds"] for r in found.orderBy(F.desc("z"), "term").limit(max_terms).collect()})
-    clean = _features(rows.where("part = 0 and toxic != 1"), model).collect()
-    scores = Counter(round(s, 1) for r in clean for s in r["hits"])
-    model.rate, model.k = chance_law(sum(r["n"] for r in clean), scores, [(r["n"], r["top"]) for r in clean])
+    clean = durable(_clean_texts(rows.where("part = 0 and toxic != 1"), model))
+    hits = clean.select(F.explode("hits").alias("s")).groupBy(F.round("s", 1).alias("s")).count().collect()  # a row for each tenth
+    best = clean.select("n", "top").collect()
+    model.rate, model.k = chance_law(sum(r["n"] for r in best), {r["s"]: r["count"] for r in hits}, [(r["n"], r["top"]) for r in best])
     points = _points(rows.where("part = 0"), model)
     y = np.array([r["toxic"] == 1 for r in points], float)
     if not 0 < y.sum() < len(y):

@@ -55,6 +55,12 @@ def test_broken_pages(weights):
     assert H.main_text("<article><p>a &lt;p&gt; b &#233;&eacute;</p></article>", weights) == "a <p> b éé"
 
 
+def test_a_short_article_beats_longer_text_outside(weights):
+    page = "<body><div><p>" + "welcome to this place " * 50 + "</p></div>" + article(9) + "<div>" + "more to read " * 50 + "</div></body>"
+    assert H.main_text(page, weights) == H.main_text(page, {}) == expected(9)
+    assert H.main_text(page.replace("article", "main"), weights) == expected(9)
+
+
 def test_best_run_is_maximal():
     import random
     rng = random.Random(3)
