@@ -39,7 +39,9 @@ SORT_BYTES = 2 << 20
 PLACE_BITS = 23
 _M, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _BYTE = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ (np.arange(256, dtype=np.uint64) << np.uint64(29))
-KEEP, GONE = 0, 1
+KEEP, GONE, APART = 0, 1, 2
+#: A gram in more surroundings than this has its strings dealt out one by one, by their content.
+MOST_TOGETHER = 4096
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -101,13 +103,13 @@ def anchors(data: np.ndarray, at: np.ndarray):
 
 
 def packed(place, left, n, kind):
-    return place << 17 | left << 9 | n << 1 | kind
+    return place << 18 | left << 10 | n << 2 | kind
 
 
 def unpacked(code: np.ndarray):
     """(first string start, end of the last string, anchor's place, strings, kind)."""
-    place, left, n = code >> 17, code >> 9 & 255, code >> 1 & 255
-    return place - left, place - left + n + LENGTH - 1, place, n, code & 1
+    place, left, n = code >> 18, code >> 10 & 255, code >> 2 & 255
+    return place - left, place - left + n + LENGTH - 1, place, n, code & 3
 
 
 def repeats_marked(h: np.ndarray, c: np.ndarray, doc: np.ndarray, code: np.ndarray):
@@ -144,20 +146,22 @@ def anchor_rows(src: DataFrame) -> DataFrame:
 
 
 def gram_marks(rows: DataFrame) -> DataFrame:
-    """(id, code): GONE spans, and as KEEP the anchors whose strings have to be sorted."""
+    """(id, code): GONE spans, and as KEEP or APART the anchors whose strings have to be sorted."""
     def run(batches):
         held = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
         if not held:
             return
         h, c, doc, code = (np.concatenate(x) for x in zip(*held))
         del held
-        gone = (code & 1) == GONE
+        gone = (code & 3) == GONE
         out = [(doc[gone], code[gone])]
         h, c, doc, code, new_h, new_c = repeats_marked(*(x[~gone] for x in (h, c, doc, code)))
         if len(h):
             gram = np.cumsum(new_h) - 1
-            several = new_c & (np.bincount(gram[new_c])[gram] > 1)
-            out += [(doc[~new_c], code[~new_c] | GONE), (doc[several], code[several])]
+            kinds = np.bincount(gram[new_c])[gram]
+            several = new_c & (kinds > 1)
+            code = code | np.where(kinds > MOST_TOGETHER, APART, KEEP)
+            out += [(doc[~new_c], code[~new_c] & ~3 | GONE), (doc[several], code[several])]
         doc, code = (np.concatenate(x) for x in zip(*out))
         for at in range(0, len(doc), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(doc[at:at + (1 << 16)]), pa.array(code[at:at + (1 << 16)])], names=["id", "code"])
@@ -166,27 +170,52 @@ def gram_marks(rows: DataFrame) -> DataFrame:
 
 
 def surroundings(rows: DataFrame) -> DataFrame:
-    """(h, id, start, left, text): the bytes of the anchors to be sorted; rows are (id, text, codes)."""
+    """(h, id, start, left, text): the bytes of the anchors to be sorted; rows are (id, text, codes).
+
+    The strings of an APART anchor are rows of their own, with a hash of the string as h: a passage that
+    very many documents share then meets in as many tasks as it has strings, once per run of texts. A
+    repeat within the run is known to be one at once: left is minus the bytes gone, and text is empty.
+    """
     names = ["h", "id", "start", "left", "text"]
 
+    def apart(doc: int, text: bytes, begin: int, place: int, n: int, seen: set[bytes], out: list) -> None:
+        run = 0
+        for k in range(begin, begin + n + 1):
+            s = text[k:k + LENGTH] if k < begin + n else b""
+            if s and s in seen:
+                run += 1
+                continue
+            if run:
+                out.append((doc * 31 + k, doc, k - run, -(run + LENGTH - 1), b""))
+                run = 0
+            if s:
+                seen.add(s)
+                out.append((xxhash.xxh3_64_intdigest(s) - (1 << 63), doc, k, place - k, s))
+
     def run(batches):
         with np.errstate(over="ignore"):
             for b in slices(batches, 1):
-                out = [[], [], [], [], []]
-                for i, codes in enumerate(b.column(2).to_pylist()):
-                    code = np.array(codes or (), np.int64)
-                    begin, end, place, _, _ = unpacked(code[(code & 1) == KEEP])
-                    if not len(begin):
+                out: list[tuple] = []
+                seen: set[bytes] = set()
+                held = b.column(2).to_pylist()
+                for i in np.argsort(b.column(0).to_numpy()).tolist():  # the earlier of two documents comes first
+                    code = np.array(held[i] or (), np.int64)
+                    code = code[(code & 3) != GONE]
+                    if not len(code):
                         continue
                     doc, text = b.column(0)[i].as_py(), b.column(1)[i].as_py().encode("utf-8")
+                    begin, end, place, n, kind = unpacked(code)
                     grams = np.frombuffer(b"".join(text[p:p + GRAM] for p in place.tolist()), np.uint8)
-                    out[0].append(gram_hashes(grams)[::GRAM].view(np.int64))
-                    out[1].append(np.full(len(begin), doc))
-                    out[2].append(begin)
-                    out[3].append(place - begin)
-                    out[4] += [text[x:y] for x, y in zip(begin.tolist(), end.tolist())]
-                if out[4]:
-                    yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x), pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary())], names=names)
+                    h = gram_hashes(grams)[::GRAM].view(np.int64)
+                    order = np.argsort(begin)  # the earlier of two strings of a document comes first
+                    for k in order.tolist():
+                        if kind[k] == APART:
+                            apart(doc, text, int(begin[k]), int(place[k]), int(n[k]), seen, out)
+                        else:
+                            out.append((int(h[k]), doc, int(begin[k]), int(place[k] - begin[k]), text[begin[k]:end[k]]))
+                if out:
+                    cols = list(zip(*out))
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())], names=names)
 
     return rows.mapInArrow(run, "h long, id long, start long, left long, text binary")
 
@@ -315,7 +344,12 @@ def deep_shallow_sort(data: np.ndarray, start: np.ndarray, group: np.ndarray, le
 def sorted_marks(rows: DataFrame) -> DataFrame:
     """(id, span): spans (start << 9 | bytes) of strings that an earlier one equals."""
     def marks(cols):
-        h, doc, first, left, text = cols
+        known = cols[3] < 0
+        spans = cols[1][known], cols[2][known] << 9 | -cols[3][known]
+        h, doc, first, left = (c[~known] for c in cols[:4])
+        text = [t for t in cols[4] if t]
+        if not text:
+            return spans
         size = np.fromiter(map(len, text), np.int64, len(text))
         data = np.frombuffer(b"".join(text), np.uint8)
         n = size - LENGTH + 1
@@ -332,7 +366,7 @@ def sorted_marks(rows: DataFrame) -> DataFrame:
         edge = np.flatnonzero(gone[:-1] & np.concatenate(([True], ~gone[:-2] | (row[1:] != row[:-1]))))
         stop = np.flatnonzero(gone[:-1] & np.concatenate((~gone[1:-1] | (row[1:] != row[:-1]), [True])))
         r = row[edge]
-        return doc[r], (first[r] + k[edge]) << 9 | (k[stop] - k[edge] + LENGTH)
+        return tuple(np.concatenate(x) for x in zip(spans, (doc[r], (first[r] + k[edge]) << 9 | (k[stop] - k[edge] + LENGTH))))
 
     def run(batches):
         held, size = [], 0

@@ -116,3 +116,14 @@ def test_kept_text(spark):
     df = spark.createDataFrame([(1, text + " end of one"), (2, "begin " + text)], "doc_id long, text string")
     rows = {r.id: r for r in S.remove_repeats(df, kept_text=True).collect()}
     assert rows[1].kept.decode() == text + " end of one" and rows[2].kept == b"begin " and (rows[2].begins, rows[2].ends) == ([6], [6 + len(text)])
+
+
+@pytest.mark.parametrize("most", [0, 3])  # 0: every gram in several surroundings is dealt out by strings
+def test_strings_dealt_apart(spark, monkeypatch, most):
+    monkeypatch.setattr(S, "MOST_TOGETHER", most)
+    rng = random.Random(7)
+    passage = " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(30))
+    texts = shared_texts(1) + [f"{rng.random()} {passage} {rng.random()}" for _ in range(50)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "doc_id long, text string").repartition(5)
+    assert sorted(result(df)) == brute(rows)
