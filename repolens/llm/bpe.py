@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from repolens.llm.common import col, keyed_text, texts_of
 
 #: Words whose tokens a worker remembers; beyond it the older half is forgotten and encoded anew.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 320_000
 ID_BITS = 24
 ID_MASK = (1 << ID_BITS) - 1
 TEXT_BYTES = 1 << 20

@@ -19,7 +19,7 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 TO_BLANK = bytes(0x20 if IS_SPACE[i] else i for i in range(256))
 BLANKS = re.compile(rb" {2,}")
 #: Bytes of text handled by one vectorised step; bounds the temporaries, never what is read.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def col(name: str) -> Column:
