@@ -355,9 +355,9 @@ def q_newest_first(spark, sf_dir):
     return first_n(o, [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").desc_nulls_last()], 100)
 
 
-def _land(df: DataFrame, place: str, entity: str, repo: str = "repository_full_name") -> None:
-    """JSON Lines pages per repository, as Spark's writer lands them."""
-    (df.withColumn("repo", F.regexp_replace(repo, "/", "__"))
+def _land(df: DataFrame, place: str, entity: str, repo=None) -> None:
+    """JSON Lines pages per repository, as Spark's writer lands them; ``repo`` lands all in one folder."""
+    (df.withColumn("repo", F.lit(repo) if repo else F.regexp_replace("repository_full_name", "/", "__"))
        .write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").option("ignoreNullFields", "false")
        .partitionBy("repo").mode("append").json(f"{place}/entity={entity}"))
 
@@ -438,7 +438,7 @@ def q_job_tables(spark, sf_dir):
     raw = _raw_tables(spark, sf_dir)
     _land(raw["pull_requests"], f"{place}/landing", "pull_requests")
     _land(raw["releases"], f"{place}/landing", "releases")
-    _land(raw["repositories"], f"{place}/landing", "repositories", "full_name")
+    _land(raw["repositories"], f"{place}/landing", "repositories", "cust__all")
     done = run_job(spark, f"{place}/landing", f"{place}/warehouse", **_PR_GOLD)
     if odd := {k: v for k, v in done["gold"].items() if not isinstance(v, int)}:
         raise RuntimeError(str(odd))
