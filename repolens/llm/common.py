@@ -141,7 +141,7 @@ def union_forest(a, b, parent: dict) -> None:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a long, b long); root is the smallest node it reaches.
+    """(node, root) for every node of ``edges`` (a, b: of one orderable type); root is the smallest node it reaches.
 
     Alternating large-star and small-star contraction: each round is two grouped minima and two joins,
     cut by a checkpoint, and the number of rounds grows with the logarithm of the longest chain. No node's
@@ -150,14 +150,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     def star(links: DataFrame) -> DataFrame:
         return links.groupBy("a").agg(F.min("b").alias("low"))
 
+    def with_low(links: DataFrame, low: DataFrame) -> DataFrame:
+        # by a struct of the key: both sides are dealt anew, so adaptive execution may split a hub's rows
+        low = low.select(F.struct("a").alias("hub"), "low")
+        return links.join(low, F.struct(links["a"]) == low["hub"]).drop("hub")
+
     now = durable(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.join(low, "a").where("b >= a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        large = with_low(both, low).where("b >= a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         low = star(large)
-        small = large.join(low, "a")
+        small = with_low(large, low)
         now = durable(small.select(F.greatest("b", "low").alias("a"), F.least("b", "low").alias("b"))
                       .union(small.select("a", F.col("low").alias("b"))).distinct())
         was, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

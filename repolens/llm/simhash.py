@@ -234,13 +234,20 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """
     known = durable(fingerprints(df, id_col, text_col, shingle))
     nodes = durable(known.groupBy("fp").agg(F.min("id").alias("low")))
-    roots = connected_components(cell_links(nodes, most))
-    r = roots.select(F.col("node").alias("n"), "root")
-    named = nodes.join(r, nodes["fp"] == r["n"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = named.join(least, "root").select(F.col("fp").alias("f"), "component_id")
-    # a hot fingerprint's rows meet one row of ``label``: adaptive execution splits that side of the join
-    return known.join(label, known["fp"] == label["f"]).select("id", "fp", "component_id")
+    # nodes that carry their smallest id order by it, so a component's root names the component
+    node = F.struct(F.col("low").isNull().alias("none"), F.col("low").alias("low"), F.col("fp").alias("fp"))
+    carried = nodes.select(F.col("fp").alias("f"), node.alias("node"))
+    edges = cell_links(nodes, most)
+    for end in ("a", "b"):
+        edges = edges.join(carried, edges[end] == carried["f"]).withColumn(end, F.col("node")).drop("f", "node")
+    roots = connected_components(edges)
+    r = roots.select(F.col("node.fp").alias("f"), F.col("root.low").alias("root_low"))
+    # a hot fingerprint's rows meet one row of ``label``. Adaptive execution splits them only if both sides of
+    # the join are dealt anew; ``of`` is an expression, so the dealing by fp so far isn't taken over
+    label = nodes.join(r, nodes["fp"] == r["f"], "left").select(
+        F.col("fp").bitwiseXOR(F.lit(0).cast("long")).alias("of"),
+        F.when(F.col("f").isNotNull(), F.col("root_low")).otherwise(F.col("low")).alias("component_id"))
+    return known.join(label, known["fp"] == label["of"]).select("id", "fp", "component_id")
 
 
 def fp_hex(c: str = "fp"):
