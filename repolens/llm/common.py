@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +27,45 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def without(df: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id is not in the one column of ``gone``; null ids match null ids."""
-    gone = gone.toDF("dropped_id")
-    return df.join(gone, df["`" + id_col.replace("`", "``") + "`"].eqNullSafe(gone["dropped_id"]), "left_anti")
+def one_per_group(df: DataFrame, text_col: str, id_col: str, tags: Callable[[list[bytes]], pa.Array], groups: DataFrame) -> DataFrame:
+    """One row of ``df`` for each group, with its own columns: rows are told apart by id and tag, never by id alone.
+
+    ``tags`` gives the tag of each text of a run. ``groups`` has one row (id, tag, grp, kept) per row of ``df``;
+    a tag lies in one group, and the ``kept`` rows of a group share one id, null included. If several rows of a
+    group are kept, that of the smallest tag stays, then that of the smallest JSON text of all its columns.
+    """
+    groups = durable(groups.select("id", "tag", "grp", "kept"))
+    again = durable(groups.where("kept").groupBy("grp").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("tag").alias("tag")).where("n > 1"))
+    gone = groups.where("not kept").select("id", "tag")
+    name = "row_tag"
+    while name in map(str.lower, df.columns):
+        name += "_"
+    at, src = df.columns.index(text_col), df
+    if not isinstance(df.schema[at].dataType, T.StringType):
+        at, src = len(df.columns), df.withColumn(name, col(text_col).cast("string"))
+    own = df.columns
+    schema = T.StructType([*df.schema.fields, T.StructField(name, groups.schema["tag"].dataType)])
+
+    def tag(batches):
+        for b in batches:
+            found = [tags(texts) for _, texts in texts_of(b.column(at))]
+            if found:
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(own)], pa.concat_arrays(found)], names=schema.names)
+
+    rows = src.mapInArrow(tag, schema)
+
+    def match(marks: DataFrame, how: str) -> DataFrame:
+        marks = marks.select(F.col("id").alias("marked_id"), F.col("tag").alias("marked_tag")).distinct()
+        return rows.join(marks, rows[f"`{name}`"].eqNullSafe(marks["marked_tag"])
+                         & rows["`" + id_col.replace("`", "``") + "`"].eqNullSafe(marks["marked_id"]), how)
+
+    if again.isEmpty():
+        return match(gone, "left_anti").select(*map(col, own))
+    more = groups.where("kept").join(again.select(F.col("grp").alias("g")), F.col("grp").eqNullSafe(F.col("g")), "left_semi")
+    alone = match(gone.union(more.select("id", "tag")), "left_anti").select(*map(col, own))
+    whole = F.struct(*map(col, own))
+    first = match(again, "left_semi").groupBy(col(id_col), col(name)).agg(F.min_by(whole, F.to_json(whole)).alias("one"))
+    return alone.union(first.select("one.*"))
 
 
 def keyed_text(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import durable, keyed_text, one_blank, texts_of, without
+from repolens.llm.common import durable, keyed_text, one_blank, one_per_group, texts_of
 
 KEY_BYTES = 16
 MEAN_CHUNK, LEAST_CHUNK, MOST_CHUNK = 2048, 512, 16384
@@ -130,7 +130,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts are equal when identical after each white-space run is one blank; null counts as empty. The
     smallest id of a group stays; a null id stays only where no row of the group has an id. Rows that
-    repeat an id and a text are alike in every column, so they stay or go together. No rows give none.
+    repeat an id and a text are alike here, so ``kept`` holds for all or none; ``exact_dedup`` keeps one of
+    them. No rows give none.
     """
     known = durable(recipes(df, id_col, text_col, key_bytes))
     unclear = durable(ambiguous_chunks(df, id_col, text_col, key_bytes))
@@ -151,5 +152,9 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with its own columns."""
-    return without(df, id_col, exact_groups(df, id_col, text_col).where("not kept").select("id"))
+    """One row of ``df`` for each distinct text, with its own columns: that of the smallest id, a null id if there is no other."""
+    def tags(texts):
+        return pa.array([hashlib.sha256(one_blank(t)).hexdigest() for t in texts], pa.string())
+
+    groups = exact_groups(df, id_col, text_col).withColumnRenamed("text_sha256", "tag")
+    return one_per_group(df, text_col, id_col, tags, groups.withColumn("grp", F.col("tag")))

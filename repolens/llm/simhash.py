@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from repolens.llm.common import connected_components, durable, keyed_text, texts_of, union_forest, without
+from repolens.llm.common import connected_components, durable, keyed_text, one_per_group, texts_of, union_forest
 
 SEED = 42
 ODD = np.uint64(0x5555555555555555)
@@ -67,6 +67,13 @@ def majority(digests: bytes, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def fingerprints_of(texts: list[bytes], shingle: int) -> np.ndarray:
+    """The fingerprints of a run of texts, as signed longs."""
+    digests = [shingle_digests(t, shingle) for t in texts]
+    counts = np.fromiter(map(len, digests), np.int64, len(digests))
+    return majority(b"".join(x for d in digests for x in d), counts).view(np.int64)
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
     """(id, fp): the 64-bit fingerprint of each whole text as a signed long; no words give 0."""
     src = keyed_text(df, id_col, text_col)
@@ -74,12 +81,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         for b in batches:
-            found = []
-            for _, texts in texts_of(b.column(1)):
-                digests = [shingle_digests(t, shingle) for t in texts]
-                counts = np.fromiter(map(len, digests), np.int64, len(digests))
-                found.append(majority(b"".join(x for d in digests for x in d), counts))
-            fp = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+            found = [fingerprints_of(texts, shingle) for _, texts in texts_of(b.column(1))]
+            fp = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=schema.names)
 
     return src.mapInArrow(run, schema)
@@ -232,6 +235,11 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     (null if there is no other). Texts without words share fingerprint 0, which links like any other.
     Equal fingerprints are one node, so copies in any number cost one row; repeated rows are alike.
     """
+    return components(df, id_col, text_col, shingle, most).select("id", "fp", "component_id")
+
+
+def components(df: DataFrame, id_col: str, text_col: str, shingle: int, most: int) -> DataFrame:
+    """(id, fp, component_id, root_fp): ``near_groups`` with a fingerprint that names the component, null ids or not."""
     known = durable(fingerprints(df, id_col, text_col, shingle))
     nodes = durable(known.groupBy("fp").agg(F.min("id").alias("low")))
     # nodes that carry their smallest id order by it, so a component's root names the component
@@ -241,13 +249,14 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     for end in ("a", "b"):
         edges = edges.join(carried, edges[end] == carried["f"]).withColumn(end, F.col("node")).drop("f", "node")
     roots = connected_components(edges)
-    r = roots.select(F.col("node.fp").alias("f"), F.col("root.low").alias("root_low"))
+    r = roots.select(F.col("node.fp").alias("f"), F.col("root.low").alias("root_low"), F.col("root.fp").alias("root_of"))
     # a hot fingerprint's rows meet one row of ``label``. Adaptive execution splits them only if both sides of
     # the join are dealt anew; ``of`` is an expression, so the dealing by fp so far isn't taken over
     label = nodes.join(r, nodes["fp"] == r["f"], "left").select(
         F.col("fp").bitwiseXOR(F.lit(0).cast("long")).alias("of"),
-        F.when(F.col("f").isNotNull(), F.col("root_low")).otherwise(F.col("low")).alias("component_id"))
-    return known.join(label, known["fp"] == label["of"]).select("id", "fp", "component_id")
+        F.when(F.col("f").isNotNull(), F.col("root_low")).otherwise(F.col("low")).alias("component_id"),
+        F.coalesce("root_of", "fp").alias("root_fp"))
+    return known.join(label, known["fp"] == label["of"]).select("id", "fp", "component_id", "root_fp")
 
 
 def fp_hex(c: str = "fp"):
@@ -255,6 +264,10 @@ def fp_hex(c: str = "fp"):
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, most: int = 4) -> DataFrame:
-    """The rows of ``df`` whose id is their group's component_id, with its own columns."""
-    groups = near_groups(df, id_col, text_col, shingle, most)
-    return without(df, id_col, groups.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id"))
+    """One row of ``df`` for each component, with its own columns: that of the smallest id, a null id if there is no other."""
+    def tags(texts):
+        return pa.array(fingerprints_of(texts, shingle))
+
+    groups = components(df, id_col, text_col, shingle, most).select(
+        "id", F.col("fp").alias("tag"), F.col("root_fp").alias("grp"), F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return one_per_group(df, text_col, id_col, tags, groups)

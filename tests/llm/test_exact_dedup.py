@@ -67,3 +67,17 @@ def test_dedup_keeps_columns(spark):
 def test_ids_of_another_type(spark):
     df = frame(spark, ["a b", "a  b", "c"]).selectExpr("concat('k', doc_id) AS doc_id", "text")
     assert {(r.id, r.keep_id) for r in D.exact_groups(df).collect()} == {("k0", "k0"), ("k1", "k0"), ("k2", "k2")}
+
+
+def test_dedup_keeps_one_row_of_each_text(spark):
+    one = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    odd_ids = [(None, "a copy"), (2, "a copy"), (None, "alone"), (7, "text A"), (9, "text  A"), (3, "text B"), (7, "text B"),
+               (None, "no ids"), (None, "no ids"), (None, "no\tids"), (5, "twice"), (5, "twice")]
+    for rows in (odd_ids, [r[:2] for r in odd_rows()]):
+        best = {}
+        for i, t in rows:
+            known = best.get(one(t))
+            best[one(t)] = i if known is None else known if i is None else min(i, known)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = [(one(r.text), r.doc_id) for r in D.exact_dedup(df).collect()]
+        assert sorted(got, key=str) == sorted(best.items(), key=str)

@@ -117,3 +117,23 @@ def test_empty_table_and_columns(spark):
     assert S.near_groups(empty(spark)).collect() == []
     df = odd(spark)
     assert S.near_dedup(df).schema.names == df.schema.names
+
+
+def test_dedup_keeps_one_row_of_each_component(spark):
+    a, b, c, d = (prose(random.Random(n), 200) for n in range(4))
+    odd_ids = [(None, a), (2, a), (None, b), (7, c), (9, c), (3, d), (7, d), (None, "no ids"), (None, "no ids"), (5, "twice at"), (5, "twice at")]
+    for rows in (odd_ids, [r[:2] for r in odd_rows()]):
+        fps = sorted({fingerprint(t) for _, t in rows})
+        part = {f: f for f in fps}
+        for f in fps:
+            for g in fps:
+                if (f ^ g).bit_count() <= 4:
+                    old, new = part[f], part[g]
+                    part = {x: new if p == old else p for x, p in part.items()}
+        best = {}
+        for i, t in rows:
+            known = best.get(part[fingerprint(t)])
+            best[part[fingerprint(t)]] = i if known is None else known if i is None else min(i, known)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = [(part[fingerprint(r.text)], r.doc_id) for r in S.near_dedup(df).collect()]
+        assert sorted(got, key=str) == sorted(best.items(), key=str)
