@@ -15,6 +15,7 @@ import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,6 +65,9 @@ ASSIGNED_WORDS = ("key", "token", "secret", "passw", "pwd")
 #: Characters looked at on either side of a digit or @, then on to the next white space.
 MARGIN = 80
 
+#: Draws that keep an entity's shape; later ones come from a space that grows with each draw, so no kind runs out.
+SHAPED = 8
+
 Entity = tuple[int, int, str, str]  # begin, end, type, canonical form
 
 
@@ -209,22 +213,30 @@ def script_of(text: str) -> str:
 
 
 def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
-    """The canonical form of the replacement; attempts differ from each other."""
+    """The canonical form of the replacement; attempts differ from each other.
+
+    From attempt SHAPED on it is longer by a character a draw (digits for numbers, hexadecimal pairs for MACs,
+    letters for the rest); an IPv4 address comes from 10.0.0.0/8, then from the private IPv6 range. A secret without letters
+    or digits becomes letters.
+    """
     d = Draw(key, kind, form, str(attempt))
+    wider = max(0, attempt - SHAPED + 1)
     if kind == "email":
         local, _, domain = form.partition("@")
         name, dot, top = domain.rpartition(".")
-        return d.shape(local) + "@" + Draw(key, "domain", domain, "0").shape(name) + dot + top
+        return d.shape(local + "x" * wider) + "@" + Draw(key, "domain", domain, "0").shape(name) + dot + top
     if kind in ("card", "ssn", "phone"):
-        out = (form[0] if kind == "card" else str(1 + d.below(9)) if form[0] != "0" else "0") + d.shape("0" * (len(form) - 1))
+        out = (form[0] if kind == "card" else str(1 + d.below(9)) if form[0] != "0" else "0") + d.shape("0" * (len(form) - 1 + wider))
         if kind == "card":
             out = next(x for i in range(10) if luhn(x := out[:-1] + str((int(out[-1]) + i) % 10)) == luhn(form))
         return out
     if kind == "iban":
-        body = d.shape(form[4:])
+        body = d.shape(form[4:] + "0" * wider)
         return f"{form[:2]}{98 - iban_rest(form[:2] + '00' + body):02d}{body}"
     if kind == "ipv4":
-        old = ipaddress.ip_address(form)
+        if wider > SHAPED:
+            return str(ipaddress.ip_address((0xFD << 120) | d.below(1 << 120)))
+        old = ipaddress.ip_address("10.0.0.0" if wider else form)
         for net in ("10.0.0.0/8", "192.168.0.0/16", "172.16.0.0/12", "127.0.0.0/8", "169.254.0.0/16"):
             if old in (n := ipaddress.ip_network(net)):
                 return str(n[1 + d.below(n.num_addresses - 2)])
@@ -238,14 +250,19 @@ def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
         s = script_of(form)
         end = d.pick(ENDINGS[s, None if kind == "surname" else kind])
         kept = next((e for e in ("ova", "eva", "ов", "ова", "ев", "ева") if kind == "surname" and form.endswith(e)), end)
-        return "".join(d.pick(SYLLABLES[s]) for _ in range(2 + min(attempt, 6))) + kept
+        return "".join(d.pick(SYLLABLES[s]) for _ in range(2 + attempt)) + kept
     mark = next((m for m in MARKS if kind == "secret" and form.startswith(m)), "")
     form = form[len(mark):]
+    if kind == "mac" and wider:
+        return ":".join(f"{d.below(256):02x}" for _ in range(6 + wider))
+    if not any(c.isdecimal() or c.isalpha() for c in form):
+        form = "x" * len(form)
+    form += "x" * wider
     return mark + d.shape(form, kind == "mac" or re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", form) is not None)
 
 
 def render(kind: str, old: str, new: str) -> str:
-    """The replacement in the layout, script and case of what stood there."""
+    """The replacement in the layout, script and case of what stood there; what is longer goes on at its end."""
     if kind in ("card", "ssn", "phone"):
         keep, left = country_digits(old) if kind == "phone" else 0, iter(new)
         out = []
@@ -254,10 +271,10 @@ def render(kind: str, old: str, new: str) -> str:
                 keep -= 1
                 c = c if keep >= 0 else chr(ord(c) - unicodedata.decimal(c) + int(next(left, "0")))
             out.append(c)
-        return "".join(out)
+        return "".join(out) + "".join(left)
     if kind == "iban":
         left = iter(new)
-        return "".join(c if c == " " else next(left) for c in old)
+        return "".join(c if c == " " else next(left) for c in old) + "".join(left)
     if kind in ("male", "female", "surname"):
         return new.upper() if old.isupper() and len(old) > 1 else new[:1].upper() + new[1:] if old[:1].isupper() else new
     if kind in ("email", "mac") and len(old) == len(new):
@@ -281,11 +298,12 @@ def occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
-def assign(entities: DataFrame, key: bytes, attempts: int = 100) -> DataFrame:
+def assign(entities: DataFrame, key: bytes, attempts: int | None = None) -> DataFrame:
     """(kind, form, new, attempt) for distinct (kind, form) rows: no two of a kind share ``new``, and no ``new`` is a form.
 
     Each round draws for the rows still open; of equal draws the smallest form wins, the others and those
-    that hit a form or an earlier surrogate draw again. Only open rows take part in further rounds.
+    that hit a form or an earlier surrogate draw again. Only open rows take part in further rounds. Surrogates grow with the rounds, so all
+    rows are settled in the end; ``attempts`` limits the rounds for a caller who prefers an error.
     """
     def generate(batches):
         for b in batches:
@@ -294,7 +312,7 @@ def assign(entities: DataFrame, key: bytes, attempts: int = 100) -> DataFrame:
 
     todo, settled = entities.withColumn("attempt", F.lit(0)), []
     taken = entities.select(F.col("kind").alias("k"), F.col("form").alias("n"))
-    for attempt in range(attempts):
+    for attempt in count() if attempts is None else range(attempts):
         drawn = durable(todo.mapInArrow(generate, "kind string, form string, attempt int, new string"))
         free = drawn.join(taken, (F.col("kind") == F.col("k")) & (F.col("new") == F.col("n")), "left_anti")
         won = durable(free.groupBy("kind", "new").agg(F.min("form").alias("form")).select("kind", "form", "new", F.lit(attempt).alias("attempt")))
@@ -339,7 +357,7 @@ def replace(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple[str, str], str] = {}
         for b in slices(batches, 1):
-            out, count, kinds = [], [], []
+            out, n, kinds = [], [], []
             for text, own in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 hits = find(text) if text else []
                 more = {(o["kind"], o["form"]): o["attempt"] for o in own or ()}
@@ -353,8 +371,8 @@ def replace(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "
                     parts += text[at:begin], render(kind, text[begin:end], new)
                     at = end
                 out.append("".join(parts) + text[at:] if hits else text)
-                count.append(len(hits))
+                n.append(len(hits))
                 kinds.append(",".join(sorted({h[2] for h in hits})))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(count, pa.int64()), pa.array(kinds, pa.string())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(n, pa.int64()), pa.array(kinds, pa.string())], names=schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -131,3 +131,31 @@ def test_given_documents_hold_no_original_afterwards(spark):
             assert t[begin:end] not in out[i].text
         if not P.find(t):
             assert out[i].text == t
+
+
+@pytest.mark.parametrize("old", ["a@b.co", "+123 4567", "4111 1111 1111 1111", "123-45-6789", "DE89 3704 0044 0532 0130 00", "192.168.3.4", "93.184.216.34",
+                                 "00:1A:2b:33:44:55", 'pwd = "------"', "password: ********", 'pwd = "-----7"', "sk-" + "-" * 24 + "A"])
+def test_surrogates_never_run_out(old):
+    (begin, end, kind, form), = P.find(old)
+    rendered = set()
+    for attempt in range(P.SHAPED, P.SHAPED + 40):
+        new = P.surrogate(kind, form, attempt, KEY)
+        assert new != form
+        rendered.add(P.render(kind, old[begin:end], new))
+    assert len(rendered) == 40
+
+
+def test_crowded_spaces_are_settled(spark):
+    forms = [("ipv4", f"169.254.{i // 256}.{i % 256}") for i in range(1, 65_535)] + [("phone", f"{i:04d}") for i in range(10_000)]
+    forms += [("secret", "*" * n) for n in range(6, 30)] + [("email", f"{a}@b.co") for a in "abcdefghijklmnopqrstuvwxyz"]
+    rows = P.assign(spark.createDataFrame(forms, "kind string, form string"), KEY).collect()
+    assert sorted((r.kind, r.form) for r in rows) == sorted(forms)
+    new = {(r.kind, r.new) for r in rows}
+    assert len(new) == len(forms) and not new & set(forms)
+
+
+def test_masked_values_are_replaced(spark):
+    texts = ["password: ********", 'pwd = "------"', "plain"]
+    out = {r.id: r for r in P.replace(frame(spark, texts), KEY).collect()}
+    assert [out[i].n_entities for i in range(3)] == [1, 1, 0] and out[2].text == "plain"
+    assert "*" not in out[0].text and "--" not in out[1].text
