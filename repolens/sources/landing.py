@@ -1,9 +1,9 @@
 """Landed JSON pages -> typed records + rejects, one record at a time.
 
 Layout: ``<root>/entity=<name>/repo=<owner>__<name>/<page>.json`` where a page is one JSON array of
-records, a single object, or JSON Lines; empty text is an empty page. ``.jsonl`` / ``.ndjson`` files are
-read line by line and split over tasks like any text file; ``.json`` and ``.txt`` pages (an API page holds at most 100
-records) are one text row each. Batch, issues and stream share one path:
+records, a single object, or JSON Lines; empty text is an empty page. Every file is read, whatever its
+name: ``.jsonl`` / ``.ndjson`` files (also compressed) line by line, split over tasks like any text file; all
+others (an API page holds at most 100 records) as one text row each. Batch, issues and stream share one path:
 
 1. a page is split into its records' JSON text; text that is no array, object or lines is one reject;
 2. each record is parsed with the entity schema; one that is no object, or in which a present key did not
@@ -21,7 +21,8 @@ from ..schemas import ENTITY_SCHEMAS
 CORRUPT = "_corrupt_record"
 REASON = "_reason"
 REPO_SEP = "__"
-PAGE_GLOB, LINES_GLOB = "*.{json,txt}", "*.{jsonl,ndjson}"
+LINES_NAME = r"(?i)\.(jsonl|ndjson)(\.(gz|gzip|bz2|zst|lz4|snappy|deflate))?$"
+LINE_END = "\r\n|\r|\n"
 REJECT_COLUMNS = ["_source_file", CORRUPT, REASON]
 
 
@@ -43,8 +44,10 @@ def page_rows(reader) -> DataFrame:
 
 
 def _pages(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.text(path, wholetext=True, pathGlobFilter=PAGE_GLOB, recursiveFileLookup=True)
-    lines = spark.read.text(path, pathGlobFilter=LINES_GLOB, recursiveFileLookup=True)
+    # a condition on the file's name alone picks the files before any is read
+    by_line = F.col("_metadata.file_path").rlike(LINES_NAME)
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True).where(~by_line)
+    lines = spark.read.text(path, recursiveFileLookup=True).where(by_line)
     return page_rows(whole).unionByName(page_rows(lines))
 
 
@@ -52,19 +55,24 @@ def _record_texts(value: str = "value") -> Column:
     """The JSON text of a page's records; NULL for an unreadable page.
 
     JSON Lines are taken line by line unless the first line is a lone ``{``, which begins one object
-    written over several lines.
+    written over several lines. A first line that is no JSON doesn't matter where a line is an object; text
+    that begins with ``[`` is an array or unreadable.
     """
     v = F.trim(F.col(value))
     one = F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1
-    lines = F.filter(F.transform(F.split(v, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(v, LINE_END), lambda x: F.btrim(x, F.lit(" \t"))), lambda x: x != "")
+    an_object = lambda x: x.startswith("{") & x.endswith("}") & F.json_object_keys(x).isNotNull()
     return (F.when(v == "", F.array().cast("array<string>"))
              .when(F.json_array_length(v).isNotNull(), F.from_json(v, "array<string>"))
              .when(v.startswith("{") & one, F.array(v))
-             .when(v.startswith("{") & (F.size(lines) > 1) & (lines[0] != "{"), lines))
+             .when(~v.startswith("[") & (F.size(lines) > 1) & (lines[0] != "{") & (v.startswith("{") | F.exists(lines, an_object)), lines))
 
 
 def split_records(pages: DataFrame) -> DataFrame:
     """(_source_file, _file_time, _json, _reason): one row per record, or per unreadable page with a reason."""
+    # the stream reads files of lines whole: they are cut at the line ends that the batch read knows
+    lines = F.when(F.col("_source_file").rlike(LINES_NAME), F.split("value", LINE_END)).otherwise(F.array("value"))
+    pages = pages.select("_source_file", "_file_time", F.explode(lines).alias("value"))
     texts = _record_texts()
     good = F.transform(texts, lambda x: F.struct(x.alias("_json"), F.lit(None).cast("string").alias(REASON)))
     bad = F.array(F.struct(F.col("value").alias("_json"), F.lit("unreadable page").alias(REASON)))

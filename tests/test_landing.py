@@ -155,3 +155,24 @@ def test_graphql_shape(spark, tmpdir_path):
     assert r["databaseId"] == 5 and len(r["releaseAssets"]["nodes"]) == 2
     p = read_pages(spark, tmpdir_path, "gql_pull_requests")[0].collect()[0]
     assert p["mergeable"] == "UNKNOWN" and p["reviews"]["nodes"][0]["author"]["login"] == "z" and p["reviewRequests"]["nodes"][0]["requestedReviewer"]["login"] == "q"
+
+
+def test_files_of_any_name_are_read_alike(spark, tmpdir_path):
+    import gzip
+    lines = 'oops\n{"id": %d, "tag_name": "v"}\n\r\n{"id": %d, "tag_name": "w"}\n'
+    names = ["1.json", "2.JSON", "3", "4.json.gz", "5.jsonl", "6.jsonl.gz", "7.NDJSON", "8.txt", "9.data"]
+    for n, name in enumerate(names):
+        text = lines % (2 * n, 2 * n + 1)
+        land(tmpdir_path, "releases", "a/b", name, text)
+        if name.endswith(".gz"):
+            with gzip.open(os.path.join(tmpdir_path, "entity=releases", "repo=a__b", name), "wt") as f:
+                f.write(text)
+    land(tmpdir_path, "releases", "a/b", "10.jsonl", '[1,\n{"id": 100, "tag_name": "x"}')
+    recs, rejects = read_pages(spark, tmpdir_path, "releases")
+    want = [*range(2 * len(names)), 100]
+    assert ids(recs) == want and rejects.count() == len(names) + 1
+    target = os.path.join(tmpdir_path, "target")
+    incremental_upsert(spark, tmpdir_path, "releases", target, os.path.join(tmpdir_path, "ckpt")).awaitTermination(120)
+    assert ids(read_current(spark, target)) == want
+    streamed = spark.read.parquet(os.path.join(target, "_page_rejects"))
+    assert sorted(map(tuple, streamed.select("_corrupt_record", "_reason").collect())) == sorted(map(tuple, rejects.select("_corrupt_record", "_reason").collect()))
