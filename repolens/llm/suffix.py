@@ -186,7 +186,7 @@ def surroundings(rows: DataFrame) -> DataFrame:
                 run += 1
                 continue
             if run:
-                out.append((doc * 31 + k, doc, k - run, -(run + LENGTH - 1), b""))
+                out.append(((doc * 31 + k + (1 << 63)) % (1 << 64) - (1 << 63), doc, k - run, -(run + LENGTH - 1), b""))
                 run = 0
             if s:
                 seen.add(s)

@@ -127,3 +127,14 @@ def test_strings_dealt_apart(spark, monkeypatch, most):
     rows = list(enumerate(texts))
     df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "doc_id long, text string").repartition(5)
     assert sorted(result(df)) == brute(rows)
+
+
+def test_strings_dealt_apart_with_wide_ids(spark, monkeypatch):
+    monkeypatch.setattr(S, "MOST_TOGETHER", 1)
+    rng = random.Random(7)
+    passage = " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(30))
+    texts = [f"{rng.random()} {passage} {rng.random()}" for _ in range(24)]
+    rows = [((1 << 63) - 100 + i if i % 2 else i - (1 << 63), t) for i, t in enumerate(texts)]
+    rows.sort()
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "doc_id long, text string").repartition(2)
+    assert sorted(result(df)) == sorted(brute(rows))
