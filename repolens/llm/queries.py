@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repolens.llm import bpe, chat, exact_dedup, html, mixing, pii, quality, simhash, suffix, toxicity
+from repolens.llm import bpe, chat, exact_dedup, html, langid, mixing, pii, quality, simhash, suffix, toxicity, trie, variants
 from repolens.llm.common import documents
 
 
@@ -73,6 +73,23 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))  # a null id is not held out
+    model = langid.learn(docs.where(~held))
+    return langid.identify(docs, model).withColumnRenamed("id", "doc_id").select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.document_words(documents(spark, sf_dir), every=31, least=7, times=2)
+    return variants.variants(words, times=10)
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = trie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return trie.prefix_trie(trie.rebuilt(talks, span=100, most=6))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
@@ -84,11 +101,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_html": op9_html,
     "op10_suffix": op10_suffix,
+    "op11_language": op11_language,
+    "op12_variants": op12_variants,
+    "op13_trie": op13_trie,
 }
 
 # white space of the word rule, as a DuckDB (RE2) class
 _WS = r"[\x20\x09-\x0D]"
 
+
+
+def _crc32(source: str) -> str:
+    """CTEs that end in crc(s, c): the unsigned CRC-32 of each distinct string s of the relation ``source`` (s).
+
+    The checksum is linear: that of a string is that of as many zero bytes, XOR what each byte adds by its distance from the end.
+    """
+    return f"""
+        one AS (SELECT b, list_reduce([b] || range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t
+                FROM (SELECT unnest(range(256)) AS b)),
+        every_s AS (SELECT s, hex(encode(s)) AS x, octet_length(encode(s)) AS n FROM (SELECT DISTINCT s FROM {source})),
+        adds(b, d, c) AS (SELECT b, 0::BIGINT, t FROM one UNION ALL
+                          SELECT a.b, a.d + 1, xor(a.c >> 8, o.t) FROM adds a JOIN one o ON o.b = a.c & 255 WHERE a.d < (SELECT max(n) FROM every_s)),
+        zeros(n, c) AS (SELECT 0::BIGINT, 4294967295::BIGINT UNION ALL
+                        SELECT z.n + 1, xor(z.c >> 8, o.t) FROM zeros z JOIN one o ON o.b = z.c & 255 WHERE z.n < (SELECT max(n) FROM every_s)),
+        bytes AS (SELECT s, n, n - 1 - i AS d, ('0x' || substr(x, (2 * i + 1)::BIGINT, 2))::BIGINT AS b FROM (SELECT *, unnest(range(n)) AS i FROM every_s)),
+        crc AS (SELECT s, xor(xor(bit_xor(a.c), any_value(z.c)), 4294967295) AS c FROM bytes JOIN adds a USING (b, d) JOIN zeros z USING (n) GROUP BY s)"""
+
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": f"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{_WS}+', ' ', 'g') AS t FROM documents)
@@ -116,4 +155,43 @@ SQL: dict[str, str] = {
                NOT (f0 OR f1 OR f2 OR f3 OR f4 OR f5 OR f6) AS kept,
                f0::BIGINT + 2 * f1::BIGINT + 4 * f2::BIGINT + 8 * f3::BIGINT + 16 * f4::BIGINT + 32 * f5::BIGINT + 64 * f6::BIGINT AS fail_bits
         FROM f""",
+    "op12_variants": f"""
+        WITH RECURSIVE low AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        said AS (SELECT id || ':' || w AS s, w, count(*) AS k FROM (SELECT id, unnest(regexp_extract_all(t, '[A-Za-z\u00C0-\u00FF]+')) AS w FROM low)
+                 WHERE length(w) >= 7 GROUP BY ALL),
+        {_crc32("said")},
+        typed AS (SELECT CASE WHEN c % 31 = 0 THEN w[:c % length(w)] || w[c % length(w) + 2:] ELSE w END AS word, k FROM said JOIN crc USING (s)),
+        v AS (SELECT word, sum(k)::BIGINT AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+        cut AS (SELECT word, n, i, word[:i - 1] AS a, word[i + 1:] AS b FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+        shorter AS (SELECT DISTINCT cut.word AS x, v.word AS y FROM cut JOIN v ON v.word = a || b),
+        near AS (SELECT p.word AS x, q.word AS y FROM cut p JOIN cut q ON p.a = q.a AND p.b = q.b AND p.word <> q.word
+                 UNION ALL SELECT x, y FROM shorter UNION ALL SELECT y, x FROM shorter),
+        best AS (SELECT x, count(*) AS n_near, arg_min(y, (-v.n, y)) AS y, max(v.n) AS y_n FROM near JOIN v ON v.word = y GROUP BY x),
+        f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN y_n >= 10 * n THEN y END AS form, CASE WHEN y_n >= 10 * n THEN y_n END AS form_n
+              FROM v LEFT JOIN best ON x = word),
+        walk(word, here) AS (SELECT word, word FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.here WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, walk.here AS root, f.n, f.n_near, f.form_n
+        FROM f JOIN walk USING (word) JOIN f AS top ON top.word = walk.here AND top.form IS NULL""",
+    "op13_trie": f"""
+        WITH RECURSIVE turns AS (SELECT conv_id AS c, length(coalesce(text, '')) AS chars, turn,
+                                        left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32) AS id
+                                 FROM conversations WHERE conv_id IS NOT NULL),
+        placed AS (SELECT c, id, chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, id, chars) AS p FROM turns),
+        ids AS (SELECT DISTINCT c::VARCHAR AS s, c AS conv FROM turns),
+        {_crc32("ids")},
+        h AS (SELECT conv AS c, crc.c % 6 AS h FROM ids JOIN crc USING (s)),
+        parts AS (SELECT h.c, p.id, p.chars, 0 AS own, p.p FROM h JOIN placed p ON p.c = h.c - h.c % 100 AND p.p <= h.h
+                  UNION ALL SELECT h.c, p.id, p.chars, 1, p.p FROM h JOIN placed p ON p.c = h.c AND p.p > h.h),
+        steps AS (SELECT c, chars, row_number() OVER w AS d, string_agg(id, '') OVER w AS path
+                  FROM parts WINDOW w AS (PARTITION BY c ORDER BY own, p ROWS UNBOUNDED PRECEDING)),
+        member AS (SELECT c, chars, d, path FROM steps UNION ALL SELECT c, 0, 0, '' FROM h),
+        final AS (SELECT path, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM (SELECT c, arg_max(path, d) AS path FROM member GROUP BY c) GROUP BY path),
+        node AS (SELECT path, min(c) AS c, any_value(d) AS d, count(*) AS n, any_value(chars) AS chars FROM member GROUP BY path),
+        kids AS (SELECT left(path, -32) AS path, count(*) AS k FROM node WHERE d > 0 GROUP BY 1),
+        full_node AS (SELECT node.*, coalesce(k, 0) AS k FROM node LEFT JOIN kids USING (path)),
+        below AS (SELECT left(path, 32 * up) AS path, sum((k = 0)::BIGINT)::BIGINT AS leaves, sum((n - 1) * chars)::BIGINT AS saved
+                  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM full_node) GROUP BY 1)
+        SELECT x.c AS conv_id, x.d::BIGINT AS depth, u.c AS parent_conv_id, x.n AS n_convs, x.k AS n_children, b.leaves AS n_leaves, b.saved AS saved_tokens,
+               coalesce(ends, sha256('')) AS ends_sha256
+        FROM full_node x JOIN below b USING (path) LEFT JOIN final USING (path) LEFT JOIN node u ON x.d > 0 AND u.path = left(x.path, -32)""",
 }
