@@ -195,10 +195,7 @@ def tree_rows(keys: list[bytes], chars: list[list[int]], counts: list[int], conv
                     node.leaves = closed_leaves if n_children else 1
                 here = ends[node.end] if own and d * WIDTH == depth else None
                 rows.append((node, d, n_children, node.leaves, node.saved, here, first, last, top[d - 1] if d else 0))
-                if first or last:
-                    node.next = node.saved = node.leaves = 0  # its parent is on the path as well
-                else:
-                    node.next = 1
+                node.next = 0 if first or last else 1  # a path's node: Spark counts it once
     # down: who is whose parent
     parent = {}
     stack = [(root, None)]

@@ -1,0 +1,108 @@
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from repolens.llm import langid as L
+from .data import empty, frame, odd, odd_rows
+
+DIR = "/root/testdata/sf0.01"
+
+
+def grams(text, n):
+    """The n-grams of a text by the definition: words of letters and marks with a blank at both ends."""
+    fold, _ = L.symbols()
+    words = "".join(chr(fold[ord(c)]) if fold[ord(c)] else " " for c in text or "").split(" ")
+    return [g for w in words if w for g in (f" {w} "[i:i + n] for i in range(len(w) + 3 - n))]
+
+
+def vector(gram, dim):
+    """Letters' vectors, each shifted by its place, multiplied."""
+    out = np.ones(dim)
+    for j, c in enumerate(gram):
+        one = L.letter_vectors(np.array([0 if c == " " else ord(c)], np.uint32), dim)[0]
+        out *= np.roll(one, len(gram) - 1 - j)
+    return out
+
+
+def brute(rows, n, dim):
+    """{id: (language, score)}: plain sums and cosines."""
+    protos = defaultdict(lambda: np.zeros(dim))
+    for _, text, lang in rows:
+        found = grams(text, n)
+        if lang is not None and found:
+            weight = max(1, round(L.UNIT / len(found)))
+            for g, c in Counter(found).items():
+                protos[lang] += weight * c * vector(g, dim)
+    out = []
+    for i, text, _ in rows:
+        vec = sum((c * vector(g, dim) for g, c in Counter(grams(text, n)).items()), np.zeros(dim))
+        if not any(c.isalpha() for c in text or "") or not protos:
+            out.append((i, "und", 0.0))
+            continue
+        cos = {k: vec @ p / math.sqrt(vec @ vec) / math.sqrt(p @ p) for k, p in protos.items()}
+        best = min(cos, key=lambda k: (-round(cos[k], 11), k))
+        out.append((i, best, max(0.0, min(1.0, cos[best]))))
+    return out
+
+
+def predicted(df, n=3, dim=256):
+    return [tuple(r) for r in L.identify(df, L.learn(df, n=n, dim=dim), n=n).collect()]
+
+
+def same(got, want):
+    key = lambda r: (str(r[0]), r[1], round(r[2], 9))
+    assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+@pytest.mark.parametrize("n", [3, 4])
+def test_brute_force(spark, n):
+    rng = random.Random(n)
+    sounds = {"a": "ka mo ti ré su".split(), "b": "str ück ing ß e".split(), "c": "日 本語 한국 ไทย คำ".split()}
+    rows = [(i, rng.choice([" ", "-", ""]).join(rng.choice(sounds[k]) for _ in range(rng.randrange(40))), k if rng.random() < 0.8 else None)
+            for i, k in enumerate(rng.choices("abc", k=60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    same(predicted(df, n), brute(rows, n, 256))
+
+
+def test_chunks_of_grams_and_texts_change_nothing(monkeypatch):
+    texts = pa.array([r[1] for r in odd_rows()])
+    def bundles():
+        return np.concatenate([L.Grams(data, at, 3).bundle(L.Grams(data, at, 3).doc, end - first, 128) for first, end, data, at in L.runs(texts)])
+    want = bundles()
+    monkeypatch.setattr(L, "GRAMS_AT_ONCE", 7)
+    monkeypatch.setattr(L, "DOCS_AT_ONCE", 2)
+    assert (bundles() == want).all()
+
+
+def test_odd_rows(spark):
+    rows = [(r[0], r[1], r[2]) for r in odd_rows()]
+    same(predicted(odd(spark)), brute(rows, 3, 256))
+
+
+def test_no_labels_no_rows_no_letters(spark):
+    assert predicted(empty(spark)) == []
+    df = frame(spark, ["some text", None, "12"]).selectExpr("*", "CAST(NULL AS STRING) AS lang")
+    assert sorted(predicted(df)) == [(0, "und", 0.0), (1, "und", 0.0), (2, "und", 0.0)]
+    df = frame(spark, ["123", "abc"]).selectExpr("*", "IF(doc_id = 0, 'digits', NULL) AS lang")
+    assert {r[1] for r in predicted(df)} == {"und"}
+
+
+def test_too_many_values_are_no_languages(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGS", 3)
+    with pytest.raises(ValueError):
+        L.learn(frame(spark, ["abc"] * 5).selectExpr("*", "string(doc_id) AS lang"), dim=64)
+
+
+def test_held_out_accuracy(spark):
+    from repolens.llm.queries import op11_language
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()}
+    got = op11_language(spark, DIR).collect()
+    assert len(got) == len(docs) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    held = [r for r in got if r.held_out and docs[r.doc_id].lang]
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
