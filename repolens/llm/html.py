@@ -4,7 +4,11 @@ A page is a sequence of words and tags. Words score positive, tags negative, wor
 scripts and the like are struck out; a linear scan finds the contiguous run of highest total, which is the
 article. The weights are the log-odds of lying inside or outside the article, counted with Spark over all
 pages that carry one article or main element, which labels them. A tag that marks the edge of articles
-thus separates; paragraph tags hardly cost anything.
+thus separates; paragraph tags hardly cost anything. The label itself only teaches: reading a page, the scan alone decides.
+
+An element is struck out by its name or by the head word of a class, id or role ("main-nav", "ad-box"; not
+"has-sidebar" or "search-result"), as far as HTML lets it reach: a tag that is optional ends at the next
+sibling or the parent's end. Elements around the page's only articles stay.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -36,7 +41,14 @@ STRUCK_WORDS = frozenset(
     "header masthead footer bottom copyright sidebar aside widget widgets related recommended recommendations "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall "
     "share sharing social comment comments disqus replies respond reply login signup search hidden".split())
-OWN = frozenset(("html", "body", "article", "main"))  # never struck by a class
+#: Words that a class name may end with after the word that says what it is, and those that say it is about something else.
+TAIL_WORDS = frozenset("area areas articles bar block bottom box btn button buttons body container content foot head inner item items left link links list "
+                       "outer panel posts right section slot text title top unit wrap wrapper".split())
+OTHER_WORDS = frozenset("has have in is no non not with without".split())
+OWN = frozenset(("html", "body"))  # never struck
+#: Tags that end an element whose own end tag may be left out.
+ENDED_BY = {"p": BLOCKS, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "option": frozenset(("option", "optgroup")),
+            **dict.fromkeys(("td", "th"), frozenset(("td", "th", "tr", "tbody", "tfoot", "thead"))), "tr": frozenset(("tr", "tbody", "tfoot", "thead"))}
 LABELS = ("article", "main")
 #: Cost of any tag, of a unit of log-odds against a tag, and the range of a word's score.
 TAG_COST, TAG_UNIT, WORD_SCORE = 0.05, 10.0, (0.5, 2.0)
@@ -46,10 +58,10 @@ TOKEN = re.compile(
     r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|</?\Z|</[^a-zA-Z>][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-WORDS = re.compile(r"[a-z]+")
+NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 Weights = dict[str, float]
-WORD_CLASSES = {"word", "link word", "outside word"}
+WORD_CLASSES = {"word", "link word"}
 
 
 def tokens(page: str) -> list[tuple[str, str]]:
@@ -68,36 +80,95 @@ def tokens(page: str) -> list[tuple[str, str]]:
     return out
 
 
+def strikes(name: str) -> bool:
+    """Whether a class name's head word is a struck one: the last that isn't a mere part of the page."""
+    words = [w.lower() for w in NAME_WORDS.findall(name)]
+    if OTHER_WORDS.intersection(words):
+        return False
+    while len(words) > 1 and words[-1] in TAIL_WORDS and words[-1] not in STRUCK_WORDS:
+        words.pop()
+    return bool(words) and words[-1] in STRUCK_WORDS
+
+
 def struck_by_class(attrs: str) -> bool:
-    return any(w in STRUCK_WORDS for m in ATTRIBUTE.finditer(attrs) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
+    return any(strikes(name) for m in ATTRIBUTE.finditer(attrs) for name in (m[1] or m[2] or m[3] or "").split())
+
+
+def reaches(seq: list[tuple[str, str]]) -> dict[int, tuple[int, bool]]:
+    """Start tag's place -> (where its element ends, whether by its own end tag).
+
+    An end tag ends what is open inside its element too; one without an open element counts for nothing.
+    """
+    out: dict[int, tuple[int, bool]] = {}
+    stack: list[tuple[str, int]] = []
+    count: Counter = Counter()
+
+    def close(j: int, to: int) -> None:
+        while len(stack) > to:
+            name, i = stack.pop()
+            count[name] -= 1
+            out[i] = (j, False)
+
+    for j, (kind, attrs) in enumerate(seq):
+        name = kind[1:]
+        if kind[:1] == "+":
+            for open_name in ("p", "li", "dt", "dd", "option", "td", "th", "tr"):
+                if count[open_name] and name in ENDED_BY[open_name]:
+                    at = len(stack) - 1  # the nearest one, through anything but another block
+                    while at >= 0 and stack[at][0] != open_name and stack[at][0] not in BLOCKS:
+                        at -= 1
+                    if at >= 0 and stack[at][0] == open_name:
+                        close(j, at)
+            if name not in VOID and not attrs.endswith("/"):
+                stack.append((name, j))
+                count[name] += 1
+        elif kind[:1] == "-" and count[name]:
+            at = len(stack) - 1
+            while stack[at][0] != name:
+                at -= 1
+            close(j, at + 1)
+            _, i = stack.pop()
+            count[name] -= 1
+            out[i] = (j + 1, True)
+    close(len(seq), 0)
+    return out
 
 
 def struck(seq: list[tuple[str, str]]) -> list[bool]:
     """Which tokens lie in an element that never belongs to an article.
 
-    An element ends at its end tag, nested ones of the same name counted. One that is never closed ends
-    before the next article or main element, else with the page.
+    One that isn't closed by its own end tag ends before the next article or main element. If every article or
+    main element lay in something struck, what holds one stays: it is a wrapper.
     """
+    ends = reaches(seq)
+    labels, found = [], []
+    for i in sorted(ends):
+        name, attrs = seq[i][0][1:], seq[i][1]
+        own = name not in OWN and bool(attrs) and struck_by_class(attrs)
+        if name in LABELS and not own:
+            labels.append(i)
+        elif own or name in STRUCK_TAGS:
+            found.append(i)
+    spans = []
+    for i in found:
+        end, closed = ends[i]
+        k = bisect_right(labels, i)
+        if not closed and k < len(labels) and labels[k] < end:
+            end = labels[k]
+        spans.append((i, end, k < len(labels) and labels[k] < end))
+    covered, free = 0, len(labels)
+    for i, end, _ in spans:
+        free -= max(0, bisect_left(labels, end) - bisect_left(labels, max(i, covered)))
+        covered = max(covered, end)
     out = [False] * len(seq)
-    i = 0
-    while i < len(seq):
-        kind, attrs = seq[i]
-        name = kind[1:]
-        if kind[:1] == "+" and name not in VOID and name not in OWN and not attrs.endswith("/") and (
-                name in STRUCK_TAGS or attrs and struck_by_class(attrs)):
-            depth, j, label = 1, i + 1, 0
-            while j < len(seq) and depth:
-                if seq[j][0][1:] == name and seq[j][0]:
-                    depth += 1 if seq[j][0][0] == "+" else -1
-                elif not label and seq[j][0][1:] in LABELS and seq[j][0][0] == "+":
-                    label = j
-                j += 1
-            if depth and label:
-                j = label
-            out[i:j] = [True] * (j - i)
-            i = j
-        else:
-            i += 1
+    covered = 0
+    for i, end, holds in spans:
+        if holds and not free:
+            continue
+        i = max(i, covered)
+        if end > i:
+            out[i:end] = [True] * (end - i)
+            covered = end
     return out
 
 
@@ -111,11 +182,6 @@ def label_span(seq: list[tuple[str, str]], gone: list[bool]) -> tuple[int, int]
     return None
 
 
-def word_class(i: int, span: tuple[int, int] | None, link: bool) -> str:
-    """What a word's score depends on: whether it lies outside the marked article, or in a link."""
-    return "outside word" if span and not span[0] < i < span[1] else "link word" if link else "word"
-
-
 def page_counts(page: str) -> Counter:
     """(name, inside) -> tokens of a labelled page; the label's own tags count as outside."""
     seq = tokens(page)
@@ -128,15 +194,15 @@ def page_counts(page: str) -> Counter:
             if kind in ("+a", "-a"):
                 link = kind == "+a"
             if not gone[i]:
-                found[kind[1:] if kind else word_class(i, span, link), span[0] < i < span[1]] += 1 if kind else len(text.split())
+                found[kind[1:] if kind else "link word" if link else "word", span[0] < i < span[1]] += 1 if kind else len(text.split())
     return found
 
 
 def learn_weights(df: DataFrame, html_col: str = "html") -> Weights:
     """Token -> score from all labelled pages: grouped counts, one row per element name of HTML (others: 'other').
 
-    Tags, and words outside the marked article of a page that has one, cost TAG_COST and TAG_UNIT for each
-    unit of log-odds of lying outside; other words score their log-odds of lying inside, within WORD_SCORE.
+    Tags cost TAG_COST and TAG_UNIT for each unit of log-odds of lying outside; words score their log-odds of
+    lying inside, within WORD_SCORE.
     Without labelled pages every tag costs TAG_COST.
     """
     src = df.select(F.lit(0).alias("id"), F.col("`" + html_col + "`").cast("string").alias("text"))
@@ -161,7 +227,7 @@ def learn_weights(df: DataFrame, html_col: str = "html") -> Weights:
     out: Weights = {}
     for name, i, o in counts.collect():  # at most one row for each name in ``known``
         odds = math.log((i + 1) / (o + 1))
-        out[name] = min(max(odds, WORD_SCORE[0]), WORD_SCORE[1]) if name in ("word", "link word") else -TAG_COST + TAG_UNIT * min(odds, 0.0)
+        out[name] = min(max(odds, WORD_SCORE[0]), WORD_SCORE[1]) if name in WORD_CLASSES else -TAG_COST + TAG_UNIT * min(odds, 0.0)
     return out
 
 
@@ -182,8 +248,7 @@ def main_text(page: str, weights: Weights) -> str:
     """Blocks of the best run, white space inside as one blank, joined by line feeds."""
     seq = tokens(page)
     gone = struck(seq)
-    span = label_span(seq, gone)
-    usual = {"word": 1.0, "link word": 0.5, "outside word": -TAG_UNIT}
+    usual = {"word": 1.0, "link word": 0.5}
     scores, link = [], False
     for i, ((kind, text), g) in enumerate(zip(seq, gone)):
         if kind in ("+a", "-a"):
@@ -193,7 +258,7 @@ def main_text(page: str, weights: Weights) -> str:
         elif kind:
             scores.append(weights.get(kind[1:], weights.get("other", -TAG_COST)))
         else:
-            name = word_class(i, span, link)
+            name = "link word" if link else "word"
             scores.append(len(text.split()) * weights.get(name, usual[name]))
     begin, end = best_run(scores)
     blocks, now = [], []

@@ -55,10 +55,41 @@ def test_broken_pages(weights):
     assert H.main_text("<article><p>a &lt;p&gt; b &#233;&eacute;</p></article>", weights) == "a <p> b éé"
 
 
-def test_a_short_article_beats_longer_text_outside(weights):
-    page = "<body><div><p>" + "welcome to this place " * 50 + "</p></div>" + article(9) + "<div>" + "more to read " * 50 + "</div></body>"
-    assert H.main_text(page, weights) == H.main_text(page, {}) == expected(9)
-    assert H.main_text(page.replace("article", "main"), weights) == expected(9)
+def test_the_scan_alone_finds_the_article(weights):
+    """No element decides: the article wins by its words, under whatever name its element has."""
+    page = "<body><div><p>" + "welcome to this place " * 2 + "</p></div>" + article(13) + "<div>" + "more to read " * 2 + "</div></body>"
+    assert H.main_text(page, weights) == expected(13)
+    page = "<body><nav>a b c</nav><div id=x>" + article(13) + "</div><footer>d e f</footer></body>"
+    for name in ("article", "main", "div", "section"):
+        assert H.main_text(page.replace("article", name), weights) == expected(13)
+
+
+@pytest.mark.parametrize("before,after", [
+    ('<div class="layout has-sidebar">', "</div>"), ('<div id="search-result">', "</div>"), ('<div class="content with-comments">', "</div>"),
+    ('<div class="no-sidebar"><form>', "</form></div>"), ('<div class="sidebar">', "</div>"), ('<div class="featured-banner-article">', "</div>"),
+    ('<p class="ad">Buy', ""), ('<ul><li class="share">x<li>y</ul>', ""), ("<table><tr><td class=menu>m<td>", "</table>"), ('<span class="ad">Buy', "")])
+def test_wrappers_and_unclosed_elements_keep_the_article(weights, before, after):
+    assert H.main_text(PAGE.format(1, before + article(9) + after), weights).endswith(expected(9))
+
+
+def test_unclosed_elements_inside_end_where_html_ends_them(weights):
+    page = lambda inside: H.main_text(PAGE.format(1, f"<article>{inside}</article>"), weights)
+    assert page('<p class="ad">Buy<p>One two three<p>Four five') == "One two three\nFour five"
+    assert page('<ul><li>One two<li class="share">Share it<li>Three four</ul><p>Five six') == "One two\nThree four\nFive six"
+    assert page('<div><p>One two<div class="ad">Buy <b>it</div><p>Three four</div>') == "One two\nThree four"
+    assert page('<section class="featured-banner-article"><p>One two three</section><p>Four') == "One two three\nFour"
+    assert page('<div class="share-buttons"><a>x</a></div><p>One two</p><ul class="mainNav"><li>no</ul><p>Three') == "One two\nThree"
+    assert page('<p>One two</p><dl><dt class="promo">Buy<dd>it was three</dl>') == "One two\nit was three"
+
+
+def test_class_names_by_their_head_word():
+    assert all(map(H.strikes, "ad ads main-nav site-header ad-container sidebar_left cookieConsent comment-list related-posts page-footer adBox share comment-body".split()))
+    assert not any(map(H.strikes, "has-sidebar no-sidebar with-comments search-result featured-banner-article content article-body text download shadow thread has_ads".split()))
+
+
+def test_comments_beside_an_article_go_even_as_articles(weights):
+    inner = "<article><p>a reader says very many words here</p></article>"
+    assert H.main_text(PAGE.format(1, article(9) + f'<div class="comments">{inner * 3}</div>'), weights) == expected(9)
 
 
 def test_best_run_is_maximal():
@@ -80,6 +111,9 @@ def test_given_pages(spark):
         return "\n".join(t for b in blocks if (t := " ".join(html.unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0] == "<br>" else "", b)).split())))
     want = {r.page_id: read(r.html) for r in pages.collect()}
     assert {r.id: r.text for r in H.extract(pages).collect()} == want
+    # learned where articles are marked, read where they aren't
+    plain = pages.selectExpr("page_id", "regexp_replace(html, '(</?)article', '$1div') AS html")
+    assert {r.id: r.text for r in H.extract(plain, weights=H.learn_weights(pages)).collect()} == want
 
 
 def test_odd_rows(spark):
