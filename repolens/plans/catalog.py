@@ -16,6 +16,7 @@ from . import adapters as ad
 from .gold import focus_vs_top_k, median_gap, monthly_counts
 from .silver import silver_pull_requests, silver_releases
 from .issues import clean_issues
+from .maintained import (apply_load, compact_state, event_changes, kept_counts, kept_median_gap)
 from .job import (BRONZE, BRONZE_TESTS, EXPORTED_MODELS, SILVER_TESTS, SOURCE_TESTS, data_tests, gold_models, run_job)
 from .legacy import enrich_pull_requests, enrich_releases, select_repositories
 from ..functions.nested import cap_nested, child_rows, field_names, nested_count, nested_to_json, topk_nested
@@ -28,7 +29,7 @@ from ..operators.project import default_if_missing, flatten_struct, split_owner_
 from ..operators.windows import recent_n_per_key
 from ..functions.classify import classify_title
 from ..session import ensure_checkpoint_dir
-from ..sinks.upsert import merge_latest, read_current, upsert_parquet
+from ..sinks.upsert import merge_latest, read_changes, read_current, upsert_parquet
 from ..sinks.writers import export_models, materialize, read_model
 from ..sources.landing import read_pages, repo_from_path
 from ..sources.tables import existing_or_empty, scan_parquet, table as catalog_table
@@ -412,6 +413,35 @@ def q_upsert_persisted(spark, sf_dir):
     return read_current(spark, table)
 
 
+def _kept_state(spark, sf_dir, gaps: bool) -> str:
+    """Five loads of pull requests: most come open or under another title first and are changed later."""
+    place = scratch(spark, "maintained")
+    raw = ad.pull_requests_raw(spark, sf_dir)
+    turn = F.pmod(F.xxhash64("id"), F.lit(5))
+    early = raw.where(turn % 2 == 0).withColumns({
+        "closed_at": F.when(turn == 2, F.col("closed_at")).when(turn == 4, F.timestamp_add("DAY", F.lit(40), "closed_at")),
+        "title": F.when(turn == 2, F.lit("Add a draft")).otherwise(F.col("title"))})
+    loads = [early.unionByName(raw.where(turn == 1)), *(raw.where(turn == i) for i in (0, 2, 3, 4))]
+    for load in loads:
+        done = upsert_parquet(spark, f"{place}/pull_requests", load, ["id"], ["fetched_at"], buckets=8, changes=True)
+        changed = read_changes(spark, f"{place}/pull_requests", done.version)
+        before, after = (silver_pull_requests(changed.where(F.col("_change") == sign)).withColumn("_change", F.lit(sign)) for sign in (-1, 1))
+        apply_load(spark, f"{place}/state", event_changes(before.unionByName(after)), done.version, gaps)
+    return f"{place}/state"
+
+
+def q_median_gap_maintained(spark, sf_dir):
+    """M5, A4: the stored medians after five loads, each applied from its changed rows; compacted, then read."""
+    state = _kept_state(spark, sf_dir, gaps=True)
+    compact_state(spark, state)
+    return kept_median_gap(spark, state, **_PR_GOLD)
+
+
+def q_monthly_counts_maintained(spark, sf_dir):
+    """M3 from signed deltas of five loads."""
+    return kept_counts(spark, _kept_state(spark, sf_dir, gaps=False))
+
+
 def q_incremental_releases(spark, sf_dir):
     """Releases landed in two drops, each drained by the stream into the table."""
     place = scratch(spark, "stream")
@@ -549,6 +579,8 @@ QUERIES: dict[str, QueryFn] = {
     "landing_pull_requests": q_landing_pull_requests,
     "landing_releases": q_landing_releases,
     "upsert_persisted": q_upsert_persisted,
+    "median_gap_maintained": q_median_gap_maintained,
+    "monthly_counts_maintained": q_monthly_counts_maintained,
     "incremental_releases": q_incremental_releases,
     "exported_models": q_exported_models,
     "job_tables": q_job_tables,

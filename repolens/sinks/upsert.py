@@ -17,9 +17,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.windows import latest_per_key
-from ..sources.tables import is_missing
+from ..sources.tables import is_missing, path_exists
 
 LOAD = "_load"
+CHANGE = "_change"
 BUCKETS = 32
 
 
@@ -44,6 +45,8 @@ def _log_path(root: str) -> str:
 
 def read_log(spark: SparkSession, root: str) -> DataFrame | None:
     """(version, bucket, path) of every committed bucket write, or None for a table without loads."""
+    if not path_exists(spark, _log_path(root)):
+        return None
     try:
         return spark.read.schema("version long, bucket int, path string").parquet(_log_path(root))
     except AnalysisException as e:
@@ -97,12 +100,13 @@ class Upserted(NamedTuple):
 
 
 def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: list[str],
-                   newest_first: list[str], buckets: int = BUCKETS) -> Upserted:
+                   newest_first: list[str], buckets: int = BUCKETS, changes: bool = False) -> Upserted:
     """Merge ``incoming`` into the table at ``root``; rerunning the same load yields the same rows.
 
     The load is computed once, into ``<root>/_incoming/v=<version>`` by bucket (NULL keys in bucket -1, the
     rejects); only the stored buckets it touches are read and rewritten. ``buckets`` must be the same for
-    all loads of a table.
+    all loads of a table. With ``changes`` the stored and the merged row of each key of the load are written
+    too (:func:`read_changes`).
     """
     root = root.rstrip("/")
     version = last_version(spark, root) + 1
@@ -121,13 +125,30 @@ def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: li
         stored = _read_folders(spark, [folders[b] for b in touched if b in folders])
         merged = merge_latest(stored, load.drop("_bucket"), keys, newest_first).withColumn("_bucket", bucket)
         # an unlogged leftover of a failed run is replaced
-        merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/v={version}")
+        # REBALANCE: one task per small bucket, and adaptive execution splits a bucket that outgrew a task
+        merged.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/v={version}")
+        if changes:
+            loaded = load.select(*keys).distinct()
+            now = spark.read.parquet(f"{root}/v={version}").drop("_bucket").join(loaded, keys, "left_semi").withColumn(CHANGE, F.lit(1))
+            if stored is not None:
+                now = stored.join(loaded, keys, "left_semi").withColumn(CHANGE, F.lit(-1)).unionByName(now, allowMissingColumns=True)
+            now.write.mode("overwrite").parquet(f"{root}/_changes/v={version}")
         spark.createDataFrame([(version, b, f"{root}/v={version}/_bucket={b}") for b in touched],
                               "version long, bucket int, path string").coalesce(1).write.mode("append").parquet(_log_path(root))
     now = read_current(spark, root)
     return Upserted(version, 0 if now is None else now.count(), rejected)
 
 
+def read_changes(spark: SparkSession, root: str, version: int) -> DataFrame | None:
+    """The rows of a load's keys, before it (``_change`` -1, keys that were there) and after (+1); None if nothing was kept."""
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/_changes/v={version}")
+    except AnalysisException as e:
+        if is_missing(e):
+            return None
+        raise
+
+
 def read_rejects(spark: SparkSession, root: str, version: int) -> DataFrame | None:
     """The NULL-key rows of a load, or None if it had none."""
     try:

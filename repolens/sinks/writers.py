@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..sources.tables import is_missing
+from ..sources.tables import is_missing, path_exists
 
 
 def materialize(df: DataFrame, name: str | None = None, path: str | None = None,
@@ -34,6 +34,8 @@ def materialize(df: DataFrame, name: str | None = None, path: str | None = None,
 
 def model_version(spark: SparkSession, path: str) -> int | None:
     """The newest complete version of a model folder, None before the first."""
+    if not path_exists(spark, f"{path.rstrip('/')}/_log"):
+        return None
     try:
         return spark.read.schema("version long").parquet(f"{path.rstrip('/')}/_log").agg(F.max("version").alias("v")).first()["v"]
     except AnalysisException as e:

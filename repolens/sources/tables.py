@@ -41,3 +41,13 @@ def existing_or_empty(spark: SparkSession, candidates: list[str], schema: Struct
             if not is_missing(e):
                 raise
     return spark.createDataFrame([], schema)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, asked of its file system; True where that can't be asked (Spark Connect)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    except Exception:  # noqa: BLE001 - no JVM on this side
+        return True
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(conf).exists(where)

@@ -1,0 +1,98 @@
+"""Aggregates kept up to date per load: equal to a full recount after every load, only touched months read."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from repolens.plans import maintained as M
+from repolens.plans.gold import focus_vs_top_k, median_gap, monthly_counts
+from repolens.sinks import ledger
+from repolens.sinks.upsert import read_changes, read_current, upsert_parquet
+
+SCHEMA = "id long, repository string, closed_at timestamp_ntz, feat_classifier string, fetched_at long"
+GOLD = dict(focus="r3", focus_label="mine", k=2, member_label="top")
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def row(rng, i, load):
+    day = datetime(2024, 1, 1) + timedelta(days=rng.choice([0, 1, 40, 41, 200, 400]), seconds=rng.choice([0, 0, 3600, 86399]))
+    hot = rng.random() < 0.4
+    return i, "r0" if hot else f"r{rng.randrange(5)}", None if rng.random() < 0.2 else day, rng.choice(["feature", "Feature", "bug fix"]), load
+
+
+def test_five_loads_equal_a_recount(spark, tmp_path):
+    rng, table, state = random.Random(7), f"{tmp_path}/t", f"{tmp_path}/s"
+    for load in range(1, 6):
+        fresh = {i: row(rng, i, load) for i in rng.sample(range(160), 60)}
+        done = upsert_parquet(spark, table, spark.createDataFrame(list(fresh.values()), SCHEMA), ["id"], ["fetched_at"], buckets=3, changes=True)
+        changed = read_changes(spark, table, done.version)
+        assert M.apply_load(spark, state, M.event_changes(changed), done.version)
+        assert not M.apply_load(spark, state, M.event_changes(changed), done.version)  # a load that runs again changes nothing
+        if load == 3:
+            assert M.compact_state(spark, state) and M.compact_state(spark, state) == []
+        everything = read_current(spark, table)
+        assert rows_of(M.kept_counts(spark, state)) == rows_of(monthly_counts(everything))
+        assert rows_of(M.kept_median_gap(spark, state, **GOLD)) == rows_of(median_gap(everything, **GOLD))
+    assert rows_of(M.kept_focus_vs_top_k(spark, state, **GOLD)) == rows_of(focus_vs_top_k(read_current(spark, table), **GOLD))
+    gaps = ledger.net(ledger.read(spark, state, "gaps", M.GAPS), ["key", "days"])
+    assert gaps.where("n < 0").isEmpty()
+
+
+def events(spark, *rows):
+    return spark.createDataFrame(rows, "key string, t timestamp_ntz, n long")
+
+
+def test_only_touched_months_are_read(spark, tmp_path):
+    state, month = str(tmp_path), lambda m, d=1: datetime(2024, m, d)
+    M.apply_load(spark, state, events(spark, *(("a", month(m, d), 1) for m in range(1, 13) for d in (3, 9))), 1)
+    scans = []
+    read = ledger.read
+
+    def watch(s, root, table, schema):
+        df = read(s, root, table, schema)
+        if table == "times":
+            scans.append(df)
+        return df
+
+    ledger.read = watch
+    try:
+        M.apply_load(spark, state, events(spark, ("a", month(5, 5), 1), ("a", month(12, 9), -1)), 2)
+    finally:
+        ledger.read = read
+    plan = scans[0].where(F.col("range").isin("2024-05", "2024-12"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [range" in plan.replace("isnotnull(range", "range")
+    want = sorted([month(m, d) for m in range(1, 13) for d in (3, 9)] + [month(5, 5)])[:-1]
+    days = sorted((b - a).days for a, b in zip(want, want[1:]))
+    kept = ledger.net(ledger.read(spark, state, "gaps", M.GAPS), ["key", "days"]).collect()
+    assert sorted(int(r.days) for r in kept for _ in range(r.n)) == days
+
+
+def test_months_that_empty_and_keys_that_go(spark, tmp_path):
+    state, day = str(tmp_path), datetime(2024, 3, 1)
+    M.apply_load(spark, state, events(spark, ("a", day, 2), ("a", day + timedelta(40), 1), ("a", day + timedelta(90), 1), ("b", None, 1), (None, day, 5)), 1)
+    M.apply_load(spark, state, events(spark, ("a", day + timedelta(40), -1), ("b", None, -1)), 2)
+    gaps = {r.days: r.n for r in ledger.net(ledger.read(spark, state, "gaps", M.GAPS), ["key", "days"]).collect()}
+    assert gaps == {0.0: 1, 90.0: 1}
+    assert {r.repository for r in M.kept_counts(spark, state).collect()} == {"a"}
+    M.apply_load(spark, state, events(spark, ("a", day, -2), ("a", day + timedelta(90), -1)), 3)
+    assert M.kept_counts(spark, state).isEmpty() and M.kept_median_gap(spark, state).isEmpty()
+
+
+def test_a_failed_load_leaves_no_trace_and_wrong_removals_raise(spark, tmp_path):
+    state, day = str(tmp_path), datetime(2024, 3, 1)
+    with pytest.raises(Exception, match="not there"):
+        M.apply_load(spark, state, events(spark, ("a", day, -1)), 1)
+    assert ledger.versions(spark, state) == [] and M.kept_counts(spark, state).isEmpty()
+    assert M.apply_load(spark, state, events(spark, ("a", day, 1)), 1)
+    ledger.stage(events(spark, ("x", day, 1)).selectExpr("key", "t AS month", "n"), state, "months", 2)  # staged, never logged
+    assert [r.repository for r in M.kept_counts(spark, state).collect()] == ["a"]
+
+
+def test_empty_loads(spark, tmp_path):
+    empty = spark.createDataFrame([], "key string, t timestamp_ntz, n long")
+    assert M.apply_load(spark, str(tmp_path), empty, 1) and M.kept_median_gap(spark, str(tmp_path)).isEmpty()
