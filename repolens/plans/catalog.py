@@ -206,6 +206,15 @@ def q_split_name(spark, sf_dir):
     return good
 
 
+def q_split_name_rejects(spark, sf_dir):
+    """The names that have no owner or more than one, as landed."""
+    c = ad.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 10
+    full = (F.when(k == 0, F.col("c_name")).when(k == 1, F.concat(F.lit("a/b/"), F.col("c_name"))).when(k != 2, F.concat(F.lit("cust/"), F.col("c_name"))))
+    _, bad = split_owner_name(c.select("c_custkey", full.alias("full_name")), "full_name")
+    return bad
+
+
 def q_recent_n_per_key(spark, sf_dir):
     """The five most recent events of each user."""
     ev = ad.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
@@ -409,6 +418,27 @@ def q_landing_pull_requests(spark, sf_dir):
                       nested_to_json("labels").alias("labels_json"), "additions", "created_at", "closed_at", "merged_at", "repository_full_name", "fetched_at")
 
 
+def q_landing_gql_pull_requests(spark, sf_dir):
+    """GraphQL pull requests with their ``nodes`` landed among bad pages; each list as names, and the rejects by reason."""
+    place = scratch(spark, "landing")
+    raw = ad.gql_pull_requests(spark, sf_dir)
+    # as text: a partition column would take the place of the records' own ``repo``
+    record = F.to_json(F.struct(*raw.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"})
+    folder = F.concat(F.lit("cust__group_"), (F.col("databaseId") % 20).cast("string"))
+    raw.select(record.alias("value"), folder.alias("repo")).write.partitionBy("repo").text(f"{place}/entity=gql_pull_requests")
+    bad = raw.where("databaseId % 700 = 0").select("databaseId")
+    text = F.concat(F.lit('{"databaseId": '), F.col("databaseId").cast("string"), F.lit(', "labels": {"nodes": "none"}}\n{"databaseId": 1, "commits": [2]}'))
+    bad.select(text.alias("value"), F.lit("cust__group_1").alias("repo")).coalesce(1).write.partitionBy("repo").mode("append").text(f"{place}/entity=gql_pull_requests")
+    records, rejects = read_pages(spark, place, "gql_pull_requests", stage=f"{place}/parsed")
+    names = lambda c, f: F.array_join(field_names(c, f), ",")
+    good = records.select(
+        F.lit("record").alias("outcome"), F.col("databaseId").alias("database_id"), "repo", "title", F.col("author.login").alias("author_login"),
+        F.col("commits.totalCount").alias("commits"), names("labels.nodes", "name").alias("labels"), names("assignees.nodes", "login").alias("assignees"),
+        nested_count("reviews.nodes").cast("long").alias("n_reviews"), F.col("milestone.title").alias("milestone"), F.col("closedAt").cast("timestamp_ntz").alias("closed_at"))
+    why = rejects.groupBy(F.col("_reason").alias("outcome")).agg(F.count("*").alias("database_id"))
+    return good.unionByName(why, allowMissingColumns=True)
+
+
 def q_landing_releases(spark, sf_dir):
     """Releases landed among bad pages; rows read and rejected, by reason."""
     place = scratch(spark, "landing")
@@ -503,6 +533,27 @@ def q_job_tables(spark, sf_dir):
     return out
 
 
+def q_job_report(spark, sf_dir):
+    """The full job with issues, bad pages and export: rows and rejects by reason, the 22 checks, exported rows."""
+    place = scratch(spark, "job")
+    raw = _raw_tables(spark, sf_dir)
+    _land(raw["pull_requests"], f"{place}/landing", "pull_requests")
+    _land_bad(spark, f"{place}/landing", "pull_requests", raw["pull_requests"].where("id % 1000 = 0").select("id"))
+    _land(raw["releases"], f"{place}/landing", "releases")
+    _land(raw["repositories"], f"{place}/landing", "repositories", "cust__all")
+    issues = ad.issue_records(spark, sf_dir).select(F.col("record").alias("value"), F.regexp_replace("repository_full_name", "/", "__").alias("repo"))
+    issues.write.partitionBy("repo").text(f"{place}/landing/entity=issues")
+    run_job(spark, f"{place}/landing", f"{place}/warehouse", export_dir=f"{place}/export", **_PR_GOLD)
+    summary = read_model(spark, f"{place}/warehouse/summary").select(F.lit("raw").alias("part"), F.col("entity").alias("name"), F.col("outcome").alias("detail"), "n")
+    checks = read_model(spark, f"{place}/warehouse/checks").select(
+        F.lit("check").alias("part"), F.col("model").alias("name"), F.concat_ws(" ", "test", "column_name").alias("detail"), F.col("failures").alias("n"))
+    out = summary.unionByName(checks)
+    for m in EXPORTED_MODELS:
+        out = out.unionByName(row_count(spark.read.parquet(f"{place}/export/{m}.parquet"), m).select(
+            F.lit("export").alias("part"), F.col("table_name").alias("name"), F.lit("rows").alias("detail"), F.col("row_count").alias("n")))
+    return out
+
+
 def q_issue_cleaning(spark, sf_dir):
     """Drop pull requests listed as issues (key presence), cap 5 per repository, dedup by id."""
     recs = lacks_json_key(ad.issue_records(spark, sf_dir), "record", "pull_request")
@@ -580,6 +631,7 @@ QUERIES: dict[str, QueryFn] = {
     "allow_list": q_allow_list,
     "search_terms": q_search_terms,
     "split_name": q_split_name,
+    "split_name_rejects": q_split_name_rejects,
     "recent_n_per_key": q_recent_n_per_key,
     "nested_names": q_nested_names,
     "nested_json": q_nested_json,
@@ -601,12 +653,14 @@ QUERIES: dict[str, QueryFn] = {
     "newest_first": q_newest_first,
     "landing_pull_requests": q_landing_pull_requests,
     "landing_releases": q_landing_releases,
+    "landing_gql_pull_requests": q_landing_gql_pull_requests,
     "upsert_persisted": q_upsert_persisted,
     "median_gap_maintained": q_median_gap_maintained,
     "monthly_counts_maintained": q_monthly_counts_maintained,
     "incremental_releases": q_incremental_releases,
     "exported_models": q_exported_models,
     "job_tables": q_job_tables,
+    "job_report": q_job_report,
     "projected_scan": q_projected_scan,
     "issue_cleaning": q_issue_cleaning,
     "model_row_counts": q_model_row_counts,

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.classify import CLASSES
 from ..operators.quality import TableTests, summarize
 from ..sinks.upsert import read_current, upsert_parquet
-from ..sinks.writers import export_models, materialize
+from ..sinks.writers import export_models, layer, write_summary
 from ..operators.filters import allow_list, state_filter
 from ..operators.windows import recent_n_per_key
 from ..sources.landing import read_issue_pages, read_pages
@@ -82,17 +82,14 @@ def cap_per_repository(df: DataFrame, n: int | None, newest_first: list[str],
     return recent_n_per_key(df, [repo_col], order, n, rank_col=None)
 
 
-def _layer(df: DataFrame, path: str, **how) -> DataFrame:
-    """The model as written; an empty one keeps its columns."""
-    return df.sparkSession.read.schema(df.schema).parquet(materialize(df, path=path, **how))
-
-
 def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str | None = None,
             repos: list[str] | None = None, state: str = "all", max_prs_per_repo: int | None = None,
             max_releases_per_repo: int | None = None, max_issues_per_repo: int | None = None,
             **gold_kw) -> dict:
     """Run every layer; returns rows and rejects per raw table, check failures, gold and export reports.
 
+    The rows stored and the rejects by reason are also a table, ``<warehouse>/summary`` (entity, outcome, n).
+
     ``repos`` is the repository allow-list (P11); ``state`` filters pull requests and issues (P7); the caps
     keep the most recently updated pull requests and issues and the newest releases per repository (W3).
     Raw tables keep each record's JSON text beside the typed columns. An entity for which nothing landed
@@ -100,47 +97,51 @@ def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str |
     """
     root = warehouse.rstrip("/")
     loads = {
-        "repositories": (lambda: read_pages(spark, landing, "repositories", repos=repos, raw_col=RAW_JSON),
+        "repositories": (lambda **how: read_pages(spark, landing, "repositories", repos=repos, raw_col=RAW_JSON, **how),
                          lambda df: allow_list(df, "full_name", repos)),
-        "pull_requests": (lambda: read_pages(spark, landing, "pull_requests", repos=repos, raw_col=RAW_JSON),
+        "pull_requests": (lambda **how: read_pages(spark, landing, "pull_requests", repos=repos, raw_col=RAW_JSON, **how),
                           lambda df: cap_per_repository(state_filter(allow_list(df, "repository_full_name", repos), state), max_prs_per_repo, ["updated_at"])),
-        "releases": (lambda: read_pages(spark, landing, "releases", repos=repos, raw_col=RAW_JSON),
+        "releases": (lambda **how: read_pages(spark, landing, "releases", repos=repos, raw_col=RAW_JSON, **how),
                      lambda df: cap_per_repository(allow_list(df, "repository_full_name", repos), max_releases_per_repo, ["created_at"])),
-        "issues": (lambda: read_issue_pages(spark, landing, repos=repos, raw_col=RAW_JSON),
+        "issues": (lambda **how: read_issue_pages(spark, landing, repos=repos, raw_col=RAW_JSON, **how),
                    lambda df: clean_issues(allow_list(df, "repository_full_name", repos), state, max_issues_per_repo)),
     }
-    raw, raw_rows, raw_rejects = {}, {}, {}
+    raw, raw_rows, raw_rejects, outcomes = {}, {}, {}, []
     for entity, (read, shape) in loads.items():
         table = f"{root}/raw/{entity}"
         try:
-            records, rejects = read()
+            records, rejects = read(stage=f"{root}/parsed/{entity}")  # replaced by the next run
         except AnalysisException as e:
             if not is_missing(e):
                 raise
         else:
             done = upsert_parquet(spark, table, shape(records).drop("_source_file"), ["id"], ["fetched_at"])
-            raw_rejects[entity] = _layer(rejects, f"{root}/rejects/{entity}").count() + done.rejected
+            reasons = layer(rejects, f"{root}/rejects/{entity}").groupBy("_reason").agg(F.count("*").alias("n")).collect()  # a handful
+            outcomes += [(entity, r["_reason"], r["n"]) for r in reasons] + [(entity, "no key", done.rejected)] * bool(done.rejected)
+            raw_rejects[entity] = sum(n for e, _, n in outcomes if e == entity)
         raw[entity] = read_current(spark, table)
         if raw[entity] is None:
             raw[entity] = spark.createDataFrame([], ENTITY_SCHEMAS[entity])
         raw_rows[entity] = raw[entity].count()
-    bronze = {name: _layer(raw[entity], f"{root}/bronze/{name}") for entity, name in BRONZE.items()}
+        outcomes.append((entity, "stored", raw_rows[entity]))
+    write_summary(spark, root, outcomes)
+    bronze = {name: layer(raw[entity], f"{root}/bronze/{name}") for entity, name in BRONZE.items()}
     # partitioned by class (a fixed six-value vocabulary): the gold PR models' class filter becomes
     # partition pruning, so they read only the feature folder
     silver = {
-        "stg_pull_requests": _layer(silver_pull_requests(bronze["stg_github_pull_requests"]),
+        "stg_pull_requests": layer(silver_pull_requests(bronze["stg_github_pull_requests"]),
                                     f"{root}/silver/stg_pull_requests", partition_by=["feat_classifier"]),
-        "stg_releases": _layer(silver_releases(bronze["stg_github_releases"]), f"{root}/silver/stg_releases"),
+        "stg_releases": layer(silver_releases(bronze["stg_github_releases"]), f"{root}/silver/stg_releases"),
     }
     models, gold = dict(silver), {}
     for name, build in gold_models(silver["stg_pull_requests"], silver["stg_releases"], **gold_kw).items():
         try:
-            models[name] = _layer(build(), f"{root}/gold/{name}")
+            models[name] = layer(build(), f"{root}/gold/{name}")
             gold[name] = models[name].count()
         except Exception as e:  # noqa: BLE001 - one model must not stop the others
             gold[name] = f"error: {type(e).__name__}: {e}"
     tests = data_tests({**raw, **bronze, **silver}, SOURCE_TESTS + BRONZE_TESTS + SILVER_TESTS)
-    results = _layer(tests, f"{root}/checks")
+    results = layer(tests, f"{root}/checks")
     checks = {(r["model"], r["test"], r["column_name"]): r["failures"] for r in results.collect()}    # 22 rows
     report = {}
     if export_dir:

@@ -14,6 +14,9 @@ from ..functions.nested import cap_nested, field_names, nested_count, nested_to_
 from ..operators.filters import repository_filter, search_terms, within
 from ..operators.joins import fk_enrich, new_entities
 from ..operators.project import default_if_missing
+from ..sinks.upsert import read_current, upsert_parquet
+from ..sinks.writers import layer, write_summary
+from ..sources.landing import CORRUPT, REASON, read_pages
 from ..sources.tables import is_missing
 from .presets import RANGED_QUALIFIERS, split_qualifiers
 
@@ -104,38 +107,55 @@ def enrich_releases(releases: DataFrame, repos: DataFrame, collected_at: Column
     return out.withColumn("collected_at", collected_at) if collected_at is not None else out
 
 
+def _rejected(rows: DataFrame, reason: str) -> DataFrame:
+    return rows.select("_source_file", F.to_json(F.struct(*[c for c in rows.columns if c != "_source_file"])).alias(CORRUPT), F.lit(reason).alias(REASON))
+
+
 def run_legacy_job(spark, landing: str, warehouse: str, search: str | None = None,
                    max_repos: int | None = None, include_archived: bool = False, min_stars: int = 0) -> dict:
     """The legacy runner in one pass: select repositories (skipping stored ones), enrich pull
     requests and releases against the selected and stored repositories, upsert all three by
     ``database_id``. The reference needed a second run for the children; here the join sees
     the repositories selected in the same run. Returns rows per stored table (S9).
+
+    What isn't stored is a reject with a reason, written to ``<warehouse>/rejects/<table>``: records that don't parse,
+    children whose repository isn't stored, rows without an id. Rows and rejects by reason are the
+    table ``<warehouse>/summary``. Repositories that the selection leaves out are no rejects.
     """
-    from ..sinks.upsert import read_current, upsert_parquet
-    from ..sources.landing import read_pages
+    root, outcomes = warehouse.rstrip("/"), []
+
+    def store(name: str, rows: DataFrame, rejects: DataFrame) -> int:
+        kept = layer(rejects, f"{root}/rejects/{name}")
+        reasons = kept.groupBy(REASON).agg(F.count("*").alias("n")).collect()  # a handful
+        outcomes.extend((name, r[REASON], r["n"]) for r in reasons)
+        done = upsert_parquet(spark, f"{root}/{name}", rows, ["database_id"], ["collected_at"])
+        outcomes.append((name, "stored", done.rows))
+        return done.rows
 
-    root = warehouse.rstrip("/")
     stored = read_current(spark, f"{root}/repositories")
     existing = stored.select("nameWithOwner") if stored is not None else spark.createDataFrame(
         [], StructType([StructField("nameWithOwner", StringType())]))
-    repos_in, _ = read_pages(spark, landing, "gql_repositories")
-    picked = select_repositories(repos_in.drop("_source_file"), existing, search, max_repos, include_archived,
+    repos_in, bad = read_pages(spark, landing, "gql_repositories", stage=f"{root}/parsed/repositories")
+    no_id = F.col("databaseId").isNull()
+    picked = select_repositories(repos_in.where(~no_id).drop("_source_file"), existing, search, max_repos, include_archived,
                                  min_stars, collected_at=F.current_timestamp())
-    picked = picked.withColumn("database_id", F.col("databaseId"))
-    counts = {"repositories": upsert_parquet(spark, f"{root}/repositories", picked, ["database_id"],
-                                             ["collected_at"]).rows}
+    counts = {"repositories": store("repositories", picked.withColumn("database_id", F.col("databaseId")),
+                                    bad.unionByName(_rejected(repos_in.where(no_id), "no id")))}
     repos_now = read_current(spark, f"{root}/repositories")
-    if repos_now is None:  # nothing selected and nothing stored: no child has a parent
-        return counts
+    if repos_now is None:  # nothing selected and nothing stored: every child is without a parent
+        repos_now = spark.createDataFrame([], "nameWithOwner string, databaseId long")
     repos_now = repos_now.select("nameWithOwner", "databaseId")
     for entity, enrich in (("gql_pull_requests", enrich_pull_requests), ("gql_releases", enrich_releases)):
         name = entity.replace("gql_", "")
         try:
-            children, _ = read_pages(spark, landing, entity)
+            children, bad = read_pages(spark, landing, entity, stage=f"{root}/parsed/{name}")
         except AnalysisException as e:
             if not is_missing(e):
                 raise
             continue  # nothing landed for this entity
-        rows = enrich(children.drop("_source_file"), repos_now, collected_at=F.current_timestamp())
-        counts[name] = upsert_parquet(spark, f"{root}/{name}", rows, ["database_id"], ["collected_at"]).rows
+        with_id = children.where(~no_id)
+        orphans = with_id.join(repos_now, F.col("repo") == F.col("nameWithOwner"), "left_anti")
+        rejects = bad.unionByName(_rejected(children.where(no_id), "no id")).unionByName(_rejected(orphans, "no stored repository"))
+        counts[name] = store(name, enrich(with_id.drop("_source_file"), repos_now, collected_at=F.current_timestamp()), rejects)
+    write_summary(spark, root, outcomes)
     return counts

@@ -253,6 +253,8 @@ WITH named AS (
                          ELSE 'cust/' || c_name END AS full_name FROM customer)
 SELECT c_custkey, full_name, string_split(full_name, '/')[1] AS owner, string_split(full_name, '/')[2] AS name
 FROM named WHERE len(string_split(full_name, '/')) = 2""",
+    "split_name_rejects": """
+SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN c_name WHEN 1 THEN 'a/b/' || c_name END AS full_name FROM customer WHERE c_custkey % 10 < 3""",
     "recent_n_per_key": """
 SELECT * FROM (
   SELECT event_id, user_id, ts,
@@ -373,6 +375,14 @@ FROM orders JOIN customer ON o_custkey = c_custkey""",
 SELECT id, number, title, description AS body, state, author AS login, head_branch AS head_ref,
   CASE WHEN id % 11 = 0 THEN '[]' ELSE labels_json END AS labels_json, additions,
   created_at, closed_at, merged_at, repository AS repository_full_name, fetched_at FROM silver_prs"""),
+    "landing_gql_pull_requests": """
+WITH ord AS (SELECT *, o_custkey % 30 + 1 AS k FROM orders), bad AS (SELECT count(*) AS n FROM orders WHERE o_orderkey % 700 = 0)
+SELECT 'record' AS outcome, o_orderkey AS database_id, 'cust/Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS repo, 'Order ' || o_orderpriority AS title,
+  CASE WHEN o_orderstatus <> 'P' THEN 'cust_' || CAST(o_custkey AS VARCHAR) END AS author_login, CASE WHEN o_orderstatus <> 'F' THEN o_custkey % 7 END AS commits,
+  array_to_string([('label-' || CAST(i AS VARCHAR)) FOR i IN range(1, k + 1)], ',') AS labels, array_to_string([('dev-' || CAST(i AS VARCHAR)) FOR i IN range(1, k + 1)], ',') AS assignees,
+  CAST(CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE o_orderkey % 3 + 1 END AS BIGINT) AS n_reviews, CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END AS milestone,
+  CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 3 DAY END AS closed_at FROM ord
+UNION ALL SELECT 'a key does not fit its type', 2 * n, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM bad WHERE n > 0""",
     "landing_releases": _with(REL_RAW + """,
 bad AS (SELECT count(*) AS n FROM rel_raw WHERE id % 500 = 0)""", """
 SELECT 'record' AS outcome, repository_full_name AS repository, count(*) AS n FROM rel_raw GROUP BY 2
@@ -440,3 +450,15 @@ SELECT o_orderkey,
     AS repository_full_name,
   coalesce(CASE WHEN o_orderstatus = 'O' THEN o_orderdate END, o_orderdate + INTERVAL 2 DAY) AS fetched_at
 FROM orders"""
+
+_RAW_OUTCOMES = """
+SELECT 'raw' AS part, 'pull_requests' AS name, 'stored' AS detail, count(*) AS n FROM events
+UNION ALL SELECT 'raw', 'releases', 'stored', count(*) FROM orders
+UNION ALL SELECT 'raw', 'repositories', 'stored', count(*) FROM customer
+UNION ALL SELECT 'raw', 'issues', 'stored', count(*) FROM events WHERE event_id % 4 > 1
+UNION ALL SELECT 'raw', 'pull_requests', why, times * count(*) FROM events, (VALUES ('a key does not fit its type', 2), ('not an object', 1)) w(why, times)
+  WHERE event_id % 1000 = 0 GROUP BY why, times
+UNION ALL SELECT 'raw', 'pull_requests', 'unreadable page', 1 WHERE EXISTS (FROM events WHERE event_id % 1000 = 0)"""
+SQL["job_report"] = (_RAW_OUTCOMES + f"""
+UNION ALL SELECT 'check', model, test || ' ' || column_name, failures FROM ({SQL['quality_checks'].strip()})
+UNION ALL SELECT 'export', model, 'rows', row_count FROM ({SQL['model_row_counts'].strip()})""")

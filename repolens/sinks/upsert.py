@@ -75,7 +75,17 @@ def obsolete_folders(spark: SparkSession, root: str, keep: int = 2) -> list[str]
         return []
     newest = log.groupBy("bucket").agg(F.slice(F.sort_array(F.collect_set("version"), asc=False), 1, keep).alias("kept"))
     old = log.join(newest, "bucket").where(~F.array_contains("kept", F.col("version")))
-    return sorted(r["path"] for r in old.select("path").distinct().collect())
+    return sorted(r["path"] for r in old.select("path").distinct().toLocalIterator())
+
+
+def obsolete_loads(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Staged loads (with their NULL-key rejects) and changed rows of all versions but the newest ``keep``.
+
+    Readers of the table never use them: a retention job may delete them once rejects and changes were taken.
+    """
+    root, last = root.rstrip("/"), last_version(spark, root)
+    places = [f"{root}/{kind}/v={v}" for kind in ("_incoming", "_changes") for v in range(1, last - keep + 1)]
+    return [p for p in places if path_exists(spark, p)]
 
 
 def _read_folders(spark: SparkSession, folders: list[str]) -> DataFrame | None:

@@ -52,6 +52,25 @@ def read_model(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/v={version}")
 
 
+def layer(df: DataFrame, path: str, **how) -> DataFrame:
+    """The model as written; an empty one keeps its columns."""
+    return df.sparkSession.read.schema(df.schema).parquet(materialize(df, path=path, **how))
+
+
+def write_summary(spark: SparkSession, root: str, outcomes: list[tuple[str, str, int]]) -> str:
+    """A run's (entity, outcome, n) as the next version of ``<root>/summary``: rows stored, and rejects by reason."""
+    return materialize(spark.createDataFrame(outcomes, "entity string, outcome string, n long").coalesce(1), path=f"{root}/summary")
+
+
+def obsolete_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """The folders of a model's versions but the newest ``keep``: what a retention job may delete."""
+    root, newest = path.rstrip("/"), model_version(spark, path)
+    if newest is None:
+        return []
+    old = spark.read.schema("version long").parquet(f"{root}/_log").where(F.col("version") <= newest - keep).distinct()
+    return [f"{root}/v={r['version']}" for r in old.orderBy("version").toLocalIterator()]
+
+
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     """Write parquet and return the row count observed during the write (S9, no second scan)."""
     obs = Observation()

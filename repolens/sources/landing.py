@@ -80,21 +80,31 @@ def split_records(pages: DataFrame) -> DataFrame:
                 .select("_source_file", "_file_time", "_r.*")
 
 
-def parse_records(records: DataFrame, sch: StructType, raw_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Type the records of :func:`split_records`; returns ``(records, rejects)``, batch and stream alike.
-
-    The repository falls back to the ``repo=`` folder and ``fetched_at`` to the file's modification time
-    (never the wall clock at read). ``raw_col`` keeps each record's JSON text, unknown keys included.
-    """
+def tag_records(records: DataFrame, sch: StructType) -> DataFrame:
+    """The records of :func:`split_records` with their parse ``_p`` and why they are rejects (``_reason``, NULL for good ones)."""
     full = StructType(list(sch.fields) + [StructField(CORRUPT, StringType())])
     parsed = records.withColumn("_p", F.from_json("_json", full, {"columnNameOfCorruptRecord": CORRUPT}))
     misfit = F.col("_json").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
     why = F.coalesce(F.col(REASON), F.when(misfit, F.when(F.json_object_keys("_json").isNull(), F.lit("not an object"))
                                            .otherwise(F.lit("a key does not fit its type"))))
-    parsed = parsed.withColumn(REASON, why)
-    rejects = parsed.where(F.col(REASON).isNotNull()).select(
-        "_source_file", F.coalesce("_json", F.lit("null")).alias(CORRUPT), REASON)
-    out = parsed.where(F.col(REASON).isNull()).select("_source_file", "_file_time", "_json", "_p.*").drop(CORRUPT)
+    return parsed.withColumn(REASON, why)
+
+
+def staged(tagged: DataFrame, path: str) -> DataFrame:
+    """The tagged records written once, good ones and rejects in folders of their own, and read back.
+
+    Whoever reads one side then neither reads a page again nor parses it.
+    """
+    out = tagged.withColumn("_reject", F.col(REASON).isNotNull())
+    out.write.mode("overwrite").partitionBy("_reject").parquet(path)
+    return out.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def separated(parsed: DataFrame, sch: StructType, raw_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(records, rejects)`` of tagged records; each side prunes the other's folder where they were staged."""
+    is_reject = F.col("_reject") if "_reject" in parsed.columns else F.col(REASON).isNotNull()
+    rejects = parsed.where(is_reject).select("_source_file", F.coalesce("_json", F.lit("null")).alias(CORRUPT), REASON)
+    out = parsed.where(~is_reject).select("_source_file", "_file_time", "_json", "_p.*").drop(CORRUPT)
     if "repository_full_name" in sch.fieldNames():
         out = out.withColumn("repository_full_name", F.coalesce(F.col("repository_full_name"), repo_from_path()))
     if "fetched_at" in sch.fieldNames():
@@ -104,6 +114,17 @@ def parse_records(records: DataFrame, sch: StructType, raw_col: str | None = Non
     return out.select(*sch.fieldNames(), *extra, "_source_file"), rejects
 
 
+def parse_records(records: DataFrame, sch: StructType, raw_col: str | None = None, stage: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Type the records of :func:`split_records`; returns ``(records, rejects)``, batch and stream alike.
+
+    The repository falls back to the ``repo=`` folder and ``fetched_at`` to the file's modification time
+    (never the wall clock at read). ``raw_col`` keeps each record's JSON text, unknown keys included. With
+    ``stage`` the parse is written to that folder once and both frames read it (:func:`staged`).
+    """
+    tagged = tag_records(records, sch)
+    return separated(staged(tagged, stage) if stage else tagged, sch, raw_col)
+
+
 def parse_pages(pages: DataFrame, sch: StructType, raw_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Page rows (``value``, ``_source_file``, ``_file_time``) -> typed records + rejects."""
     return parse_records(split_records(pages), sch, raw_col)
@@ -141,13 +162,14 @@ def entity_path(root: str, entity: str, repos: list[str] | None = None) -> str:
 
 def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType | None = None,
                on_bad_page: str = "skip_page", repos: list[str] | None = None, raw_col: str | None = None,
-               without_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+               without_key: str | None = None, stage: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Read one entity's pages with an explicit schema; returns ``(records, rejects)``.
 
     Every landed record is in one of the two. ``on_bad_page``: ``"skip_page"`` rejects an unreadable page
     alone, ``"end_repository"`` also rejects the pages after it in that repository. ``repos`` limits the
     read to those repositories' folders (see :func:`entity_path`). ``without_key`` leaves out records
-    that hold this key at all (P4): they belong to another entity.
+    that hold this key at all (P4): they belong to another entity. ``stage`` names a folder for the
+    parsed records where both frames are used.
     """
     sch = schema or ENTITY_SCHEMAS[entity]
     records = split_records(_pages(spark, entity_path(root, entity, repos)))
@@ -157,7 +179,7 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
         raise ValueError("on_bad_page must be 'end_repository' or 'skip_page'")
     if without_key:
         records = lacks_json_key(records, "_json", without_key)
-    return parse_records(records, sch, raw_col)
+    return parse_records(records, sch, raw_col, stage)
 
 
 def read_issue_pages(spark: SparkSession, root: str, schema: StructType | None = None,
