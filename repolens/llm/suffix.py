@@ -42,6 +42,11 @@ _BYTE = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ (
 KEEP, GONE, APART = 0, 1, 2
 #: A gram in more surroundings than this has its strings dealt out one by one, by their content.
 MOST_TOGETHER = 4096
+#: Grams this frequent in one of SAMPLE documents, and in at least one of FEW of its anchors, are dealt out by their
+#: surroundings. The sample decides how work is dealt out, never a result; FEW bounds how many such grams there are.
+SAMPLE, HOT_IN_SAMPLE, FEW = 64, 64, 100_000
+#: Strings that a task remembers to drop repeats early; bounds memory, never what is compared.
+MOST_SEEN = 200_000
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -145,58 +150,94 @@ def anchor_rows(src: DataFrame) -> DataFrame:
     return src.mapInArrow(run, "h long, c long, id long, code long")
 
 
-def gram_marks(rows: DataFrame) -> DataFrame:
+def hot_grams(docs: DataFrame) -> DataFrame:
+    """(h): at most FEW hashes of grams that occur in very many documents."""
+    some = docs if SAMPLE == 1 else docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
+    counts = durable(anchor_rows(some).where(F.col("code").bitwiseAND(3) == KEEP).groupBy("h").agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return durable(counts.where(F.col("n") >= max(HOT_IN_SAMPLE, total // FEW)).select("h"))
+
+
+def dealt_anchors(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """The rows with a flag ``hot``: a gram's rows in one task, those of a hot gram in one task for each surrounding."""
+    if hot.isEmpty():
+        return rows.withColumn("hot", F.lit(False)).repartition("h")
+    known = F.broadcast(hot.select(F.col("h").alias("hot_h")))  # at most FEW longs
+    flagged = rows.join(known, F.col("h") == F.col("hot_h"), "left").withColumn("hot", F.col("hot_h").isNotNull()).drop("hot_h")
+    return flagged.repartition(F.when(F.col("hot"), F.xxhash64("h", "c")).otherwise(F.col("h")))
+
+
+def gram_marks(rows: DataFrame, hot: DataFrame) -> DataFrame:
     """(id, code): GONE spans, and as KEEP or APART the anchors whose strings have to be sorted."""
     def run(batches):
-        held = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
+        held = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
         if not held:
             return
-        h, c, doc, code = (np.concatenate(x) for x in zip(*held))
+        h, c, doc, code, is_hot = (np.concatenate(x) for x in zip(*held))
         del held
         gone = (code & 3) == GONE
-        out = [(doc[gone], code[gone])]
-        h, c, doc, code, new_h, new_c = repeats_marked(*(x[~gone] for x in (h, c, doc, code)))
-        if len(h):
-            gram = np.cumsum(new_h) - 1
-            kinds = np.bincount(gram[new_c])[gram]
-            several = new_c & (kinds > 1)
-            code = code | np.where(kinds > MOST_TOGETHER, APART, KEEP)
-            out += [(doc[~new_c], code[~new_c] & ~3 | GONE), (doc[several], code[several])]
-        doc, code = (np.concatenate(x) for x in zip(*out))
+        none = np.zeros(0, np.int64)
+        out = [(doc[gone], code[gone], np.zeros(int(gone.sum()), np.int64), np.ones(int(gone.sum()), bool))]
+        for part in (~gone & ~is_hot, ~gone & is_hot):
+            if not part.any():
+                continue
+            waits = bool(is_hot[part][0])
+            x = repeats_marked(*(v[part] for v in (h, c, doc, code)))
+            new_h, new_c = x[4:]
+            if waits:
+                go, kind = new_c, np.zeros(len(new_c), np.int64)  # how many surroundings there are is not known here
+            else:
+                gram = np.cumsum(new_h) - 1
+                kinds = np.bincount(gram[new_c])[gram]
+                go, kind = new_c & (kinds > 1), np.where(kinds > MOST_TOGETHER, APART, KEEP)
+            gone_code = x[3][~new_c] & ~3 | GONE
+            out.append((x[2][~new_c], gone_code, np.zeros(len(gone_code), np.int64), np.ones(len(gone_code), bool)))
+            out.append((x[2][go], (x[3] | kind)[go], x[0][go], np.full(int(go.sum()), not waits)))
+        doc, code, h, known = (np.concatenate(x) for x in zip(*out, (none, none, none, none.astype(bool))))
         for at in range(0, len(doc), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(doc[at:at + (1 << 16)]), pa.array(code[at:at + (1 << 16)])], names=["id", "code"])
+            cut = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[cut]), pa.array(code[cut]), pa.array(h[cut], mask=known[cut])], names=["id", "code", "h"])
 
-    return rows.repartition("h").mapInArrow(run, "id long, code long")
+    marks = dealt_anchors(rows, hot).mapInArrow(run, "id long, code long, h long")
+    if hot.isEmpty():
+        return marks.select("id", "code")
+    marks = durable(marks)
+    waiting = marks.where(F.col("h").isNotNull())  # the earliest row of each surrounding of a hot gram
+    kinds = waiting.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    code = F.when(F.col("kinds") > MOST_TOGETHER, F.col("code").bitwiseOR(F.lit(APART))).otherwise(F.col("code"))
+    return marks.where(F.col("h").isNull()).select("id", "code").unionByName(waiting.join(F.broadcast(kinds), "h").select("id", code.alias("code")))
 
 
 def surroundings(rows: DataFrame) -> DataFrame:
     """(h, id, start, left, text): the bytes of the anchors to be sorted; rows are (id, text, codes).
 
     The strings of an APART anchor are rows of their own, with a hash of the string as h: a passage that
-    very many documents share then meets in as many tasks as it has strings, once per run of texts. A
-    repeat within the run is known to be one at once: left is minus the bytes gone, and text is empty.
+    very many documents share then meets in as many tasks as it has strings, about once per task. A
+    repeat of an earlier document's string is known to be one at once: left is minus the bytes gone, and text is empty.
     """
     names = ["h", "id", "start", "left", "text"]
 
-    def apart(doc: int, text: bytes, begin: int, place: int, n: int, seen: set[bytes], out: list) -> None:
+    def apart(doc: int, text: bytes, begin: int, place: int, n: int, seen: dict[bytes, int], out: list) -> None:
         run = 0
         for k in range(begin, begin + n + 1):
             s = text[k:k + LENGTH] if k < begin + n else b""
-            if s and s in seen:
+            if s and seen.get(s, doc + 1) <= doc:
                 run += 1
                 continue
             if run:
                 out.append(((doc * 31 + k + (1 << 63)) % (1 << 64) - (1 << 63), doc, k - run, -(run + LENGTH - 1), b""))
                 run = 0
             if s:
-                seen.add(s)
+                seen[s] = doc
                 out.append((xxhash.xxh3_64_intdigest(s) - (1 << 63), doc, k, place - k, s))
 
     def run(batches):
+        seen: dict[bytes, int] = {}  # string -> the smallest document of this task that has it
         with np.errstate(over="ignore"):
             for b in slices(batches, 1):
                 out: list[tuple] = []
-                seen: set[bytes] = set()
+                if len(seen) > MOST_SEEN:
+                    seen.clear()
                 held = b.column(2).to_pylist()
                 for i in np.argsort(b.column(0).to_numpy()).tolist():  # the earlier of two documents comes first
                     code = np.array(held[i] or (), np.int64)
@@ -421,7 +462,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     unique = seen["n"] == seen["d"]
     known = src if unique else numbered(src)
     docs = known.select("id", "text")
-    codes = durable(gram_marks(anchor_rows(docs)).groupBy(F.col("id").alias("of")).agg(F.collect_list("code").alias("codes")))
+    codes = durable(gram_marks(anchor_rows(docs), hot_grams(docs)).groupBy(F.col("id").alias("of")).agg(F.collect_list("code").alias("codes")))
     # both readers of ``held`` use the same columns of every document, so the texts are shuffled once
     held = docs.join(codes, docs["id"] == codes["of"], "left").select("id", "text", "codes")
     spans = sorted_marks(surroundings(held)).groupBy(F.col("id").alias("at")).agg(F.collect_list("span").alias("spans"))

@@ -138,3 +138,38 @@ def test_strings_dealt_apart_with_wide_ids(spark, monkeypatch):
     rows.sort()
     df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "doc_id long, text string").repartition(2)
     assert sorted(result(df)) == sorted(brute(rows))
+
+
+@pytest.mark.parametrize("most,frequent", [(1, 2), (3, 3), (4096, 2)])
+def test_hot_grams_dealt_by_surroundings_change_nothing(spark, monkeypatch, most, frequent):
+    monkeypatch.setattr(S, "SAMPLE", 1)
+    monkeypatch.setattr(S, "HOT_IN_SAMPLE", frequent)
+    monkeypatch.setattr(S, "MOST_TOGETHER", most)
+    rows = list(enumerate(shared_texts(7), -20))
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "doc_id long, text string").repartition(7)
+    assert not S.hot_grams(df.withColumnRenamed("doc_id", "id")).isEmpty()
+    assert sorted(result(df)) == brute(rows)
+    assert sorted(result(odd(spark)), key=str) and S.remove_repeats(empty(spark)).collect() == []
+
+
+def test_a_passage_of_a_third_of_all_documents_meets_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(S, "SAMPLE", 1)
+    rng = random.Random(5)
+    line = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = line(160)
+    rows = [(i, line(60) + passage + line(60) if i % 3 == 0 else line(120)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(6)
+    anchors = S.anchor_rows(docs)
+    hot = S.hot_grams(docs)
+    most = lambda df: max(r["count"] for r in df.withColumn("p", S.F.spark_partition_id()).groupBy("h", "p").count().collect())
+    keep = S.F.col("code").bitwiseAND(3) == S.KEEP
+    hottest = max(r["count"] for r in anchors.where(keep).groupBy("h").count().collect())
+    assert hottest > 500 and 0 < hot.count() < 100
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions would be put together
+    try:
+        assert most(S.dealt_anchors(anchors, hot).where(keep)) < hottest / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # all but the first document's copy goes, wherever the strings end
+    got = {r[0]: r[2] for r in S.remove_repeats(docs.withColumnRenamed("id", "doc_id")).collect()}
+    assert all((got[i] >= 160) == (i % 3 == 0 and i > 0) for i in got)
