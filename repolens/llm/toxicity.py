@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from repolens.llm.common import col, durable, keyed_text, slices, texts_of
 
-#: At most so many labelled documents are learnt from (by the order of a hash of their ids), and so many terms kept.
-FIT_ROWS, MAX_TERMS = 20_000, 20_000
+#: At most so many labelled documents are learnt from (by the order of a hash of their ids).
+FIT_ROWS = 20_000
 #: Share of the corpus counts in the prior, least z-value of a term, confidence of its bound in deviations.
 PRIOR, LEAST_Z, BOUND = 0.1, 3.5, 1.5
 #: Lengths of word beginnings that are terms; what a word without a term costs.
@@ -45,7 +45,7 @@ def terms_of(word: str) -> list[str]:
 
 @dataclass
 class Model:
-    """All that scoring needs; at most MAX_TERMS terms."""
+    """All that scoring needs; its terms are those of the labelled sample that pass their bound."""
     terms: dict[str, float] = field(default_factory=dict)
     rate: float = 1.0  # the extreme-value law's lambda and K
     k: float = 1.0
@@ -202,14 +202,15 @@ def _points(sample: DataFrame, model: Model) -> list:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id",
-          label_col: str = "toxic", fit_rows: int = FIT_ROWS, max_terms: int = MAX_TERMS) -> Model:
-    """The model of the labelled documents. The driver sees at most ``fit_rows`` rows of numbers and ``max_terms`` terms.
+          label_col: str = "toxic", fit_rows: int = FIT_ROWS, max_terms: int | None = None) -> Model:
+    """The model of the labelled documents. The driver sees at most ``fit_rows`` rows of numbers, and the terms whose
+    bound holds (all of them, unless ``max_terms`` says how many of the best): a share of the sample's words.
 
     Rows without an id, a label or a document teach nothing. With one class only, or no labels, every text
     scores the share of toxic labels, one half added to either class.
     """
     sample = F.broadcast(labelled_sample(labels, label_id, label_col, fit_rows))  # fit_rows rows of three numbers at most
-    rows = keyed_text(docs, id_col, text_col).join(sample, F.col("id") == F.col("of")).select("text", "toxic", "part")
+    rows = durable(keyed_text(docs, id_col, text_col).join(sample, F.col("id") == F.col("of")).select("text", "toxic", "part"))
     size: dict[tuple[bool, bool], int] = {}
     for r in rows.groupBy("toxic", (F.col("part") == 0).alias("kept")).agg(F.count("*").alias("n")).collect():
         size[r["toxic"] == 1, r["kept"]] = size.get((r["toxic"] == 1, r["kept"]), 0) + r["n"]
@@ -219,7 +220,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not d1 or not d0:
         return base
     found = log_odds(term_table(rows.where("part != 0")), d1, d0).where((F.col("z") >= LEAST_Z) & (F.col("odds") > 0))
-    model = Model(terms={r["term"]: r["odds"] for r in found.orderBy(F.desc("z"), "term").limit(max_terms).collect()})
+    if max_terms is not None:
+        found = found.orderBy(F.desc("z"), "term").limit(max_terms)
+    model = Model(terms={r["term"]: r["odds"] for r in found.collect()})
     clean = durable(_clean_texts(rows.where("part = 0 and toxic != 1"), model))
     hits = clean.select(F.explode("hits").alias("s")).groupBy(F.round("s", 1).alias("s")).count().collect()  # a row for each tenth
     best = clean.select("n", "top").collect()

@@ -39,3 +39,12 @@ def test_contract_columns_and_rows(spark, name, columns):
     rows = spark.read.parquet(f"{DIR}/{table}.parquet").select(key).distinct().count() + (name == "op4_chat")
     ids = [r[0] for r in out.select(key).collect()]
     assert len(ids) == len(set(ids)) == rows
+
+
+@pytest.mark.parametrize("name", ["op3_toxicity", "op11_language"])
+def test_null_ids_are_not_held_out(spark, tmp_path, name):
+    rows = [(i, f"some plain words {i}", "en") for i in range(20)] + [(None, "no id at all", "en"), (None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(20)] + [(None, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = QUERIES[name](spark, str(tmp_path)).collect()
+    assert len(got) == 22 and all(r.held_out is not None for r in got) and not any(r.held_out for r in got if r.doc_id is None)
