@@ -10,21 +10,30 @@ scheduled runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import ENTITY_SCHEMAS
 from ..sinks.upsert import upsert_parquet
 from ..operators.filters import lacks_json_key
-from ..sources.landing import REJECT_COLUMNS, page_rows, parse_records, split_records
+from ..sources.landing import LINES_NAME, REJECT_COLUMNS, page_rows, parse_records, split_records
 
 
 def stream_pages(spark: SparkSession, landing: str, entity: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
-    """A streaming frame of page rows (``value``, ``_source_file``, ``_file_time``)."""
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return page_rows(reader.text(f"{landing.rstrip('/')}/entity={entity}", wholetext=True, recursiveFileLookup=True))
+    """A streaming frame of page rows (``value``, ``_source_file``, ``_file_time``).
+
+    As in the batch, files of lines are read by line (a large one is split over tasks), all others as one
+    row each: two file sources over the folder, each with a condition on the file's name. Both count
+    towards ``max_files_per_trigger``.
+    """
+    def files(**how) -> DataFrame:
+        reader = spark.readStream
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.text(f"{landing.rstrip('/')}/entity={entity}", recursiveFileLookup=True, **how)
+
+    by_line = F.col("_metadata.file_path").rlike(LINES_NAME)
+    return page_rows(files(wholetext=True).where(~by_line)).unionByName(page_rows(files().where(by_line)))
 
 
 def incremental_upsert(spark: SparkSession, landing: str, entity: str, target: str, checkpoint: str,

@@ -59,3 +59,31 @@ def test_stream_of_landed_supplied_table_equals_batch_merge(spark, tmpdir_path):
     assert streamed.count() == raw.count()
     assert sorted(map(tuple, streamed.select(cols).collect()), key=str) == \
         sorted(map(tuple, expected.select(cols).collect()), key=str)
+
+
+def test_files_of_lines_are_streamed_line_by_line(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from repolens.streaming.incremental import stream_pages
+    folder = os.path.join(tmpdir_path, "landing", "entity=releases", "repo=o__r")
+    os.makedirs(folder)
+    rows = [{"id": i, "tag_name": f"v{i}", "fetched_at": "2024-01-01", "body": "x" * 2000} for i in range(400)]
+    with open(os.path.join(folder, "a.jsonl"), "w") as f:
+        f.write("\n".join(map(json.dumps, rows)))
+    with open(os.path.join(folder, "b.json"), "w") as f:
+        json.dump([{"id": 1000, "tag_name": "page"}, {"id": 1001, "tag_name": "page"}], f)
+    seen = []
+
+    def count(batch, _):
+        seen.append((batch.count(), batch.groupBy(F.spark_partition_id()).count().count()))
+
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "100k")
+    try:
+        q = stream_pages(spark, os.path.join(tmpdir_path, "landing"), "releases").writeStream.foreachBatch(count)
+        q.option("checkpointLocation", os.path.join(tmpdir_path, "c")).trigger(availableNow=True).start().awaitTermination(120)
+        assert seen[0][0] == 401 and seen[0][1] > 4  # one row a line, one the page, in more than one task
+        incremental_upsert(spark, os.path.join(tmpdir_path, "landing"), "releases", os.path.join(tmpdir_path, "t"), os.path.join(tmpdir_path, "c2")).awaitTermination(120)
+    finally:
+        spark.conf.set(key, old)
+    assert sorted(r["id"] for r in read_current(spark, os.path.join(tmpdir_path, "t")).collect()) == [*range(400), 1000, 1001]
