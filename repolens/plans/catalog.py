@@ -23,6 +23,7 @@ from ..functions.numeric import round_half_away
 from ..functions.timefmt import days_between
 from ..functions.nested import cap_nested, child_rows, field_names, nested_count, nested_to_json, topk_nested
 from ..operators.aggregates import distinct_keys, exact_quantile_by, row_count, top_k_groups
+from ..operators.search import build_index, search_index
 from ..operators.sketches import gap_sketches, kll_rank_error, rank_error, sketch_quantile, top_k_by_summary
 from ..operators.filters import (allow_list, equals_folded, lacks_json_key, repository_filter, search_terms,
                                  state_filter)
@@ -195,6 +196,14 @@ def q_search_terms(spark, sf_dir):
     return out.select("p_partkey", "p_name")
 
 
+def q_search_index(spark, sf_dir):
+    """Repositories by name, description and topic, found in a trigram index built over all of them."""
+    place = scratch(spark, "index")
+    repos = ad.gql_repositories(spark, sf_dir).select("databaseId", "nameWithOwner", "description")
+    build_index(repos, "databaseId", ["nameWithOwner", "description"], place)
+    return search_index(spark, place, "Customer#00000001 mach")
+
+
 def q_split_name(spark, sf_dir):
     """owner/name split; names with zero or two slashes are rejected."""
     c = ad.table(spark, sf_dir, "customer")
@@ -630,6 +639,7 @@ QUERIES: dict[str, QueryFn] = {
     "repo_filter": q_repo_filter,
     "allow_list": q_allow_list,
     "search_terms": q_search_terms,
+    "search_index": q_search_index,
     "split_name": q_split_name,
     "split_name_rejects": q_split_name_rejects,
     "recent_n_per_key": q_recent_n_per_key,

@@ -247,6 +247,9 @@ SELECT id, repository FROM silver_prs WHERE repository IN ('org/repo_1', 'org/re
 SELECT p_partkey, p_name FROM part
 WHERE lower(concat_ws(' ', p_name, p_type, p_brand)) LIKE '%red%'
   AND lower(concat_ws(' ', p_name, p_type, p_brand)) LIKE '%widget%'""",
+    "search_index": """
+SELECT c_custkey AS "databaseId", 'cust/' || c_name AS "nameWithOwner", 'segment ' || c_mktsegment AS description FROM customer
+WHERE lower(c_name || ' segment ' || c_mktsegment) LIKE '%customer#00000001%' AND lower(c_name || ' segment ' || c_mktsegment) LIKE '%mach%'""",
     "split_name": """
 WITH named AS (
   SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN c_name WHEN c_custkey % 10 = 1 THEN 'a/b/' || c_name
