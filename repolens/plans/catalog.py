@@ -35,6 +35,7 @@ from ..functions.classify import classify_title
 from ..session import ensure_checkpoint_dir
 from ..sinks.upsert import merge_latest, read_changes, read_current, upsert_parquet
 from ..sinks.writers import export_models, materialize, read_model
+from ..sources.discover import child_tables, discovered_schema, typed_records
 from ..sources.landing import read_pages, repo_from_path
 from ..sources.tables import existing_or_empty, scan_parquet, table as catalog_table
 from ..streaming.incremental import incremental_upsert
@@ -448,6 +449,17 @@ def q_landing_gql_pull_requests(spark, sf_dir):
     return good.unionByName(why, allowMissingColumns=True)
 
 
+def q_discovered_children(spark, sf_dir):
+    """Releases landed as text and read without a schema; the table of the asset list that discovery finds."""
+    place = scratch(spark, "discover")
+    raw = ad.gql_releases(spark, sf_dir)
+    raw.select(F.to_json(F.struct(*raw.columns)).alias("_json")).write.text(place)
+    records = spark.read.text(place).withColumnRenamed("value", "_json")
+    typed = typed_records(records, discovered_schema(records))
+    assets = child_tables(typed, ["databaseId"], "releases")["releases__releaseAssets__nodes"]
+    return assets.select("databaseId", F.col("releaseAssets__nodes_pos").cast("long").alias("position"), "name", "size", "contentType")
+
+
 def q_landing_releases(spark, sf_dir):
     """Releases landed among bad pages; rows read and rejected, by reason."""
     place = scratch(spark, "landing")
@@ -663,6 +675,7 @@ QUERIES: dict[str, QueryFn] = {
     "newest_first": q_newest_first,
     "landing_pull_requests": q_landing_pull_requests,
     "landing_releases": q_landing_releases,
+    "discovered_children": q_discovered_children,
     "landing_gql_pull_requests": q_landing_gql_pull_requests,
     "upsert_persisted": q_upsert_persisted,
     "median_gap_maintained": q_median_gap_maintained,

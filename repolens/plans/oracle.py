@@ -386,6 +386,9 @@ SELECT 'record' AS outcome, o_orderkey AS database_id, 'cust/Customer#' || lpad(
   CAST(CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE o_orderkey % 3 + 1 END AS BIGINT) AS n_reviews, CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END AS milestone,
   CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 3 DAY END AS closed_at FROM ord
 UNION ALL SELECT 'a key does not fit its type', 2 * n, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM bad WHERE n > 0""",
+    "discovered_children": """
+SELECT o_orderkey AS "databaseId", i - 1 AS position, 'bundle-' || CAST(i AS VARCHAR) AS name, o_custkey * i AS size, 'application/octet-stream' AS "contentType"
+FROM (SELECT *, unnest(range(1, o_custkey % 31 + 1)) AS i FROM orders)""",
     "landing_releases": _with(REL_RAW + """,
 bad AS (SELECT count(*) AS n FROM rel_raw WHERE id % 500 = 0)""", """
 SELECT 'record' AS outcome, repository_full_name AS repository, count(*) AS n FROM rel_raw GROUP BY 2
