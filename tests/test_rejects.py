@@ -4,7 +4,7 @@ import json
 import os
 
 from repolens.plans.legacy import run_legacy_job
-from repolens.sinks.upsert import obsolete_loads, read_changes, upsert_parquet
+from repolens.sinks.upsert import obsolete_loads, read_changes, read_current, upsert_parquet
 from repolens.sinks.writers import materialize, obsolete_versions, read_model
 from repolens.sources.landing import read_pages
 
@@ -23,12 +23,15 @@ def test_legacy_job_keeps_its_rejects(spark, tmp_path):
     land(tmp_path, "gql_pull_requests", "[{broken")
     land(tmp_path, "gql_releases", [{"databaseId": 20, "repo": "b/unknown"}])
     warehouse = f"{tmp_path}/wh"
+    before = spark.sql("SELECT current_timestamp()").first()[0]
     assert run_legacy_job(spark, f"{tmp_path}/landing", warehouse) == {"repositories": 1, "pull_requests": 1, "releases": 0}
     rows = {(r.entity, r.outcome): r.n for r in read_model(spark, f"{warehouse}/summary").collect()}
     assert rows == {("repositories", "stored"): 1, ("repositories", "a key does not fit its type"): 1, ("repositories", "no id"): 1,
                     ("pull_requests", "stored"): 1, ("pull_requests", "no stored repository"): 2, ("pull_requests", "no id"): 1,
                     ("pull_requests", "a key does not fit its type"): 1, ("pull_requests", "not an object"): 1, ("pull_requests", "unreadable page"): 1,
                     ("releases", "stored"): 0, ("releases", "no stored repository"): 1}
+    stamps = [r["collected_at"] for t in ("repositories", "pull_requests") for r in read_current(spark, f"{warehouse}/{t}").collect()]
+    assert stamps and all(before <= t <= spark.sql("SELECT current_timestamp()").first()[0] for t in stamps)  # F13
     kept = read_model(spark, f"{warehouse}/rejects/pull_requests").where("_reason = 'no stored repository'").collect()
     assert sorted(json.loads(r["_corrupt_record"])["databaseId"] for r in kept) == [11, 12]
 
