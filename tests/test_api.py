@@ -15,12 +15,16 @@ def test_invalid_state_rejected(spark):
         state_filter(spark.createDataFrame([("open",)], "state string"), "merged")
 
 
-@pytest.mark.parametrize("cap,expected", [(1, 1), (5, 5), (10, 10), (50, 10), (0, 10), (None, 10), (-1, 0)])
-def test_per_repository_cap_grid(spark, cap, expected):
+def test_a_cap_keeps_the_newest_of_every_key(spark):
+    """Keys of 2, 7 and 23 rows: min(size, cap) of each stay, all without a cap, none below zero."""
     from pyspark.sql import functions as F
     from repolens.operators.windows import recent_n_per_key
-    df = spark.range(10).select(F.lit("test/repo").alias("repo"), F.col("id"))
-    assert recent_n_per_key(df, ["repo"], [F.col("id").desc()], cap, rank_col=None).count() == expected
+    sizes = {"small": 2, "middle": 7, "large": 23}
+    df = spark.createDataFrame([(k, i) for k, n in sizes.items() for i in range(n)], "k string, i long").repartition(4)
+    for cap in (None, 0, -3, 1, 2, 6, 7, 8, 22, 40):
+        got = {(r.k, r.i) for r in recent_n_per_key(df, ["k"], [F.col("i").desc()], cap, rank_col=None).collect()}
+        room = lambda n: n if not cap else min(n, max(cap, 0))
+        assert got == {(k, n - 1 - j) for k, n in sizes.items() for j in range(room(n))}, cap
 
 
 def test_cap_is_one_path_for_any_n(spark):
