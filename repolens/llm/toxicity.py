@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Terms (words and word beginnings) get log-odds of toxic against clean documents under a Dirichlet prior
-that is a share of the corpus's own counts; a term counts by its lower confidence bound, every other word
+that is a share of the labelled sample's own counts; a term counts by its lower confidence bound, every other word
 costs a little. One linear scan per text finds all maximal segments (Ruzzo and Tompa). What a segment's
 total means depends on the text's length: totals of chance segments follow an extreme-value law, whose
 two parameters come from clean documents. The p-value of the best segment, the number of significant
@@ -25,7 +25,7 @@ from repolens.llm.common import col, durable, keyed_text, slices, texts_of
 
 #: At most so many labelled documents are learnt from (by the order of a hash of their ids).
 FIT_ROWS = 20_000
-#: Share of the corpus counts in the prior, least z-value of a term, confidence of its bound in deviations.
+#: Share of the sample's pooled counts in the prior, least z-value of a term, confidence of its bound in deviations.
 PRIOR, LEAST_Z, BOUND = 0.1, 3.5, 1.5
 #: Lengths of word beginnings that are terms; what a word without a term costs.
 STEMS, WORD_COST = range(4, 9), 0.05
