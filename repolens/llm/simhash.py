@@ -2,10 +2,15 @@
 
 A 64-bit fingerprint is mapped to the bit counts of its 32 two-bit segments. The Manhattan distance of
 two such vectors never exceeds the number of differing bits, so it is a lower bound that may be tested
-first. The vector is split into d // 2 + 1 groups of segments: two fingerprints within d bits lie within
-distance 1 in at least one group (pigeonhole). Each group is a grid; a fingerprint stands in its own cell
-and reaches up by one in each segment, so two within distance 1 always meet in a cell. In a cell the
+first. The vector is split into groups of segments, d // 3 + 1 by default: two fingerprints within d bits
+lie within distance 2 in at least one group (pigeonhole). Each group is a grid; a fingerprint stands in its
+own cell and those one step away, so two within distance 2 always meet in a cell. In a cell the
 whole vectors are compared, then the bits. Only a spanning forest of a task's links leaves the task.
+
+For 4 bits these are two grids of 3^16 cells and about 50 cells a fingerprint. Of N unrelated fingerprints
+each then meets about N / 10,000 others. One group of all 32 segments (``groups=1``, cells up to two steps
+away) has about 1,150 cells a fingerprint, each of which meets about N / 60,000,000 others: the better grid
+beyond some 10^7 unrelated fingerprints. Links are the same with any number of groups.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ CELL_ROWS = 40_000
 #: Cells up to this size are compared pair by pair in one vectorised step.
 SMALL_CELL = 512
 PAIRS = 1 << 20
+#: Fingerprints placed in their cells at once; bounds memory only.
+PLACED = 1024
 # byte -> its eight bits in the eight bytes of a word, lowest bit in the lowest byte
 LANES = ((np.arange(256, dtype=np.uint64)[:, None] >> np.arange(8, dtype=np.uint64) & np.uint64(1)) << np.arange(0, 64, 8, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
@@ -107,33 +114,50 @@ def linked(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     return near[np.bitwise_count(a[near] ^ b[near]) <= most]
 
 
-def grid_groups(most: int) -> list[tuple[int, int]]:
-    """(first segment, segments) of each group."""
-    n = min(most // 2 + 1, SEGMENTS)
+def grid_groups(most: int, groups: int | None = None) -> list[tuple[int, int]]:
+    """(first segment, segments) of each group; by default so many that one of them is within distance 2."""
+    n = min(groups or most // 3 + 1, SEGMENTS)
     cut = [SEGMENTS * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cut, cut[1:])]
 
 
-def cells(fps: DataFrame, most: int) -> DataFrame:
-    """(grp, cell, fp): each fingerprint in its own cell of every grid and, if links may be one step apart, in the cells one up."""
-    groups, reach = grid_groups(most), most > 0
+def ball(own: np.ndarray, width: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, index into ``own``) of the cells each vector stands in, so that any two within distance ``reach`` share one.
+
+    Those are all cells within half the distance, rounded up; one step is only taken upwards if ``reach`` is 1.
+    """
+    radius = (reach + 1) // 2
+    # by steps left to take; later segments only, so no cell comes twice
+    at = [[] for _ in range(radius)] + [[(own, np.arange(len(own)))]]
+    for s in range(width):
+        for left in range(1, radius + 1):
+            for cell, who in list(at[left]):
+                v = cell >> np.uint64(2 * s) & np.uint64(3)
+                for step in range(1, min(left, 2) + 1):
+                    move = np.uint64(step << 2 * s)
+                    up, down = v + np.uint64(step) <= 2, v >= step
+                    at[left - step].append((cell[up] + move, who[up]))
+                    if reach > 1:
+                        at[left - step].append((cell[down] - move, who[down]))
+            at[left] = [tuple(map(np.concatenate, zip(*at[left])))] if len(at[left]) > 1 else at[left]
+    cell, who = zip(*(x for level in at for x in level))
+    return np.concatenate(cell), np.concatenate(who)
+
+
+def cells(fps: DataFrame, most: int, groups: int | None = None) -> DataFrame:
+    """(grp, cell, fp): each fingerprint in the cells of every grid that are near enough for its links to meet it."""
+    grids = grid_groups(most, groups)
+    reach = most // len(grids)
 
     def run(batches):
         for b in batches:
-            fp = b.column(0).to_numpy().view(np.uint64)
-            e = embed(fp)
-            grp, cell, who = [], [], []
-            for g, (first, width) in enumerate(groups):
-                own = e >> np.uint64(2 * first) & np.uint64((1 << 2 * width) - 1)
-                steps = [(own, fp)]
-                for s in range(width if reach else 0):
-                    up = (own >> np.uint64(2 * s) & np.uint64(3)) < 2
-                    steps.append((own[up] + np.uint64(1 << 2 * s), fp[up]))
-                for c, f in steps:
-                    grp.append(np.full(len(c), g, np.int32))
-                    cell.append(c)
-                    who.append(f)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grp)), pa.array(np.concatenate(cell).view(np.int64)), pa.array(np.concatenate(who).view(np.int64))], names=["grp", "cell", "fp"])
+            every = b.column(0).to_numpy().view(np.uint64)
+            for at in range(0, len(every), PLACED):
+                fp = every[at:at + PLACED]
+                e = embed(fp)
+                for g, (first, width) in enumerate(grids):
+                    cell, who = ball(e >> np.uint64(2 * first) & np.uint64((1 << 2 * width) - 1), width, reach)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cell), g, np.int32)), pa.array(cell.view(np.int64)), pa.array(fp[who].view(np.int64))], names=["grp", "cell", "fp"])
 
     return fps.select("fp").mapInArrow(run, "grp int, cell long, fp long")
 
@@ -169,9 +193,9 @@ def large_cell(fp: np.ndarray, most: int):
                 rest = np.delete(rest, hit)
 
 
-def cell_links(fps: DataFrame, most: int) -> DataFrame:
+def cell_links(fps: DataFrame, most: int, groups: int | None = None) -> DataFrame:
     """(a, b): links whose closure is that of all pairs of distinct fingerprints within ``most`` bits."""
-    placed = cells(fps, most)
+    placed = cells(fps, most, groups)
     # cells over CELL_ROWS rows: their blocks meet pairwise, in tasks of their own
     big = durable(placed.groupBy("grp", "cell").count().where(F.col("count") > CELL_ROWS)
                   .select("grp", "cell", F.ceil(F.col("count") / (CELL_ROWS // 2)).cast("int").alias("blocks")))
@@ -228,24 +252,24 @@ def cell_links(fps: DataFrame, most: int) -> DataFrame:
     return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
 
 
-def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, most: int = 4) -> DataFrame:
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, most: int = 4, groups: int | None = None) -> DataFrame:
     """(id, fp, component_id): one row per input row; texts link when their fingerprints differ in ``most`` bits or fewer.
 
     component_id is the smallest id that links lead to, the row's own included; null ids don't count
     (null if there is no other). Texts without words share fingerprint 0, which links like any other.
     Equal fingerprints are one node, so copies in any number cost one row; repeated rows are alike.
     """
-    return components(df, id_col, text_col, shingle, most).select("id", "fp", "component_id")
+    return components(df, id_col, text_col, shingle, most, groups).select("id", "fp", "component_id")
 
 
-def components(df: DataFrame, id_col: str, text_col: str, shingle: int, most: int) -> DataFrame:
+def components(df: DataFrame, id_col: str, text_col: str, shingle: int, most: int, groups: int | None = None) -> DataFrame:
     """(id, fp, component_id, root_fp): ``near_groups`` with a fingerprint that names the component, null ids or not."""
     known = durable(fingerprints(df, id_col, text_col, shingle))
     nodes = durable(known.groupBy("fp").agg(F.min("id").alias("low")))
     # nodes that carry their smallest id order by it, so a component's root names the component
     node = F.struct(F.col("low").isNull().alias("none"), F.col("low").alias("low"), F.col("fp").alias("fp"))
     carried = nodes.select(F.col("fp").alias("f"), node.alias("node"))
-    edges = cell_links(nodes, most)
+    edges = cell_links(nodes, most, groups)
     for end in ("a", "b"):
         edges = edges.join(carried, edges[end] == carried["f"]).withColumn(end, F.col("node")).drop("f", "node")
     roots = connected_components(edges)

@@ -92,7 +92,46 @@ def test_embedding_bounds_from_below_and_cells_meet(a, flips):
     if differ <= 4:
         assert S.linked(x, y, 4).tolist() == [0]
         near = [sum(abs(p - q) for p, q in zip(counts(a)[f:f + w], counts(b)[f:f + w])) for f, w in S.grid_groups(4)]
-        assert min(near) <= 1
+        assert min(near) <= 2
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, (1 << 64) - 1), st.lists(st.integers(0, 63), max_size=6), st.integers(0, 6), st.sampled_from([None, 1, 2, 3]))
+def test_near_fingerprints_share_a_cell(a, flips, most, groups):
+    b = a
+    for f in flips:
+        b ^= 1 << f
+    if (a ^ b).bit_count() > most:
+        return
+    both = S.embed(np.array([a, b], np.uint64))
+    shared = 0
+    for first, width in S.grid_groups(most, groups):
+        cell, who = S.ball(both >> np.uint64(2 * first) & np.uint64((1 << 2 * width) - 1), width, most // len(S.grid_groups(most, groups)))
+        mine, other = set(cell[who == 0].tolist()), set(cell[who == 1].tolist())
+        assert len(mine) + len(other) == len(cell)
+        shared += len(mine & other)
+    assert shared
+
+
+@pytest.mark.parametrize("groups", [1, 2, 3])
+def test_any_number_of_groups_links_alike(spark, groups):
+    rng = np.random.default_rng(groups)
+    centres = rng.integers(0, 1 << 64, 40, np.uint64)
+    fps = np.unique([int(c) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 5), False)) for c in centres for _ in range(4)])
+    forest, want = {}, {}
+    for r in S.cell_links(spark.createDataFrame([(int(np.int64(f)),) for f in fps.astype(np.uint64).view(np.int64)], "fp long"), 4, groups).collect():
+        S.union_forest([r.a], [r.b], forest)
+    signed = [int(x) for x in fps.astype(np.uint64).view(np.int64)]
+    for i, x in enumerate(signed):
+        for y in signed[:i]:
+            if ((x ^ y) % (1 << 64)).bit_count() <= 4:
+                S.union_forest([x], [y], want)
+
+    def root(x, parent):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+    assert [root(x, forest) for x in signed] == [root(x, want) for x in signed]
 
 
 def test_connected_components(spark):
