@@ -14,7 +14,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,27 +102,20 @@ def _chunk_rows(df: DataFrame, id_col: str, text_col: str, key_bytes: int, place
     return src.mapInArrow(cut, schema)
 
 
-def ambiguous_chunks(df: DataFrame, id_col: str, text_col: str, key_bytes: int = KEY_BYTES) -> DataFrame:
-    """(key, chunk, variant) of keys that stand for different bytes: all bytes of equal keys are compared.
+def ambiguous_keys(df: DataFrame, id_col: str, text_col: str, key_bytes: int = KEY_BYTES) -> DataFrame:
+    """(key) of the keys that stand for different bytes: all bytes of equal keys are compared.
 
-    One shuffle by key moves each chunk once per map batch. A partition's chunks are compared in one
-    task, which holds one copy of each distinct chunk.
+    Equal chunks are combined before the one shuffle that moves them, so a chunk that all documents share
+    is one row a map task; after it only keys travel. Spark's aggregates spill, no task holds its chunks.
     """
-    schema = "key binary, chunk binary, variant int"
+    each = _chunk_rows(df, id_col, text_col, key_bytes, False).distinct()
+    return each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
 
-    def compare(batches):
-        first: dict[bytes, bytes] = {}
-        more: dict[bytes, set[bytes]] = {}
-        for b in batches:
-            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if first.setdefault(k, c) != c:
-                    more.setdefault(k, {first[k]}).add(c)
-        rows = [(k, c, i) for k, cs in more.items() for i, c in enumerate(sorted(cs))]
-        if rows:
-            k, c, i = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), pa.array(c, pa.binary()), pa.array(i, pa.int32())], names=["key", "chunk", "variant"])
 
-    return _chunk_rows(df, id_col, text_col, key_bytes, False).repartition("key").mapInArrow(compare, schema)
+def chunk_variants(df: DataFrame, keys: DataFrame, id_col: str, text_col: str, key_bytes: int = KEY_BYTES) -> DataFrame:
+    """(key, chunk, variant): the chunks of the given keys, numbered from 0 in the order of their bytes."""
+    each = _chunk_rows(df, id_col, text_col, key_bytes, False).join(keys, "key", "left_semi").distinct()
+    return each.withColumn("variant", F.row_number().over(Window.partitionBy("key").orderBy("chunk")) - 1)
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_bytes: int = KEY_BYTES) -> DataFrame:
@@ -134,10 +127,11 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     them. No rows give none.
     """
     known = durable(recipes(df, id_col, text_col, key_bytes))
-    unclear = durable(ambiguous_chunks(df, id_col, text_col, key_bytes))
-    if unclear.isEmpty():
+    keys = durable(ambiguous_keys(df, id_col, text_col, key_bytes))
+    if keys.isEmpty():
         named = known.withColumn("names", F.lit(None).cast("binary"))
     else:
+        unclear = durable(chunk_variants(df, keys, id_col, text_col, key_bytes))
         # recipes that hold such a key are told apart by the variants at their places as well
         where = _chunk_rows(df, id_col, text_col, key_bytes, True).join(unclear, ["key", "chunk"])
         places = F.collect_set(F.format_string("%019d:%d", "pos", "variant"))
