@@ -164,7 +164,11 @@ def _per_text(df: DataFrame, id_col: str, text_col: str, fields: list[T.StructFi
 
     def run(batches):
         for b in batches:
-            rows = [make(t.decode("utf-8", "replace")) for _, texts in texts_of(b.column(1), TEXT_BYTES) for t in texts]
+            rows, last = [], None
+            for _, texts in texts_of(b.column(1), TEXT_BYTES):
+                for t in texts:  # copies that a mix took stand side by side: made once
+                    rows.append(rows[-1] if t == last else make(t.decode("utf-8", "replace")))
+                    last = t
             cols = list(zip(*rows)) if rows else [()] * len(fields)
             kinds = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(cols, fields))], names=schema.names)

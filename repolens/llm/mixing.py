@@ -23,6 +23,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK_DOCS = 2048
 #: A multiplier is found when the source's expected tokens are this close to its target.
 CLOSE = 1e-9
+#: or when it is known this closely; the rates only use nine digits of it.
+NARROW = 1e-12
 
 
 def source_sizes(sized: DataFrame) -> DataFrame:
@@ -59,18 +61,19 @@ def tilt(t: Column, size: Column, mean: Column, most: float) -> Column:
     return F.lit(most) / (1 + F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -t * size / mean))))
 
 
-def multipliers(sized: DataFrame, goals: DataFrame, most: float = 2.0, rounds: int = 60) -> DataFrame:
+def multipliers(sized: DataFrame, goals: DataFrame, most: float = 2.0) -> DataFrame:
     """(source, source_size, docs, target, t, mean): Newton's iterations for the dual's multipliers, all sources at once.
 
     A step that leaves the interval known to hold the root is replaced by its middle, so every source
-    converges; the loop ends when all are CLOSE. A target at its bound or at 0 needs no multiplier.
+    converges; the loop ends when all are CLOSE or their intervals are too narrow to matter. A target at its
+    bound or at 0 needs no multiplier.
     """
     cases = durable(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
     mean = F.col("source_size") / F.col("docs")
     state = durable(goals.withColumns({
         "mean": mean, "t": F.lit(0.0), "low": F.lit(None).cast("double"), "high": F.lit(None).cast("double"),
         "open": (F.col("target") > 0) & (F.col("target") < most * F.col("source_size"))}))
-    for _ in range(rounds):
+    while True:
         s = state.where("open").select(F.col("source").alias("s"), "mean", "t")
         x = cases.join(s, F.col("source").eqNullSafe(F.col("s")))
         rate = tilt(F.col("t"), F.col("size"), F.col("mean"), most)
@@ -82,6 +85,7 @@ def multipliers(sized: DataFrame, goals: DataFrame, most: float = 2.0, rounds: i
         done = F.coalesce(F.abs(off) <= CLOSE * F.col("target"), F.lit(True))
         low = F.when(off < 0, F.col("t")).otherwise(F.col("low"))
         high = F.when(off > 0, F.col("t")).otherwise(F.col("high"))
+        done = done | F.coalesce(high - low <= NARROW * F.greatest(F.lit(1.0), F.abs("t")), F.lit(False))
         newton = F.col("t") - off / F.greatest(F.col("slope"), F.lit(1e-300))
         # outside what is known: the middle, or twice as far where one side is open
         safe = (F.when(low.isNotNull() & high.isNotNull(), F.when((newton > low) & (newton < high), newton).otherwise((low + high) / 2))

@@ -8,8 +8,8 @@ own cell and those one step away, so two within distance 2 always meet in a cell
 whole vectors are compared, then the bits. Only a spanning forest of a task's links leaves the task.
 
 For 4 bits these are two grids of 3^16 cells and about 50 cells a fingerprint. Of N unrelated fingerprints
-each then meets about N / 10,000 others. One group of all 32 segments (``groups=1``, cells up to two steps
-away) has about 1,150 cells a fingerprint, each of which meets about N / 60,000,000 others: the better grid
+each then meets about N / 6,500 others. One group of all 32 segments (``groups=1``, cells up to two steps
+away) has about 1,180 cells a fingerprint, each of which meets about N / 48,000,000 others: the better grid
 beyond some 10^7 unrelated fingerprints. Links are the same with any number of groups.
 """
 
