@@ -35,8 +35,10 @@ from ..functions.classify import classify_title
 from ..session import ensure_checkpoint_dir
 from ..sinks.upsert import merge_latest, read_changes, read_current, upsert_parquet
 from ..sinks.writers import export_models, materialize, read_model
+from ..schemas import ENTITY_SCHEMAS
 from ..sources.discover import child_tables, discovered_schema, typed_records
 from ..sources.landing import read_pages, repo_from_path
+from ..sources.variant import path_value, read_typed, store_records, unknown_keys
 from ..sources.tables import existing_or_empty, scan_parquet, table as catalog_table
 from ..streaming.incremental import incremental_upsert
 
@@ -472,6 +474,31 @@ def q_landing_releases(spark, sf_dir):
                    .groupBy("outcome", "repository").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _stored_releases(spark, sf_dir):
+    """Releases with two keys that no schema names, landed among bad pages and kept as VARIANT."""
+    place = scratch(spark, "variant")
+    raw = ad.releases_raw(spark, sf_dir)
+    stops = F.struct(F.concat(F.lit("by-"), (F.col("id") % 3).cast("string")).alias("mode"), F.array("id", F.col("id") + 1).alias("stops"))
+    _land(raw.withColumns({"delivery": stops, "score": F.when(F.col("id") % 7 > 0, F.col("id") % 7)}), place, "releases")
+    _land_bad(spark, place, "releases", raw.where("id % 500 = 0").select("id"))
+    return store_records(spark, place, "releases", f"{place}/stored")
+
+
+def q_variant_records(spark, sf_dir):
+    """Typed fields of releases kept as VARIANT, with two values at paths that the schema doesn't name."""
+    records, _ = read_typed(_stored_releases(spark, sf_dir), ENTITY_SCHEMAS["releases"])
+    return records.select("id", "tag_name", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "repository_full_name",
+                          path_value("$.delivery.mode", "string").alias("delivery_mode"), path_value("$.delivery.stops[1]", "bigint").alias("second_stop"))
+
+
+def q_variant_unknown_keys(spark, sf_dir):
+    """Keys of landed releases that the schema doesn't name, by kind, and the rejects by reason."""
+    stored = _stored_releases(spark, sf_dir)
+    _, rejects = read_typed(stored, ENTITY_SCHEMAS["releases"])
+    why = rejects.groupBy(F.lit(None).cast("string").alias("key"), F.col("_reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return unknown_keys(stored.where(path_value("$.tag_name", "string").isNotNull()), ENTITY_SCHEMAS["releases"]).unionByName(why)
+
+
 def q_upsert_persisted(spark, sf_dir):
     """Two persisted loads; the later one has fewer columns, equal and NULL stamps, and NULL keys."""
     o = ad.table(spark, sf_dir, "orders")
@@ -676,6 +703,8 @@ QUERIES: dict[str, QueryFn] = {
     "landing_pull_requests": q_landing_pull_requests,
     "landing_releases": q_landing_releases,
     "discovered_children": q_discovered_children,
+    "variant_records": q_variant_records,
+    "variant_unknown_keys": q_variant_unknown_keys,
     "landing_gql_pull_requests": q_landing_gql_pull_requests,
     "upsert_persisted": q_upsert_persisted,
     "median_gap_maintained": q_median_gap_maintained,

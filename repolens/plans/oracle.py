@@ -395,6 +395,15 @@ SELECT 'record' AS outcome, repository_full_name AS repository, count(*) AS n FR
 UNION ALL SELECT 'a key does not fit its type', 'org/repo_1', 2 * n FROM bad WHERE n > 0
 UNION ALL SELECT 'not an object', 'org/repo_1', n FROM bad WHERE n > 0
 UNION ALL SELECT 'unreadable page', 'org/repo_2', 1 FROM bad WHERE n > 0"""),
+    "variant_records": _with(REL_RAW, """
+SELECT id, tag_name, published_at, repository_full_name, 'by-' || CAST(id % 3 AS VARCHAR) AS delivery_mode, id + 1 AS second_stop FROM rel_raw"""),
+    "variant_unknown_keys": _with(REL_RAW + """,
+bad AS (SELECT count(*) AS n FROM rel_raw WHERE id % 500 = 0)""", """
+SELECT 'delivery' AS key, 'OBJECT' AS kind, count(*) AS n FROM rel_raw WHERE tag_name IS NOT NULL
+UNION ALL SELECT 'score', CASE WHEN id % 7 > 0 THEN 'BIGINT' ELSE 'VOID' END, count(*) FROM rel_raw WHERE tag_name IS NOT NULL GROUP BY 2
+UNION ALL SELECT NULL, 'a key does not fit its type', 2 * n FROM bad WHERE n > 0
+UNION ALL SELECT NULL, 'not an object', n FROM bad WHERE n > 0
+UNION ALL SELECT NULL, 'unreadable page', 1 FROM bad WHERE n > 0"""),
     "upsert_persisted": """
 SELECT o_orderkey AS id, o_totalprice * CASE WHEN again THEN 2 ELSE 1 END AS price,
   CASE WHEN NOT again THEN o_orderpriority END AS priority,
