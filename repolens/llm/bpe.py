@@ -12,12 +12,15 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import sys
 import unicodedata
+from functools import cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from repolens.llm.common import col, keyed_text, texts_of
 
@@ -70,6 +73,20 @@ def merge_word(symbols: list[int], merges: dict[int, int]) -> list[int]:
     return [s for s in symbols if s >= 0]
 
 
+class NewerLetter(ValueError):
+    """A word holds a character of :func:`newer_letters`."""
+
+
+@cache
+def newer_letters() -> frozenset[str]:
+    """Letters and numbers of ``regex`` that Python's own Unicode table lacks.
+
+    The tokenizers library may class them otherwise, or know their lower case; it agrees on all other characters.
+    """
+    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    return frozenset(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
+
+
 class WordBpe:
     """A tokenizer file of kind BPE with word ends, read once per worker."""
 
@@ -85,6 +102,10 @@ class WordBpe:
             self.merges[self.vocab[a] << ID_BITS | self.vocab[b]] = rank << ID_BITS | self.vocab[a + b]
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern).findall
+        # for texts with newer letters: the library's own lower case and classes
+        self.newer = newer_letters()
+        self.normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
+        self.split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
@@ -108,12 +129,21 @@ class WordBpe:
         if found is None:
             ids = self.word_ids(word)
             found = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-        if len(word) <= 64:
+        if len(word) <= 64 and not self.has_newer(word):
             if len(self.cache) >= CACHE_WORDS // 2:
                 self.cache, self.older = {}, self.cache
             self.cache[word] = found
         return found
 
+    def has_newer(self, text: str) -> bool:
+        return not text.isascii() and not self.newer.isdisjoint(text)
+
+    def checked(self, word: str) -> tuple[int, str, str]:
+        """``word()`` of what the fast pattern found; such words are never remembered, so each comes by here."""
+        if self.has_newer(word):
+            raise NewerLetter(word)
+        return self.word(word)
+
     @staticmethod
     def lower(text: str) -> str:
         """NFC, then each character's own lower case (sigma has no final form here)."""
@@ -126,6 +156,8 @@ class WordBpe:
         for part in self.cut.split(text) if any(s in text for s in self.special) else (text,):
             if (i := self.special.get(part)) is not None:
                 yield i
+            elif self.has_newer(part):
+                yield from (part[a:b] for part in [self.normal(part)] for _, (a, b) in self.split(part))
             elif part:
                 # white space is dropped by the pattern, so one blank or several make no difference
                 yield from self.words(self.lower(part))
@@ -138,11 +170,13 @@ class WordBpe:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of tokens, ids joined by a blank, decoded text) through the remembered words."""
-        known, slow = self.cache.get, self.word
-        if any(s in text for s in self.special):
-            found = [(1, str(p), self.strings[p]) if isinstance(p, int) else known(p) or slow(p) for p in self.pieces(text)]
-        else:
-            found = [known(w) or slow(w) for w in self.words(self.lower(text))]
+        known, slow = self.cache.get, self.checked
+        try:
+            found = None if any(s in text for s in self.special) else [known(w) or slow(w) for w in self.words(self.lower(text))]
+        except NewerLetter:
+            found = None
+        if found is None:
+            found = [(1, str(p), self.strings[p]) if isinstance(p, int) else self.word(p) for p in self.pieces(text)]
         n, ids, decoded = zip(*found) if found else ((), (), ())
         if 0 in n:  # words none of whose bytes the file has
             return sum(n), " ".join(filter(None, ids)), " ".join(d for d, k in zip(decoded, n) if k)

@@ -35,6 +35,20 @@ def test_fuzz_against_the_library(library):
         assert mine.digest(text) == (len(ids), " ".join(map(str, ids)), decoded)
 
 
+def test_letters_that_python_lacks(library):
+    mine = bpe.WordBpe(PATH)
+    newer = sorted(bpe.newer_letters())
+    assert newer
+    # all with a lower case that the library knows, and every twentieth of the others
+    chosen = [c for c in newer if mine.normal(c) != c] + newer[::20]
+    texts = [t.replace("_", c) for c in chosen for t in ("a_b", "!_! 1_2", "_ <|endoftext|>_É x")]
+    for text, e in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        decoded = library.decode(e.ids, skip_special_tokens=False)
+        assert mine.encode(text) == e.ids and mine.digest(text) == (len(e.ids), " ".join(map(str, e.ids)), decoded)
+    plain = "a b! É 日本"
+    assert mine.digest(plain)[1] == " ".join(map(str, expected(library, plain)[0]))  # nothing wrong was remembered
+
+
 def test_forgotten_words_are_encoded_alike(library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 6)
     mine = bpe.WordBpe(PATH)
