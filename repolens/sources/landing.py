@@ -3,7 +3,8 @@
 Layout: ``<root>/entity=<name>/repo=<owner>__<name>/<page>.json`` where a page is one JSON array of
 records, a single object, or JSON Lines; empty text is an empty page. Every file is read, whatever its
 name: ``.jsonl`` / ``.ndjson`` files (also compressed) line by line, split over tasks like any text file; all
-others (an API page holds at most 100 records) as one text row each. Batch, issues and stream share one path:
+others (an API page holds at most 100 records) as one text row each, unless they are large (:data:`WHOLE_BYTES`)
+and hold JSON Lines: those are read line by line too. Batch, issues and stream share one path:
 
 1. a page is split into its records' JSON text; text that is no array, object or lines is one reject;
 2. each record is parsed with the entity schema; one that is no object, or in which a present key did not
@@ -24,6 +25,9 @@ REPO_SEP = "__"
 LINES_NAME = r"(?i)\.(jsonl|ndjson)(\.(gz|gzip|bz2|zst|lz4|snappy|deflate))?$"
 LINE_END = "\r\n|\r|\n"
 REJECT_COLUMNS = ["_source_file", CORRUPT, REASON]
+#: A page up to this size is one text row; of larger ones only those that are no JSON Lines.
+WHOLE_BYTES = 1 << 20
+LINE, START = "_line", "_start"
 
 
 def repo_from_path(path_col: str = "_source_file") -> Column:
@@ -38,45 +42,96 @@ def repo_from_path(path_col: str = "_source_file") -> Column:
 
 
 def page_rows(reader) -> DataFrame:
-    """(value, _source_file, _file_time) of a text read, batch or stream."""
-    return reader.select("value", F.col("_metadata.file_path").alias("_source_file"),
-                         F.col("_metadata.file_modification_time").alias("_file_time"))
+    """(value, _source_file, _file_time, _line, _start) of a text read, batch or stream.
+
+    ``_line``: the row is one line of a large page, read from the file's block that begins at ``_start``.
+    """
+    path = F.col("_metadata.file_path")
+    return reader.select("value", path.alias("_source_file"), F.col("_metadata.file_modification_time").alias("_file_time"),
+                         (~by_line() & is_large()).alias(LINE), F.col("_metadata.file_block_start").alias(START))
+
+
+def by_line() -> Column:
+    """Files named as files of lines. A condition on a file's name, path or size alone picks the files before any is read."""
+    return F.col("_metadata.file_path").rlike(LINES_NAME)
+
+
+def is_large() -> Column:
+    return F.col("_metadata.file_size") > WHOLE_BYTES
+
+
+def _trimmed(line) -> Column:
+    return F.btrim(line, F.lit(" \t"))
+
+
+def whole_pages(pages: DataFrame) -> list[str]:
+    """The large pages that must be read whole: arrays, objects over several lines, unreadable text.
+
+    All other large pages are JSON Lines as :func:`_record_texts` knows them: their first line is a whole object, or
+    it is no JSON and some other line is one. Per file only numbers are aggregated (map-side); the driver gets
+    the paths of the pages found, of which each is large.
+    """
+    x = F.col("x")
+    a_value = F.json_array_length(F.concat(F.lit("["), x, F.lit(",0]"))) == 2    # neither cut off nor closed early
+    kind = F.when(x.startswith("{"), F.when(a_value, 1).otherwise(0)).when(x.startswith("["), 0).otherwise(2)
+    rows = pages.where(LINE).select("_source_file", START, F.monotonically_increasing_id().alias("row"), _trimmed("value").alias("x"))
+    rows = rows.select("_source_file", START, "row", kind.cast("long").alias("kind"), x.endswith("}").alias("ends"),
+                       x.startswith("]").alias("closes"), (x != "").alias("filled"))
+    # rows of a file's first block stand in one task, in order
+    first = F.min(F.when((F.col(START) == 0) & F.col("filled"), F.col("row") * 4 + F.col("kind"))) % 4
+    count = lambda c: F.count(F.when(c, 1))
+    found = rows.groupBy("_source_file").agg(first.alias("first"), count(F.col("filled")).alias("n"), count(F.col("closes")).alias("closed"),
+                                     count((F.col("kind") == 1) & F.col("ends")).alias("objects"))
+    of_lines = (F.col("n") > 1) & (F.col("objects") > 0) & ((F.col("first") == 2) | (F.col("first") == 1) & (F.col("closed") == 0))
+    return [r["_source_file"] for r in found.where(~F.coalesce(of_lines, F.lit(False))).select("_source_file").collect()]
 
 
 def _pages(spark: SparkSession, path: str) -> DataFrame:
-    # a condition on the file's name alone picks the files before any is read
-    by_line = F.col("_metadata.file_path").rlike(LINES_NAME)
-    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True).where(~by_line)
-    lines = spark.read.text(path, recursiveFileLookup=True).where(by_line)
-    return page_rows(whole).unionByName(page_rows(lines))
+    texts = lambda **how: spark.read.text(path, recursiveFileLookup=True, **how)
+    lines = page_rows(texts().where(by_line() | is_large()))
+    pages = page_rows(texts(wholetext=True).where(~by_line() & ~is_large()))
+    return with_whole_pages(lines, whole_pages(lines), lambda: texts(wholetext=True)).unionByName(pages)
+
+
+def with_whole_pages(pages: DataFrame, whole: list[str], texts) -> DataFrame:
+    """``pages`` with these large ones as one row each (of the text read ``texts()``) in place of their lines."""
+    if not whole:
+        return pages
+    rows = page_rows(texts().where(F.col("_metadata.file_path").isin(whole))).withColumn(LINE, F.lit(False))
+    return pages.where(~F.col("_source_file").isin(whole)).unionByName(rows)
 
 
-def _record_texts(value: str = "value") -> Column:
-    """The JSON text of a page's records; NULL for an unreadable page.
+def _record_texts(pages: DataFrame) -> DataFrame:
+    """The pages with ``_texts``, the JSON text of a page's records; NULL for an unreadable page.
 
     JSON Lines are taken line by line unless the first line is a lone ``{``, which begins one object
     written over several lines. A first line that is no JSON doesn't matter where a line is an object; text
     that begins with ``[`` is an array or unreadable.
     """
-    v = F.trim(F.col(value))
+    v, lines, x = F.col("_v"), F.col("_lines"), _trimmed("value")
+    split = F.filter(F.transform(F.split(v, LINE_END), _trimmed), lambda x: x != "")
     one = F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1
-    lines = F.filter(F.transform(F.split(v, LINE_END), lambda x: F.btrim(x, F.lit(" \t"))), lambda x: x != "")
     an_object = lambda x: x.startswith("{") & x.endswith("}") & F.json_object_keys(x).isNotNull()
-    return (F.when(v == "", F.array().cast("array<string>"))
-             .when(F.json_array_length(v).isNotNull(), F.from_json(v, "array<string>"))
-             .when(v.startswith("{") & one, F.array(v))
-             .when(~v.startswith("[") & (F.size(lines) > 1) & (lines[0] != "{") & (v.startswith("{") | F.exists(lines, an_object)), lines))
+    none = F.array().cast("array<string>")
+    texts = (F.when(F.col(LINE), F.when(x == "", none).otherwise(F.array(x)))
+              .when(v == "", none)
+              .when(F.json_array_length(v).isNotNull(), F.from_json(v, "array<string>"))
+              .when(v.startswith("{") & one, F.array(v))
+              .when((F.size(lines) > 1) & (lines[0] != "{") & (v.startswith("{") | F.exists(lines, an_object)), lines))
+    # columns of their own: what is used several times is worked out once
+    return (pages.withColumn("_v", F.trim("value")).withColumn("_lines", F.when(~F.col(LINE) & ~v.startswith("["), split))
+                 .withColumn("_texts", texts))
 
 
 def split_records(pages: DataFrame) -> DataFrame:
     """(_source_file, _file_time, _json, _reason): one row per record, or per unreadable page with a reason."""
-    # the stream reads files of lines whole: they are cut at the line ends that the batch read knows
+    lone = F.col(LINE) if LINE in pages.columns else F.lit(False)
+    # a file of lines that was read whole is cut at the line ends that the reader knows
     lines = F.when(F.col("_source_file").rlike(LINES_NAME), F.split("value", LINE_END)).otherwise(F.array("value"))
-    pages = pages.select("_source_file", "_file_time", F.explode(lines).alias("value"))
-    texts = _record_texts()
-    good = F.transform(texts, lambda x: F.struct(x.alias("_json"), F.lit(None).cast("string").alias(REASON)))
+    pages = _record_texts(pages.select("_source_file", "_file_time", lone.alias(LINE), F.explode(lines).alias("value")))
+    good = F.transform("_texts", lambda x: F.struct(x.alias("_json"), F.lit(None).cast("string").alias(REASON)))
     bad = F.array(F.struct(F.col("value").alias("_json"), F.lit("unreadable page").alias(REASON)))
-    return pages.select("_source_file", "_file_time", F.explode(F.when(texts.isNull(), bad).otherwise(good)).alias("_r")) \
+    return pages.select("_source_file", "_file_time", F.explode(F.when(F.col("_texts").isNull(), bad).otherwise(good)).alias("_r")) \
                 .select("_source_file", "_file_time", "_r.*")
 
 

@@ -10,20 +10,21 @@ scheduled runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import ENTITY_SCHEMAS
 from ..sinks.upsert import upsert_parquet
 from ..operators.filters import lacks_json_key
-from ..sources.landing import LINES_NAME, REJECT_COLUMNS, page_rows, parse_records, split_records
+from ..sources.landing import (REJECT_COLUMNS, by_line, entity_path, is_large, page_rows, parse_records, split_records, whole_pages,
+                               with_whole_pages)
 
 
 def stream_pages(spark: SparkSession, landing: str, entity: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
-    """A streaming frame of page rows (``value``, ``_source_file``, ``_file_time``).
+    """A streaming frame of page rows (``value``, ``_source_file``, ``_file_time`` and how they were read).
 
-    As in the batch, files of lines are read by line (a large one is split over tasks), all others as one
-    row each: two file sources over the folder, each with a condition on the file's name. Both count
+    As in the batch, files of lines and large pages are read by line (split over tasks), all others as one
+    row each: two file sources over the folder, each with a condition on the file's name and size. Both count
     towards ``max_files_per_trigger``.
     """
     def files(**how) -> DataFrame:
@@ -32,8 +33,7 @@ def stream_pages(spark: SparkSession, landing: str, entity: str, max_files_per_t
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         return reader.text(f"{landing.rstrip('/')}/entity={entity}", recursiveFileLookup=True, **how)
 
-    by_line = F.col("_metadata.file_path").rlike(LINES_NAME)
-    return page_rows(files(wholetext=True).where(~by_line)).unionByName(page_rows(files().where(by_line)))
+    return page_rows(files(wholetext=True).where(~by_line() & ~is_large())).unionByName(page_rows(files().where(by_line() | is_large())))
 
 
 def incremental_upsert(spark: SparkSession, landing: str, entity: str, target: str, checkpoint: str,
@@ -45,11 +45,13 @@ def incremental_upsert(spark: SparkSession, landing: str, entity: str, target: s
     schema = ENTITY_SCHEMAS[entity]
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        texts = split_records(batch)
+        spark = batch.sparkSession
+        pages = with_whole_pages(batch, whole_pages(batch), lambda: spark.read.text(entity_path(landing, entity), recursiveFileLookup=True, wholetext=True))
+        texts = split_records(pages)
         if entity == "issues":
             texts = lacks_json_key(texts, "_json", "pull_request")
-        records, rejects = parse_records(texts, schema)
-        upsert_parquet(batch.sparkSession, target, records.drop("_source_file"), k, order)
+        records, rejects = parse_records(texts, schema, stage=f"{target.rstrip('/')}/_parsed")  # replaced by the next batch
+        upsert_parquet(spark, target, records.drop("_source_file"), k, order)
         rejects.select(*REJECT_COLUMNS).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_page_rejects/batch={batch_id}")
 
     q = (stream_pages(spark, landing, entity).writeStream

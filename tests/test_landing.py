@@ -176,3 +176,41 @@ def test_files_of_any_name_are_read_alike(spark, tmpdir_path):
     assert ids(read_current(spark, target)) == want
     streamed = spark.read.parquet(os.path.join(target, "_page_rejects"))
     assert sorted(map(tuple, streamed.select("_corrupt_record", "_reason").collect())) == sorted(map(tuple, rejects.select("_corrupt_record", "_reason").collect()))
+
+
+PAGE_FORMS = ['{"id": 1}\n{"id": 2}\n', '{"id": 3}\n{broken\n{"id": 4}', '{"id": 5}\n7\n[{"id": 0}]\n\n{"id": 6}', '{\n "id": 7,\n "author": {}\n}',
+              '{"id": 8, "author": {}\n, "draft": true}', '{"id": 9\n, "draft": true}\n{"id": 10}', '{"id": 11}', '{"id": 0},{"id": 0}', ' [{"id": 12},\n7,\n{"id": 13}]',
+              '\n\n[{"id": 14},\n{"id": 15}]', '[{"id": 0},\n{"id": 0}', 'oops\r\n{"id": 16}\r\n', 'oops\noops', '\n \n{"id": 17}\n[{"id": 0}]\n', '{"id": 18}\n]\n{"id": 0}',
+              '{"id": 19} ]\n{"id": 0}', '{"id": 0}, 7] x\n{"id": 20}', '{broken\n{"id": 21}\n{"id": 22}', '7\n8\n{"id": 0', '\t{\n"id": 0}', '', ' \n\n']
+
+
+def test_large_pages_of_every_form_are_read_as_small_ones(spark, tmpdir_path, monkeypatch):
+    from repolens.sources import landing
+    for i, text in enumerate(PAGE_FORMS):
+        land(tmpdir_path, "releases", "a/b", f"{i}.json", text)
+    outcomes = []
+    for limit in (1 << 20, -1):
+        monkeypatch.setattr(landing, "WHOLE_BYTES", limit)
+        recs, rejects = read_pages(spark, tmpdir_path, "releases")
+        target = os.path.join(tmpdir_path, f"t{limit}")
+        incremental_upsert(spark, tmpdir_path, "releases", target, os.path.join(tmpdir_path, f"c{limit}")).awaitTermination(120)
+        streamed = spark.read.parquet(os.path.join(target, "_page_rejects")).select(rejects.columns)
+        outcomes.append([sorted(map(tuple, df.collect()), key=str) for df in (recs.select("_source_file", "id"), rejects, read_current(spark, target).select("id"), streamed)])
+    small, large = outcomes
+    assert small == large and small[1] == small[3]
+    assert sorted(r[1] for r in small[0] if r[1]) == [*range(1, 9), *range(10, 23)]   # 9 is cut by its line end
+
+
+def test_large_json_lines_pages_are_read_line_by_line(spark, tmpdir_path):
+    from repolens.sources.landing import _pages
+    from repolens.streaming.incremental import stream_pages
+    land(tmpdir_path, "releases", "a/b", "part-0.json", "\n".join(json.dumps({"id": i, "body": "x" * 2000}) for i in range(1000)))
+    land(tmpdir_path, "releases", "a/b", "page-1.json", json.dumps([{"id": i, "body": "x" * 2000} for i in range(1000, 2000)], indent=1))
+    pages = _pages(spark, os.path.join(tmpdir_path, "entity=releases"))
+    assert {r["_source_file"][-11:]: r["count"] for r in pages.groupBy("_source_file").count().collect()} == {"part-0.json": 1000, "page-1.json": 1}
+    recs, rejects = read_pages(spark, tmpdir_path, "releases")
+    assert ids(recs) == [*range(2000)] and rejects.count() == 0
+    seen = []
+    q = stream_pages(spark, tmpdir_path, "releases").writeStream.foreachBatch(lambda b, _: seen.append(b.where("_source_file LIKE '%part-0.json'").count()))
+    q.option("checkpointLocation", os.path.join(tmpdir_path, "c")).trigger(availableNow=True).start().awaitTermination(120)
+    assert seen == [1000]
