@@ -468,7 +468,7 @@ def q_landing_releases(spark, sf_dir):
     raw = ad.releases_raw(spark, sf_dir)
     _land(raw, place, "releases")
     _land_bad(spark, place, "releases", raw.where("id % 500 = 0").select("id"))
-    records, rejects = read_pages(spark, place, "releases")
+    records, rejects = read_pages(spark, place, "releases", stage=f"{place}/parsed")
     return (records.select(F.lit("record").alias("outcome"), F.col("repository_full_name").alias("repository"))
                    .unionByName(rejects.select(F.col("_reason").alias("outcome"), repo_from_path().alias("repository")))
                    .groupBy("outcome", "repository").agg(F.count(F.lit(1)).alias("n")))
