@@ -455,7 +455,8 @@ def q_discovered_children(spark, sf_dir):
     """Releases landed as text and read without a schema; the table of the asset list that discovery finds."""
     place = scratch(spark, "discover")
     raw = ad.gql_releases(spark, sf_dir)
-    raw.select(F.to_json(F.struct(*raw.columns)).alias("_json")).write.text(place)
+    # compressed as downloads are; such a file is one task, so files are kept short
+    raw.select(F.to_json(F.struct(*raw.columns)).alias("_json")).write.option("maxRecordsPerFile", 100_000).text(place, compression="gzip")
     records = spark.read.text(place).withColumnRenamed("value", "_json")
     typed = typed_records(records, discovered_schema(records))
     assets = child_tables(typed, ["databaseId"], "releases")["releases__releaseAssets__nodes"]

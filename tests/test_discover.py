@@ -36,3 +36,15 @@ def test_lists_of_lists_and_no_records(spark):
     tables = D.child_tables(D.typed_records(df, D.discovered_schema(df)), ["id"])
     assert rows_of(tables["grid__list"]) == [(1, 0, 0, 1), (1, 0, 1, 2), (1, 1, 0, 3)]
     assert D.discovered_schema(records(spark, "7", "x")).fields == [] and D.discovered_schema(df.limit(0)).fields == []
+
+
+def test_landed_text_is_compressed_and_read_whole(spark, tmp_path, monkeypatch):
+    import os
+    from repolens.plans import adapters as ad, catalog as C
+    from tests.conftest import SF_SMALL
+    monkeypatch.setattr(C, "scratch", lambda *_: f"{tmp_path}/landed")
+    rows = C.q_discovered_children(spark, SF_SMALL)
+    names = [n for n in os.listdir(f"{tmp_path}/landed") if n.startswith("part-")]
+    assert names and all(n.endswith(".txt.gz") for n in names)
+    want = ad.gql_releases(spark, SF_SMALL).selectExpr("databaseId", "posexplode(releaseAssets.nodes) AS (position, a)").selectExpr("databaseId", "CAST(position AS long) position", "a.name", "a.size", "a.contentType")
+    assert rows.count() == want.count() and rows.exceptAll(want).isEmpty()
