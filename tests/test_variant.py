@@ -51,3 +51,17 @@ def test_each_record_is_parsed_once(spark, tmpdir_path):
 def test_no_records(spark, tmpdir_path):
     rows = stored(spark, tmpdir_path, "")
     assert V.read_typed(rows, SCHEMA)[0].collect() == [] and V.unknown_keys(rows, SCHEMA).collect() == []
+
+
+def test_large_pages_of_lines_are_stored_line_by_line(spark, tmpdir_path):
+    page = "\n".join(json.dumps({"id": i, "name": "x" * 2000}) for i in range(1000)) + "\n[7]\n"
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "200k")
+    try:
+        rows = stored(spark, tmpdir_path, page)
+    finally:
+        spark.conf.set(key, old)
+    good = [n for n in os.listdir(f"{tmpdir_path}/out/_reject=false") if n.startswith("part-")]
+    assert len(good) > 3 and rows.where("not _reject").count() == 1000      # one page, several tasks
+    assert [(r._json, r._reason) for r in rows.where("_reject").collect()] == [("[7]", "not an object")]
