@@ -32,7 +32,7 @@ from ..operators.ordering import first_n
 from ..operators.project import default_if_missing, flatten_struct, split_owner_name, stamp_provenance
 from ..operators.windows import lag_within, recent_n_per_key
 from ..functions.classify import classify_title
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, open_writers
 from ..sinks.upsert import merge_latest, read_changes, read_current, upsert_parquet
 from ..sinks.writers import export_models, materialize, read_model
 from ..schemas import ENTITY_SCHEMAS
@@ -400,9 +400,10 @@ def q_newest_first(spark, sf_dir):
 
 def _land(df: DataFrame, place: str, entity: str, repo=None) -> None:
     """JSON Lines pages per repository, as Spark's writer lands them; ``repo`` lands all in one folder."""
-    (df.withColumn("repo", F.lit(repo) if repo else F.regexp_replace("repository_full_name", "/", "__"))
-       .write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").option("ignoreNullFields", "false")
-       .partitionBy("repo").mode("append").json(f"{place}/entity={entity}"))
+    with open_writers(df.sparkSession):
+        (df.withColumn("repo", F.lit(repo) if repo else F.regexp_replace("repository_full_name", "/", "__"))
+           .write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").option("ignoreNullFields", "false")
+           .partitionBy("repo").mode("append").json(f"{place}/entity={entity}"))
 
 
 def _land_bad(spark, place: str, entity: str, rows: DataFrame) -> None:
@@ -591,7 +592,8 @@ def q_job_report(spark, sf_dir):
     _land(raw["releases"], f"{place}/landing", "releases")
     _land(raw["repositories"], f"{place}/landing", "repositories", "cust__all")
     issues = ad.issue_records(spark, sf_dir).select(F.col("record").alias("value"), F.regexp_replace("repository_full_name", "/", "__").alias("repo"))
-    issues.write.partitionBy("repo").text(f"{place}/landing/entity=issues")
+    with open_writers(spark):
+        issues.write.partitionBy("repo").text(f"{place}/landing/entity=issues")
     run_job(spark, f"{place}/landing", f"{place}/warehouse", export_dir=f"{place}/export", **_PR_GOLD)
     summary = read_model(spark, f"{place}/warehouse/summary").select(F.lit("raw").alias("part"), F.col("entity").alias("name"), F.col("outcome").alias("detail"), "n")
     checks = read_model(spark, f"{place}/warehouse/checks").select(

@@ -106,6 +106,7 @@ def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str |
         "issues": (lambda **how: read_issue_pages(spark, landing, repos=repos, raw_col=RAW_JSON, **how),
                    lambda df: clean_issues(allow_list(df, "repository_full_name", repos), state, max_issues_per_repo)),
     }
+    ranked = {"issues"} | {e for e, n in (("pull_requests", max_prs_per_repo), ("releases", max_releases_per_repo)) if n}
     raw, raw_rows, raw_rejects, outcomes = {}, {}, {}, []
     for entity, (read, shape) in loads.items():
         table = f"{root}/raw/{entity}"
@@ -115,7 +116,8 @@ def run_job(spark: SparkSession, landing: str, warehouse: str, export_dir: str |
             if not is_missing(e):
                 raise
         else:
-            done = upsert_parquet(spark, table, shape(records).drop("_source_file"), ["id"], ["fetched_at"])
+            # the parsed records stay; only what ranks them (caps, the issues' dedup) is worked out into a copy
+            done = upsert_parquet(spark, table, shape(records).drop("_source_file"), ["id"], ["fetched_at"], kept=entity not in ranked)
             reasons = layer(rejects, f"{root}/rejects/{entity}").groupBy("_reason").agg(F.count("*").alias("n")).collect()  # a handful
             outcomes += [(entity, r["_reason"], r["n"]) for r in reasons] + [(entity, "no key", done.rejected)] * bool(done.rejected)
             raw_rejects[entity] = sum(n for e, _, n in outcomes if e == entity)

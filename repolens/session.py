@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +65,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     local_dir = tempfile.mkdtemp(prefix="repolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir() or local_dir
+
+
+@contextmanager
+def open_writers(spark: SparkSession, most: int = 32):
+    """Partitioned writes within keep up to ``most`` files open per task instead of sorting whole rows by folder first.
+
+    A task that meets more folders sorts the rest of its rows, as Spark does by default for all of them.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

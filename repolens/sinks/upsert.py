@@ -14,14 +14,26 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.windows import latest_per_key
+from ..session import open_writers
 from ..sources.tables import is_missing, path_exists
 
 LOAD = "_load"
 CHANGE = "_change"
+TIE = "_tie"
 BUCKETS = 32
+#: Rows that a task merges, and rows of one key in a load from which they are first combined where they lie.
+PART_ROWS, HOT_ROWS = 100_000, 10_000
+
+
+def _tagged(existing: DataFrame | None, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Both loads by column name, with their number (``_load``) and a hash of the whole row (``_tie``)."""
+    tagged = incoming.withColumn(LOAD, F.lit(1))
+    if existing is not None:
+        tagged = existing.withColumn(LOAD, F.lit(0)).unionByName(tagged, allowMissingColumns=True)
+    return tagged.withColumn(TIE, F.xxhash64(*[c for c in tagged.columns if c not in keys]))
 
 
 def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: list[str],
@@ -31,12 +43,27 @@ def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: list[str
     Within a load the row that sorts first by ``newest_first`` descending stays (NULLs last), equal ones
     by a hash of the whole row, so reruns agree. Columns that only one side has are NULL on the other.
     """
-    tagged = incoming.withColumn(LOAD, F.lit(1))
-    if existing is not None:
-        tagged = existing.withColumn(LOAD, F.lit(0)).unionByName(tagged, allowMissingColumns=True)
-    rest = [c for c in tagged.columns if c not in keys]
-    tagged = tagged.withColumn("_tie", F.xxhash64(*rest))
-    return latest_per_key(tagged, keys, [LOAD, *newest_first, "_tie"]).drop(LOAD, "_tie")
+    return latest_per_key(_tagged(existing, incoming, keys), keys, [LOAD, *newest_first, TIE]).drop(LOAD, TIE)
+
+
+def _merged(stored: DataFrame | None, load: DataFrame, keys: list[str], newest_first: list[str], buckets: int, rows: int,
+            hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows of :func:`merge_latest` with their ``_bucket``, in one shuffle and one sort; a partition holds one bucket.
+
+    Rows are dealt to parts of buckets (about :data:`PART_ROWS` of ``rows`` each) and the first row of each key is
+    taken in sorted order. Keys with more than ``hot_rows`` rows in the load are cut to one row by an
+    aggregate first (combined map-side), so no key fills a task.
+    """
+    hot = load.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
+    tagged, order = _tagged(stored, load, keys), [LOAD, *newest_first, TIE]
+    if not hot.isEmpty():
+        few = F.broadcast(hot)     # at most one of ``hot_rows`` rows
+        tagged = tagged.join(few, keys, "left_anti").unionByName(latest_per_key(tagged.join(few, keys, "left_semi"), keys, order))
+    parts = buckets * max(1, -(-rows // (buckets * PART_ROWS)))
+    of = lambda n: F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+    dealt = tagged.withColumns({"_bucket": of(buckets), "_part": of(parts)}).repartitionById(parts, F.col("_part"))
+    first = Window.partitionBy(*keys, "_part").orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return dealt.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_part", "_rank", LOAD, TIE)
 
 
 def _log_path(root: str) -> str:
@@ -110,38 +137,45 @@ class Upserted(NamedTuple):
 
 
 def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: list[str],
-                   newest_first: list[str], buckets: int = BUCKETS, changes: bool = False) -> Upserted:
+                   newest_first: list[str], buckets: int = BUCKETS, changes: bool = False, kept: bool = False) -> Upserted:
     """Merge ``incoming`` into the table at ``root``; rerunning the same load yields the same rows.
 
-    The load is computed once, into ``<root>/_incoming/v=<version>`` by bucket (NULL keys in bucket -1, the
-    rejects); only the stored buckets it touches are read and rewritten. ``buckets`` must be the same for
+    The load is computed once, into ``<root>/_incoming/v=<version>`` (NULL keys in bucket -1, the rejects);
+    only the stored buckets it touches are read and rewritten. A load that is ``kept`` only reads files that
+    stay as they are, row by row: it isn't copied, just its rejects are. ``buckets`` must be the same for
     all loads of a table. With ``changes`` the stored and the merged row of each key of the load are written
     too (:func:`read_changes`).
     """
     root = root.rstrip("/")
     version = last_version(spark, root) + 1
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     stage = f"{root}/_incoming/v={version}"
-    load = incoming.withColumn("_bucket", F.when(null_key, F.lit(-1)).otherwise(bucket))
-    obs = Observation()
-    load.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(F.when(null_key, 1)).alias("rejected")) \
-        .write.mode("overwrite").partitionBy("_bucket").parquet(stage)
-    rejected = int(obs.get["rejected"])
-    if obs.get["rows"] > rejected:
-        load = spark.read.parquet(stage).where("_bucket >= 0")
-        touched = sorted(r["_bucket"] for r in load.select("_bucket").distinct().collect())  # at most ``buckets`` rows
+    load = incoming.withColumn("_bucket", F.when(null_key, F.lit(-1)).otherwise(F.lit(0)))
+    if not kept:
+        with open_writers(spark):
+            load.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
+        load = spark.read.schema(load.schema).parquet(stage)
+    bucket = F.when(~null_key, F.pmod(F.xxhash64(*keys), F.lit(buckets))).cast("int")
+    counts = {r["bucket"]: r["n"] for r in load.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()}  # keys alone are read
+    rejected = counts.pop(None, 0)
+    if kept and rejected:
+        load.where(null_key).write.mode("overwrite").partitionBy("_bucket").parquet(stage)
+    if counts:
+        load, touched = load.where(~null_key).drop("_bucket"), sorted(counts)
         folders = current_folders(spark, root)
         stored = _read_folders(spark, [folders[b] for b in touched if b in folders])
-        merged = merge_latest(stored, load.drop("_bucket"), keys, newest_first).withColumn("_bucket", bucket)
+        rows = sum(counts.values()) + (0 if stored is None else stored.count())
         # an unlogged leftover of a failed run is replaced
-        # REBALANCE: one task per small bucket, and adaptive execution splits a bucket that outgrew a task
-        merged.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/v={version}")
+        with open_writers(spark):    # a task has one bucket
+            _merged(stored, load, keys, newest_first, buckets, rows).write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/v={version}")
         if changes:
-            loaded = load.select(*keys).distinct()
-            now = spark.read.parquet(f"{root}/v={version}").drop("_bucket").join(loaded, keys, "left_semi").withColumn(CHANGE, F.lit(1))
-            if stored is not None:
-                now = stored.join(loaded, keys, "left_semi").withColumn(CHANGE, F.lit(-1)).unionByName(now, allowMissingColumns=True)
+            now = spark.read.parquet(f"{root}/v={version}").drop("_bucket")
+            if stored is None:    # all rows are the load's
+                now = now.withColumn(CHANGE, F.lit(1))
+            else:
+                loaded = load.select(*keys).distinct()
+                now = stored.join(loaded, keys, "left_semi").withColumn(CHANGE, F.lit(-1)).unionByName(
+                    now.join(loaded, keys, "left_semi").withColumn(CHANGE, F.lit(1)), allowMissingColumns=True)
             now.write.mode("overwrite").parquet(f"{root}/_changes/v={version}")
         spark.createDataFrame([(version, b, f"{root}/v={version}/_bucket={b}") for b in touched],
                               "version long, bucket int, path string").coalesce(1).write.mode("append").parquet(_log_path(root))

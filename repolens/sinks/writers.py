@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ..session import open_writers
 from ..sources.tables import is_missing, path_exists
 
 
@@ -27,7 +28,8 @@ def materialize(df: DataFrame, name: str | None = None, path: str | None = None,
     spark, root = df.sparkSession, path.rstrip("/")
     version = (model_version(spark, root) or 0) + 1
     w = df.write.mode("overwrite")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{root}/v={version}")
+    with open_writers(spark):
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{root}/v={version}")
     spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{root}/_log")
     return f"{root}/v={version}"
 

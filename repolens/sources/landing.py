@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.filters import lacks_json_key
 from ..schemas import ENTITY_SCHEMAS
+from ..session import open_writers
 
 CORRUPT = "_corrupt_record"
 REASON = "_reason"
@@ -151,7 +152,8 @@ def staged(tagged: DataFrame, path: str) -> DataFrame:
     Whoever reads one side then neither reads a page again nor parses it.
     """
     out = tagged.withColumn("_reject", F.col(REASON).isNotNull())
-    out.write.mode("overwrite").partitionBy("_reject").parquet(path)
+    with open_writers(out.sparkSession):
+        out.write.mode("overwrite").partitionBy("_reject").parquet(path)
     return out.sparkSession.read.schema(out.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..session import open_writers
 from .landing import CORRUPT, REASON, _pages, entity_path, repo_from_path, split_records
 
 RECORD = "_record"
@@ -28,7 +29,8 @@ def store_records(spark: SparkSession, root: str, entity: str, path: str, repos:
     good = F.col(REASON).isNull()
     out = rows.select("_source_file", "_file_time", F.when(~good, F.col("_json")).alias("_json"), REASON,
                       F.when(good, F.col(RECORD)).alias(RECORD), (~good).alias("_reject"))
-    out.write.mode("overwrite").partitionBy("_reject").parquet(path)
+    with open_writers(spark):
+        out.write.mode("overwrite").partitionBy("_reject").parquet(path)
     return spark.read.schema(out.schema).parquet(path)
 
 

@@ -51,7 +51,7 @@ def incremental_upsert(spark: SparkSession, landing: str, entity: str, target: s
         if entity == "issues":
             texts = lacks_json_key(texts, "_json", "pull_request")
         records, rejects = parse_records(texts, schema, stage=f"{target.rstrip('/')}/_parsed")  # replaced by the next batch
-        upsert_parquet(spark, target, records.drop("_source_file"), k, order)
+        upsert_parquet(spark, target, records.drop("_source_file"), k, order, kept=True)
         rejects.select(*REJECT_COLUMNS).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_page_rejects/batch={batch_id}")
 
     q = (stream_pages(spark, landing, entity).writeStream

@@ -125,3 +125,34 @@ def test_existing_or_empty(spark, tmpdir_path):
     spark.createDataFrame([(1,)], "other long").createOrReplaceTempView("repolens_odd_view")
     with pytest.raises(AnalysisException):                         # it exists but lacks the column
         existing_or_empty(spark, ["repolens_odd_view"], schema)
+
+
+def test_a_merge_is_one_shuffle_and_hot_keys_are_combined_first(spark):
+    from repolens.sinks.upsert import _merged, merge_latest
+    stored = spark.range(0, 300).selectExpr("id", "'old' v", "CAST(NULL AS string) fetched_at", "id extra")
+    load = spark.range(0, 2000).selectExpr("IF(id < 1500, id % 7, id - 1400) id", "CONCAT('v', id % 900) v", "IF(id % 3 = 0, NULL, CAST(id % 50 AS string)) fetched_at")
+    want = sorted(map(str, merge_latest(stored, load, ["id"], ["fetched_at"]).collect()))
+    for hot in (10_000, 100):                                   # 7 keys have 214 rows or more each
+        got = _merged(stored, load, ["id"], ["fetched_at"], 4, 2300, hot_rows=hot)
+        assert got.where(F.col("_bucket") != F.pmod(F.xxhash64("id"), F.lit(4))).isEmpty()
+        assert sorted(map(str, got.drop("_bucket").collect())) == want
+    plan = _merged(None, load, ["id"], ["fetched_at"], 4, 2000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1
+
+
+def test_a_kept_load_is_not_copied(spark, tmpdir_path):
+    src, root = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "t")
+    spark.createDataFrame([(1, "a", "1"), (1, "b", "2"), (None, "c", "1"), (None, "c", "1")], SCHEMA).write.parquet(src)
+    done = upsert_parquet(spark, root, spark.read.parquet(src), ["id"], ["fetched_at"], kept=True)
+    assert tuple(done) == (1, 1, 2) and table(spark, root) == {(1, "b")}
+    assert [f for f in os.listdir(f"{root}/_incoming/v=1") if f.startswith("_bucket")] == ["_bucket=-1"] and read_rejects(spark, root, 1).count() == 2
+    done = upsert_parquet(spark, root, spark.read.parquet(src).where("id = 1"), ["id"], ["fetched_at"], kept=True)
+    assert tuple(done) == (2, 1, 0) and not os.path.exists(f"{root}/_incoming/v=2")
+
+
+def test_partitioned_models_are_written_without_a_sort(spark, tmpdir_path):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    rows = spark.range(500).selectExpr("id", "CAST(id % 40 AS int) AS part")
+    path = materialize(rows, path=os.path.join(tmpdir_path, "m"), partition_by=["part"])   # more folders than open writers
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "part").collect())) == sorted(map(tuple, rows.collect()))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before
