@@ -124,8 +124,19 @@ def _record_texts(pages: DataFrame) -> DataFrame:
                  .withColumn("_texts", texts))
 
 
-def split_records(pages: DataFrame) -> DataFrame:
-    """(_source_file, _file_time, _json, _reason): one row per record, or per unreadable page with a reason."""
+def split_records(pages: DataFrame, apart: bool = False) -> DataFrame:
+    """(_source_file, _file_time, _json, _reason): one row per record, or per unreadable page with a reason.
+
+    With ``apart`` the lines of large pages are taken as the records they are, apart from the pages that must be
+    looked at as text. The two conditions pick whole files, so a batch reads none twice; a stream's batch can't leave files out.
+    """
+    if not apart:
+        return _split_texts(pages)
+    lone = pages.where(LINE).select("_source_file", "_file_time", _trimmed("value").alias("_json"), F.lit(None).cast("string").alias(REASON))
+    return lone.where(F.col("_json") != "").unionByName(_split_texts(pages.where(~F.col(LINE))))
+
+
+def _split_texts(pages: DataFrame) -> DataFrame:
     lone = F.col(LINE) if LINE in pages.columns else F.lit(False)
     # a file of lines that was read whole is cut at the line ends that the reader knows
     lines = F.when(F.col("_source_file").rlike(LINES_NAME), F.split("value", LINE_END)).otherwise(F.array("value"))
@@ -229,7 +240,7 @@ def read_pages(spark: SparkSession, root: str, entity: str, schema: StructType |
     parsed records where both frames are used.
     """
     sch = schema or ENTITY_SCHEMAS[entity]
-    records = split_records(_pages(spark, entity_path(root, entity, repos)))
+    records = split_records(_pages(spark, entity_path(root, entity, repos)), apart=True)
     if on_bad_page == "end_repository":
         records = _end_after_bad_page(records)
     elif on_bad_page != "skip_page":

@@ -214,3 +214,17 @@ def test_large_json_lines_pages_are_read_line_by_line(spark, tmpdir_path):
     q = stream_pages(spark, tmpdir_path, "releases").writeStream.foreachBatch(lambda b, _: seen.append(b.where("_source_file LIKE '%part-0.json'").count()))
     q.option("checkpointLocation", os.path.join(tmpdir_path, "c")).trigger(availableNow=True).start().awaitTermination(120)
     assert seen == [1000]
+
+
+def test_lines_of_large_pages_are_records_without_a_look_at_page_text(spark, tmpdir_path, monkeypatch):
+    from repolens.sources import landing
+    monkeypatch.setattr(landing, "WHOLE_BYTES", 40)
+    land(tmpdir_path, "releases", "a/b", "large.json", '\t{"id": 1, "body": "xxxxxxxxxxxxxxxxxxxx"} \n\n  \n7\n{"id": "x"}\n{"id": 2}')
+    land(tmpdir_path, "releases", "a/b", "small.json", [{"id": 3}, {"id": 4}])
+    land(tmpdir_path, "releases", "a/b", "whole.json", json.dumps([{"id": i} for i in range(5, 15)], indent=1))
+    land(tmpdir_path, "releases", "a/b", "lines.jsonl", '{"id": 15}\n\n{"id": 16, "body": "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"}\n')
+    recs, rejects = read_pages(spark, tmpdir_path, "releases")
+    assert ids(recs) == [*range(1, 17)]
+    assert sorted((r._reason, r._corrupt_record) for r in rejects.collect()) == [("a key does not fit its type", '{"id": "x"}'), ("not an object", "7")]
+    plan = recs._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan[:plan.index("FileScan")]    # the first side, the lines
