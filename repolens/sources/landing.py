@@ -190,7 +190,11 @@ def parse_records(records: DataFrame, sch: StructType, raw_col: str | None = Non
     ``stage`` the parse is written to that folder once and both frames read it (:func:`staged`).
     """
     tagged = tag_records(records, sch)
-    return separated(staged(tagged, stage) if stage else tagged, sch, raw_col)
+    if stage:
+        # good records' text is only written for ``raw_col``
+        kept = tagged if raw_col else tagged.withColumn("_json", F.when(F.col(REASON).isNotNull(), F.col("_json")))
+        tagged = staged(kept, stage)
+    return separated(tagged, sch, raw_col)
 
 
 def parse_pages(pages: DataFrame, sch: StructType, raw_col: str | None = None) -> tuple[DataFrame, DataFrame]:

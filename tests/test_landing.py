@@ -228,3 +228,14 @@ def test_lines_of_large_pages_are_records_without_a_look_at_page_text(spark, tmp
     assert sorted((r._reason, r._corrupt_record) for r in rejects.collect()) == [("a key does not fit its type", '{"id": "x"}'), ("not an object", "7")]
     plan = recs._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan[:plan.index("FileScan")]    # the first side, the lines
+
+
+def test_staged_records_keep_their_text_only_where_it_is_asked_for(spark, tmpdir_path):
+    land(tmpdir_path, "releases", "a/b", "1.json", [{"id": 1}, {"id": "x"}])
+    texts = []
+    for raw_col in (None, "_raw"):
+        place = os.path.join(tmpdir_path, f"staged{raw_col}")
+        recs, rejects = read_pages(spark, tmpdir_path, "releases", raw_col=raw_col, stage=place)
+        assert ids(recs) == [1] and [r._corrupt_record for r in rejects.collect()] == ['{"id":"x"}']
+        texts.append(sorted(r._json for r in spark.read.parquet(place).where("_json IS NOT NULL").collect()))
+    assert texts == [['{"id":"x"}'], ['{"id":"x"}', '{"id":1}']]
