@@ -22,9 +22,9 @@ def store_records(spark: SparkSession, root: str, entity: str, path: str, repos:
     A record that is no JSON object is a reject: it keeps its text and a reason, and has no ``_record``. Good
     records keep no text. The two lie in folders of their own, so a reader of one side prunes the other.
     """
-    rows = split_records(_pages(spark, entity_path(root, entity, repos))).withColumn(RECORD, F.try_parse_json("_json"))
+    rows = split_records(_pages(spark, entity_path(root, entity, repos)), apart=True).withColumn(RECORD, F.try_parse_json("_json"))
     why = F.coalesce(F.col(REASON), F.when(F.col(RECORD).isNull(), F.lit("not JSON")),
-                     F.when(~F.schema_of_variant(RECORD).startswith("OBJECT<"), F.lit("not an object")))
+                     F.when(~F.ltrim("_json", F.lit(" \t\r\n")).startswith("{"), F.lit("not an object")))    # JSON that begins so is an object
     rows = rows.withColumn(REASON, why)
     good = F.col(REASON).isNull()
     out = rows.select("_source_file", "_file_time", F.when(~good, F.col("_json")).alias("_json"), REASON,
@@ -48,7 +48,8 @@ def misfits(schema: StructType, record: str = RECORD) -> Column:
     def bad(f):
         value = path_value(_key_path(f.name), "variant", record)
         there = value.isNotNull() & ~F.is_variant_null(value)
-        return F.when(there & path_value(_key_path(f.name), f.dataType.simpleString(), record).isNull(), F.lit(f.name))
+        # a value that fits is there: only the others are looked up once more
+        return F.when(path_value(_key_path(f.name), f.dataType.simpleString(), record).isNull() & there, F.lit(f.name))
     return F.array_compact(F.array(*map(bad, schema.fields)))
 
 

@@ -65,3 +65,10 @@ def test_large_pages_of_lines_are_stored_line_by_line(spark, tmpdir_path):
     good = [n for n in os.listdir(f"{tmpdir_path}/out/_reject=false") if n.startswith("part-")]
     assert len(good) > 3 and rows.where("not _reject").count() == 1000      # one page, several tasks
     assert [(r._json, r._reason) for r in rows.where("_reject").collect()] == [("[7]", "not an object")]
+
+
+def test_objects_are_told_by_their_text(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(V.F, "schema_of_variant", None)     # a whole schema per record is not worked out
+    rows = stored(spark, tmpdir_path, '\n\t {"id": 1}', [{"id": 2}, [3], "x"])
+    assert sorted(r.id for r in V.read_typed(rows, SCHEMA)[0].collect()) == [1, 2]
+    assert sorted((r._json, r._reason) for r in rows.where("_reject").collect()) == [("[3]", "not an object"), ("x", "not JSON")]
