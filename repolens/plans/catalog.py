@@ -524,7 +524,7 @@ def _kept_state(spark, sf_dir, gaps: bool) -> str:
         "title": F.when(turn == 2, F.lit("Add a draft")).otherwise(F.col("title"))})
     loads = [early.unionByName(raw.where(turn == 1)), raw.where(turn.isin(0, 2)), raw.where(turn.isin(3, 4))]
     for load in loads:
-        done = upsert_parquet(spark, f"{place}/pull_requests", load, ["id"], ["fetched_at"], buckets=8, changes=True)
+        done = upsert_parquet(spark, f"{place}/pull_requests", load, ["id"], ["fetched_at"], buckets=8, changes=True, kept=True)
         changed = read_changes(spark, f"{place}/pull_requests", done.version)
         before, after = (silver_pull_requests(changed.where(F.col("_change") == sign)).withColumn("_change", F.lit(sign)) for sign in (-1, 1))
         apply_load(spark, f"{place}/state", event_changes(before.unionByName(after)), done.version, gaps)

@@ -26,6 +26,8 @@ TIE = "_tie"
 BUCKETS = 32
 #: Rows that a task merges, and rows of one key in a load from which they are first combined where they lie.
 PART_ROWS, HOT_ROWS = 100_000, 10_000
+#: Hash slots per bucket in which a load's rows are counted: only keys of slots with more than HOT_ROWS rows can be hot.
+SLOTS = 16_384
 
 
 def _tagged(existing: DataFrame | None, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,23 +49,33 @@ def merge_latest(existing: DataFrame | None, incoming: DataFrame, keys: list[str
 
 
 def _merged(stored: DataFrame | None, load: DataFrame, keys: list[str], newest_first: list[str], buckets: int, rows: int,
-            hot_rows: int = HOT_ROWS) -> DataFrame:
+            hot_rows: int = HOT_ROWS, crowded: bool = True, changes: bool = False) -> DataFrame:
     """The rows of :func:`merge_latest` with their ``_bucket``, in one shuffle and one sort; a partition holds one bucket.
 
     Rows are dealt to parts of buckets (about :data:`PART_ROWS` of ``rows`` each) and the first row of each key is
     taken in sorted order. Keys with more than ``hot_rows`` rows in the load are cut to one row by an
-    aggregate first (combined map-side), so no key fills a task.
+    aggregate first (combined map-side), so no key fills a task; they are only looked for in a ``crowded`` load.
+    With ``changes`` each row says in ``_change`` whether it stays as stored (0), comes from the load (1) or is
+    the stored row of a key of the load (-1), which is no row of the table any more.
     """
-    hot = load.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
     tagged, order = _tagged(stored, load, keys), [LOAD, *newest_first, TIE]
-    if not hot.isEmpty():
-        few = F.broadcast(hot)     # at most one of ``hot_rows`` rows
-        tagged = tagged.join(few, keys, "left_anti").unionByName(latest_per_key(tagged.join(few, keys, "left_semi"), keys, order))
+    hot = load.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
+    if crowded and not hot.isEmpty():
+        few, loaded = F.broadcast(hot), F.col(LOAD) == 1     # at most one of ``hot_rows`` rows
+        best = latest_per_key(tagged.where(loaded).join(few, keys, "left_semi"), keys, order)
+        tagged = tagged.where(~loaded).unionByName(tagged.where(loaded).join(few, keys, "left_anti")).unionByName(best)
     parts = buckets * max(1, -(-rows // (buckets * PART_ROWS)))
     of = lambda n: F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
     dealt = tagged.withColumns({"_bucket": of(buckets), "_part": of(parts)}).repartitionById(parts, F.col("_part"))
     first = Window.partitionBy(*keys, "_part").orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return dealt.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_part", "_rank", LOAD, TIE)
+    ranked = dealt.withColumn("_rank", F.row_number().over(first))
+    if changes:
+        best = F.max(LOAD).over(first)    # the first row's
+        change = F.when(F.col("_rank") == 1, F.col(LOAD)).when((F.col(LOAD) == 0) & (best == 1), F.lit(-1))
+        ranked = ranked.withColumn(CHANGE, change).where(F.col(CHANGE).isNotNull())
+    else:
+        ranked = ranked.where("_rank = 1")
+    return ranked.drop("_part", "_rank", LOAD, TIE)
 
 
 def _log_path(root: str) -> str:
@@ -102,13 +114,15 @@ def obsolete_folders(spark: SparkSession, root: str, keep: int = 2) -> list[str]
         return []
     newest = log.groupBy("bucket").agg(F.slice(F.sort_array(F.collect_set("version"), asc=False), 1, keep).alias("kept"))
     old = log.join(newest, "bucket").where(~F.array_contains("kept", F.col("version")))
-    return sorted(r["path"] for r in old.select("path").distinct().toLocalIterator())
+    whole = F.regexp_replace("path", f"/{CHANGE}=[^/]*$", "")    # with the rows that the load replaced
+    return sorted(r["path"] for r in old.select(whole.alias("path")).distinct().toLocalIterator())
 
 
 def obsolete_loads(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Staged loads (with their NULL-key rejects) and changed rows of all versions but the newest ``keep``.
+    """Staged loads (with their NULL-key rejects) and lists of changed rows of all versions but the newest ``keep``.
 
     Readers of the table never use them: a retention job may delete them once rejects and changes were taken.
+    The rows a load replaced lie in its bucket folders and go with these (:func:`obsolete_folders`).
     """
     root, last = root.rstrip("/"), last_version(spark, root)
     places = [f"{root}/{kind}/v={v}" for kind in ("_incoming", "_changes") for v in range(1, last - keep + 1)]
@@ -130,6 +144,11 @@ def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | Non
                        for f in schema.fields])
 
 
+def _listed(spark: SparkSession, rows: list[tuple], schema: str):
+    """A writer of few rows into one file."""
+    return spark.createDataFrame(rows, schema).coalesce(1).write
+
+
 class Upserted(NamedTuple):
     version: int    # the load's number
     rows: int       # rows of the table afterwards
@@ -143,8 +162,8 @@ def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: li
     The load is computed once, into ``<root>/_incoming/v=<version>`` (NULL keys in bucket -1, the rejects);
     only the stored buckets it touches are read and rewritten. A load that is ``kept`` only reads files that
     stay as they are, row by row: it isn't copied, just its rejects are. ``buckets`` must be the same for
-    all loads of a table. With ``changes`` the stored and the merged row of each key of the load are written
-    too (:func:`read_changes`).
+    all loads of a table. With ``changes`` the merge also writes the stored rows that it replaces, and a bucket's
+    folder keeps them, the load's rows and all others apart (:func:`read_changes`).
     """
     root = root.rstrip("/")
     version = last_version(spark, root) + 1
@@ -155,8 +174,11 @@ def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: li
         with open_writers(spark):
             load.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
         load = spark.read.schema(load.schema).parquet(stage)
-    bucket = F.when(~null_key, F.pmod(F.xxhash64(*keys), F.lit(buckets))).cast("int")
-    counts = {r["bucket"]: r["n"] for r in load.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()}  # keys alone are read
+    slot = F.when(~null_key, F.pmod(F.xxhash64(*keys), F.lit(buckets * SLOTS)))    # keys alone are read
+    slots = load.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = slots.groupBy((F.col("slot") % buckets).cast("int").alias("bucket")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
+    counts = {r["bucket"]: r["n"] for r in sizes}
+    crowded = any(r["most"] > HOT_ROWS for r in sizes if r["bucket"] is not None)    # a key has at most its slot's rows
     rejected = counts.pop(None, 0)
     if kept and rejected:
         load.where(null_key).write.mode("overwrite").partitionBy("_bucket").parquet(stage)
@@ -166,27 +188,24 @@ def upsert_parquet(spark: SparkSession, root: str, incoming: DataFrame, keys: li
         stored = _read_folders(spark, [folders[b] for b in touched if b in folders])
         rows = sum(counts.values()) + (0 if stored is None else stored.count())
         # an unlogged leftover of a failed run is replaced
+        merged = _merged(stored, load, keys, newest_first, buckets, rows, HOT_ROWS, crowded, changes)
         with open_writers(spark):    # a task has one bucket
-            _merged(stored, load, keys, newest_first, buckets, rows).write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/v={version}")
+            merged.write.mode("overwrite").partitionBy("_bucket", *[CHANGE] * changes).parquet(f"{root}/v={version}")
+        places = {b: f"{root}/v={version}/_bucket={b}" for b in touched}
         if changes:
-            now = spark.read.parquet(f"{root}/v={version}").drop("_bucket")
-            if stored is None:    # all rows are the load's
-                now = now.withColumn(CHANGE, F.lit(1))
-            else:
-                loaded = load.select(*keys).distinct()
-                now = stored.join(loaded, keys, "left_semi").withColumn(CHANGE, F.lit(-1)).unionByName(
-                    now.join(loaded, keys, "left_semi").withColumn(CHANGE, F.lit(1)), allowMissingColumns=True)
-            now.write.mode("overwrite").parquet(f"{root}/_changes/v={version}")
-        spark.createDataFrame([(version, b, f"{root}/v={version}/_bucket={b}") for b in touched],
-                              "version long, bucket int, path string").coalesce(1).write.mode("append").parquet(_log_path(root))
+            _listed(spark, [(f"{p}/{CHANGE}={{-1,1}}",) for p in places.values()], "path string").mode("overwrite").parquet(f"{root}/_changes/v={version}")
+            places = {b: f"{p}/{CHANGE}={{0,1}}" for b, p in places.items()}
+        _listed(spark, [(version, b, p) for b, p in places.items()], "version long, bucket int, path string").mode("append").parquet(_log_path(root))
     now = read_current(spark, root)
     return Upserted(version, 0 if now is None else now.count(), rejected)
 
 
 def read_changes(spark: SparkSession, root: str, version: int) -> DataFrame | None:
     """The rows of a load's keys, before it (``_change`` -1, keys that were there) and after (+1); None if nothing was kept."""
+    root = root.rstrip("/")
     try:
-        return spark.read.parquet(f"{root.rstrip('/')}/_changes/v={version}")
+        places = [r["path"] for r in spark.read.schema("path string").parquet(f"{root}/_changes/v={version}").collect()]
+        return spark.read.option("basePath", f"{root}/v={version}").parquet(*places).drop("_bucket")
     except AnalysisException as e:
         if is_missing(e):
             return None

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from repolens.plans import maintained as M
 from repolens.plans.gold import focus_vs_top_k, median_gap, monthly_counts
-from repolens.sinks import ledger
-from repolens.sinks.upsert import read_changes, read_current, upsert_parquet
+from repolens.sinks import ledger, upsert
+from repolens.sinks.upsert import obsolete_folders, read_changes, read_current, upsert_parquet
 
 SCHEMA = "id long, repository string, closed_at timestamp_ntz, feat_classifier string, fetched_at long"
 GOLD = dict(focus="r3", focus_label="mine", k=2, member_label="top")
@@ -96,3 +96,23 @@ def test_a_failed_load_leaves_no_trace_and_wrong_removals_raise(spark, tmp_path)
 def test_empty_loads(spark, tmp_path):
     empty = spark.createDataFrame([], "key string, t timestamp_ntz, n long")
     assert M.apply_load(spark, str(tmp_path), empty, 1) and M.kept_median_gap(spark, str(tmp_path)).isEmpty()
+
+
+def test_the_merge_hands_out_the_rows_it_replaces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "HOT_ROWS", 10)
+    root = f"{tmp_path}/t"
+    loads = [spark.createDataFrame([(i, i, 0) for i in range(20)], "id long, v long, at long"),
+             spark.createDataFrame([(i, -i, 0, "n") for i in range(10, 30)] + [(12, v, v, "hot") for v in range(1, 50)] + [(None, 0, 0, "n")], "id long, v long, at long, note string"),
+             spark.createDataFrame([(0, 5, 1)], "id long, v long, at long")]
+    done = [upsert_parquet(spark, root, load, ["id"], ["at"], buckets=1, changes=True, kept=True) for load in loads]
+    assert [(d.rows, d.rejected) for d in done] == [(20, 0), (30, 1), (30, 0)]
+    rows = lambda v: sorted((r["id"], r["v"], r["_change"]) for r in read_changes(spark, root, v).collect())
+    after = [(i, 49 if i == 12 else -i, 1) for i in range(10, 30)]
+    assert rows(1) == [(i, i, 1) for i in range(20)] and rows(3) == [(0, 0, -1), (0, 5, 1)]
+    assert rows(2) == sorted([(i, i, -1) for i in range(10, 20)] + after)
+    assert sorted(r["note"] or "" for r in read_changes(spark, root, 2).collect()) == [""] * 10 + ["hot"] + ["n"] * 19
+    now = read_current(spark, root)
+    assert "_change" not in now.columns and rows_of(now.select("id", "v")) == sorted([(0, 5)] + [(i, i) for i in range(1, 10)] + [(i, v) for i, v, _ in after], key=str)
+    # a row is written once by its load: those of the table and, beside them, those they replace
+    assert spark.read.parquet(f"{root}/_changes/v=2").columns == ["path"] and spark.read.parquet(f"{root}/v=2").count() == 30 + 10
+    assert obsolete_folders(spark, root, keep=1) == [f"{root}/v={v}/_bucket=0" for v in (1, 2)]
