@@ -398,6 +398,10 @@ def q_newest_first(spark, sf_dir):
     return first_n(o, [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").desc_nulls_last()], 100)
 
 
+#: Large landings are compressed as downloads are (at a level that costs little time); such a file is one task, so files are kept short.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 25_000}
+
+
 def _land(df: DataFrame, place: str, entity: str, repo=None) -> None:
     """JSON Lines pages per repository, as Spark's writer lands them; ``repo`` lands all in one folder."""
     with open_writers(df.sparkSession):
@@ -438,7 +442,9 @@ def q_landing_gql_pull_requests(spark, sf_dir):
     # as text: a partition column would take the place of the records' own ``repo``
     record = F.to_json(F.struct(*raw.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"})
     folder = F.concat(F.lit("cust__group_"), (F.col("databaseId") % 20).cast("string"))
-    raw.select(record.alias("value"), folder.alias("repo")).write.partitionBy("repo").text(f"{place}/entity=gql_pull_requests")
+    with open_writers(spark):
+        (raw.select(record.alias("value"), folder.alias("repo")).write.options(**PACKED)
+            .partitionBy("repo").text(f"{place}/entity=gql_pull_requests"))
     bad = raw.where("databaseId % 700 = 0").select("databaseId")
     text = F.concat(F.lit('{"databaseId": '), F.col("databaseId").cast("string"), F.lit(', "labels": {"nodes": "none"}}\n{"databaseId": 1, "commits": [2]}'))
     bad.select(text.alias("value"), F.lit("cust__group_1").alias("repo")).coalesce(1).write.partitionBy("repo").mode("append").text(f"{place}/entity=gql_pull_requests")

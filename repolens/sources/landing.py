@@ -23,11 +23,14 @@ from ..session import open_writers
 CORRUPT = "_corrupt_record"
 REASON = "_reason"
 REPO_SEP = "__"
+PACKED_NAME = r"(?i)\.(gz|gzip|bz2|zst|lz4|snappy|deflate)$"
 LINES_NAME = r"(?i)\.(jsonl|ndjson)(\.(gz|gzip|bz2|zst|lz4|snappy|deflate))?$"
 LINE_END = "\r\n|\r|\n"
 REJECT_COLUMNS = ["_source_file", CORRUPT, REASON]
 #: A page up to this size is one text row; of larger ones only those that are no JSON Lines.
 WHOLE_BYTES = 1 << 20
+#: JSON text is at least so many times the size of its compressed file.
+UNPACKED = 4
 LINE, START = "_line", "_start"
 
 
@@ -58,7 +61,8 @@ def by_line() -> Column:
 
 
 def is_large() -> Column:
-    return F.col("_metadata.file_size") > WHOLE_BYTES
+    size, packed = F.col("_metadata.file_size"), F.col("_metadata.file_path").rlike(PACKED_NAME)
+    return F.when(packed, size * UNPACKED).otherwise(size) > WHOLE_BYTES
 
 
 def _trimmed(line) -> Column:

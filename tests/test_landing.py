@@ -239,3 +239,48 @@ def test_staged_records_keep_their_text_only_where_it_is_asked_for(spark, tmpdir
         assert ids(recs) == [1] and [r._corrupt_record for r in rejects.collect()] == ['{"id":"x"}']
         texts.append(sorted(r._json for r in spark.read.parquet(place).where("_json IS NOT NULL").collect()))
     assert texts == [['{"id":"x"}'], ['{"id":"x"}', '{"id":1}']]
+
+
+def test_compressed_pages_are_large_by_what_they_hold(spark, tmpdir_path):
+    import gzip
+    import random
+    from repolens.sources.landing import _pages
+    rnd = random.Random(1)
+    rows = [{"id": i, "body": rnd.randbytes(1000).hex()} for i in range(600)]
+    texts = {"1.json.gz": "\n".join(map(json.dumps, rows[:300])), "2.json.gz": json.dumps(rows[300:], indent=1),
+             "3.json.gz": '{"id": 600}\n{"id": 601}'}
+    folder = os.path.join(tmpdir_path, "entity=releases", "repo=a__b")
+    os.makedirs(folder)
+    for name, text in texts.items():
+        with gzip.open(os.path.join(folder, name), "wt") as f:
+            f.write(text)
+    sizes = {name: os.path.getsize(os.path.join(folder, name)) for name in texts}
+    assert 1 << 18 < sizes["1.json.gz"] < 1 << 20 and 1 << 18 < sizes["2.json.gz"] < 1 << 20
+    counts = _pages(spark, os.path.join(tmpdir_path, "entity=releases")).groupBy("_source_file").count().collect()
+    assert {r["_source_file"].rsplit("/", 1)[1]: r["count"] for r in counts} == {"1.json.gz": 300, "2.json.gz": 1, "3.json.gz": 1}
+    recs, rejects = read_pages(spark, tmpdir_path, "releases")
+    assert ids(recs) == [*range(602)] and rejects.count() == 0
+    target = os.path.join(tmpdir_path, "target")
+    incremental_upsert(spark, tmpdir_path, "releases", target, os.path.join(tmpdir_path, "ckpt")).awaitTermination(120)
+    assert ids(read_current(spark, target)) == [*range(602)]
+
+
+def test_graphql_pages_are_landed_compressed_in_short_files(spark, tmpdir_path, monkeypatch):
+    import gzip
+    from repolens.plans import catalog
+    from tests.conftest import SF_SMALL
+    place = os.path.join(tmpdir_path, "place")
+    monkeypatch.setattr(catalog, "scratch", lambda spark, what: place)
+    monkeypatch.setitem(catalog.PACKED, "maxRecordsPerFile", 10)
+    out = catalog.q_landing_gql_pull_requests(spark, SF_SMALL)
+    counts = {r["outcome"]: r["count"] for r in out.groupBy("outcome").count().collect()}
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+    assert counts == {"record": orders, "a key does not fit its type": 1}
+    files = [os.path.join(d, f) for d, _, names in os.walk(os.path.join(place, "entity=gql_pull_requests")) for f in names if f.startswith("part-")]
+    packed = [f for f in files if f.endswith(".txt.gz")]
+    assert len(files) - len(packed) == 1     # the bad pages
+
+    def lines(f):
+        with gzip.open(f, "rt") as text:
+            return sum(1 for _ in text)
+    assert sum(map(lines, packed)) == orders and max(map(lines, packed)) == 10
