@@ -402,12 +402,12 @@ def q_newest_first(spark, sf_dir):
 PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 25_000}
 
 
-def _land(df: DataFrame, place: str, entity: str, repo=None) -> None:
-    """JSON Lines pages per repository, as Spark's writer lands them; ``repo`` lands all in one folder."""
+def _land(df: DataFrame, place: str, entity: str, repo=None, **how) -> None:
+    """JSON Lines pages per repository, as Spark's writer lands them; ``repo`` lands all in one folder, ``how`` are its options."""
     with open_writers(df.sparkSession):
         (df.withColumn("repo", F.lit(repo) if repo else F.regexp_replace("repository_full_name", "/", "__"))
            .write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").option("ignoreNullFields", "false")
-           .partitionBy("repo").mode("append").json(f"{place}/entity={entity}"))
+           .options(**how).partitionBy("repo").mode("append").json(f"{place}/entity={entity}"))
 
 
 def _land_bad(spark, place: str, entity: str, rows: DataFrame) -> None:
@@ -593,13 +593,13 @@ def q_job_report(spark, sf_dir):
     """The full job with issues, bad pages and export: rows and rejects by reason, the 22 checks, exported rows."""
     place = scratch(spark, "job")
     raw = _raw_tables(spark, sf_dir)
-    _land(raw["pull_requests"], f"{place}/landing", "pull_requests")
+    _land(raw["pull_requests"], f"{place}/landing", "pull_requests", **PACKED)
     _land_bad(spark, f"{place}/landing", "pull_requests", raw["pull_requests"].where("id % 1000 = 0").select("id"))
-    _land(raw["releases"], f"{place}/landing", "releases")
-    _land(raw["repositories"], f"{place}/landing", "repositories", "cust__all")
+    _land(raw["releases"], f"{place}/landing", "releases", **PACKED)
+    _land(raw["repositories"], f"{place}/landing", "repositories", "cust__all", **PACKED)
     issues = ad.issue_records(spark, sf_dir).select(F.col("record").alias("value"), F.regexp_replace("repository_full_name", "/", "__").alias("repo"))
     with open_writers(spark):
-        issues.write.partitionBy("repo").text(f"{place}/landing/entity=issues")
+        issues.write.options(**PACKED).partitionBy("repo").text(f"{place}/landing/entity=issues")
     run_job(spark, f"{place}/landing", f"{place}/warehouse", export_dir=f"{place}/export", **_PR_GOLD)
     summary = read_model(spark, f"{place}/warehouse/summary").select(F.lit("raw").alias("part"), F.col("entity").alias("name"), F.col("outcome").alias("detail"), "n")
     checks = read_model(spark, f"{place}/warehouse/checks").select(

@@ -68,15 +68,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 @contextmanager
-def open_writers(spark: SparkSession, most: int = 32):
-    """Partitioned writes within keep up to ``most`` files open per task instead of sorting whole rows by folder first.
-
-    A task that meets more folders sorts the rest of its rows, as Spark does by default for all of them.
-    """
-    name = "spark.sql.maxConcurrentOutputFileWriters"
+def _setting(spark: SparkSession, name: str, value: str):
     before = spark.conf.get(name, None)
-    spark.conf.set(name, str(most))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def open_writers(spark: SparkSession, most: int = 32):
+    """Partitioned writes within keep up to ``most`` files open per task instead of sorting whole rows by folder first.
+
+    A task that meets more folders sorts the rest of its rows, as Spark does by default for all of them.
+    """
+    return _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most))
+
+
+def small_files(spark: SparkSession):
+    """Parquet written within is compressed with zstd: records' text takes about half of what it takes by default."""
+    return _setting(spark, "spark.sql.parquet.compression.codec", "zstd")

@@ -139,3 +139,53 @@ def test_gold_reads_only_the_feature_partition(spark, tmpdir_path):
     plan = monthly_counts(prs)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(feat_classifier" in plan and "lower(feat_classifier" in plan
     assert "feat_classifier=feature" in os.listdir(os.path.join(wh, "silver", "stg_pull_requests", "v=1"))
+
+
+def test_layers_are_compressed_closely_and_the_export_as_usual(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    _land(landing, "pull_requests", "acme/engine", "p1.json", [dict(r, repository_full_name=None) for r in PR_FIXTURES])
+    _land(landing, "releases", "acme/engine", "p1.json", [*RELEASE_FIXTURES, {"id": None}])
+    _land(landing, "issues", "acme/engine", "p1.json", [{"id": 2, "title": "b"}])
+    wh, ex = os.path.join(tmpdir_path, "wh"), os.path.join(tmpdir_path, "ex")
+    codec = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(codec)
+    run_job(spark, landing, wh, ex)
+    assert spark.conf.get(codec) == before
+
+    def parts(top):
+        return [os.path.join(d, f) for d, _, names in os.walk(top) for f in names if f.startswith("part-")]
+    for layer in ("parsed", "raw", "rejects", "bronze", "silver", "gold"):
+        found = parts(os.path.join(wh, layer))
+        assert found and all(f.endswith(".zstd.parquet") for f in found), layer
+    assert parts(ex) and all(f.endswith(f".{before}.parquet") for f in parts(ex))
+    assert {json.loads(r["_raw"])["id"] for r in read_model(spark, os.path.join(wh, "bronze", "stg_github_pull_requests")).collect()} == {r["id"] for r in PR_FIXTURES}
+
+
+class _Landed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("query", ["q_job_report"])
+def test_job_pages_are_landed_compressed_in_short_files(spark, tmpdir_path, monkeypatch, query):
+    import gzip
+    from repolens.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    def landed(*a, **kw):
+        raise _Landed
+    monkeypatch.setattr(catalog, "scratch", lambda *_: tmpdir_path)
+    monkeypatch.setattr(catalog, "run_job", landed)
+    monkeypatch.setitem(catalog.PACKED, "maxRecordsPerFile", 20)
+    with pytest.raises(_Landed):
+        getattr(catalog, query)(spark, SF_SMALL)
+    for entity, table in {"pull_requests": "events", "releases": "orders", "repositories": "customer"}.items():
+        files = [os.path.join(d, f) for d, _, names in os.walk(os.path.join(tmpdir_path, "landing", f"entity={entity}")) for f in names if f.startswith("part-")]
+        counts = []
+        for f in files:
+            if f.endswith(".json.gz"):
+                with gzip.open(f, "rt") as text:
+                    counts.append(sum(1 for _ in text))
+            else:
+                assert f.endswith(".txt")    # the bad pages
+        assert sum(counts) == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count() and max(counts) <= 20
+        assert len(files) - len(counts) == (2 if (query, entity) == ("q_job_report", "pull_requests") else 0)
