@@ -165,7 +165,7 @@ class _Landed(Exception):
     pass
 
 
-@pytest.mark.parametrize("query", ["q_job_report"])
+@pytest.mark.parametrize("query", ["q_job_tables", "q_job_report"])
 def test_job_pages_are_landed_compressed_in_short_files(spark, tmpdir_path, monkeypatch, query):
     import gzip
     from repolens.plans import catalog
